@@ -1,50 +1,64 @@
-"""The input bundle: entity snapshot + long attribute history."""
+"""The input bundle: entity snapshot + attribute change logs."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from histlens.schema import ATTRS
 
 
 @dataclass(frozen=True)
 class Tables:
     """``reports(id, current_resolution, current_status, opening, reporter)`` and
-    ``history(attr, id, what, ts, who)``.
+    one change log ``(id, what, ts, who)`` per attribute.
 
-    ``h(attr)`` is a filter on the partition column: on Parquet partitioned by
-    ``attr`` it prunes to one folder, on a union of views Catalyst drops the
-    other branches.  Features never scan attributes they do not use.
+    ``hs(attrs)`` gives the long form ``(attr, id, what, ts, who)`` of some
+    logs.  With ``long`` set (Parquet partitioned by ``attr``) that is one scan
+    with partition pruning; otherwise a union of the per-attribute frames.
+    Features never read logs they do not use.
     """
 
     reports: DataFrame
-    history: DataFrame
+    logs: Mapping[str, DataFrame]
+    long: DataFrame | None = field(default=None)
 
     def h(self, attr: str) -> DataFrame:
-        return self.history.filter(F.col("attr") == attr).select("id", "what", "ts", "who")
+        return self.logs[attr]
 
-    def hs(self, attrs) -> DataFrame:
-        """Long history restricted to some attributes (keeps ``attr``)."""
+    def hs(self, attrs: Iterable[str]) -> DataFrame:
         attrs = list(attrs)
-        return self.history.filter(F.col("attr").isin(attrs))
+        if self.long is not None:
+            return self.long.filter(F.col("attr").isin(attrs)).select("attr", "id", "what", "ts", "who")
+        parts = [self.logs[a].select(F.lit(a).alias("attr"), "id", "what", "ts", "who") for a in attrs]
+        return reduce(DataFrame.unionByName, parts)
+
+    @property
+    def history(self) -> DataFrame:
+        return self.hs(ATTRS)
 
     @property
     def spark(self) -> SparkSession:
         return self.reports.sparkSession
 
 
+def from_long(reports: DataFrame, history: DataFrame) -> Tables:
+    """Tables over a long history ``(attr, id, what, ts, who)``."""
+    logs = {a: history.filter(F.col("attr") == a).select("id", "what", "ts", "who") for a in ATTRS}
+    return Tables(reports, logs, history.select("attr", "id", "what", "ts", "who"))
+
+
 def load_tables(spark: SparkSession, root: str) -> Tables:
-    """Tables written by ``sources.csv.ingest`` (Parquet, history partitioned by attr)."""
-    reports = spark.read.parquet(f"{root}/reports")
-    history = spark.read.parquet(f"{root}/history")
-    return Tables(reports, history.select("attr", "id", "what", "ts", "who"))
+    """Tables written by ``write_tables`` (Parquet; history partitioned by attr)."""
+    return from_long(spark.read.parquet(f"{root}/reports"), spark.read.parquet(f"{root}/history"))
 
 
 def write_tables(t: Tables, root: str, mode: str = "overwrite") -> None:
-    """IO4 for the inputs: replace both tables; history partitioned by attr."""
+    """IO4 for the inputs: replace both tables; history partitioned by attr so
+    that a feature reading one attribute lists one folder."""
     t.reports.write.mode(mode).parquet(f"{root}/reports")
     t.history.write.mode(mode).partitionBy("attr").parquet(f"{root}/history")
-
-

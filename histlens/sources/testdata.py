@@ -7,8 +7,6 @@ mapping is fixed by FIXTURES.md section 2 and mirrored in ``histlens.oracle``.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,60 +26,61 @@ def _case(col: Column, pairs, default: Column) -> Column:
 
 
 # --- fixed values: the view definitions of FIXTURES.md section 2 -----------
-def _views() -> dict[str, tuple[Column, Column]]:
+def _view(attr: str) -> tuple[Column, Column]:
+    """(what, predicate) of one history view."""
     pk, sk, ln = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
-    return {
-        "assigned_to": (
+    views = {
+        "assigned_to": lambda: (
             F.when(pk % 10 == 0, "None").when(pk % 10 == 1, "team-inbox").when(pk % 10 == 2, "")
             .otherwise(F.concat(F.lit("dev"), _s(pk % 50))),
             ln <= 3,
         ),
-        "status": (
+        "status": lambda: (
             _case(F.col("l_returnflag"), [("R", "REOPENED"), ("A", "NEW")], F.lit("RESOLVED")),
             ln >= 2,
         ),
-        "resolution": (
+        "resolution": lambda: (
             _case(F.col("l_linestatus"), [("F", "FIXED")], F.lit("")),
             ln >= 6,
         ),
-        "severity": (
+        "severity": lambda: (
             _case(ln, [(1, "blocker"), (2, "critical"), (3, "major"), (4, "normal"),
                        (5, "minor"), (6, "trivial")], F.lit("enhancement")),
             sk % 2 == 0,
         ),
-        "priority": (
+        "priority": lambda: (
             _case(ln, [(1, "P1"), (2, "P2"), (3, "P3"), (4, "P4"), (5, "P5")], F.lit("None")),
             sk % 2 == 1,
         ),
-        "product": (
+        "product": lambda: (
             _case(sk % 4, [(0, "JDT"), (1, "CDT"), (2, "PDE")], F.lit("Platform")),
             ln.isin(1, 4, 7),
         ),
-        "version": (
+        "version": lambda: (
             _case(pk % 6, [(0, "3.0"), (1, "3.1"), (2, "3.1.2"), (3, "2.0"), (4, "0 DD 1.1")],
                   F.lit("DD 1.1")),
             ln.isin(1, 2, 5),
         ),
-        "component": (
+        "component": lambda: (
             _case(sk % 7, [(0, "UI"), (1, "Core"), (2, "Update Site"), (3, "IDE"),
                            (4, "User Doc"), (5, "Text")],
                   F.concat(F.lit("c"), _s(pk % 9))),
             ln.isin(2, 3, 6),
         ),
-        "op_sys": (
+        "op_sys": lambda: (
             _case(sk % 8, [(0, "Windows XP"), (1, "Windows Vista"), (2, "Mac OS X"), (3, "Linux-GTK"),
                            (4, "Solaris"), (5, "All"), (6, "Unix All")], F.lit("")),
             ln.isin(3, 4, 5),
         ),
-        "cc": (F.concat(F.lit("u"), _s(pk)), ln >= 5),
-        "short_desc": (F.concat(F.lit("desc "), _s(pk * ln)), ln.isin(1, 5)),
+        "cc": lambda: (F.concat(F.lit("u"), _s(pk)), ln >= 5),
+        "short_desc": lambda: (F.concat(F.lit("desc "), _s(pk * ln)), ln.isin(1, 5)),
     }
+    return views[attr]()
 
 
-def history_view(spark: SparkSession, sf_dir: str, attr: str) -> DataFrame:
-    what, pred = _views()[attr]
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    return li.filter(pred).select(
+def history_view(lineitem: DataFrame, attr: str) -> DataFrame:
+    what, pred = _view(attr)
+    return lineitem.filter(pred).select(
         F.col("l_orderkey").alias("id"),
         what.alias("what"),
         F.unix_timestamp("l_shipdate").alias("ts"),
@@ -89,9 +88,8 @@ def history_view(spark: SparkSession, sf_dir: str, attr: str) -> DataFrame:
     )
 
 
-def reports_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+def reports_view(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    o, li = orders, lineitem
     first_ship = (li.filter(F.col("l_linenumber") <= 3)
                   .groupBy("l_orderkey").agg(F.min("l_shipdate").alias("first_ship")))
     j = o.join(first_ship, (F.col("l_orderkey") == F.col("o_orderkey")) & (F.col("o_orderkey") % 2 == 0), "left")
@@ -109,14 +107,10 @@ def reports_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def testdata_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """Tables over the driver's parquet files.
-
-    ``history`` is a union of one filtered lineitem scan per attribute, each
-    tagged with a literal ``attr``; ``Tables.h(attr)`` prunes the other
-    branches at optimisation time, so a feature reads only its logs.
-    """
+    """Tables over the driver's parquet files: one filtered, projected
+    lineitem scan per attribute log (filters and columns reach the scan)."""
     from histlens.schema import ATTRS
 
-    parts = [history_view(spark, sf_dir, a).select(F.lit(a).alias("attr"), "*") for a in ATTRS]
-    history = reduce(DataFrame.unionByName, parts)
-    return Tables(reports_view(spark, sf_dir), history)
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return Tables(reports_view(orders, li), {a: history_view(li, a) for a in ATTRS})
