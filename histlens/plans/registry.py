@@ -122,4 +122,79 @@ def queries() -> dict[str, Query]:
     for name in FT.FEATURES:
         q[f"feat_{name}"] = _feature(name)
     q["master_table"] = q_master_table
+    q.update(ML_QUERIES)
     return q
+
+
+# --- model stage ------------------------------------------------------------
+ML_ROUND = 6  # doubles of the model queries are compared at 6 decimals
+
+
+def master_materialised(spark, sf_dir) -> DataFrame:
+    """The wide table cut from its lineage (reliable checkpoint in the
+    session's checkpoint folder): the model stage reads it several times."""
+    return q_master_table(spark, sf_dir).checkpoint(eager=True)
+
+
+def _split(spark, sf_dir):
+    from histlens.plans.model import train_test
+    m = train_test(master_materialised(spark, sf_dir))
+    return m.filter("is_train").drop("is_train"), m.filter("NOT is_train").drop("is_train")
+
+
+def q_holdout_split(spark, sf_dir):
+    from histlens.plans.model import holdout_split
+    m = q_master_table(spark, sf_dir).select("id", "target")
+    return holdout_split(m)
+
+
+def q_nb_fit(spark, sf_dir):
+    from histlens.plans.model import SEARCH_FEATURES, nb_fit
+    train, _ = _split(spark, sf_dir)
+    f = nb_fit(train, SEARCH_FEATURES)
+    return f.select("feature", "class", "value", "n", F.round("mean", ML_ROUND).alias("mean"),
+                    F.round("sd", ML_ROUND).alias("sd"), F.round("p", ML_ROUND).alias("p"))
+
+
+def q_nb_predict(spark, sf_dir):
+    from histlens.plans.model import FINAL_FEATURES, model_params, nb_fit, nb_predict
+    train, test = _split(spark, sf_dir)
+    params = model_params(nb_fit(train, FINAL_FEATURES))
+    return nb_predict(test, params, FINAL_FEATURES).select("id", "target", "pred")
+
+
+def q_nb_final_auc(spark, sf_dir):
+    from histlens.plans.model import final_auc
+    train, test = _split(spark, sf_dir)
+    return final_auc(train, test).select(F.round("auc", ML_ROUND).alias("auc"))
+
+
+def q_roc_curve(spark, sf_dir):
+    from histlens.plans.model import roc_curve
+    p = q_nb_predict(spark, sf_dir)
+    r = roc_curve(p, "pred", "target")
+    return r.select("threshold", F.round("fpr", ML_ROUND).alias("fpr"), F.round("tpr", ML_ROUND).alias("tpr"))
+
+
+def q_auc(spark, sf_dir):
+    from histlens.plans.model import auc
+    return auc(q_nb_predict(spark, sf_dir), "pred", "target").select(F.round("auc", ML_ROUND).alias("auc"))
+
+
+def q_nb_subset_search(spark, sf_dir):
+    from histlens.plans.model import nb_subset_search, random_subsets
+    train, test = _split(spark, sf_dir)
+    s = nb_subset_search(train, test, random_subsets())
+    return s.select("subset_id", "n_features", F.round("auc", ML_ROUND).alias("auc"))
+
+
+def q_top_models(spark, sf_dir):
+    from histlens.plans.model import top_models
+    return top_models(q_nb_subset_search(spark, sf_dir), 10)
+
+
+ML_QUERIES = {
+    "holdout_split": q_holdout_split, "nb_fit": q_nb_fit, "nb_predict": q_nb_predict,
+    "nb_final_auc": q_nb_final_auc, "roc_curve": q_roc_curve, "auc": q_auc,
+    "nb_subset_search": q_nb_subset_search, "top_models": q_top_models,
+}
