@@ -27,11 +27,24 @@ CHUNKS = 256           # chunks of a hot entity
 def prior_rate(df: DataFrame, entity: str, order_cols: Sequence[str], flag: str, name: str,
                hot_rows: int = HOT_ROWS, chunks: int = CHUNKS) -> DataFrame:
     """Add ``name`` = (sum of ``flag`` before the row) / (row number) within ``entity``
-    in ``order_cols`` order (first column numeric time, the rest break ties)."""
-    order_cols = list(order_cols)
-    ts = order_cols[0]
+    in ``order_cols`` order (first column numeric time, the rest break ties).
+
+    One partial aggregation (rows per entity) decides at run time: without a
+    hot entity the plan is a single window; otherwise hot entities are split
+    into time chunks (``prior_rate_chunked``)."""
     hot = (df.groupBy(entity).agg(F.count(F.lit(1)).alias("_n"))
            .filter(F.col("_n") > hot_rows).select(entity))
+    if hot.isEmpty():
+        return prior_rate_plain(df, entity, order_cols, flag, name)
+    return prior_rate_chunked(df, hot, entity, order_cols, flag, name, chunks)
+
+
+def prior_rate_chunked(df: DataFrame, hot: DataFrame, entity: str, order_cols: Sequence[str], flag: str,
+                       name: str, chunks: int = CHUNKS) -> DataFrame:
+    """Two-level running totals: hot entities (``hot``, at most N / hot_rows
+    keys) cut into ``chunks`` time chunks at approximate quantiles."""
+    order_cols = list(order_cols)
+    ts = order_cols[0]
     qs = [i / chunks for i in range(1, chunks)]
     bounds = (df.join(F.broadcast(hot), entity, "left_semi")
               .groupBy(entity).agg(F.percentile_approx(ts, qs, 10_000).alias("_b")))
@@ -58,7 +71,7 @@ def prior_rate(df: DataFrame, entity: str, order_cols: Sequence[str], flag: str,
 
 
 def prior_rate_plain(df: DataFrame, entity: str, order_cols: Sequence[str], flag: str, name: str) -> DataFrame:
-    """Reference form with one window per entity (tests compare against it)."""
+    """One window per entity (used when no entity is hot)."""
     w = Window.partitionBy(entity).orderBy(*order_cols)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     return df.withColumn(

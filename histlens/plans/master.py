@@ -15,15 +15,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from histlens.functions import epoch_month, epoch_year, minutes_since
-from histlens.operators import first_by, prior_rate, team_rate
+from histlens.operators import distinct_count, first_by, prior_rate, team_rate
 from histlens.plans import features as FT
 from histlens.plans.categories import (
     broad_os, component_category, compressed_priority, compressed_severity, detailed_os,
     version_category_from_pairs,
 )
 from histlens.schema import (
-    DEFAULT_FIRST_K, DEFAULT_HI_MINUTES, DEFAULT_WEEK_MINUTES, PEOPLE_ATTRS, TIME_ATTRS, UPDATE_ATTRS,
+    DEFAULT_FIRST_K, DEFAULT_HI_MINUTES, DEFAULT_WEEK_MINUTES, TIME_ATTRS, UPDATE_ATTRS,
 )
+from histlens.sources.store import materialise
 from histlens.sources.tables import Tables
 
 # --- fixed values: the column order of the wide table ------------------------
@@ -54,7 +55,7 @@ def bug_stats(t: Tables, base: DataFrame, hi_minutes: int = DEFAULT_HI_MINUTES,
     attr, what, ts, who = F.col("attr"), F.col("what"), F.col("ts"), F.col("who")
     at = attr == "assigned_to"
     mins = minutes_since(ts, "opening")
-    in_time, in_upd, in_people = attr.isin(list(TIME_ATTRS)), attr.isin(list(UPDATE_ATTRS)), attr.isin(list(PEOPLE_ATTRS))
+    in_time, in_upd = attr.isin(list(TIME_ATTRS)), attr.isin(list(UPDATE_ATTRS))
     aggs = [
         F.count(F.when(at, what)).alias("_n_at"),
         F.max(F.when(attr == "status", F.when(what == "REOPENED", 1).otherwise(0))).alias("isReopened"),
@@ -67,10 +68,6 @@ def bug_stats(t: Tables, base: DataFrame, hi_minutes: int = DEFAULT_HI_MINUTES,
         F.min(F.when(at, ts)).alias("_at_mn"),
         F.max(F.when(at, ts)).alias("_at_mx"),
         F.max(F.when(at & (what == "None"), 1)).alias("_at_none"),
-        F.count_distinct(F.when(at, ts)).alias("_at_nts"),
-        F.max(F.when(at & (ts == F.col("opening")), 1)).alias("_at_open"),
-        F.count_distinct(F.when(in_people, who)).alias("_n_who"),
-        F.max(F.when(in_people & (who == F.col("reporter")), 1)).alias("_rep_in"),
         F.min(F.when(at & (ts == F.col("opening")), F.struct(what.alias("what"), who.alias("who")))).alias("_at0"),
     ]
     aggs += [F.min(F.when(attr == a, _row(-ts))).alias(f"_last_{a}") for a in LATEST_ATTRS]
@@ -85,7 +82,8 @@ def _nn(col: str, e: Column) -> Column:
 def master_table(t: Tables, base: DataFrame, hi_minutes: int = DEFAULT_HI_MINUTES,
                  week_minutes: int = DEFAULT_WEEK_MINUTES, k: int = DEFAULT_FIRST_K,
                  segment_mode: str = "rank") -> DataFrame:
-    st = bug_stats(t, base, hi_minutes, week_minutes)
+    # per-bug statistics are read by three branches below: store them once
+    st = materialise(bug_stats(t, base, hi_minutes, week_minutes), "bug_stats")
     fixed = FT.is_fixed()
     # all base bugs with history; the target set (>= 1 product row) is cut
     # after the success rates, which run over every base bug
@@ -111,8 +109,6 @@ def master_table(t: Tables, base: DataFrame, hi_minutes: int = DEFAULT_HI_MINUTE
         "length", "isReopened",
         F.when(F.col("_n_cc") > 0, F.col("_n_cc")).alias("numCC"),
         F.when(F.col("_at_mn") <= op, F.when(zero_assigned, 0).otherwise(1)).alias("isAssigned"),
-        (F.col("_at_nts") - F.coalesce("_at_open", F.lit(0))).alias("numReassignments"),
-        (F.col("_n_who") + 1 - F.coalesce("_rep_in", F.lit(0))).alias("numPeopleInvolved"),
         F.coalesce("_first_day", F.lit(0)).alias("isModWithinFirstDay"),
         F.coalesce("_upd", F.lit(0)).alias("hasUpdateToAttributes"),
         F.when(F.col("_n_status") > 0, F.col("_n_status") - 1).alias("numStatusUpdates"),
@@ -150,9 +146,15 @@ def master_table(t: Tables, base: DataFrame, hi_minutes: int = DEFAULT_HI_MINUTE
     age = vp.join(bd, ["Product", "Version"]).select(
         "id", F.greatest(days, F.lit(0.0)).alias("ageSoftwareVersionInDays"))
 
+    # distinct counts as distinct-then-count (the distinct shuffles on (id, value),
+    # so a bug with a huge history is spread); actors over all bugs serve both
+    # the people count and the reporters' team rate
+    inv = FT.involvement(t, base, all_ids=True)
+    people = distinct_count(inv.join(base.select("id"), "id", "left_semi"), "id", "numPeopleInvolved")
     team = (base.select("id", "reporter")
-            .join(team_rate(FT.involvement(t, base, all_ids=True)), F.col("reporter") == F.col("who"), "left")
+            .join(team_rate(inv), F.col("reporter") == F.col("who"), "left")
             .select("id", "teamWorkRate"))
+    reassign = FT.num_reassignments(t, base)
 
     at_open = FT.assignments_at_opening(t, base)
     r_first_assigner = prior_rate(at_open, "who", ["ts", "id", "what"], "fixed", "rateFirstAssigner")
@@ -171,6 +173,7 @@ def master_table(t: Tables, base: DataFrame, hi_minutes: int = DEFAULT_HI_MINUTE
 
     out = (m.filter("_is_target").join(comp_cat, "component", "left")
            .join(version, "id", "left").join(age, "id", "left").join(team, "id", "left")
+           .join(people, "id", "left").join(reassign, "id", "left")
            .join(r_first_assigner, "id", "left").join(r_first_assignee, "id", "left")
            .join(r_last_assigner, "id", "left").join(r_last_assignee, "id", "left")
            .join(r_reporter, "id", "left"))

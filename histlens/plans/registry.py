@@ -16,17 +16,34 @@ from histlens.plans.master import master_table
 from histlens.plans.population import base_sample, latest_status_cutoff
 from histlens.schema import TESTDATA_HI_MINUTES, TESTDATA_MAX_DAYS
 from histlens.session import configure
+from histlens.sources.store import ingest, materialise
 from histlens.sources.testdata import testdata_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def setup(spark: SparkSession, sf_dir: str):
+_STAGES: dict = {}
+
+
+def raw_tables(spark: SparkSession, sf_dir: str):
     configure(spark)
-    t = testdata_tables(spark, sf_dir)
-    b = base_sample(t.reports, t.h("status"), t.h("severity"),
-                    cutoff=latest_status_cutoff(t.h("status")), max_days=TESTDATA_MAX_DAYS)
-    return t, b
+    return testdata_tables(spark, sf_dir)
+
+
+def compute_base(t):
+    return base_sample(t.reports, t.h("status"), t.h("severity"),
+                       cutoff=latest_status_cutoff(t.h("status")), max_days=TESTDATA_MAX_DAYS)
+
+
+def setup(spark: SparkSession, sf_dir: str):
+    """Ingested tables + stored base sample, once per session and data folder
+    (the pipeline's first two stages; later stages read the written files)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STAGES:
+        t = ingest(raw_tables(spark, sf_dir))
+        b = materialise(compute_base(t), "base_sample")
+        _STAGES[key] = (t, b)
+    return _STAGES[key]
 
 
 def _feature(name: str) -> Query:
@@ -41,7 +58,8 @@ def _feature(name: str) -> Query:
 
 
 def q_base_sample(spark, sf_dir):
-    return setup(spark, sf_dir)[1]
+    """D3 from the raw logs (not the stored copy)."""
+    return compute_base(raw_tables(spark, sf_dir))
 
 
 def q_latest_by(spark, sf_dir):

@@ -52,6 +52,7 @@ def get_spark(master: str | None = None, partitions: int | None = None) -> Spark
         SparkSession.builder.master(master)
         .appName("histlens")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("HISTLENS_DRIVER_MEM", "16g"))
         .config("spark.sql.shuffle.partitions", str(partitions or 8))
     )
