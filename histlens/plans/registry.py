@@ -118,8 +118,8 @@ def q_distinct_pairs(spark, sf_dir):
 
 
 def q_master_table(spark, sf_dir):
-    t, b = setup(spark, sf_dir)
-    return master_table(t, b, hi_minutes=TESTDATA_HI_MINUTES)
+    """F31, stored like every other stage (the model stage reads the file)."""
+    return master_materialised(spark, sf_dir)
 
 
 def queries() -> dict[str, Query]:
@@ -149,9 +149,13 @@ ML_ROUND = 6  # doubles of the model queries are compared at 6 decimals
 
 
 def master_materialised(spark, sf_dir) -> DataFrame:
-    """The wide table cut from its lineage (reliable checkpoint in the
-    session's checkpoint folder): the model stage reads it several times."""
-    return q_master_table(spark, sf_dir).checkpoint(eager=True)
+    """The wide table written once per session and data folder (the model
+    stage reads it several times; the file cuts the lineage)."""
+    key = ("master", spark.sparkContext.applicationId, sf_dir)
+    if key not in _STAGES:
+        t, b = setup(spark, sf_dir)
+        _STAGES[key] = materialise(master_table(t, b, hi_minutes=TESTDATA_HI_MINUTES), "master_table")
+    return _STAGES[key]
 
 
 def _split(spark, sf_dir):
@@ -162,7 +166,7 @@ def _split(spark, sf_dir):
 
 def q_holdout_split(spark, sf_dir):
     from histlens.plans.model import holdout_split
-    m = q_master_table(spark, sf_dir).select("id", "target")
+    m = master_materialised(spark, sf_dir).select("id", "target")
     return holdout_split(m)
 
 
