@@ -141,6 +141,7 @@ def queries() -> dict[str, Query]:
         q[f"feat_{name}"] = _feature(name)
     q["master_table"] = q_master_table
     q.update(ML_QUERIES)
+    q["repair_records"] = q_repair_records
     return q
 
 
@@ -215,6 +216,13 @@ def q_top_models(spark, sf_dir):
     return top_models(q_nb_subset_search(spark, sf_dir), 10)
 
 
+def q_repair_records(spark, sf_dir):
+    """D1 over whole documents turned into one broken CSV stream."""
+    from histlens.sources.repair import repair_documents
+    configure(spark)
+    return repair_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 ML_QUERIES = {
     "holdout_split": q_holdout_split, "nb_fit": q_nb_fit, "nb_predict": q_nb_predict,
     "nb_final_auc": q_nb_final_auc, "roc_curve": q_roc_curve, "auc": q_auc,
