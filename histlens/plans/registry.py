@@ -117,6 +117,24 @@ def q_distinct_pairs(spark, sf_dir):
     return distinct_pairs(C.latest_version_product(t.h("version"), t.h("product")), "Version", "Product")
 
 
+def q_scan_status(spark, sf_dir):
+    """IO3: whole log scan (``SELECT * FROM Status``)."""
+    t, _ = setup(spark, sf_dir)
+    return t.h("status")
+
+
+def q_count_assigned_to(spark, sf_dir):
+    """AG2: ``COUNT(*)`` without grouping."""
+    t, _ = setup(spark, sf_dir)
+    return t.h("assigned_to").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_reports_os(spark, sf_dir):
+    """JN11: reports joined to their OS changes."""
+    t, _ = setup(spark, sf_dir)
+    return t.reports.join(t.h("op_sys"), "id").select("id", "current_resolution", "what")
+
+
 def q_master_table(spark, sf_dir):
     """F31, stored like every other stage (the model stage reads the file)."""
     return master_materialised(spark, sf_dir)
@@ -136,6 +154,9 @@ def queries() -> dict[str, Query]:
         "version_category_rule": q_version_category_rule,
         "value_frequency": q_value_frequency,
         "distinct_pairs": q_distinct_pairs,
+        "scan_status": q_scan_status,
+        "count_assigned_to": q_count_assigned_to,
+        "reports_os": q_reports_os,
     }
     for name in FT.FEATURES:
         q[f"feat_{name}"] = _feature(name)
