@@ -1,0 +1,2 @@
+"""Streaming: the workload has no streams (no watermark, window state or late data);
+nothing is built here."""
