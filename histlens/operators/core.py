@@ -145,10 +145,11 @@ def team_rate(involvement: DataFrame, key: str = "id", actor: str = "who",
               name: str = "teamWorkRate") -> DataFrame:
     """AG6/F10: per actor, share of its entities that have more than one actor.
 
-    ``involvement`` must be distinct ``(key, actor)``.  Two aggregations and
-    one key join; no per-key collection.
+    ``involvement`` must be distinct ``(key, actor)``.  The actor count per
+    entity is a window over the distinct pairs (an entity's group is its
+    distinct actors, not its raw rows), then one aggregation by actor.
     """
-    per_key = involvement.groupBy(key).agg((F.count(F.lit(1)) > 1).cast("int").alias("_team"))
-    j = involvement.join(per_key, key)
-    return j.groupBy(actor).agg(
+    n = F.count(F.lit(1)).over(Window.partitionBy(key))
+    team = involvement.select(actor, (n > 1).cast("int").alias("_team"))
+    return team.groupBy(actor).agg(
         (F.sum("_team").cast("double") / F.count(F.lit(1)).cast("double")).alias(name))

@@ -24,16 +24,33 @@ HOT_ROWS = 2_000_000   # rows one window task may sort comfortably
 CHUNKS = 256           # chunks of a hot entity
 
 
+def hot_entities(df: DataFrame, entity: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Entities with more than ``hot_rows`` rows (at most N / hot_rows of them)."""
+    return (df.groupBy(entity).agg(F.count(F.lit(1)).alias("_n"))
+            .filter(F.col("_n") > hot_rows).select(entity))
+
+
+def any_hot(inputs: Sequence[tuple[DataFrame, str]], hot_rows: int = HOT_ROWS) -> bool:
+    """One job answering "is any entity hot?" for several (frame, entity) inputs."""
+    parts = [hot_entities(df, e, hot_rows).select(F.lit(i).alias("_i")) for i, (df, e) in enumerate(inputs)]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return not u.isEmpty()
+
+
 def prior_rate(df: DataFrame, entity: str, order_cols: Sequence[str], flag: str, name: str,
-               hot_rows: int = HOT_ROWS, chunks: int = CHUNKS) -> DataFrame:
+               hot_rows: int = HOT_ROWS, chunks: int = CHUNKS, check: bool = True) -> DataFrame:
     """Add ``name`` = (sum of ``flag`` before the row) / (row number) within ``entity``
     in ``order_cols`` order (first column numeric time, the rest break ties).
 
     One partial aggregation (rows per entity) decides at run time: without a
     hot entity the plan is a single window; otherwise hot entities are split
-    into time chunks (``prior_rate_chunked``)."""
-    hot = (df.groupBy(entity).agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > hot_rows).select(entity))
+    into time chunks (``prior_rate_chunked``).  ``check=False`` skips the
+    test when the caller has already found that no entity is hot."""
+    if not check:
+        return prior_rate_plain(df, entity, order_cols, flag, name)
+    hot = hot_entities(df, entity, hot_rows)
     if hot.isEmpty():
         return prior_rate_plain(df, entity, order_cols, flag, name)
     return prior_rate_chunked(df, hot, entity, order_cols, flag, name, chunks)

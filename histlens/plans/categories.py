@@ -7,11 +7,11 @@ over distinct (product, version) pairs; both are dimension-sized tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from histlens.functions import ordered_buckets
-from histlens.operators import dense_group_id, latest_by, value_frequency
+from histlens.operators import latest_by, value_frequency
 from histlens.schema import DEFAULT_COMPONENT_MIN_CASES
 
 # --- fixed values: category rules (first match wins) -------------------------
@@ -134,13 +134,14 @@ def version_category_from_pairs(pairs: DataFrame, segment_mode: str = "rank") ->
          .withColumn("_minor", F.substring("_temp", 1, 2))
          .withColumn("_len", F.length("_temp"))
          .withColumn("_tt", (F.substring("_temp", 2, 1) == "0") & (F.col("_len") == 2)))
-    maj = dense_group_id(p, ["Product", "_major"], "MajorVersionProduct")
-    mnr = dense_group_id(p, ["Product", "_minor"], "MinorVersionProduct")
-    svc = dense_group_id(p, ["Product", "_temp"], "ServiceVersionProduct")
-    out = p.join(maj, ["Product", "_major"]).join(mnr, ["Product", "_minor"]).join(svc, ["Product", "_temp"])
+    # dense ids as window columns over the distinct pairs (dimension-sized, one
+    # pass, no self-joins); a window without partition key runs in one task
+    dr = lambda *k: F.dense_rank().over(Window.orderBy(*k))
+    out = p.select("*", dr("Product", "_major").alias("MajorVersionProduct"),
+                   dr("Product", "_minor").alias("MinorVersionProduct"),
+                   dr("Product", "_temp").alias("ServiceVersionProduct"),
+                   dr("_tt", "_len").alias("_seg"))
     if segment_mode == "rank":
-        seg = dense_group_id(p, ["_tt", "_len"], "_seg")
-        out = out.join(seg, ["_tt", "_len"])
         label = F.lit(None).cast("string")
         for k, v in SEGMENT_LABELS.items():
             label = F.when(F.col("_seg") == k, F.lit(v)).otherwise(label)

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from histlens.functions import epoch_month, epoch_year, minutes_since
-from histlens.operators import distinct_count, first_by, prior_rate, team_rate
+from histlens.operators import distinct_count, first_by, latest_by, prior_rate, team_rate
+from histlens.operators.prefix import any_hot
 from histlens.plans import features as FT
 from histlens.plans.categories import (
     broad_os, component_category, compressed_priority, compressed_severity, detailed_os,
@@ -39,7 +40,7 @@ MASTER_COLUMNS = [
     "lastAssignee", "rateLastAssignee", "lastAssigner", "rateLastAssigner", "rateReporter",
 ]
 
-LATEST_ATTRS = ("component", "op_sys", "priority", "product", "severity", "assigned_to")
+LATEST_ATTRS = ("version", "component", "op_sys", "priority", "product", "severity", "assigned_to")
 FIRST_ATTRS = ("priority", "severity")
 
 
@@ -101,6 +102,7 @@ def master_table(t: Tables, base: DataFrame, hi_minutes: int = DEFAULT_HI_MINUTE
         lw("op_sys", "what").alias("_os"),
         lw("priority", "what").alias("priority"),
         lw("product", "what").alias("product"),
+        lw("version", "what").alias("_version"),
         lw("severity", "what").alias("severity"),
         _nn("_first_priority", F.when(pi - pl > 0, 1).otherwise(0)).alias("prioUPGrade"),
         _nn("_first_priority", F.when(pl - pi > 0, 1).otherwise(0)).alias("prioDownGrade"),
@@ -133,18 +135,21 @@ def master_table(t: Tables, base: DataFrame, hi_minutes: int = DEFAULT_HI_MINUTE
     # --- features keyed by something other than the bug --------------------
     comp_cat = component_category(t.h("component")).select(
         F.col("what").alias("component"), F.col("BigComponent").alias("bigComponent"))
-    lv = FT.latest_by(t.h("version"), cols=["what", "ts"]).withColumnRenamed("what", "Version")
-    lp = FT.latest_by(t.h("product"), cols=["what"]).withColumnRenamed("what", "Product")
+    # version dimension and software birthdays need every bug's latest
+    # version and product; the base bugs' own values come from the stats
+    lv = latest_by(t.h("version"), cols=["what", "ts"]).withColumnRenamed("what", "Version")
+    lp = latest_by(t.h("product"), cols=["what"]).withColumnRenamed("what", "Product")
     lvp_all = lv.join(lp, "id")
     vcat = version_category_from_pairs(lvp_all.select("Version", "Product").distinct(), segment_mode)
-    version = (lvp_all.join(base.select("id"), "id", "left_semi").join(vcat, ["Version", "Product"], "left")
-               .select("id", "MajorVersionProduct", "MinorVersionProduct", "Segment"))
     bd = FT.software_birthdays(lvp_all, k)
-    vp = lvp_all.join(base.select("id", "opening"), "id").select(
-        "id", "opening", "Product", FT.clean_age_version("Version").alias("Version"))
+    vp = m.filter(F.col("_version").isNotNull()).select(
+        "id", F.col("_version").alias("Version"), F.col("product").alias("Product"), "opening")
+    version = vp.join(vcat, ["Version", "Product"]).select(
+        "id", "MajorVersionProduct", "MinorVersionProduct", "Segment")
     days = F.bround((F.col("opening") - F.col("birthday")).cast("double") / 86400.0, 0)
-    age = vp.join(bd, ["Product", "Version"]).select(
-        "id", F.greatest(days, F.lit(0.0)).alias("ageSoftwareVersionInDays"))
+    age = (vp.select("id", "opening", "Product", FT.clean_age_version("Version").alias("Version"))
+           .join(bd, ["Product", "Version"])
+           .select("id", F.greatest(days, F.lit(0.0)).alias("ageSoftwareVersionInDays")))
 
     # distinct counts as distinct-then-count (the distinct shuffles on (id, value),
     # so a bug with a huge history is spread); actors over all bugs serve both
@@ -157,19 +162,24 @@ def master_table(t: Tables, base: DataFrame, hi_minutes: int = DEFAULT_HI_MINUTE
     reassign = FT.num_reassignments(t, base)
 
     at_open = FT.assignments_at_opening(t, base)
-    r_first_assigner = prior_rate(at_open, "who", ["ts", "id", "what"], "fixed", "rateFirstAssigner")
+    last_at = m.filter(F.col("lastAssigner").isNotNull()).select(
+        "id", F.col("lastAssignee").alias("what"), F.col("lastAssigner").alias("who"),
+        F.col("_last_at_ts").alias("ts"), "fixed")
+    rep = base.select("id", "reporter", "opening", fixed.alias("fixed"))
+    # one job decides for all five running rates whether any entity is hot
+    chk = any_hot([(at_open, "who"), (at_open, "what"), (last_at, "who"), (last_at, "what"), (rep, "reporter")])
+    r_first_assigner = prior_rate(at_open, "who", ["ts", "id", "what"], "fixed", "rateFirstAssigner", check=chk)
     r_first_assigner = first_by(r_first_assigner.withColumn("_z", F.lit(0)), order_col="_z",
                                 cols=["who", "rateFirstAssigner"]).withColumnRenamed("who", "firstAssigner")
-    r_first_assignee = prior_rate(at_open, "what", ["ts", "id", "who"], "fixed", "rateFirstAssignee")
+    r_first_assignee = prior_rate(at_open, "what", ["ts", "id", "who"], "fixed", "rateFirstAssignee", check=chk)
     r_first_assignee = first_by(r_first_assignee.withColumn("_z", F.lit(0)), order_col="_z",
                                 cols=["what", "rateFirstAssignee"]).withColumnRenamed("what", "firstAssignee")
-    last_at = m.filter(F.col("lastAssigner").isNotNull()).select(
-        "id", F.col("lastAssignee").alias("what"), F.col("lastAssigner").alias("who"),
-        F.col("_last_at_ts").alias("ts"), "fixed")
-    r_last_assigner = prior_rate(last_at, "who", ["ts", "id"], "fixed", "rateLastAssigner").select("id", "rateLastAssigner")
-    r_last_assignee = prior_rate(last_at, "what", ["ts", "id"], "fixed", "rateLastAssignee").select("id", "rateLastAssignee")
-    r_reporter = prior_rate(base.select("id", "reporter", "opening", fixed.alias("fixed")),
-                            "reporter", ["opening", "id"], "fixed", "rateReporter").select("id", "rateReporter")
+    r_last_assigner = prior_rate(last_at, "who", ["ts", "id"], "fixed", "rateLastAssigner",
+                                 check=chk).select("id", "rateLastAssigner")
+    r_last_assignee = prior_rate(last_at, "what", ["ts", "id"], "fixed", "rateLastAssignee",
+                                 check=chk).select("id", "rateLastAssignee")
+    r_reporter = prior_rate(rep, "reporter", ["opening", "id"], "fixed", "rateReporter",
+                            check=chk).select("id", "rateReporter")
 
     out = (m.filter("_is_target").join(comp_cat, "component", "left")
            .join(version, "id", "left").join(age, "id", "left").join(team, "id", "left")
