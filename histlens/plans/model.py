@@ -217,9 +217,13 @@ def nb_subset_search(train: DataFrame, test: DataFrame, subsets: list[list[str]]
                         *[(ll[f][c1] - ll[f][c0]).alias(f"_d{i}") for i, f in enumerate(feats)])
     base = math.log(params["prior"][c1]) - math.log(params["prior"][c0])
     idx = {f: i for i, f in enumerate(feats)}
-    # one SQL expression for all subsets (one parse instead of thousands of Column calls)
-    terms = [" + ".join([repr(base)] + [f"_d{idx[f]}" for f in s]) for s in subsets]
-    preds = F.expr("array(" + ", ".join(f"IF({t} > 0, {c1}, {c0})" for t in terms) + ")")
+    # subsets as a literal array of feature positions; each row sums its
+    # per-feature differences per subset (higher-order functions: a small
+    # plan whatever the number of subsets)
+    lit_subsets = "array(" + ", ".join("array(" + ", ".join(str(idx[f]) for f in s) + ")" for s in subsets) + ")"
+    diffs = diffs.select("_y", F.array(*[F.col(f"_d{i}") for i in range(len(feats))]).alias("_d"))
+    preds = F.expr(f"transform({lit_subsets}, s -> IF(aggregate(s, CAST({base!r} AS DOUBLE), "
+                   f"(acc, i) -> acc + _d[i]) > 0, {c1}, {c0}))")
     ex = diffs.select("_y", F.posexplode(preds).alias("_pos", "_p"))
     y = F.col("_y")
     pred = (F.col("_p") == c1).cast("int")
