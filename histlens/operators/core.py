@@ -26,7 +26,9 @@ def _extreme_by(df: DataFrame, key, order_col: str, ties: Sequence[str], latest:
     # Ascending struct order; the newest row first by negating the time.
     sort_key = [(-o if latest else o).alias("_o")] + [F.col(t).alias(f"_t{i}") for i, t in enumerate(ties)]
     packed = F.struct(*sort_key, *[F.col(c).alias(c) for c in cols])
-    return (df.groupBy(*keys).agg(F.min(packed).alias("_m"))
+    # a row without a valid time never wins (the original drops non-integer times)
+    packed = F.when(o.isNotNull(), packed)
+    return (df.groupBy(*keys).agg(F.min(packed).alias("_m")).filter(F.col("_m").isNotNull())
             .select(*keys, *[F.col(f"_m.{c}").alias(c) for c in cols]))
 
 
@@ -141,6 +143,14 @@ def first_k_max(df: DataFrame, group_cols: Sequence[str], ts_col: str, k: int, n
             .groupBy(*group_cols).agg(F.max(ts_col).alias(name)))
 
 
+def top_n_by(df: DataFrame, group_cols: Sequence[str], order_col: str, n: int = 1) -> DataFrame:
+    """WN6: rows whose ``order_col`` is among the top ``n`` of their group,
+    ties included (``rank() <= n``; Catalyst pushes a partial group limit
+    below the shuffle)."""
+    w = Window.partitionBy(*group_cols).orderBy(F.desc(order_col))
+    return df.withColumn("_rk", F.rank().over(w)).filter(F.col("_rk") <= n).drop("_rk")
+
+
 def team_rate(involvement: DataFrame, key: str = "id", actor: str = "who",
               name: str = "teamWorkRate") -> DataFrame:
     """AG6/F10: per actor, share of its entities that have more than one actor.

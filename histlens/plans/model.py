@@ -39,6 +39,11 @@ MAX_MODEL_ROWS = 100_000   # size guard: the fitted statistics are brought to th
 LOG_SQRT_2PI = 0.5 * math.log(2 * math.pi)
 
 
+def all_features(df: DataFrame, exclude: Sequence[str] = ("id", "target")) -> list[str]:
+    """PF13: every column but the key and the label."""
+    return [c for c in df.columns if c not in exclude]
+
+
 def hash_unit(key: Column, seed: int) -> Column:
     """Deterministic uniform [0, 1) from md5(seed ':' key) — stable under any
     partitioning and reproducible in plain SQL."""

@@ -22,6 +22,21 @@ JOB_CONF = {
 }
 
 
+def recommended_conf(input_bytes: int, executor_cores: int = 4, executors: int = 1000) -> dict[str, str]:
+    """Shuffle sizing for a cluster run: about 256 MB per shuffle partition of
+    the largest shuffle (the history, close to the input size), never fewer
+    partitions than cores; AQE coalesces small ones and splits skewed ones."""
+    cores = executor_cores * executors
+    parts = max(cores * 2, int(input_bytes // (256 * 1024 * 1024)) + 1)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    }
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply JOB_CONF to an existing session (runtime SQL confs only)."""
     for k, v in JOB_CONF.items():

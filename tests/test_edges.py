@@ -126,3 +126,14 @@ def test_ml7_auc(spark):
                               F.sum((1 - F.col("pred")) * (1 - F.col("label"))),
                               F.sum(F.col("pred") * (1 - F.col("label")))).alias("a")).first()["a"]
     assert c == pytest.approx(0.75)
+
+
+def test_null_time_never_latest(spark):
+    t = make_tables(spark, [], {"status": [(1, "A", 5, 1), (1, "Z", None, 1), (2, "Q", None, 1)]})
+    assert rows(latest_by(t.h("status")), "id", "what") == [(1, "A")]
+
+
+def test_top_n_by_keeps_ties(spark):
+    from histlens.operators import top_n_by
+    df = spark.createDataFrame([(1, 5), (1, 5), (1, 3), (2, 1)], "g INT, t INT")
+    assert rows(top_n_by(df, ["g"], "t", 1), "g", "t") == [(1, 5), (1, 5), (2, 1)]

@@ -73,3 +73,31 @@ def test_documents_match_brute_force(spark):
     assert len(got) == len(want)
     assert sorted((r["text"], r["status"], r["id"], r["what"], r["when"], r["who"]) for r in got) == \
         sorted((w[1], w[2], w[4], w[5], w[6], w[7]) for w in want)
+
+
+def test_files_split_into_many_blocks(spark, tmp_path):
+    """Line order across file splits: _metadata.file_block_start + read order."""
+    import random
+
+    from histlens.sources.repair import repair_files
+    rnd = random.Random(3)
+    pieces = ["a", "b,c", ",", "x;", "y,z;", "1,2,3,4", "q,", "word " * 5]
+    files = {}
+    for k in range(2):
+        lines = [rnd.choice(pieces) + rnd.choice(pieces) for _ in range(4000)]
+        p = tmp_path / f"log{k}.csv"
+        p.write_text("id,what,when,who\n" + "\n".join(lines) + "\n")
+        files[str(p)] = ["id,what,when,who"] + lines
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        out = repair_files(spark, str(tmp_path))
+        got = out.collect()
+        n_blocks = out.select("start.b").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert n_blocks > 10
+    want = []
+    for path, lines in files.items():
+        want += [(w[1], w[2], w[4], w[5], w[6], w[7]) for w in brute(lines)]
+    assert sorted((r["text"], r["status"], r["id"], r["what"], r["when"], r["who"]) for r in got) == sorted(want)
