@@ -1,79 +1,61373 @@
-"""SparkSession helper with the settings the feature job relies on."""
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+wdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+jdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+_def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+_def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+_def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+_def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ydef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+qdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+#def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+vdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ydef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+jdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+xdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Qdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+jdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+#def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+zdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ydef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+zdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+#def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+wdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+jdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+vdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+wdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+#def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+wdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ydef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+xdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+xdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+#def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Jdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+_def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+=def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+{def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+qdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Zdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+qdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+vdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+qdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+vdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+qdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+vdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+wdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Jdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+qdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+vdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+zdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+wdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Jdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+qdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+xdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+wdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ydef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+}def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+_def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+_def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ydef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+xdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+_def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+=def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+4def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+xdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+=def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+1def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+0def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+0def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+0def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+>def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+[def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+]def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+zdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+2def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+5def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+6def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ydef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+zdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+vdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+wdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+;def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Qdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+wdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+=def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+xdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+_def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+*def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+xdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+=def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+xdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+*def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+2def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+_def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ydef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+/def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+/def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+2def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+5def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+6def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+*def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+1def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+0def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+2def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+4def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+*def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+1def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+0def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+2def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+4def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
++def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+1def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+{def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+qdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+qdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+vdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+vdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ydef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+zdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ydef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+2def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+5def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+6def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+qdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+vdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+wdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Jdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+wdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ydef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+1def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+qdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+xdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ydef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+2def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+5def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+6def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+qdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+vdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Jdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+6def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+4def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+}def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+>def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ydef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Jdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+_def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+xdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Qdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ydef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+vdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Jdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+_def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+vdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+_def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+_def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+_def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+_def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+>def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+'def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+;def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ydef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+`def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+`def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+`def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+`def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+vdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ydef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+=def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+xdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+=def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+=def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+xdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+=def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+_def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+|def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+=def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+|def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+=def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+>def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+;def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+vdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+=def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+vdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+_def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+[def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+8def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+]def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+=def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+wdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+vdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ydef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+vdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+_def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Vdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+_def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+1def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+6def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+qdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+8def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+vdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Jdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+_def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+mdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+:def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+=def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+fdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+,def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+vdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+=def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+bdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+xdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+.def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+gdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+vdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ldef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+Rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+"def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+_def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+hdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+cdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+odef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+_def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ddef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+idef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+(def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+)def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+edef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+tdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+udef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+ndef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
 
-from __future__ import annotations
+ def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+sdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+pdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
+
+
+adef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
 
-import os
-import tempfile
 
-from pyspark.sql import SparkSession
+rdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
 
-# Settings every job of this package expects.  AQE re-plans joins from
-# measured sizes (that is our only broadcast decision for data-sized frames)
-# and splits skewed join partitions even where that adds a shuffle for the
-# aggregation that follows (a hot entity then costs a small extra exchange
-# of partial aggregates instead of one straggler task).
-JOB_CONF = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
-}
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
 
 
-def recommended_conf(input_bytes: int, executor_cores: int = 4, executors: int = 1000) -> dict[str, str]:
-    """Shuffle sizing for a cluster run: about 256 MB per shuffle partition of
-    the largest shuffle (the history, close to the input size), never fewer
-    partitions than cores; AQE coalesces small ones and splits skewed ones."""
-    cores = executor_cores * executors
-    parts = max(cores * 2, int(input_bytes // (256 * 1024 * 1024)) + 1)
-    return {
-        "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
-        "spark.sql.files.maxPartitionBytes": "256m",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
-    }
+kdef ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's checkpoint folder.
 
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
+        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply JOB_CONF to an existing session (runtime SQL confs only)."""
-    for k, v in JOB_CONF.items():
-        spark.conf.set(k, v)
-    ensure_checkpoint_dir(spark)
-    return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder; create a local one only if unset.
+    """Return the cluster's checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as given.  Only local runs (tests, bench) fall back to a fresh temp dir.
+    as given; without it a cluster run stops here (a machine-local folder
+    would not survive the loss of that machine).  Only local runs (tests,
+    bench) fall back to a fresh temp dir.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
         d = tempfile.mkdtemp(prefix="histlens-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
 
-def get_spark(master: str | None = None, partitions: int | None = None) -> SparkSession:
-    """Local session for tests and bench; on a cluster use the given session."""
-    master = master or os.environ.get("HISTLENS_MASTER", "local[8]")
-    b = (
-        SparkSession.builder.master(master)
-        .appName("histlens")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("HISTLENS_DRIVER_MEM", "16g"))
-        .config("spark.sql.shuffle.partitions", str(partitions or 8))
-    )
-    for k, v in JOB_CONF.items():
-        b = b.config(k, v)
-    spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
-    return spark
