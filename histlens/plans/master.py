@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from histlens.functions import epoch_month, epoch_year, minutes_since
 from histlens.operators import distinct_count, first_by, latest_by, prior_rate, team_rate
-from histlens.operators.prefix import any_hot
+from histlens.operators.prefix import HOT_ROWS, any_hot
 from histlens.plans import features as FT
 from histlens.plans.categories import (
     broad_os, component_category, compressed_priority, compressed_severity, detailed_os,
@@ -82,7 +82,7 @@ def _nn(col: str, e: Column) -> Column:
 
 def master_table(t: Tables, base: DataFrame, hi_minutes: int = DEFAULT_HI_MINUTES,
                  week_minutes: int = DEFAULT_WEEK_MINUTES, k: int = DEFAULT_FIRST_K,
-                 segment_mode: str = "rank") -> DataFrame:
+                 segment_mode: str = "rank", hot_rows: int = HOT_ROWS) -> DataFrame:
     # per-bug statistics are read by three branches below: store them once
     st = materialise(bug_stats(t, base, hi_minutes, week_minutes), "bug_stats")
     fixed = FT.is_fixed()
@@ -167,19 +167,22 @@ def master_table(t: Tables, base: DataFrame, hi_minutes: int = DEFAULT_HI_MINUTE
         F.col("_last_at_ts").alias("ts"), "fixed")
     rep = base.select("id", "reporter", "opening", fixed.alias("fixed"))
     # one job decides for all five running rates whether any entity is hot
-    chk = any_hot([(at_open, "who"), (at_open, "what"), (last_at, "who"), (last_at, "what"), (rep, "reporter")])
-    r_first_assigner = prior_rate(at_open, "who", ["ts", "id", "what"], "fixed", "rateFirstAssigner", check=chk)
+    chk = any_hot([(at_open, "who"), (at_open, "what"), (last_at, "who"), (last_at, "what"), (rep, "reporter")],
+                  hot_rows)
+    r_first_assigner = prior_rate(at_open, "who", ["ts", "id", "what"], "fixed", "rateFirstAssigner",
+                                  check=chk, hot_rows=hot_rows)
     r_first_assigner = first_by(r_first_assigner.withColumn("_z", F.lit(0)), order_col="_z",
                                 cols=["who", "rateFirstAssigner"]).withColumnRenamed("who", "firstAssigner")
-    r_first_assignee = prior_rate(at_open, "what", ["ts", "id", "who"], "fixed", "rateFirstAssignee", check=chk)
+    r_first_assignee = prior_rate(at_open, "what", ["ts", "id", "who"], "fixed", "rateFirstAssignee",
+                                  check=chk, hot_rows=hot_rows)
     r_first_assignee = first_by(r_first_assignee.withColumn("_z", F.lit(0)), order_col="_z",
                                 cols=["what", "rateFirstAssignee"]).withColumnRenamed("what", "firstAssignee")
     r_last_assigner = prior_rate(last_at, "who", ["ts", "id"], "fixed", "rateLastAssigner",
-                                 check=chk).select("id", "rateLastAssigner")
+                                 check=chk, hot_rows=hot_rows).select("id", "rateLastAssigner")
     r_last_assignee = prior_rate(last_at, "what", ["ts", "id"], "fixed", "rateLastAssignee",
-                                 check=chk).select("id", "rateLastAssignee")
+                                 check=chk, hot_rows=hot_rows).select("id", "rateLastAssignee")
     r_reporter = prior_rate(rep, "reporter", ["opening", "id"], "fixed", "rateReporter",
-                            check=chk).select("id", "rateReporter")
+                            check=chk, hot_rows=hot_rows).select("id", "rateReporter")
 
     out = (m.filter("_is_target").join(comp_cat, "component", "left")
            .join(version, "id", "left").join(age, "id", "left").join(team, "id", "left")

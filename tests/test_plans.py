@@ -33,3 +33,13 @@ def test_partition_pruning_on_ingested_history(spark):
 def test_subset_search_has_no_join(spark):
     p = _plan(queries()["nb_subset_search"](spark, SF))
     assert "Join" not in p and "CartesianProduct" not in p
+
+
+def test_master_with_every_entity_hot_equals_default(spark):
+    from helpers import rows
+
+    from histlens.plans.master import master_table
+    t, b = setup(spark, SF)
+    a = master_table(t, b, hi_minutes=4321)
+    h = master_table(t, b, hi_minutes=4321, hot_rows=2)   # chunked running rates everywhere
+    assert rows(a) == rows(h)
