@@ -43,3 +43,16 @@ def test_master_with_every_entity_hot_equals_default(spark):
     a = master_table(t, b, hi_minutes=4321)
     h = master_table(t, b, hi_minutes=4321, hot_rows=2)   # chunked running rates everywhere
     assert rows(a) == rows(h)
+
+
+def test_master_invariant_under_repartitioned_inputs(spark):
+    """Metamorphic: shuffled input partitioning gives the same wide table."""
+    from helpers import rows
+    from pyspark.sql import functions as F
+
+    from histlens.plans.master import master_table
+    from histlens.sources.tables import Tables
+    t, b = setup(spark, SF)
+    shuffled = Tables(t.reports.repartition(5, F.rand(1)),
+                      {a: h.repartition(7, F.rand(2)) for a, h in t.logs.items()})
+    assert rows(master_table(t, b, hi_minutes=4321)) == rows(master_table(shuffled, b.repartition(3), hi_minutes=4321))
