@@ -15,7 +15,7 @@ from histlens.plans import features as FT
 from histlens.plans.master import master_table
 from histlens.plans.population import base_sample, latest_status_cutoff
 from histlens.schema import TESTDATA_HI_MINUTES, TESTDATA_MAX_DAYS
-from histlens.session import configure
+from histlens.session import app_id, configure
 from histlens.sources.store import ingest, materialise
 from histlens.sources.testdata import testdata_tables
 
@@ -38,7 +38,7 @@ def compute_base(t):
 def setup(spark: SparkSession, sf_dir: str):
     """Ingested tables + stored base sample, once per session and data folder
     (the pipeline's first two stages; later stages read the written files)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (app_id(spark), sf_dir)
     if key not in _STAGES:
         t = ingest(raw_tables(spark, sf_dir))
         b = materialise(compute_base(t), "base_sample")
@@ -173,7 +173,7 @@ ML_ROUND = 6  # doubles of the model queries are compared at 6 decimals
 def master_materialised(spark, sf_dir) -> DataFrame:
     """The wide table written once per session and data folder (the model
     stage reads it several times; the file cuts the lineage)."""
-    key = ("master", spark.sparkContext.applicationId, sf_dir)
+    key = ("master", app_id(spark), sf_dir)
     if key not in _STAGES:
         t, b = setup(spark, sf_dir)
         _STAGES[key] = materialise(master_table(t, b, hi_minutes=TESTDATA_HI_MINUTES), "master_table")

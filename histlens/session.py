@@ -45,6 +45,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def app_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # Spark Connect has no SparkContext
+        return spark.conf.get("spark.app.id", "connect")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder.
 
@@ -53,7 +60,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     would not survive the loss of that machine).  Only local runs (tests,
     bench) fall back to a fresh temp dir.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's setting is authoritative
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        return d
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         if not sc.master.startswith("local"):
