@@ -56,3 +56,19 @@ def test_master_invariant_under_repartitioned_inputs(spark):
     shuffled = Tables(t.reports.repartition(5, F.rand(1)),
                       {a: h.repartition(7, F.rand(2)) for a, h in t.logs.items()})
     assert rows(master_table(t, b, hi_minutes=4321)) == rows(master_table(shuffled, b.repartition(3), hi_minutes=4321))
+
+
+def test_single_partition_only_after_a_reduction(spark):
+    """A one-task exchange may only sit on an aggregate (distinct keys,
+    partial counts), never directly on event rows."""
+    import re
+
+    from histlens.plans.master import master_table
+    t, b = setup(spark, SF)
+    lines = [re.sub(r"^[\s:+\-]*", "", x) for x in _plan(master_table(t, b, hi_minutes=4321)).split("\n")]
+    for i, line in enumerate(lines):
+        if line.startswith("Exchange SinglePartition"):
+            below = next(x for x in lines[i + 1:] if re.match(r"(\*\(\d+\) )?(HashAggregate|SortAggregate|"
+                                                               r"ObjectHashAggregate|Scan|Exchange|BroadcastHashJoin|"
+                                                               r"SortMergeJoin)", x))
+            assert "Aggregate" in below, (line, below)
