@@ -129,6 +129,26 @@ def dense_group_id(df: DataFrame, key_cols: Sequence[str], name: str) -> DataFra
     return d.withColumn(name, F.dense_rank().over(Window.orderBy(*key_cols)))
 
 
+def dense_group_id_ranged(df: DataFrame, key_cols: Sequence[str], name: str, partitions: int) -> DataFrame:
+    """WN7 without a one-task window: distinct keys range-partitioned into
+    ``partitions`` ordered ranges, numbered inside each range by read order,
+    plus the count of all earlier ranges.  The numbered keys are stored once
+    (so ids and range bounds cannot change on recomputation); the offsets
+    table has one row per range (a proven bound) and is broadcast."""
+    from histlens.sources.store import materialise
+
+    d = (df.select(*key_cols).distinct().repartitionByRange(partitions, *key_cols)
+         .sortWithinPartitions(*key_cols).withColumn("_mid", F.monotonically_increasing_id()))
+    d = materialise(d, "dense_ids")
+    d = d.select(*key_cols, F.shiftright("_mid", 33).alias("_pid"),
+                 (F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))).alias("_loc"))
+    per = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    off = per.select("_pid", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    return (d.join(F.broadcast(off), "_pid")
+            .select(*key_cols, (F.col("_off") + F.col("_loc") + 1).cast("int").alias(name)))
+
+
 def first_k_max(df: DataFrame, group_cols: Sequence[str], ts_col: str, k: int, name: str) -> DataFrame:
     """WN4-WN6: per group, the largest of its k earliest times (the k-th
     smallest, or the max if the group is smaller).

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from histlens.functions import ordered_buckets
-from histlens.operators import latest_by, value_frequency
+from histlens.operators import dense_group_id_ranged, latest_by, value_frequency
 from histlens.schema import DEFAULT_COMPONENT_MIN_CASES
 
 # --- fixed values: category rules (first match wins) -------------------------
@@ -127,20 +127,27 @@ def version_pairs(latest_vp: DataFrame) -> DataFrame:
     return latest_vp.select("Version", "Product").distinct()
 
 
-def version_category_from_pairs(pairs: DataFrame, segment_mode: str = "rank") -> DataFrame:
-    """D6 on distinct (Version, Product) pairs (dimension-sized)."""
+def version_category_from_pairs(pairs: DataFrame, segment_mode: str = "rank",
+                                range_partitions: int | None = None) -> DataFrame:
+    """D6 on distinct (Version, Product) pairs (dimension-sized).
+
+    Dense ids come from one pass of windows over the pairs (no partition key,
+    so one task: fine for a dimension).  With ``range_partitions`` set they
+    come from ``dense_group_id_ranged`` instead (no one-task step at all)."""
     p = (pairs.withColumn("_temp", clean_version_key("Version"))
          .withColumn("_major", F.substring("_temp", 1, 1))
          .withColumn("_minor", F.substring("_temp", 1, 2))
          .withColumn("_len", F.length("_temp"))
          .withColumn("_tt", (F.substring("_temp", 2, 1) == "0") & (F.col("_len") == 2)))
-    # dense ids as window columns over the distinct pairs (dimension-sized, one
-    # pass, no self-joins); a window without partition key runs in one task
-    dr = lambda *k: F.dense_rank().over(Window.orderBy(*k))
-    out = p.select("*", dr("Product", "_major").alias("MajorVersionProduct"),
-                   dr("Product", "_minor").alias("MinorVersionProduct"),
-                   dr("Product", "_temp").alias("ServiceVersionProduct"),
-                   dr("_tt", "_len").alias("_seg"))
+    ids = [(["Product", "_major"], "MajorVersionProduct"), (["Product", "_minor"], "MinorVersionProduct"),
+           (["Product", "_temp"], "ServiceVersionProduct"), (["_tt", "_len"], "_seg")]
+    if range_partitions:
+        out = p
+        for keys, name in ids:
+            out = out.join(dense_group_id_ranged(p, keys, name, range_partitions), keys)
+    else:
+        # dense ids as window columns over the distinct pairs (one pass, no self-joins)
+        out = p.select("*", *[F.dense_rank().over(Window.orderBy(*keys)).alias(name) for keys, name in ids])
     if segment_mode == "rank":
         label = F.lit(None).cast("string")
         for k, v in SEGMENT_LABELS.items():

@@ -102,6 +102,13 @@ def q_version_category(spark, sf_dir):
     return C.version_category(t.h("version"), t.h("product"))
 
 
+def q_version_category_ranged(spark, sf_dir):
+    """D6 with the range-partitioned dense ids (no one-task step)."""
+    t, _ = setup(spark, sf_dir)
+    pairs = C.version_pairs(C.latest_version_product(t.h("version"), t.h("product")))
+    return C.version_category_from_pairs(pairs, range_partitions=4)
+
+
 def q_version_category_rule(spark, sf_dir):
     t, _ = setup(spark, sf_dir)
     return C.version_category(t.h("version"), t.h("product"), segment_mode="rule")
@@ -152,6 +159,7 @@ def queries() -> dict[str, Query]:
         "severity_category": q_severity_category,
         "version_category": q_version_category,
         "version_category_rule": q_version_category_rule,
+        "version_category_ranged": q_version_category_ranged,
         "value_frequency": q_value_frequency,
         "distinct_pairs": q_distinct_pairs,
         "scan_status": q_scan_status,

@@ -49,3 +49,26 @@ def test_repartition_invariance(spark):
     a = rows(prior_rate(df, "who", ["ts", "id"], "fixed", "r"), "id", "r")
     b = rows(prior_rate(df.repartition(13, "ts"), "who", ["ts", "id"], "fixed", "r"), "id", "r")
     assert a == b
+
+
+def test_ranged_dense_ids_equal_window_dense_rank(spark):
+    import random
+
+    from histlens.operators import dense_group_id, dense_group_id_ranged
+    rnd = random.Random(5)
+    data = [(rnd.choice(["JDT", "CDT", "PDE", "Platform", "X"]), rnd.choice("0123456789ab") * rnd.randint(1, 3))
+            for _ in range(2000)]
+    df = spark.createDataFrame(data, "p STRING, v STRING")
+    a = rows(dense_group_id(df, ["p", "v"], "g"), "p", "v", "g")
+    b = rows(dense_group_id_ranged(df, ["p", "v"], "g", 7), "p", "v", "g")
+    assert a == b and len(a) > 20
+
+
+def test_version_category_ranged_mode_equals_window_mode(spark):
+    from histlens.plans.categories import latest_version_product, version_category_from_pairs, version_pairs
+    from histlens.plans.registry import setup
+    t, _ = setup(spark, "/root/testdata/sf0.01")
+    pairs = version_pairs(latest_version_product(t.h("version"), t.h("product")))
+    a = rows(version_category_from_pairs(pairs))
+    b = rows(version_category_from_pairs(pairs, range_partitions=5))
+    assert a == b
