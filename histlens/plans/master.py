@@ -161,7 +161,8 @@ def master_table(t: Tables, base: DataFrame, hi_minutes: int = DEFAULT_HI_MINUTE
             .select("id", "teamWorkRate"))
     reassign = FT.num_reassignments(t, base)
 
-    at_open = FT.assignments_at_opening(t, base)
+    # assignments at the opening second feed the hot-key check and two windows: store once
+    at_open = materialise(FT.assignments_at_opening(t, base), "at_open")
     last_at = m.filter(F.col("lastAssigner").isNotNull()).select(
         "id", F.col("lastAssignee").alias("what"), F.col("lastAssigner").alias("who"),
         F.col("_last_at_ts").alias("ts"), "fixed")
