@@ -94,3 +94,27 @@ def prior_rate_plain(df: DataFrame, entity: str, order_cols: Sequence[str], flag
     return df.withColumn(
         name,
         F.coalesce(F.sum(flag).over(before), F.lit(0)).cast("double") / F.row_number().over(w).cast("double"))
+
+
+def ranged_running_sum(df: DataFrame, order_cols, sum_cols: Sequence[str], partitions: int,
+                       inclusive: bool = True, prefix: str = "cum_") -> DataFrame:
+    """Global running sums in ``order_cols`` order (Columns or names) without a
+    one-task window: range-partition, number rows by read order, stored once;
+    per-range windows (one task per range) plus per-range offsets (one row per
+    range, broadcast).  ``inclusive=False`` sums the rows strictly before."""
+    from histlens.sources.store import materialise
+
+    x = (df.repartitionByRange(partitions, *order_cols).sortWithinPartitions(*order_cols)
+         .withColumn("_mid", F.monotonically_increasing_id()))
+    x = materialise(x, "ranged")
+    x = (x.withColumn("_pid", F.shiftright("_mid", 33))
+         .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))))
+    frame = (Window.unboundedPreceding, 0) if inclusive else (Window.unboundedPreceding, -1)
+    w = Window.partitionBy("_pid").orderBy("_loc").rowsBetween(*frame)
+    tot = x.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
+    wo = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select("_pid", *[F.coalesce(F.sum(f"_t_{c}").over(wo), F.lit(0)).alias(f"_o_{c}") for c in sum_cols])
+    y = x.join(F.broadcast(off), "_pid")
+    for c in sum_cols:
+        y = y.withColumn(f"{prefix}{c}", F.coalesce(F.sum(c).over(w), F.lit(0)) + F.col(f"_o_{c}"))
+    return y.drop("_mid", "_pid", "_loc", *[f"_o_{c}" for c in sum_cols])

@@ -22,6 +22,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from histlens.operators.prefix import ranged_running_sum
+
 # --- fixed values: the feature lists of the model search --------------------
 SEARCH_FEATURES = [
     "numStatusUpdates", "rateLastAssignee", "rateFirstAssignee", "rateLastAssigner", "rateFirstAssigner",
@@ -166,26 +168,38 @@ def nb_predict(df: DataFrame, params: dict, features: Sequence[str], name: str =
     return df.withColumn(name, best)
 
 
-def roc_curve(df: DataFrame, score: str, label: str) -> DataFrame:
+def roc_curve(df: DataFrame, score: str, label: str, range_partitions: int | None = None) -> DataFrame:
     """ML6: ``(threshold, fpr, tpr)`` for every distinct score (rows: score >= threshold
-    are positive).  Runs over the per-score counts, i.e. over the distinct scores."""
+    are positive).  Runs over the per-score counts, i.e. over the distinct scores;
+    ``range_partitions`` makes the running sums range-partitioned (no one-task window)."""
     per = df.groupBy(F.col(score).alias("threshold")).agg(
         F.sum(F.col(label).cast("long")).alias("_pos"), F.sum(1 - F.col(label).cast("long")).alias("_neg"))
-    w = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    wall = Window.partitionBy(F.lit(1))
-    return per.select(
+    tot_pos, tot_neg = per.agg(F.sum("_pos")).scalar(), per.agg(F.sum("_neg")).scalar()
+    if range_partitions:
+        c = ranged_running_sum(per, [F.desc("threshold")], ["_pos", "_neg"], range_partitions)
+        cum_pos, cum_neg = F.col("cum__pos"), F.col("cum__neg")
+    else:
+        w = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
+        c = per
+        cum_pos, cum_neg = F.sum("_pos").over(w), F.sum("_neg").over(w)
+    return c.select(
         "threshold",
-        F.try_divide(F.sum("_neg").over(w).cast("double"), F.sum("_neg").over(wall).cast("double")).alias("fpr"),
-        F.try_divide(F.sum("_pos").over(w).cast("double"), F.sum("_pos").over(wall).cast("double")).alias("tpr"))
+        F.try_divide(cum_neg.cast("double"), tot_neg.cast("double")).alias("fpr"),
+        F.try_divide(cum_pos.cast("double"), tot_pos.cast("double")).alias("tpr"))
 
 
-def auc(df: DataFrame, score: str, label: str) -> DataFrame:
+def auc(df: DataFrame, score: str, label: str, range_partitions: int | None = None) -> DataFrame:
     """ML7: area under the ROC curve (trapezoids = rank sum with mid-ranks), one row."""
     per = df.groupBy(F.col(score).alias("_s")).agg(
         F.sum(F.col(label).cast("long")).alias("_pos"), F.sum(1 - F.col(label).cast("long")).alias("_neg"))
-    w = Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    neg_below = F.coalesce(F.sum("_neg").over(w), F.lit(0))
-    contrib = per.select((F.col("_pos") * (neg_below + F.col("_neg") / 2.0)).alias("_a"), "_pos", "_neg")
+    if range_partitions:
+        c = ranged_running_sum(per, ["_s"], ["_neg"], range_partitions, inclusive=False)
+        neg_below = F.col("cum__neg")
+    else:
+        c = per
+        neg_below = F.coalesce(F.sum("_neg").over(Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)),
+                               F.lit(0))
+    contrib = c.select((F.col("_pos") * (neg_below + F.col("_neg") / 2.0)).alias("_a"), "_pos", "_neg")
     return contrib.agg(F.try_divide(F.sum("_a"), (F.sum("_pos") * F.sum("_neg")).cast("double")).alias("auc"))
 
 

@@ -72,3 +72,23 @@ def test_version_category_ranged_mode_equals_window_mode(spark):
     a = rows(version_category_from_pairs(pairs))
     b = rows(version_category_from_pairs(pairs, range_partitions=5))
     assert a == b
+
+
+def test_ranged_roc_and_auc_equal_window_forms(spark):
+    import random
+
+    from histlens.plans.model import auc, roc_curve
+    rnd = random.Random(11)
+    df = spark.createDataFrame([(rnd.randint(0, 1), round(rnd.random(), 2)) for _ in range(3000)], "y INT, s DOUBLE")
+    a = rows(roc_curve(df, "s", "y"), "threshold", "fpr", "tpr")
+    b = rows(roc_curve(df, "s", "y", range_partitions=6), "threshold", "fpr", "tpr")
+    assert len(a) > 50 and all(x[0] == y[0] and abs(x[1] - y[1]) < 1e-12 and abs(x[2] - y[2]) < 1e-12
+                               for x, y in zip(a, b))
+    assert abs(auc(df, "s", "y").first()["auc"] - auc(df, "s", "y", range_partitions=6).first()["auc"]) < 1e-12
+    # against the pairwise definition
+    pdf = df.toPandas()
+    pos, neg = pdf[pdf.y == 1].s.tolist(), pdf[pdf.y == 0].s.tolist()
+    import numpy as np
+    p, n = np.array(pos)[:, None], np.array(neg)[None, :]
+    want = ((p > n).sum() + 0.5 * (p == n).sum()) / (len(pos) * len(neg))
+    assert abs(auc(df, "s", "y", range_partitions=6).first()["auc"] - want) < 1e-9
