@@ -137,6 +137,21 @@ def records_as_csv(out: DataFrame) -> DataFrame:
     return ok.select(F.concat_ws(",", "id", "what", "when", "who").alias("value"))
 
 
+def repaired_history(out: DataFrame) -> DataFrame:
+    """D1 -> IO1: repaired records as a typed log ``(id, what, ts, who)``.
+    The header line, which passes through the repair as a record, drops out
+    here because its id is not a number."""
+    ok = out.filter(F.col("status") == "ok")
+    return ok.select(F.col("id").try_cast("bigint").alias("id"), F.coalesce("what", F.lit("")).alias("what"),
+                     F.col("when").try_cast("bigint").alias("ts"),
+                     F.trim(F.col("who")).try_cast("bigint").alias("who")).filter(F.col("id").isNotNull())
+
+
+def load_repaired(spark: SparkSession, path: str) -> DataFrame:
+    """Repair the text files under ``path`` and load them as one attribute log."""
+    return repaired_history(repair_files(spark, path))
+
+
 def document_lines(docs: DataFrame, block_docs: int = 64) -> DataFrame:
     """Broken CSV derived from ``documents``: one record ``doc_id,text,n_chars,source``
     per document, split at line breaks (``\\r\\n``, ``\\r``, ``\\n``) into lines;

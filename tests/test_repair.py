@@ -101,3 +101,11 @@ def test_files_split_into_many_blocks(spark, tmp_path):
     for path, lines in files.items():
         want += [(w[1], w[2], w[4], w[5], w[6], w[7]) for w in brute(lines)]
     assert sorted((r["text"], r["status"], r["id"], r["what"], r["when"], r["who"]) for r in got) == sorted(want)
+
+
+def test_repair_then_load_typed_log(spark, tmp_path):
+    from histlens.sources.repair import load_repaired
+    p = tmp_path / "cc.csv"
+    p.write_text("id,what,when,who\n7,a,b,c,100,9\n8,start\nmore,200,10\nabc\n9,x,300,11\n")
+    got = sorted(tuple(r) for r in load_repaired(spark, str(tmp_path)).collect())
+    assert got == [(7, "a;b;c", 100, 9), (8, "startmore", 200, 10), (9, "x", 300, 11)]
