@@ -25,6 +25,8 @@ DEFAULT_FILES = {
     "short_desc": "short_desc_changed.csv", "version": "version.csv",
 }
 REPORTS_FILE = "reports.csv"
+# raw files that need the repair job first (their repaired copies are the *_changed files above)
+REPAIR_FILES = {"cc": "cc.csv", "short_desc": "short_desc.csv"}
 
 
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -51,10 +53,17 @@ def load_reports(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_csv_tables(spark: SparkSession, folder: str, files: dict[str, str] | None = None,
-                    reports_file: str = REPORTS_FILE) -> Tables:
-    """D2: the 12 raw files as Tables (then ``store.ingest`` writes Parquet)."""
+                    reports_file: str = REPORTS_FILE, repair: dict[str, str] | None = None) -> Tables:
+    """D2: the 12 raw files as Tables (then ``store.ingest`` writes Parquet).
+
+    ``repair`` maps attributes to raw files that go through the D1 repair job
+    instead of the CSV reader (e.g. ``REPAIR_FILES``)."""
+    from histlens.sources.repair import load_repaired
+
     files = files or DEFAULT_FILES
-    logs = {a: load_history(spark, f"{folder}/{files[a]}") for a in ATTRS}
+    repair = repair or {}
+    logs = {a: (load_repaired(spark, f"{folder}/{repair[a]}") if a in repair
+                else load_history(spark, f"{folder}/{files[a]}")) for a in ATTRS}
     return Tables(load_reports(spark, f"{folder}/{reports_file}"), logs)
 
 

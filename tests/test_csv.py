@@ -38,3 +38,20 @@ def test_unquoted_empty_field_is_empty_text(spark):
         f.write("id,current_resolution,current_status,opening,reporter\n1,,NEW,100,7\n2,FIXED,RESOLVED,x,8\n")
     r = {x["id"]: x for x in load_reports(spark, p).collect()}
     assert r[1]["current_resolution"] == "" and r[2]["opening"] is None
+
+
+def test_load_with_repair_for_broken_files(spark, tmp_path):
+    from histlens.sources.csv import load_csv_tables
+    raw = raw_tables(spark, SF)
+    files = {}
+    for a, h in raw.logs.items():
+        files[a] = f"{a}.csv"
+        write_csv(h.select("id", "what", F.col("ts").alias("when"), "who"), str(tmp_path / files[a]))
+    write_csv(raw.reports, str(tmp_path / "reports.csv"))
+    # a broken short_desc file: descriptions with commas and line breaks
+    (tmp_path / "sd_raw").mkdir()
+    (tmp_path / "sd_raw" / "short_desc.csv").write_text(
+        "id,what,when,who\n1,fix a, b and c,100,7\n2,first line\nsecond line,200,8\n")
+    t = load_csv_tables(spark, str(tmp_path), files, repair={"short_desc": "sd_raw"})
+    assert rows(t.h("short_desc")) == [(1, "fix a; b and c", 100, 7), (2, "first linesecond line", 200, 8)]
+    assert rows(t.h("cc")) == rows(raw.h("cc"))
