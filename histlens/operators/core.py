@@ -23,13 +23,24 @@ def _extreme_by(df: DataFrame, key, order_col: str, ties: Sequence[str], latest:
     keys = _list(key)
     cols = [c for c in (cols or df.columns) if c not in keys]
     o = F.col(order_col)
-    # Ascending struct order; the newest row first by negating the time.
-    sort_key = [(-o if latest else o).alias("_o")] + [F.col(t).alias(f"_t{i}") for i, t in enumerate(ties)]
-    packed = F.struct(*sort_key, *[F.col(c).alias(c) for c in cols])
+    # Ascending struct order; the newest row first by negating the time.  The
+    # order and tie columns are stored once (they are also payload), so the
+    # partial-aggregation buffer that is shuffled stays narrow.
+    ties = list(ties)
+    payload = [c for c in cols if c != order_col and c not in ties]
+    packed = F.struct((-o if latest else o).alias("_o"), *[F.col(t).alias(f"_t{i}") for i, t in enumerate(ties)],
+                      *[F.col(c).alias(c) for c in payload])
     # a row without a valid time never wins (the original drops non-integer times)
     packed = F.when(o.isNotNull(), packed)
+
+    def field(c: str):
+        if c == order_col:
+            return -F.col("_m._o") if latest else F.col("_m._o")
+        if c in ties:
+            return F.col(f"_m._t{ties.index(c)}")
+        return F.col(f"_m.{c}")
     return (df.groupBy(*keys).agg(F.min(packed).alias("_m")).filter(F.col("_m").isNotNull())
-            .select(*keys, *[F.col(f"_m.{c}").alias(c) for c in cols]))
+            .select(*keys, *[field(c).alias(c) for c in cols]))
 
 
 def latest_by(df: DataFrame, key="id", order_col: str = "ts", ties: Sequence[str] = ("what", "who"),

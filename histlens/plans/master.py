@@ -45,8 +45,8 @@ FIRST_ATTRS = ("priority", "severity")
 
 
 def _row(order: Column) -> Column:
-    return F.struct(order.alias("_o"), F.col("what").alias("_w"), F.col("who").alias("_v"),
-                    F.col("what").alias("what"), F.col("who").alias("who"), F.col("ts").alias("ts"))
+    """Sort key and payload in one narrow struct: (+/-ts, what, who)."""
+    return F.struct(order.alias("_o"), F.col("what").alias("what"), F.col("who").alias("who"))
 
 
 def bug_stats(t: Tables, base: DataFrame, hi_minutes: int = DEFAULT_HI_MINUTES,
@@ -120,7 +120,7 @@ def master_table(t: Tables, base: DataFrame, hi_minutes: int = DEFAULT_HI_MINUTE
         _nn("_at0", FT.nobody_flag(F.col("_at0.what"))).alias("isAssignedToNobody"),
         lw("assigned_to", "what").alias("lastAssignee"),
         lw("assigned_to", "who").alias("lastAssigner"),
-        lw("assigned_to", "ts").alias("_last_at_ts"),
+        (-F.col("_last_assigned_to._o")).alias("_last_at_ts"),
         fixed.alias("fixed"),
         F.col("_last_product").isNotNull().alias("_is_target"),
     )
