@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from histlens.functions import epoch_month, epoch_year, leading_number, minutes_since
 from histlens.operators import (
     any_in_range, count_per, distinct_count, distinct_events, ever, first_by, first_k_max,
-    keep_with, latest_by, prior_rate, sum_length, team_rate, value_as_of,
+    keep_with, latest_by, prior_rate, sum_length, team_rate, top_n_by, value_as_of,
 )
 from histlens.plans.categories import (
     broad_os, component_category, compressed_priority, compressed_severity, detailed_os,
@@ -242,6 +242,17 @@ def software_birthdays(lvp_all: DataFrame, k: int = DEFAULT_FIRST_K) -> DataFram
     return first_k_max(ev, ["Product", "Version"], "ts", k, "birthday")
 
 
+def software_birthday_rows(lvp_all: DataFrame, k: int = DEFAULT_FIRST_K) -> DataFrame:
+    """WN5+WN6 as rows: per (Product, Version) the k earliest latest-version
+    times, then the top one with ties kept (``rank() <= 1``)."""
+    from pyspark.sql import Window
+
+    ev = lvp_all.select("Product", clean_age_version("Version").alias("Version"), F.col("ts"))
+    w = Window.partitionBy("Product", "Version").orderBy("ts")
+    first = ev.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
+    return top_n_by(first, ["Product", "Version"], "ts", 1)
+
+
 def age_software(t: Tables, base: DataFrame, k: int = DEFAULT_FIRST_K) -> DataFrame:
     """Days from the version's birthday to the opening (half-even rounding, >= 0).
     Covers all reports, not only the base sample."""

@@ -142,6 +142,14 @@ def q_reports_os(spark, sf_dir):
     return t.reports.join(t.h("op_sys"), "id").select("id", "current_resolution", "what")
 
 
+def q_software_birthday_rows(spark, sf_dir):
+    """WN4-WN6: first-7 rows per (product, version), top time with ties."""
+    t, _ = setup(spark, sf_dir)
+    lv = latest_by(t.h("version"), cols=["what", "ts"]).withColumnRenamed("what", "Version")
+    lp = latest_by(t.h("product"), cols=["what"]).withColumnRenamed("what", "Product")
+    return FT.software_birthday_rows(lv.join(lp, "id"))
+
+
 def q_master_table(spark, sf_dir):
     """F31, stored like every other stage (the model stage reads the file)."""
     return master_materialised(spark, sf_dir)
@@ -165,6 +173,7 @@ def queries() -> dict[str, Query]:
         "scan_status": q_scan_status,
         "count_assigned_to": q_count_assigned_to,
         "reports_os": q_reports_os,
+        "software_birthday_rows": q_software_birthday_rows,
     }
     for name in FT.FEATURES:
         q[f"feat_{name}"] = _feature(name)
