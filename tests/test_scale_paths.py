@@ -92,3 +92,41 @@ def test_ranged_roc_and_auc_equal_window_forms(spark):
     p, n = np.array(pos)[:, None], np.array(neg)[None, :]
     want = ((p > n).sum() + 0.5 * (p == n).sum()) / (len(pos) * len(neg))
     assert abs(auc(df, "s", "y", range_partitions=6).first()["auc"] - want) < 1e-9
+
+
+def test_hot_bug_join_is_split_by_aqe(spark):
+    """One bug owning half of the history: the history JOIN base of the fused
+    aggregation runs as a skew-split sort-merge join (final adaptive plan)."""
+    from histlens.plans.master import bug_stats
+    from histlens.schema import ATTRS
+    from histlens.sources.tables import Tables
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 300_000
+        hist = spark.range(n).select(
+            F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 3000).cast("long").alias("id"),
+            F.concat(F.lit("v"), (F.col("id") % 7).cast("string")).alias("what"),
+            (F.col("id") * 13 % 100000).alias("ts"), (F.col("id") % 300).alias("who"))
+        hist = hist.select(F.element_at(F.array(*[F.lit(a) for a in ATTRS]), (F.col("ts") % 11 + 1).cast("int"))
+                           .alias("attr"), "*")
+        reports = spark.range(3000).select("id", F.lit("FIXED").alias("current_resolution"),
+                                           F.lit("NEW").alias("current_status"),
+                                           F.lit(50000).cast("long").alias("opening"), (F.col("id") % 100).alias("reporter"))
+        t = Tables(reports, {a: hist.filter(F.col("attr") == a).drop("attr") for a in ATTRS}, hist)
+        st = bug_stats(t, reports, 4321)
+        out = st.collect()
+        assert len(out) == 3000
+        final = st._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
