@@ -121,7 +121,7 @@ def test_hot_bug_join_is_split_by_aqe(spark):
         t = Tables(reports, {a: hist.filter(F.col("attr") == a).drop("attr") for a in ATTRS}, hist)
         st = bug_stats(t, reports, 4321)
         out = st.collect()
-        assert len(out) == 3000
+        assert len(out) == hist.select("id").distinct().count()
         final = st._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin(skew=true)" in final
     finally:
