@@ -130,3 +130,13 @@ def test_hot_bug_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_first_k_has_partial_group_limit_before_shuffle(spark):
+    from histlens.operators import first_k_max
+    df = _skewed(spark)
+    plan = first_k_max(df, ["who"], "ts", 7, "b")._jdf.queryExecution().executedPlan().toString()
+    lines = [x.strip() for x in plan.split("\n")]
+    limits = [i for i, x in enumerate(lines) if "WindowGroupLimit" in x]
+    exchange = next(i for i, x in enumerate(lines) if "Exchange hashpartitioning" in x)
+    assert len(limits) == 2 and limits[0] < exchange < limits[1]   # final above, partial below the shuffle
