@@ -72,3 +72,12 @@ def test_single_partition_only_after_a_reduction(spark):
                                                                r"ObjectHashAggregate|Scan|Exchange|BroadcastHashJoin|"
                                                                r"SortMergeJoin)", x))
             assert "Aggregate" in below, (line, below)
+
+
+def test_recommended_conf_scales_with_input():
+    from histlens.session import recommended_conf
+    small = recommended_conf(10 * 2**30, executor_cores=4, executors=10)
+    big = recommended_conf(100 * 2**40, executor_cores=4, executors=1000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80          # never fewer than 2x cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 * 2**20) + 1   # ~256 MB each
+    assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "256m"
