@@ -14,6 +14,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
+from histlens.plans import features as FT
 from histlens.plans.master import master_table
 from histlens.plans.model import (
     SEARCH_FEATURES, final_auc, model_params, nb_fit, nb_subset_search, random_subsets, top_models,
@@ -23,20 +24,26 @@ from histlens.plans.population import base_sample, latest_status_cutoff
 from histlens.schema import DEFAULT_CUTOFF, DEFAULT_HI_MINUTES, DEFAULT_MAX_DAYS, DEFAULT_WEEK_MINUTES
 from histlens.session import configure
 from histlens.sources.csv import load_csv_tables
-from histlens.sources.store import ingest, materialise
+from histlens.sources.store import ingest, materialise, write_feature
 from histlens.sources.tables import Tables
 
 
 def run_tables(t: Tables, out: str, cutoff: int | None = DEFAULT_CUTOFF, max_days: int = DEFAULT_MAX_DAYS,
                hi_minutes: int = DEFAULT_HI_MINUTES, week_minutes: int = DEFAULT_WEEK_MINUTES,
-               search: bool = True) -> dict[str, DataFrame]:
+               search: bool = True, feature_tables: bool = False) -> dict[str, DataFrame]:
     """Base sample, wide table and model stage over already ingested tables.
-    ``cutoff=None`` takes the newest status time."""
+    ``cutoff=None`` takes the newest status time; ``feature_tables`` also
+    stores each of the 30 feature tables under ``out/features/<name>``."""
     cut = latest_status_cutoff(t.h("status")) if cutoff is None else cutoff
     res: dict[str, DataFrame] = {}
     base = materialise(base_sample(t.reports, t.h("status"), t.h("severity"), cutoff=cut, max_days=max_days),
                        "base", f"{out}/base_sample")
     res["base_sample"] = base
+    if feature_tables:
+        for name, fn in FT.FEATURES.items():
+            kw = {"hi_minutes": hi_minutes} if name == "is_mod_within_first_day" else (
+                {"week_minutes": week_minutes} if name == "is_open_for_one_week_or_more" else {})
+            res[f"features/{name}"] = write_feature(fn(t, base, **kw), name, f"{out}/features")
     master = materialise(master_table(t, base, hi_minutes=hi_minutes, week_minutes=week_minutes),
                          "master", f"{out}/master_table")
     res["master_table"] = master

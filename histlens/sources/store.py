@@ -33,3 +33,8 @@ def materialise(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
     path = root or stage_root(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def write_feature(df: DataFrame, name: str, root: str) -> DataFrame:
+    """IO4 by name: replace the table ``root/name`` (Parquet) and read it back."""
+    return materialise(df, name, f"{root.rstrip('/')}/{name}")

@@ -21,8 +21,11 @@ def test_pipeline_from_csv_files(spark, tmp_path):
         write_csv(h.select("id", "what", F.col("ts").alias("when"), "who"), str(csv / files[a]))
     write_csv(raw.reports, str(csv / "reports.csv"))
     res = run(spark, str(csv), str(tmp_path / "out"), repair={}, files=files,
-              cutoff=None, max_days=1000, hi_minutes=4321)
+              cutoff=None, max_days=1000, hi_minutes=4321, feature_tables=True)
     assert rows(res["master_table"]) == rows(master_materialised(spark, SF))
     assert res["model_search"].count() == 200
     assert 0.0 <= res["final_auc"].first()["auc"] <= 1.0
     assert os.path.isdir(tmp_path / "out" / "master_table")
+    assert len([k for k in res if k.startswith("features/")]) == 30
+    from histlens.plans.registry import queries
+    assert rows(res["features/team_work"]) == rows(queries()["feat_team_work"](spark, SF))
