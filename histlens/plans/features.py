@@ -76,10 +76,6 @@ def clean_age_version(col) -> Column:
     return F.replace(c, F.lit(AGE_VERSION_REPLACE[0]), F.lit(AGE_VERSION_REPLACE[1]))
 
 
-def _ids(base: DataFrame) -> DataFrame:
-    return base.select("id")
-
-
 def _latest_of(t: Tables, base: DataFrame, attr: str) -> DataFrame:
     """Latest value per bug of the base sample: aggregate first (partial, skew-proof), then semi join."""
     return keep_with(latest_by(t.h(attr), cols=["what", "ts", "who"]), base)
