@@ -77,7 +77,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
-def get_spark(master: str | None = None, partitions: int | None = None) -> SparkSession:
+def get_spark(master: str | None = None, partitions: int | None = None,
+              extra_conf: dict[str, str] | None = None) -> SparkSession:
     """Local session for tests and bench; on a cluster use the given session."""
     master = master or os.environ.get("HISTLENS_MASTER", "local[8]")
     b = (
@@ -88,7 +89,7 @@ def get_spark(master: str | None = None, partitions: int | None = None) -> Spark
         .config("spark.driver.memory", os.environ.get("HISTLENS_DRIVER_MEM", "16g"))
         .config("spark.sql.shuffle.partitions", str(partitions or 8))
     )
-    for k, v in JOB_CONF.items():
+    for k, v in {**JOB_CONF, **(extra_conf or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
