@@ -47,7 +47,8 @@ def shuffle_mb(event_dir: str, prefix: str) -> dict[str, float]:
     import zstandard
 
     stage_group, acc = {}, Counter()
-    for f in sorted(glob.glob(f"{event_dir}/*/events_*") + glob.glob(f"{event_dir}/*/*events*")):
+    files = set(glob.glob(f"{event_dir}/*/events_*")) | set(glob.glob(f"{event_dir}/*/*events*"))
+    for f in sorted(files):
         raw = open(f, "rb")
         stream = zstandard.ZstdDecompressor().stream_reader(raw) if f.endswith(".zstd") else raw
         for line in io.TextIOWrapper(stream, encoding="utf-8"):
