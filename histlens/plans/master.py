@@ -11,11 +11,11 @@ tables.  Those arrive as narrow ``(id, value)`` frames joined on ``id``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from histlens.functions import epoch_month, epoch_year, minutes_since
-from histlens.operators import distinct_count, first_by, latest_by, prior_rate, team_rate
+from histlens.operators import first_by, latest_by, prior_rate
 from histlens.operators.prefix import HOT_ROWS, any_hot
 from histlens.plans import features as FT
 from histlens.plans.categories import (
@@ -154,10 +154,16 @@ def master_table(t: Tables, base: DataFrame, hi_minutes: int = DEFAULT_HI_MINUTE
     # distinct counts as distinct-then-count (the distinct shuffles on (id, value),
     # so a bug with a huge history is spread); actors over all bugs serve both
     # the people count and the reporters' team rate
+    # one window over the distinct pairs gives each bug's actor count: it is
+    # the people count of a base bug and the team flag behind the team rate
     inv = FT.involvement(t, base, all_ids=True)
-    people = distinct_count(inv.join(base.select("id"), "id", "left_semi"), "id", "numPeopleInvolved")
+    pairs = inv.select("id", "who", F.count(F.lit(1)).over(Window.partitionBy("id")).alias("_n"))
+    people = (pairs.groupBy("id").agg(F.max("_n").alias("numPeopleInvolved"))
+              .join(base.select("id"), "id", "left_semi"))
+    rates = pairs.groupBy("who").agg(
+        (F.sum((F.col("_n") > 1).cast("int")).cast("double") / F.count(F.lit(1)).cast("double")).alias("teamWorkRate"))
     team = (base.select("id", "reporter")
-            .join(team_rate(inv), F.col("reporter") == F.col("who"), "left")
+            .join(rates, F.col("reporter") == F.col("who"), "left")
             .select("id", "teamWorkRate"))
     reassign = FT.num_reassignments(t, base)
 
