@@ -60,6 +60,29 @@ def holdout_split(df: DataFrame, key: str = "id", p: float = SPLIT_P, seed: int
     return df.withColumn(name, hash_unit(F.col(key), seed) < F.lit(p))
 
 
+def holdout_split_exact(df: DataFrame, key: str = "id", p: float = SPLIT_P, seed: int = SPLIT_SEEDS[0],
+                        name: str = "is_train", accuracy: int = 1_000_000) -> DataFrame:
+    """ML1, exact mode: exactly ``ceil(p * n)`` training rows, those with the
+    smallest hash (ties by key), without a global sort.
+
+    Approximate quantiles at ``p -/+ 2/accuracy`` bracket the k-th smallest
+    hash (rank error <= n / accuracy), rows below the lower bound are training
+    rows, and only the band between the bounds (about 6 n / accuracy rows) is
+    ranked exactly in one window.  n, k and the bounds are scalar subqueries."""
+    x = df.withColumn("_u", hash_unit(F.col(key), seed))
+    eps = 2.0 / accuracy
+    k = F.ceil(F.lit(p) * x.agg(F.count(F.lit(1))).scalar())
+    lo = x.agg(F.percentile_approx("_u", max(p - eps, 0.0), accuracy)).scalar()
+    hi = x.agg(F.percentile_approx("_u", min(p + eps, 1.0), accuracy)).scalar()
+    below = x.filter(F.col("_u") < lo).agg(F.count(F.lit(1))).scalar()
+    if p - eps <= 0.0:
+        lo, below = F.lit(-1.0), F.lit(0)
+    outside = x.filter((F.col("_u") < lo) | (F.col("_u") > hi)).withColumn(name, F.col("_u") < lo)
+    band = x.filter((F.col("_u") >= lo) & (F.col("_u") <= hi))
+    band = band.withColumn(name, below + F.row_number().over(Window.orderBy("_u", key)) <= k)
+    return outside.unionByName(band).drop("_u")
+
+
 def train_test(df: DataFrame, key: str = "id", p: float = SPLIT_P, seeds=SPLIT_SEEDS) -> DataFrame:
     """ML1+ML2: training rows = in the training part of two nested splits
     (about p*p of the rows); every other row is a test row."""

@@ -209,6 +209,12 @@ def q_holdout_split(spark, sf_dir):
     return holdout_split(m)
 
 
+def q_holdout_split_exact(spark, sf_dir):
+    from histlens.plans.model import holdout_split_exact
+    m = master_materialised(spark, sf_dir).select("id", "target")
+    return holdout_split_exact(m)
+
+
 def q_nb_fit(spark, sf_dir):
     from histlens.plans.model import SEARCH_FEATURES, nb_fit
     train, _ = _split(spark, sf_dir)
@@ -262,7 +268,7 @@ def q_repair_records(spark, sf_dir):
 
 
 ML_QUERIES = {
-    "holdout_split": q_holdout_split, "nb_fit": q_nb_fit, "nb_predict": q_nb_predict,
+    "holdout_split": q_holdout_split, "holdout_split_exact": q_holdout_split_exact, "nb_fit": q_nb_fit, "nb_predict": q_nb_predict,
     "nb_final_auc": q_nb_final_auc, "roc_curve": q_roc_curve, "auc": q_auc,
     "nb_subset_search": q_nb_subset_search, "top_models": q_top_models,
 }

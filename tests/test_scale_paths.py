@@ -140,3 +140,17 @@ def test_first_k_has_partial_group_limit_before_shuffle(spark):
     limits = [i for i, x in enumerate(lines) if "WindowGroupLimit" in x]
     exchange = next(i for i, x in enumerate(lines) if "Exchange hashpartitioning" in x)
     assert len(limits) == 2 and limits[0] < exchange < limits[1]   # final above, partial below the shuffle
+
+
+def test_exact_split_equals_sorting_everything(spark):
+    import math
+
+    from histlens.plans.model import hash_unit, holdout_split_exact
+    df = spark.range(20_000).select(F.col("id"), (F.col("id") % 2).alias("target"))
+    ranked = df.select("id", hash_unit(F.col("id"), 7).alias("u")).toPandas().sort_values(["u", "id"])
+    for p in (0.05, 0.5, 0.7, 0.999):
+        k = math.ceil(p * len(ranked))
+        want = set(ranked["id"].iloc[:k])
+        got = holdout_split_exact(df, p=p, seed=7, accuracy=100)
+        train = {r["id"] for r in got.filter("is_train").select("id").collect()}
+        assert got.count() == 20_000 and train == want, p
