@@ -241,7 +241,8 @@ def hard_label_auc(tp: Column, fn: Column, tn: Column, fp: Column) -> Column:
 
 def nb_subset_search(train: DataFrame, test: DataFrame, subsets: list[list[str]], target: str = "target",
                      params: dict | None = None) -> DataFrame:
-    """ML8: ``(subset_id, n_features, auc)`` of a Naive Bayes model per subset.
+    """ML8: ``(subset_id, n_features, features, auc)`` of a Naive Bayes model per
+    subset (``features`` = the subset's names joined by '+', in draw order).
 
     Fit once over the union of the subsets' features, score each test row once
     per feature, then one ``posexplode`` over the subsets' predictions and one
@@ -268,7 +269,9 @@ def nb_subset_search(train: DataFrame, test: DataFrame, subsets: list[list[str]]
     tp, fn, tn, fp = _confusion_auc(pred, y)
     res = ex.groupBy("_pos").agg(tp.alias("tp"), fn.alias("fn"), tn.alias("tn"), fp.alias("fp"))
     sizes = F.create_map(*[e for i, s in enumerate(subsets) for e in (F.lit(i), F.lit(len(s)))])
+    names = F.create_map(*[e for i, s in enumerate(subsets) for e in (F.lit(i), F.lit("+".join(s)))])
     return res.select((F.col("_pos") + 1).alias("subset_id"), sizes[F.col("_pos")].alias("n_features"),
+                      names[F.col("_pos")].alias("features"),
                       hard_label_auc(F.col("tp"), F.col("fn"), F.col("tn"), F.col("fp")).alias("auc"))
 
 

@@ -252,7 +252,7 @@ def q_nb_subset_search(spark, sf_dir):
     from histlens.plans.model import nb_subset_search, random_subsets
     train, test = _split(spark, sf_dir)
     s = nb_subset_search(train, test, random_subsets())
-    return s.select("subset_id", "n_features", F.round("auc", ML_ROUND).alias("auc"))
+    return s.select("subset_id", "n_features", "features", F.round("auc", ML_ROUND).alias("auc"))
 
 
 def q_top_models(spark, sf_dir):
