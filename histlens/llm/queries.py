@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histlens.llm import bitpack, block_dedup, ngram_join, quality_bt, vector_pack, zstd_lang
+from histlens.llm import (
+    bitpack, block_dedup, hilbert_ann, html_layout, ngram_join, quality_bt, sp_suffix, url_filter, vector_pack, zstd_lang,
+)
 from histlens.llm.common import train_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,10 +33,22 @@ def op1_ngram_join(spark, sf_dir):
     return ngram_join.near_duplicates(rows).select("doc_id", "n_shingles", "component_id")
 
 
+def op2_hilbert_ann(spark, sf_dir):
+    return hilbert_ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_token_files(spark, sf_dir):
     return bitpack.token_table(table(spark, sf_dir, "documents"), tokenizer_path()).drop("pos")
 
 
+def op4_sentencepiece(spark, sf_dir):
+    return sp_suffix.encode_table(table(spark, sf_dir, "documents"), tokenizer_path(PIECES))
+
+
+def op5_url_filter(spark, sf_dir):
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES).drop("p_block")
+
+
 def op6_packing(spark, sf_dir):
     return vector_pack.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -43,6 +59,10 @@ def op7_quality(spark, sf_dir):
     return quality_bt.score(docs, model, keep=("doc_id", (~train_rows(F.col("doc_id"))).alias("held_out")))
 
 
+def op8_html_layout(spark, sf_dir):
+    return html_layout.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_exact_dedup(spark, sf_dir):
     rows = block_dedup.with_rid(table(spark, sf_dir, "documents"), "doc_id", "text")
     return block_dedup.exact_groups(rows).drop("rid")
@@ -66,9 +86,13 @@ FROM t JOIN g ON t.x = g.x
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_join": op1_ngram_join,
+        "op2_hilbert_ann": op2_hilbert_ann,
         "op3_token_files": op3_token_files,
+        "op4_sentencepiece": op4_sentencepiece,
+        "op5_url_filter": op5_url_filter,
         "op6_packing": op6_packing,
         "op7_quality": op7_quality,
+        "op8_html_layout": op8_html_layout,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_language": op10_language,
     }
