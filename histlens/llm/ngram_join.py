@@ -36,7 +36,7 @@ from histlens.llm.shingles import Shingler, set_id
 PERCENT = 80
 COMMON_FROM = 64                # a shingle with fewer occurrences is never common
 MAX_COMMON = 1 << 21            # bound of the broadcast list of common shingles
-COUNT_BITS = 40                 # shingles are counted by their first bits
+COUNT_BITS = 36                 # shingles are counted by their first bits; raise it with the data (2^36: well beyond 10^9 shingles)
 FLUSH = 4_000_000               # shingles counted at a time in a task
 SKETCH_BITS = 1024              # parity sketch of a set
 FILTER_BITS = 22                # bits (as a power of 2) of the filter of texts to read again
@@ -88,11 +88,9 @@ def _count_parts(text_col: str, ranges: int):
 
 def _merge_parts(table):
     """Sum the counts of one range; shingles below COMMON_FROM only enter the total (token -1)."""
-    t, c = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    for blob in table.column("blob"):
-        more, n = _unpack(blob.as_py())
-        t, inv = np.unique(np.concatenate([t, more]), return_inverse=True)
-        c = np.bincount(inv, np.concatenate([c, n]).astype(np.float64), len(t)).astype(np.int64)
+    got = [_unpack(blob.as_py()) for blob in table.column("blob")]
+    t, inv = np.unique(np.concatenate([x for x, _ in got]), return_inverse=True)
+    c = np.bincount(inv, np.concatenate([n for _, n in got]).astype(np.float64), len(t)).astype(np.int64)
     much = c >= COMMON_FROM
     return pa.table({"token": np.append(t[much].astype(np.int64), -1), "n": np.append(c[much], c.sum())})
 
@@ -242,21 +240,23 @@ def near_duplicates(rows: DataFrame, text_col: str = "text", id_col: str = "doc_
             .mapInArrow(_sets(text_col, common), _SETS))
     sets = st.write(sets, "sets")
     full = sets.filter("size > 0")
-    groups = full.groupBy("gid").agg(F.min(F.struct("light", "cid")).alias("rep"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
-    members = st.write(full.groupBy("cid").agg(F.first("gid").alias("gid"), F.first("size").alias("size"), F.first("sketch").alias("sketch"),
-                                               F.min(F.struct(F.col("doc").isNull(), "doc", "rid")).alias("first")), "members")
-    postings = (groups.select("gid", F.col("rep.light").alias("light"), F.col("rep.cid").alias("rep"), "size", F.posexplode("prefix").alias("pos", "token"))
-                .withColumn("common", F.col("pos") >= F.col("light")))
-    # shingles below COMMON_FROM have short lists: one window finds those with several groups
-    light = (postings.filter("NOT common").withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("token")))
-             .filter("k > 1").drop("k", "common"))
-    shared = st.write(light.unionByName(postings.filter("common").drop("common")), "shared")
+    members = st.write(full.groupBy("cid").agg(F.first("gid").alias("gid"), F.first("size").alias("size"), F.first("light").alias("light"),
+                                               F.first("sketch").alias("sketch"), F.min(F.struct(F.col("doc").isNull(), "doc", "rid")).alias("first")), "members")
+    groups = members.groupBy("gid").agg(F.min(F.struct("light", "cid")).alias("rep"), F.first("size").alias("size"))
+    groups = st.write(groups.select("gid", "size", "rep.light", F.col("rep.cid").alias("rep")), "groups")
+    postings = full.select("gid", "light", F.posexplode("prefix").alias("pos", "token"))
+    # shingles below COMMON_FROM have short lists: one window finds those of several groups
+    each = Window.partitionBy("token")
+    light = (postings.filter("pos < light").drop("light").withColumn("lo", F.min("gid").over(each)).withColumn("hi", F.max("gid").over(each))
+             .filter("lo <> hi").drop("lo", "hi"))
+    shared = light.unionByName(postings.filter("pos >= light").drop("light")).distinct()
+    shared = st.write(shared.join(groups, "gid"), "shared")
     pivots = st.write(shared.groupBy("token").agg(F.min(F.struct("light", "gid", "rep", "size", "pos")).alias("p"), F.count(F.lit(1)).alias("k"))
                       .filter("k > 1").select("token", "p.*"), "pivots")
     star = (shared.alias("s").join(pivots.alias("p"), "token")
             .filter((F.col("s.gid") != F.col("p.gid")) & _bounds("s", "p"))
             .select(F.col("p.rep").alias("x"), F.col("s.rep").alias("y")).distinct())
-    inside = (members.join(groups.select("gid", F.col("rep.cid").alias("rep")), "gid").filter("cid <> rep")
+    inside = (members.select("gid", "cid").join(groups.select("gid", "rep"), "gid").filter("cid <> rep")
               .select(F.col("rep").alias("x"), F.col("cid").alias("y")))
     links = _verify(st, rows, full, members, st.write(star.unionByName(inside).distinct(), "star"), text_col, "star")
     found = components(st, links, "star")

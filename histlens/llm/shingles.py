@@ -8,6 +8,7 @@ is neglected: within one pair of documents it is far below 10^-9.
 from __future__ import annotations
 
 import hashlib
+import sys
 
 import numpy as np
 import xxhash
@@ -22,35 +23,33 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-class _WordHash(dict):
-    """Word to 64-bit hash; forgets all when it holds too many words."""
-
-    LIMIT = 300_000
-
-    def __missing__(self, w: bytes) -> int:
-        h = self[w] = xxhash.xxh64_intdigest(w)
-        return h
+# Spark starts all its Python workers with one fixed hash seed, so that the built-in hash of bytes (SipHash, 64
+# bits) agrees between them; where hashes are randomised, a slower one serves.
+_word_hash = xxhash.xxh64_intdigest if sys.flags.hash_randomization else hash
+_KIND = np.uint64 if sys.flags.hash_randomization else np.int64
 
 
 class Shingler:
     def __init__(self, words: int = WORDS):
-        self.k, self.memo = words, _WordHash()
+        self.k = words
 
     def __call__(self, text: bytes) -> np.ndarray:
         """Sorted distinct shingle numbers; a text of fewer words is one shingle, no words none."""
         ws = text.lower().split()
         if not ws:
             return np.zeros(0, np.uint64)
-        if len(self.memo) > self.memo.LIMIT:
-            self.memo.clear()
-        h = np.fromiter(map(self.memo.__getitem__, ws), np.uint64, len(ws))
+        h = np.fromiter(map(_word_hash, ws), _KIND, len(ws)).view(np.uint64)
         k, n = self.k, len(h)
         if n < k:
             return _mix((h * _C[:n]).sum(dtype=np.uint64, keepdims=True) + np.uint64(n))
         s = h[: n - k + 1] * _C[0]
         for j in range(1, k):
             s = s + h[j : n - k + 1 + j] * _C[j]
-        return np.unique(_mix(s))
+        s = _mix(s)
+        s.sort()
+        new = np.ones(len(s), bool)
+        np.not_equal(s[1:], s[:-1], out=new[1:])
+        return s[new]
 
 
 def set_id(tokens: np.ndarray) -> int:
