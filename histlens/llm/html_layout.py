@@ -30,6 +30,7 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol optgroup option p pre search section summary ul xmp "
     "table caption thead tbody tfoot tr td th colgroup".split())
 APART = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dir menu dl pre xmp blockquote table figure fieldset hr".split())
+FORMATTING = frozenset("a abbr b big cite code del em font i ins label mark nobr q s small span strike strong sub sup tt u".split())
 ENDS_P = (BLOCKS - frozenset("html body option optgroup td th tr thead tbody tfoot caption colgroup".split()))
 HEAD_ONLY = frozenset("base basefont bgsound link meta title style script noscript template".split())
 TABLE_PARTS = frozenset("table caption thead tbody tfoot tr td th colgroup".split())
@@ -294,7 +295,7 @@ class Page:
         for k in range(len(self.open) - 1, -1, -1):
             name = self.open[k][0]
             if name == tag:
-                if tag not in BLOCKS and any(e[0] in BLOCKS for e in self.open[k + 1:]):
+                if tag in FORMATTING and any(e[0] in BLOCKS for e in self.open[k + 1:]):
                     del self.open[k]            # a formatting tag closed inside a block: the block goes on
                 else:
                     self._pop_to(k)
@@ -305,6 +306,8 @@ class Page:
                 return
 
     def text(self, data: str) -> None:
+        if self.open and self.open[-1][0] == "head" and data.strip():
+            self._pop_to(len(self.open) - 1)        # text ends the head
         if not self._shown():
             return
         data = _html.unescape(data).replace("\xa0", " ") if "&" in data else data.replace("\xa0", " ")
