@@ -29,7 +29,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from histlens.llm.common import Stages, byte_texts, partitions, slices
+from histlens.llm.common import Stages, byte_texts, kept_in_process, partitions, slices
 from histlens.llm.word_ids import END_ID, WordIds
 
 MAGIC = b"HLTOK1\n\0"
@@ -154,7 +154,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, text_co
             if not b.num_rows:
                 continue
             if encode is None:
-                encode = WordIds(tokenizer_path)
+                encode = kept_in_process(("word ids", tokenizer_path), lambda: WordIds(tokenizer_path))
                 width = bit_width(max(encode.vocabulary(), END_ID + 1))
                 path = f"{folder}/ids-{b.column(2)[0].as_py():06d}-{uuid.uuid4().hex[:12]}.tok"
                 system, at = _filesystem(path)

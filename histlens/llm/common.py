@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -69,6 +70,18 @@ def ascii_lower(col):
         F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
 
 
+def kept_in_process(key: tuple, make: Callable[[], object]) -> object:
+    """The object that this Python worker keeps under key, made at its first use.
+
+    A worker serves many tasks; what a coder has learned from one serves the next.  The memory of
+    each coder is bounded, and nothing that it remembers changes a result.
+    """
+    held = sys.__dict__.setdefault("_histlens_llm_kept", {})
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
     """The batches cut into short ones, so that few texts are Python objects at a time."""
     for b in batches:

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histlens.llm.common import byte_texts
+from histlens.llm.common import byte_texts, kept_in_process
 
 MARK = "▁"
 SHORT = 64                      # longer words are relaxed one by one with a heap
@@ -291,7 +291,7 @@ def encode_table(docs: DataFrame, model_path: str, text_col: str = "text", keep:
            + "n_pieces long, ids_crc32 long, decoded_crc32 long, round_trip boolean" + (", ids array<int>" if with_ids else ""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Encoder(model_path)
+        coder = kept_in_process(("pieces", model_path), lambda: Encoder(model_path))
         for b in byte_slices(batches, "_text"):
             texts = [t.decode("utf-8", "replace") for t in byte_texts(b, "_text")]
             ids = coder(texts)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from histlens.llm.common import Stages, byte_texts, slices
+from histlens.llm.common import Stages, byte_texts, kept_in_process, slices
 from histlens.llm.word_ids import END_ID, WordIds
 
 MAX_TOKENS = 2048
@@ -101,7 +101,8 @@ def document_pieces(docs: DataFrame, tokenizer_path: str, text_col: str = "text"
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = WordIds(tokenizer_path), np.array([END_ID], "<u4").tobytes()
+        encode = kept_in_process(("word ids", tokenizer_path), lambda: WordIds(tokenizer_path))
+        end = np.array([END_ID], "<u4").tobytes()
         for b in slices(batches):
             out = []
             for doc, ids in zip(b.column(0).to_pylist(), encode(byte_texts(b, "t"))):

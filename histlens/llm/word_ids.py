@@ -1,62 +1,72 @@
 """Token ids of whole texts with a tokenizer file, with a memory of words (inside tasks).
 
-The text is cut at spaces and line ends, and between a letter a-z and the comma or stop
-after it; the tokenizer itself always cuts there, so that the ids of the parts
-joined are the ids of the text.  That holds for tokenizers whose pre-tokenizer drops
-white space, lower-cases and splits letters from punctuation (word_bpe_49k.json).
+The text is cut at ASCII white space, and between a letter a-z and the comma or stop that ends a
+word; the tokenizer itself always cuts there, so that the ids of the parts joined are the
+ids of the text.  That holds for tokenizers whose pre-tokenizer drops white space, lower-cases and splits
+letters from punctuation, with byte-level letters (word_bpe_49k.json).  A word of letters alone is one
+pre-token and goes to the tokenizer's model directly, in the model's letters for bytes.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from unicodedata import is_normalized
 
 import numpy as np
 
 END_ID = 1
-_STOP = re.compile(rb"([a-z])([.,])(?=[ \n]|$)").sub
-_SPACE = re.compile(rb"[ \n]+").split
+_PLAIN = re.compile(rb"[a-z]+").fullmatch
 
 
-class WordIds:
-    """Callable: UTF-8 text to its ids as little-endian unsigned 32-bit bytes."""
+def _byte_letters() -> list[str]:
+    """The letter that byte-level tokenizers use for each byte: printable Latin-1 as itself, the others from U+0100 on."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    rest = iter(range(256, 512))
+    return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
-    LIMIT = 300_000                 # words remembered before the older half goes
+
+class WordIds(dict):
+    """Callable: UTF-8 texts to their ids as little-endian unsigned 32-bit bytes; itself the memory of words."""
+
+    LIMIT = 450_000                 # words remembered before the older half goes
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.now: dict[bytes, bytes] = {b"": b""}
+        self.model = self.tokenizer.model.tokenize
+        self.letters = _byte_letters()
         self.old: dict[bytes, bytes] = {}
 
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.now) + len(words) > self.LIMIT:
-            self.old, self.now = self.now, {b"": b""}
-        new = []
-        for w in words:
-            got = self.old.get(w)
-            if got is None:
-                new.append(w)
+    def __missing__(self, w: bytes) -> bytes:
+        got = self.old.get(w)
+        if got is None:
+            if _PLAIN(w):
+                got = np.array([t.id for t in self.model(w.decode())], "<u4").tobytes()
+            elif w[-1:] in (b",", b".") and w[-2:-1].isalpha():          # bytes: isalpha is a-z A-Z
+                got = self[w[:-1]] + self[w[-1:]]
             else:
-                self.now[w] = got
-        for i in range(0, len(new), 2000):
-            part = new[i : i + 2000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                self.now[w] = np.array(e.ids, "<u4").tobytes()
+                got = self._other(w.decode())
+        self[w] = got
+        return got
+
+    def _other(self, s: str) -> bytes:
+        low = s.lower() if "Σ" not in s else ""         # its lower case depends on its place
+        if low.isalpha() and is_normalized("NFC", s):
+            ids = [t.id for t in self.model("".join([self.letters[b] for b in low.encode()]))]
+        else:
+            ids = self.tokenizer.encode(s, add_special_tokens=False).ids
+        return np.array(ids, "<u4").tobytes()
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        out = []
-        for t in texts:
-            words = _SPACE(_STOP(rb"\1 \2", t.lower()) if b"<|" not in t else t)    # special tokens are matched as written
-            try:
-                out.append(b"".join(map(self.now.__getitem__, words)))
-            except KeyError:
-                have = self.now
-                self._learn({w for w in words if w not in have} if len(have) + len(words) <= self.LIMIT else set(words))
-                out.append(b"".join(map(self.now.__getitem__, words)))
-        return out
+        if len(self) > self.LIMIT:
+            self.old = dict(self)
+            self.clear()
+        # special tokens are matched as written
+        return [b"".join(map(self.__getitem__, (t.lower() if b"<|" not in t else t).split())) for t in texts]
 
     def vocabulary(self) -> int:
         return self.tokenizer.get_vocab_size(with_added_tokens=True)
