@@ -129,35 +129,29 @@ def distinct_pairs(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.select(a, b).distinct()
 
 
-def dense_group_id(df: DataFrame, key_cols: Sequence[str], name: str) -> DataFrame:
-    """WN7: distinct keys + dense id (1..) in ascending binary key order.
-
-    The ranking window has no partition key, so it runs in one task: it is
-    applied to the *distinct keys* only, which are dimension-sized (values of
-    a category attribute), never to event rows.
-    """
-    d = df.select(*key_cols).distinct()
-    return d.withColumn(name, F.dense_rank().over(Window.orderBy(*key_cols)))
-
-
-def dense_group_id_ranged(df: DataFrame, key_cols: Sequence[str], name: str, partitions: int) -> DataFrame:
-    """WN7 without a one-task window: distinct keys range-partitioned into
-    ``partitions`` ordered ranges, numbered inside each range by read order,
-    plus the count of all earlier ranges.  The numbered keys are stored once
-    (so ids and range bounds cannot change on recomputation); the offsets
-    table has one row per range (a proven bound) and is broadcast."""
-    from histlens.sources.store import materialise
-
-    d = (df.select(*key_cols).distinct().repartitionByRange(partitions, *key_cols)
-         .sortWithinPartitions(*key_cols).withColumn("_mid", F.monotonically_increasing_id()))
-    d = materialise(d, "dense_ids")
-    d = d.select(*key_cols, F.shiftright("_mid", 33).alias("_pid"),
-                 (F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))).alias("_loc"))
-    per = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    off = per.select("_pid", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+def dense_group_id(df: DataFrame, key_cols: Sequence[str], name: str, partitions: int | None = None,
+                   folder: str | None = None) -> DataFrame:
+    """WN7: distinct keys + dense id (1..) in ascending binary key order, without
+    a one-task window: the keys are range-partitioned, stored once, numbered
+    inside each range by read order, plus the number of keys in all earlier ranges
+    (one row per range, broadcast)."""
+    from histlens.operators.prefix import range_offsets, stored_in_order
+
+    d = stored_in_order(df.select(*key_cols).distinct().withColumn("_one", F.lit(1)), list(key_cols), f"ids_{name}", partitions, folder)
+    off = range_offsets(d, ["_one"])
     return (d.join(F.broadcast(off), "_pid")
-            .select(*key_cols, (F.col("_off") + F.col("_loc") + 1).cast("int").alias(name)))
+            .select(*key_cols, (F.col("_o__one") + F.col("_loc") + 1).cast("int").alias(name)))
+
+
+def dense_group_ids(df: DataFrame, keys: dict[str, tuple[Column, Column]], partitions: int | None = None,
+                    folder: str | None = None) -> DataFrame:
+    """WN7 for several keys of two text columns each, in one stored pass: (kind, k1, k2, gid)
+    where ``kind`` is the name in ``keys`` and gid counts from 1 in each kind."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("kind"), a.cast("string").alias("k1"), b.cast("string").alias("k2"))
+                                for n, (a, b) in keys.items()]))
+    d = dense_group_id(df.select(pairs.alias("_p")).select("_p.*"), ["kind", "k1", "k2"], "_g", partitions, folder)
+    first = d.groupBy("kind").agg(F.min("_g").alias("_first"))           # a row a kind
+    return d.join(F.broadcast(first), "kind").select("kind", "k1", "k2", (F.col("_g") - F.col("_first") + 1).alias("gid"))
 
 
 def first_k_max(df: DataFrame, group_cols: Sequence[str], ts_col: str, k: int, name: str) -> DataFrame:
@@ -186,11 +180,11 @@ def team_rate(involvement: DataFrame, key: str = "id", actor: str = "who",
               name: str = "teamWorkRate") -> DataFrame:
     """AG6/F10: per actor, share of its entities that have more than one actor.
 
-    ``involvement`` must be distinct ``(key, actor)``.  The actor count per
-    entity is a window over the distinct pairs (an entity's group is its
-    distinct actors, not its raw rows), then one aggregation by actor.
+    ``involvement`` must be distinct ``(key, actor)``.  The actors of an entity are
+    counted by an aggregation joined back (a hot entity's join partition can be
+    split, a window over it could not), then one aggregation by actor.
     """
-    n = F.count(F.lit(1)).over(Window.partitionBy(key))
-    team = involvement.select(actor, (n > 1).cast("int").alias("_team"))
+    n = involvement.groupBy(key).agg(F.count(F.lit(1)).alias("_actors"))
+    team = involvement.join(n, key).select(actor, (F.col("_actors") > 1).cast("int").alias("_team"))
     return team.groupBy(actor).agg(
         (F.sum("_team").cast("double") / F.count(F.lit(1)).cast("double")).alias(name))

@@ -1,16 +1,17 @@
-"""Running totals per entity that stay parallel when one entity is huge.
+"""Running totals in a total order that stay parallel when one entity is huge.
 
 ``prior_rate`` (WN1-WN3): for each row, successes of the same entity strictly
 before it divided by its position (the row itself counted).  A plain window
 ``partitionBy(entity)`` puts an entity in one task; an actor or an assignee
-value can own a third of all rows.  So entities above ``hot_rows`` rows are
-cut into time chunks at approximate quantiles, each chunk is a window
-partition of its own, and chunk offsets (per-chunk totals, prefix-summed over
-the few chunks of an entity) are added back.  Result is exact; only the chunk
-boundaries are approximate.
-
-Size bounds of the two broadcasts: at most N / hot_rows hot entities, each
-with ``chunks - 1`` boundaries and ``chunks`` offset rows.
+value can own a third of all rows.  So all rows are range-partitioned on
+(entity, order columns) - ties and NULL entities are cut like any other rows -
+and stored once; every range is its own window partition, and the totals of the
+ranges before are added to an entity that began in an earlier range.  One
+plan for every entity size.
+
+The offsets have at most one row per range (only a range's first entity can
+have begun earlier), a proven bound for their broadcast.  The number of ranges is
+the session's number of shuffle partitions, so ranges stay small as data grows.
 """
 
 from __future__ import annotations
@@ -20,101 +21,72 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 2_000_000   # rows one window task may sort comfortably
-CHUNKS = 256           # chunks of a hot entity
 
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-def hot_entities(df: DataFrame, entity: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Entities with more than ``hot_rows`` rows (at most N / hot_rows of them)."""
-    return (df.groupBy(entity).agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") > hot_rows).select(entity))
 
+def stored_in_order(df: DataFrame, order_cols, name: str, partitions: int | None = None, folder: str | None = None) -> DataFrame:
+    """Rows range-partitioned in ``order_cols`` order and stored once, with their
+    range ``_pid`` and their place ``_loc`` in it (both fixed from then on)."""
+    from histlens.sources.store import materialise
 
-def any_hot(inputs: Sequence[tuple[DataFrame, str]], hot_rows: int = HOT_ROWS) -> bool:
-    """One job answering "is any entity hot?" for several (frame, entity) inputs."""
-    parts = [hot_entities(df, e, hot_rows).select(F.lit(i).alias("_i")) for i, (df, e) in enumerate(inputs)]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return not u.isEmpty()
+    x = (df.repartitionByRange(partitions or shuffle_partitions(df), *order_cols).sortWithinPartitions(*order_cols)
+         .withColumn("_mid", F.monotonically_increasing_id()))
+    x = materialise(x, name, folder and f"{folder}/{name}")
+    return (x.withColumn("_pid", F.shiftright("_mid", 33))
+            .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))).drop("_mid"))
 
 
-def prior_rate(df: DataFrame, entity: str, order_cols: Sequence[str], flag: str, name: str,
-               hot_rows: int = HOT_ROWS, chunks: int = CHUNKS, check: bool = True) -> DataFrame:
+def prior_rate(df: DataFrame, entity: str | Sequence[str], order_cols: Sequence[str], flag: str, name: str,
+               partitions: int | None = None, folder: str | None = None) -> DataFrame:
     """Add ``name`` = (sum of ``flag`` before the row) / (row number) within ``entity``
-    in ``order_cols`` order (first column numeric time, the rest break ties).
-
-    One partial aggregation (rows per entity) decides at run time: without a
-    hot entity the plan is a single window; otherwise hot entities are split
-    into time chunks (``prior_rate_chunked``).  ``check=False`` skips the
-    test when the caller has already found that no entity is hot."""
-    if not check:
-        return prior_rate_plain(df, entity, order_cols, flag, name)
-    hot = hot_entities(df, entity, hot_rows)
-    if hot.isEmpty():
-        return prior_rate_plain(df, entity, order_cols, flag, name)
-    return prior_rate_chunked(df, hot, entity, order_cols, flag, name, chunks)
-
-
-def prior_rate_chunked(df: DataFrame, hot: DataFrame, entity: str, order_cols: Sequence[str], flag: str,
-                       name: str, chunks: int = CHUNKS) -> DataFrame:
-    """Two-level running totals: hot entities (``hot``, at most N / hot_rows
-    keys) cut into ``chunks`` time chunks at approximate quantiles."""
-    order_cols = list(order_cols)
-    ts = order_cols[0]
-    qs = [i / chunks for i in range(1, chunks)]
-    bounds = (df.join(F.broadcast(hot), entity, "left_semi")
-              .groupBy(entity).agg(F.percentile_approx(ts, qs, 10_000).alias("_b")))
-    chunk = F.when(F.col("_b").isNull(), F.lit(0)).otherwise(
-        F.size(F.filter(F.col("_b"), lambda b: b < F.col(ts))))
-    x = df.join(F.broadcast(bounds), entity, "left").withColumn("_c", chunk)
-
-    # offsets of every chunk of a hot entity: totals of the chunks before it
-    tot = (x.filter(F.col("_b").isNotNull()).groupBy(entity, "_c")
-           .agg(F.count(F.lit(1)).alias("_tn"), F.sum(flag).alias("_tf")))
-    wo = Window.partitionBy(entity).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select(entity, "_c", F.coalesce(F.sum("_tn").over(wo), F.lit(0)).alias("_on"),
-                     F.coalesce(F.sum("_tf").over(wo), F.lit(0)).alias("_of"))
-
-    w = Window.partitionBy(entity, "_c").orderBy(*order_cols)
+    (a column or several) in ``order_cols`` order; NULL entities are one entity."""
+    keys = [entity] if isinstance(entity, str) else list(entity)
+    x = stored_in_order(df, [*keys, *order_cols], f"ranged_{name}", partitions, folder)
+    w = Window.partitionBy("_pid", *keys).orderBy("_loc")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    y = (x.drop("_b")
-         .withColumn("_rn", F.row_number().over(w))
-         .withColumn("_fx", F.coalesce(F.sum(flag).over(before), F.lit(0)))
-         .join(F.broadcast(off), [entity, "_c"], "left"))
+    y = (x.withColumn("_rn", F.row_number().over(w))
+         .withColumn("_fx", F.coalesce(F.sum(flag).over(before), F.lit(0))))
+    tot = x.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_tn"), F.sum(flag).alias("_tf"))
+    wo = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)    # an entity's ranges
+    off = tot.select(F.col("_pid").alias("_op"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                     F.sum("_tn").over(wo).alias("_on"), F.sum("_tf").over(wo).alias("_of")).filter("_on > 0")
+    same = F.col("_pid") == F.col("_op")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    y = y.join(F.broadcast(off), same, "left")
     rate = ((F.col("_fx") + F.coalesce("_of", F.lit(0))).cast("double")
             / (F.col("_rn") + F.coalesce("_on", F.lit(0))).cast("double"))
-    return y.withColumn(name, rate).drop("_c", "_rn", "_fx", "_on", "_of")
+    return y.withColumn(name, rate).select(*df.columns, name)
 
 
-def prior_rate_plain(df: DataFrame, entity: str, order_cols: Sequence[str], flag: str, name: str) -> DataFrame:
-    """One window per entity (used when no entity is hot)."""
-    w = Window.partitionBy(entity).orderBy(*order_cols)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn(
-        name,
-        F.coalesce(F.sum(flag).over(before), F.lit(0)).cast("double") / F.row_number().over(w).cast("double"))
-
-
-def ranged_running_sum(df: DataFrame, order_cols, sum_cols: Sequence[str], partitions: int,
-                       inclusive: bool = True, prefix: str = "cum_") -> DataFrame:
+def ranged_running_sum(df: DataFrame, order_cols, sum_cols: Sequence[str], partitions: int | None = None,
+                       inclusive: bool = True, prefix: str = "cum_", folder: str | None = None) -> DataFrame:
     """Global running sums in ``order_cols`` order (Columns or names) without a
-    one-task window: range-partition, number rows by read order, stored once;
-    per-range windows (one task per range) plus per-range offsets (one row per
-    range, broadcast).  ``inclusive=False`` sums the rows strictly before."""
-    from histlens.sources.store import materialise
-
-    x = (df.repartitionByRange(partitions, *order_cols).sortWithinPartitions(*order_cols)
-         .withColumn("_mid", F.monotonically_increasing_id()))
-    x = materialise(x, "ranged")
-    x = (x.withColumn("_pid", F.shiftright("_mid", 33))
-         .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))))
+    one-task window: per-range windows plus per-range offsets (one row per range,
+    broadcast).  ``inclusive=False`` sums the rows strictly before."""
+    x = stored_in_order(df, order_cols, "ranged", partitions, folder)
     frame = (Window.unboundedPreceding, 0) if inclusive else (Window.unboundedPreceding, -1)
     w = Window.partitionBy("_pid").orderBy("_loc").rowsBetween(*frame)
-    tot = x.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
-    wo = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select("_pid", *[F.coalesce(F.sum(f"_t_{c}").over(wo), F.lit(0)).alias(f"_o_{c}") for c in sum_cols])
+    off = range_offsets(x, sum_cols)
     y = x.join(F.broadcast(off), "_pid")
     for c in sum_cols:
         y = y.withColumn(f"{prefix}{c}", F.coalesce(F.sum(c).over(w), F.lit(0)) + F.col(f"_o_{c}"))
-    return y.drop("_mid", "_pid", "_loc", *[f"_o_{c}" for c in sum_cols])
+    return y.drop("_pid", "_loc", *[f"_o_{c}" for c in sum_cols])
+
+
+def range_offsets(x: DataFrame, sum_cols: Sequence[str]) -> DataFrame:
+    """(_pid, _o_<col> ...): totals of all ranges before, one row per range.
+
+    A global aggregate gathers the ranges' totals (as many as there are
+    ranges) into one array; each range adds up those before it."""
+    tot = x.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
+    every = tot.agg(F.collect_list(F.struct("_pid", *[f"_t_{c}" for c in sum_cols])).alias("_all"))
+    one = every.select("_all", F.explode("_all").alias("_one"))
+
+    def before(c: str):
+        zero = F.col(f"_one._t_{c}") * 0
+        return F.aggregate(F.filter("_all", lambda r: r["_pid"] < F.col("_one._pid")), F.coalesce(zero, F.lit(0).cast("long")),
+                           lambda a, r: a + F.coalesce(r[f"_t_{c}"], a * 0))
+    return one.select("_one._pid", *[before(c).alias(f"_o_{c}") for c in sum_cols])

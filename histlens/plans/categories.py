@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from histlens.functions import ordered_buckets
-from histlens.operators import dense_group_id_ranged, latest_by, value_frequency
+from histlens.operators import dense_group_ids, latest_by, value_frequency
 from histlens.schema import DEFAULT_COMPONENT_MIN_CASES
 
 # --- fixed values: category rules (first match wins) -------------------------
@@ -127,27 +127,26 @@ def version_pairs(latest_vp: DataFrame) -> DataFrame:
     return latest_vp.select("Version", "Product").distinct()
 
 
-def version_category_from_pairs(pairs: DataFrame, segment_mode: str = "rank",
-                                range_partitions: int | None = None) -> DataFrame:
-    """D6 on distinct (Version, Product) pairs (dimension-sized).
+def version_category_from_pairs(pairs: DataFrame, segment_mode: str = "rank", partitions: int | None = None,
+                                folder: str | None = None) -> DataFrame:
+    """D6 on distinct (Version, Product) pairs.
 
-    Dense ids come from one pass of windows over the pairs (no partition key,
-    so one task: fine for a dimension).  With ``range_partitions`` set they
-    come from ``dense_group_id_ranged`` instead (no one-task step at all)."""
+    The four dense ids come from one range-partitioned, stored pass over their
+    distinct keys (no one-task step)."""
     p = (pairs.withColumn("_temp", clean_version_key("Version"))
          .withColumn("_major", F.substring("_temp", 1, 1))
          .withColumn("_minor", F.substring("_temp", 1, 2))
          .withColumn("_len", F.length("_temp"))
          .withColumn("_tt", (F.substring("_temp", 2, 1) == "0") & (F.col("_len") == 2)))
-    ids = [(["Product", "_major"], "MajorVersionProduct"), (["Product", "_minor"], "MinorVersionProduct"),
-           (["Product", "_temp"], "ServiceVersionProduct"), (["_tt", "_len"], "_seg")]
-    if range_partitions:
-        out = p
-        for keys, name in ids:
-            out = out.join(dense_group_id_ranged(p, keys, name, range_partitions), keys)
-    else:
-        # dense ids as window columns over the distinct pairs (one pass, no self-joins)
-        out = p.select("*", *[F.dense_rank().over(Window.orderBy(*keys)).alias(name) for keys, name in ids])
+    # text keys in the order of the values: false before true, lengths as numbers
+    tt, length = F.col("_tt").cast("int"), F.lpad(F.col("_len").cast("string"), 10, "0")
+    keys = {"MajorVersionProduct": (F.col("Product"), F.col("_major")), "MinorVersionProduct": (F.col("Product"), F.col("_minor")),
+            "ServiceVersionProduct": (F.col("Product"), F.col("_temp")), "_seg": (tt, length)}
+    ids = dense_group_ids(p, keys, partitions, folder)
+    out = p
+    for name, (a, b) in keys.items():
+        of = ids.filter(F.col("kind") == name).select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("gid").alias(name))
+        out = out.join(of, (a.cast("string") == F.col("_k1")) & (b == F.col("_k2"))).drop("_k1", "_k2")
     if segment_mode == "rank":
         label = F.lit(None).cast("string")
         for k, v in SEGMENT_LABELS.items():

@@ -1,9 +1,9 @@
 """the wide feature table, one row per bug of the target set.
 
-Instead of 29 left joins of separately computed feature tables, the history
-is joined to the base sample once (one shuffle by ``id``) and one aggregation
-computes every per-bug feature (counts, flags, latest / first values as
-``min`` of a struct, distinct counts).  Only features keyed by something else
+Instead of 29 left joins of separately computed feature tables, one aggregation
+of the history by ``id`` (before any join) computes counts, flags, time bounds and
+latest / first values (``min`` of a struct); one row per bug is then joined to the
+base sample.  Only features keyed by something else
 need their own shuffle: team rate (actor), software age (product, version),
 the five success rates (actor / assignee / reporter) and the two category
 tables.  Those arrive as narrow ``(id, value)`` frames joined on ``id``.
@@ -11,12 +11,11 @@ tables.  Those arrive as narrow ``(id, value)`` frames joined on ``id``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from histlens.functions import epoch_month, epoch_year, minutes_since
-from histlens.operators import first_by, latest_by, prior_rate
-from histlens.operators.prefix import HOT_ROWS, any_hot
+from histlens.operators import latest_by, prior_rate
 from histlens.plans import features as FT
 from histlens.plans.categories import (
     broad_os, component_category, compressed_priority, compressed_severity, detailed_os,
@@ -49,13 +48,11 @@ def _row(order: Column) -> Column:
     return F.struct(order.alias("_o"), F.col("what").alias("what"), F.col("who").alias("who"))
 
 
-def bug_stats(t: Tables, base: DataFrame, hi_minutes: int = DEFAULT_HI_MINUTES,
-              week_minutes: int = DEFAULT_WEEK_MINUTES) -> DataFrame:
-    """One aggregation over (history JOIN base) producing every per-bug statistic."""
-    ev = t.history.join(base.select("id", "opening", "reporter"), "id")
-    attr, what, ts, who = F.col("attr"), F.col("what"), F.col("ts"), F.col("who")
+def bug_stats(t: Tables) -> DataFrame:
+    """Every per-bug statistic that needs no opening time, from one aggregation of
+    the history by id (partial before the shuffle: raw texts are not moved)."""
+    attr, what, ts = F.col("attr"), F.col("what"), F.col("ts")
     at = attr == "assigned_to"
-    mins = minutes_since(ts, "opening")
     in_time, in_upd = attr.isin(list(TIME_ATTRS)), attr.isin(list(UPDATE_ATTRS))
     aggs = [
         F.count(F.when(at, what)).alias("_n_at"),
@@ -63,17 +60,43 @@ def bug_stats(t: Tables, base: DataFrame, hi_minutes: int = DEFAULT_HI_MINUTES,
         F.sum(F.when(attr == "short_desc", F.length(what))).alias("length"),
         F.count(F.when(attr == "cc", what)).alias("_n_cc"),
         F.count(F.when(attr == "status", F.lit(1))).alias("_n_status"),
-        F.max(F.when(in_time & (mins > 0) & (mins < hi_minutes), 1)).alias("_first_day"),
-        F.max(F.when(in_time & (mins > week_minutes), 1)).alias("_week"),
-        F.max(F.when(in_upd & (ts != F.col("opening")), 1)).alias("_upd"),
+        F.max(F.when(in_time, ts)).alias("_time_mx"),
+        F.min(F.when(in_upd, ts)).alias("_upd_mn"),
+        F.max(F.when(in_upd, ts)).alias("_upd_mx"),
         F.min(F.when(at, ts)).alias("_at_mn"),
         F.max(F.when(at, ts)).alias("_at_mx"),
         F.max(F.when(at & (what == "None"), 1)).alias("_at_none"),
-        F.min(F.when(at & (ts == F.col("opening")), F.struct(what.alias("what"), who.alias("who")))).alias("_at0"),
     ]
     aggs += [F.min(F.when(attr == a, _row(-ts))).alias(f"_last_{a}") for a in LATEST_ATTRS]
     aggs += [F.min(F.when(attr == a, _row(ts))).alias(f"_first_{a}") for a in FIRST_ATTRS]
-    return ev.groupBy("id").agg(*aggs)
+    return t.history.groupBy("id").agg(*aggs)
+
+
+def modified_early(t: Tables, base: DataFrame, hi_minutes: int) -> DataFrame:
+    """Distinct ids with an event within the first minutes, over narrow (id, ts) rows."""
+    mins = minutes_since(F.col("ts"), "opening")
+    ev = t.hs(TIME_ATTRS).select("id", "ts").join(base.select("id", "opening"), "id")
+    return ev.filter((mins > 0) & (mins < hi_minutes)).select("id").distinct()
+
+
+def prior_rates(parts: dict[str, tuple[DataFrame, str, list[str]]], folder: str | None) -> dict[str, DataFrame]:
+    """The running rates of several (frame, entity, order columns) in one ranged pass:
+    by name the columns (id, tie, <name>), tie being the text or number that breaks ties."""
+    rows = None
+    for name, (df, entity, order) in parts.items():
+        types = dict(df.dtypes)
+
+        def num(c):
+            return F.col(c) if c and types[c] != "string" else F.lit(None)
+
+        def text(c):
+            return F.col(c) if c and types[c] == "string" else F.lit(None)
+        tie = order[2] if len(order) > 2 else None
+        x = df.select(F.lit(name).alias("kind"), num(entity).cast("long").alias("e_num"), text(entity).cast("string").alias("e_text"),
+                      F.col(order[0]).alias("ts"), "id", num(tie).cast("long").alias("t_num"), text(tie).cast("string").alias("t_text"), "fixed")
+        rows = x if rows is None else rows.unionByName(x)
+    rated = prior_rate(rows, ["kind", "e_num", "e_text"], ["ts", "id", "t_num", "t_text"], "fixed", "rate", folder=folder)
+    return {name: rated.filter(F.col("kind") == name).withColumnRenamed("rate", name) for name in parts}
 
 
 def _nn(col: str, e: Column) -> Column:
@@ -82,13 +105,21 @@ def _nn(col: str, e: Column) -> Column:
 
 def master_table(t: Tables, base: DataFrame, hi_minutes: int = DEFAULT_HI_MINUTES,
                  week_minutes: int = DEFAULT_WEEK_MINUTES, k: int = DEFAULT_FIRST_K,
-                 segment_mode: str = "rank", hot_rows: int = HOT_ROWS) -> DataFrame:
-    # per-bug statistics are read by three branches below: store them once
-    st = materialise(bug_stats(t, base, hi_minutes, week_minutes), "bug_stats")
+                 segment_mode: str = "rank", folder: str | None = None) -> DataFrame:
+    """``folder``: where the stages that several branches read are stored (else the
+    session's checkpoint folder); the result reads them."""
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        return materialise(df, name, folder and f"{folder}/{name}")
+
+    st = stage(bug_stats(t), "bug_stats")
+    # assignments at the opening second: the inbox flags and two running rates
+    at_open = stage(FT.assignments_at_opening(t, base), "at_open")
+    at0 = at_open.groupBy("id").agg(F.min(F.struct("what", "who")).alias("_at0"))
+    early = modified_early(t, base, hi_minutes).withColumn("_first_day", F.lit(1))
     fixed = FT.is_fixed()
     # all base bugs with history; the target set (>= 1 product row) is cut
     # after the success rates, which run over every base bug
-    m = base.join(st, "id")
+    m = base.join(st, "id").join(at0, "id", "left").join(early, "id", "left")
     lw = lambda a, f: F.col(f"_last_{a}.{f}")
     fw = lambda a, f: F.col(f"_first_{a}.{f}")
     op = F.col("opening")
@@ -112,9 +143,9 @@ def master_table(t: Tables, base: DataFrame, hi_minutes: int = DEFAULT_HI_MINUTE
         F.when(F.col("_n_cc") > 0, F.col("_n_cc")).alias("numCC"),
         F.when(F.col("_at_mn") <= op, F.when(zero_assigned, 0).otherwise(1)).alias("isAssigned"),
         F.coalesce("_first_day", F.lit(0)).alias("isModWithinFirstDay"),
-        F.coalesce("_upd", F.lit(0)).alias("hasUpdateToAttributes"),
+        F.when((F.col("_upd_mn") != op) | (F.col("_upd_mx") != op), 1).otherwise(0).alias("hasUpdateToAttributes"),
         F.when(F.col("_n_status") > 0, F.col("_n_status") - 1).alias("numStatusUpdates"),
-        F.coalesce("_week", F.lit(0)).alias("isOpenForOneWeekOrMore"),
+        F.when(minutes_since(F.col("_time_mx"), "opening") > week_minutes, 1).otherwise(0).alias("isOpenForOneWeekOrMore"),
         epoch_year("opening").alias("year"), epoch_month("opening").alias("month"),
         _nn("_at0", FT.inbox_flag(F.col("_at0.what"))).alias("isAssignedToInbox"),
         _nn("_at0", FT.nobody_flag(F.col("_at0.what"))).alias("isAssignedToNobody"),
@@ -140,7 +171,7 @@ def master_table(t: Tables, base: DataFrame, hi_minutes: int = DEFAULT_HI_MINUTE
     lv = latest_by(t.h("version"), cols=["what", "ts"]).withColumnRenamed("what", "Version")
     lp = latest_by(t.h("product"), cols=["what"]).withColumnRenamed("what", "Product")
     lvp_all = lv.join(lp, "id")
-    vcat = version_category_from_pairs(lvp_all.select("Version", "Product").distinct(), segment_mode)
+    vcat = version_category_from_pairs(lvp_all.select("Version", "Product").distinct(), segment_mode, folder=folder)
     bd = FT.software_birthdays(lvp_all, k)
     vp = m.filter(F.col("_version").isNotNull()).select(
         "id", F.col("_version").alias("Version"), F.col("product").alias("Product"), "opening")
@@ -154,42 +185,36 @@ def master_table(t: Tables, base: DataFrame, hi_minutes: int = DEFAULT_HI_MINUTE
     # distinct counts as distinct-then-count (the distinct shuffles on (id, value),
     # so a bug with a huge history is spread); actors over all bugs serve both
     # the people count and the reporters' team rate
-    # one window over the distinct pairs gives each bug's actor count: it is
-    # the people count of a base bug and the team flag behind the team rate
-    inv = FT.involvement(t, base, all_ids=True)
-    pairs = inv.select("id", "who", F.count(F.lit(1)).over(Window.partitionBy("id")).alias("_n"))
-    people = (pairs.groupBy("id").agg(F.max("_n").alias("numPeopleInvolved"))
-              .join(base.select("id"), "id", "left_semi"))
-    rates = pairs.groupBy("who").agg(
-        (F.sum((F.col("_n") > 1).cast("int")).cast("double") / F.count(F.lit(1)).cast("double")).alias("teamWorkRate"))
+    # the distinct pairs and the actor count of each bug are stored once; the count
+    # is the people count of a base bug and the team flag behind the team rate
+    pairs = stage(FT.involvement(t, base, all_ids=True), "involvement")
+    actors = stage(pairs.groupBy("id").agg(F.count(F.lit(1)).alias("numPeopleInvolved")), "actors")
+    people = actors.join(base.select("id"), "id", "left_semi")
+    rates = pairs.join(actors, "id").groupBy("who").agg(
+        (F.sum((F.col("numPeopleInvolved") > 1).cast("int")).cast("double") / F.count(F.lit(1)).cast("double")).alias("teamWorkRate"))
     team = (base.select("id", "reporter")
             .join(rates, F.col("reporter") == F.col("who"), "left")
             .select("id", "teamWorkRate"))
     reassign = FT.num_reassignments(t, base)
 
-    # assignments at the opening second feed the hot-key check and two windows: store once
-    at_open = materialise(FT.assignments_at_opening(t, base), "at_open")
     last_at = m.filter(F.col("lastAssigner").isNotNull()).select(
         "id", F.col("lastAssignee").alias("what"), F.col("lastAssigner").alias("who"),
         F.col("_last_at_ts").alias("ts"), "fixed")
     rep = base.select("id", "reporter", "opening", fixed.alias("fixed"))
-    # one job decides for all five running rates whether any entity is hot
-    chk = any_hot([(at_open, "who"), (at_open, "what"), (last_at, "who"), (last_at, "what"), (rep, "reporter")],
-                  hot_rows)
-    r_first_assigner = prior_rate(at_open, "who", ["ts", "id", "what"], "fixed", "rateFirstAssigner",
-                                  check=chk, hot_rows=hot_rows)
-    r_first_assigner = first_by(r_first_assigner.withColumn("_z", F.lit(0)), order_col="_z",
-                                cols=["who", "rateFirstAssigner"]).withColumnRenamed("who", "firstAssigner")
-    r_first_assignee = prior_rate(at_open, "what", ["ts", "id", "who"], "fixed", "rateFirstAssignee",
-                                  check=chk, hot_rows=hot_rows)
-    r_first_assignee = first_by(r_first_assignee.withColumn("_z", F.lit(0)), order_col="_z",
-                                cols=["what", "rateFirstAssignee"]).withColumnRenamed("what", "firstAssignee")
-    r_last_assigner = prior_rate(last_at, "who", ["ts", "id"], "fixed", "rateLastAssigner",
-                                 check=chk, hot_rows=hot_rows).select("id", "rateLastAssigner")
-    r_last_assignee = prior_rate(last_at, "what", ["ts", "id"], "fixed", "rateLastAssignee",
-                                 check=chk, hot_rows=hot_rows).select("id", "rateLastAssignee")
-    r_reporter = prior_rate(rep, "reporter", ["opening", "id"], "fixed", "rateReporter",
-                            check=chk, hot_rows=hot_rows).select("id", "rateReporter")
+    rate = prior_rates({
+        "rateFirstAssigner": (at_open, "who", ["ts", "id", "what"]), "rateFirstAssignee": (at_open, "what", ["ts", "id", "who"]),
+        "rateLastAssigner": (last_at, "who", ["ts", "id"]), "rateLastAssignee": (last_at, "what", ["ts", "id"]),
+        "rateReporter": (rep, "reporter", ["opening", "id"])}, folder)
+
+    def first_of(name: str, entity: str, ties: list[str], alias: str) -> DataFrame:
+        """Of several assignments at the opening the first in tie order."""
+        r = rate[name].groupBy("id").agg(F.min(F.struct(*dict.fromkeys([*ties, entity]), name)).alias("_f"))
+        return r.select("id", F.col(f"_f.{entity}").alias(alias), f"_f.{name}")
+    r_first_assigner = first_of("rateFirstAssigner", "e_num", ["t_text", "e_num"], "firstAssigner")
+    r_first_assignee = first_of("rateFirstAssignee", "e_text", ["e_text", "t_num"], "firstAssignee")
+    r_last_assigner = rate["rateLastAssigner"].select("id", "rateLastAssigner")
+    r_last_assignee = rate["rateLastAssignee"].select("id", "rateLastAssignee")
+    r_reporter = rate["rateReporter"].select("id", "rateReporter")
 
     out = (m.filter("_is_target").join(comp_cat, "component", "left")
            .join(version, "id", "left").join(age, "id", "left").join(team, "id", "left")

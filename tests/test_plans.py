@@ -1,6 +1,10 @@
 """Plan checks on the wide table and the model search."""
 
-from histlens.plans.master import MASTER_COLUMNS, bug_stats
+import re
+
+import pytest
+
+from histlens.plans.master import MASTER_COLUMNS, bug_stats, modified_early
 from histlens.plans.registry import setup
 from histlens.plans.registry import queries
 
@@ -19,7 +23,7 @@ def test_master_shape_and_unique_ids(spark):
 
 def test_no_cartesian_no_python_in_features(spark):
     t, b = setup(spark, SF)
-    p = _plan(bug_stats(t, b))
+    p = _plan(bug_stats(t)) + _plan(modified_early(t, b, 4321))
     for bad in ("CartesianProduct", "BatchEvalPython", "ArrowEvalPython", "BroadcastNestedLoopJoin"):
         assert bad not in p
 
@@ -30,19 +34,21 @@ def test_partition_pruning_on_ingested_history(spark):
     assert "PartitionFilters: [isnotnull(attr" in p and "status" in p
 
 
-def test_subset_search_has_no_join(spark):
-    p = _plan(queries()["nb_subset_search"](spark, SF))
-    assert "Join" not in p and "CartesianProduct" not in p
+def test_ingest_reads_lineitem_once(spark):
+    from histlens.plans.registry import raw_tables
+    t = raw_tables(spark, SF)
+    assert _plan(t.history).count("FileScan") == 1
+    for a in ("status", "short_desc"):
+        assert t.hs([a]).drop("attr").exceptAll(t.h(a)).isEmpty() and t.h(a).exceptAll(t.hs([a]).drop("attr")).isEmpty()
 
 
-def test_master_with_every_entity_hot_equals_default(spark):
-    from helpers import rows
+def test_subset_search_explodes_after_scoring(spark):
+    p = _plan(queries()["nb_subset_search"](spark, SF))
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p and p.count("Generate explode") == 1
 
-    from histlens.plans.master import master_table
-    t, b = setup(spark, SF)
-    a = master_table(t, b, hi_minutes=4321)
-    h = master_table(t, b, hi_minutes=4321, hot_rows=2)   # chunked running rates everywhere
-    assert rows(a) == rows(h)
+
+def test_team_rate_has_no_window(spark):
+    assert "Window" not in _plan(queries()["feat_team_work"](spark, SF))
 
 
 def test_master_invariant_under_repartitioned_inputs(spark):
@@ -58,20 +64,22 @@ def test_master_invariant_under_repartitioned_inputs(spark):
     assert rows(master_table(t, b, hi_minutes=4321)) == rows(master_table(shuffled, b.repartition(3), hi_minutes=4321))
 
 
-def test_single_partition_only_after_a_reduction(spark):
-    """A one-task exchange may only sit on an aggregate (distinct keys,
-    partial counts), never directly on event rows."""
-    import re
+STRICT = ["master_table", "version_category", "feat_version", "roc_curve_rate", "auc", "holdout_split_exact", "nb_fit", "nb_predict",
+          "nb_subset_search", "feat_team_work", "feat_success_rate_reporter", "repair_records"]
 
+
+@pytest.mark.parametrize("name", STRICT)
+def test_single_partition_only_under_a_global_aggregate(spark, name):
+    """A one-task exchange carries partial aggregates of a global aggregate and nothing else."""
     from histlens.plans.master import master_table
-    t, b = setup(spark, SF)
-    lines = [re.sub(r"^[\s:+\-]*", "", x) for x in _plan(master_table(t, b, hi_minutes=4321)).split("\n")]
+    df = queries()[name](spark, SF)
+    if name == "master_table":
+        df = master_table(*setup(spark, SF), hi_minutes=4321)
+    lines = [re.sub(r"^[\s:+\-]*", "", x) for x in _plan(df).split("\n")]
     for i, line in enumerate(lines):
         if line.startswith("Exchange SinglePartition"):
-            below = next(x for x in lines[i + 1:] if re.match(r"(\*\(\d+\) )?(HashAggregate|SortAggregate|"
-                                                               r"ObjectHashAggregate|Scan|Exchange|BroadcastHashJoin|"
-                                                               r"SortMergeJoin)", x))
-            assert "Aggregate" in below, (line, below)
+            below = lines[i + 1]
+            assert "Aggregate" in below and "keys=[]" in below and "partial_" in below, (line, below)
 
 
 def test_recommended_conf_scales_with_input():

@@ -6,7 +6,15 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from histlens.operators import first_k_max, latest_by
-from histlens.operators.prefix import prior_rate, prior_rate_plain
+from histlens.operators.prefix import prior_rate
+
+
+def prior_rate_plain(df, entity, order_cols, flag, name):
+    """One window per entity."""
+    from pyspark.sql import Window
+    w = Window.partitionBy(entity).orderBy(*order_cols)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    return df.withColumn(name, F.coalesce(F.sum(flag).over(before), F.lit(0)).cast("double") / F.row_number().over(w).cast("double"))
 
 
 def _skewed(spark, n=3000, seed=7):
@@ -18,10 +26,10 @@ def _skewed(spark, n=3000, seed=7):
     return spark.createDataFrame(data, "id LONG, who LONG, ts LONG, fixed INT, what STRING")
 
 
-def test_chunked_prior_rate_equals_plain(spark):
+def test_ranged_prior_rate_equals_plain(spark):
     df = _skewed(spark)
     plain = rows(prior_rate_plain(df, "who", ["ts", "id"], "fixed", "r"), "id", "r")
-    split = rows(prior_rate(df, "who", ["ts", "id"], "fixed", "r", hot_rows=100, chunks=16), "id", "r")
+    split = rows(prior_rate(df, "who", ["ts", "id"], "fixed", "r", partitions=16), "id", "r")
     assert len(plain) == len(split) == 3000
     for a, b in zip(plain, split):
         assert a[0] == b[0] and abs(a[1] - b[1]) < 1e-12
@@ -51,85 +59,83 @@ def test_repartition_invariance(spark):
     assert a == b
 
 
-def test_ranged_dense_ids_equal_window_dense_rank(spark):
-    import random
+def test_prior_rate_cuts_ties_and_nulls(spark):
+    """One entity (or a NULL one) with one time: the rows are still spread over the ranges."""
+    from pyspark.sql import Window
+    df = spark.range(4000).select("id", F.lit(5).cast("long").alias("ts"), (F.col("id") % 3 == 0).cast("int").alias("fixed"),
+                                  F.when(F.col("id") < 2000, F.lit(1)).cast("long").alias("who"))
+    got = prior_rate(df, "who", ["ts", "id"], "fixed", "r", partitions=8)
+    assert rows(got, "id", "r") == rows(prior_rate_plain(df, "who", ["ts", "id"], "fixed", "r"), "id", "r")
+    from histlens.operators.prefix import stored_in_order
+    sizes = stored_in_order(df, ["who", "ts", "id"], "t", 8).groupBy("_pid").count().toPandas()["count"]
+    assert len(sizes) == 8 and sizes.max() < 1000 and Window is not None
+
+
+def test_dense_ids_equal_window_dense_rank(spark):
+    from pyspark.sql import Window
 
-    from histlens.operators import dense_group_id, dense_group_id_ranged
+    from histlens.operators import dense_group_id
     rnd = random.Random(5)
     data = [(rnd.choice(["JDT", "CDT", "PDE", "Platform", "X"]), rnd.choice("0123456789ab") * rnd.randint(1, 3))
             for _ in range(2000)]
     df = spark.createDataFrame(data, "p STRING, v STRING")
-    a = rows(dense_group_id(df, ["p", "v"], "g"), "p", "v", "g")
-    b = rows(dense_group_id_ranged(df, ["p", "v"], "g", 7), "p", "v", "g")
+    a = rows(df.distinct().withColumn("g", F.dense_rank().over(Window.orderBy("p", "v"))), "p", "v", "g")
+    b = rows(dense_group_id(df, ["p", "v"], "g", 7), "p", "v", "g")
     assert a == b and len(a) > 20
 
 
-def test_version_category_ranged_mode_equals_window_mode(spark):
-    from histlens.plans.categories import latest_version_product, version_category_from_pairs, version_pairs
-    from histlens.plans.registry import setup
-    t, _ = setup(spark, "/root/testdata/sf0.01")
-    pairs = version_pairs(latest_version_product(t.h("version"), t.h("product")))
-    a = rows(version_category_from_pairs(pairs))
-    b = rows(version_category_from_pairs(pairs, range_partitions=5))
-    assert a == b
-
-
-def test_ranged_roc_and_auc_equal_window_forms(spark):
-    import random
+def test_roc_and_auc_equal_pairwise_definition(spark):
+    import numpy as np
 
     from histlens.plans.model import auc, roc_curve
     rnd = random.Random(11)
     df = spark.createDataFrame([(rnd.randint(0, 1), round(rnd.random(), 2)) for _ in range(3000)], "y INT, s DOUBLE")
-    a = rows(roc_curve(df, "s", "y"), "threshold", "fpr", "tpr")
-    b = rows(roc_curve(df, "s", "y", range_partitions=6), "threshold", "fpr", "tpr")
-    assert len(a) > 50 and all(x[0] == y[0] and abs(x[1] - y[1]) < 1e-12 and abs(x[2] - y[2]) < 1e-12
-                               for x, y in zip(a, b))
-    assert abs(auc(df, "s", "y").first()["auc"] - auc(df, "s", "y", range_partitions=6).first()["auc"]) < 1e-12
-    # against the pairwise definition
     pdf = df.toPandas()
-    pos, neg = pdf[pdf.y == 1].s.tolist(), pdf[pdf.y == 0].s.tolist()
-    import numpy as np
-    p, n = np.array(pos)[:, None], np.array(neg)[None, :]
+    pos, neg = pdf[pdf.y == 1].s.to_numpy(), pdf[pdf.y == 0].s.to_numpy()
+    got = {r.threshold: (r.fpr, r.tpr) for r in roc_curve(df, "s", "y", partitions=6).collect()}
+    assert got.pop(None) == (0.0, 0.0) and set(got) == set(pdf.s)
+    for t, (fpr, tpr) in got.items():
+        assert abs(fpr - (neg >= t).mean()) < 1e-12 and abs(tpr - (pos >= t).mean()) < 1e-12
+    p, n = pos[:, None], neg[None, :]
     want = ((p > n).sum() + 0.5 * (p == n).sum()) / (len(pos) * len(neg))
-    assert abs(auc(df, "s", "y", range_partitions=6).first()["auc"] - want) < 1e-9
+    assert abs(auc(df, "s", "y", partitions=6).first()["auc"] - want) < 1e-9
 
 
-def test_hot_bug_join_is_split_by_aqe(spark):
-    """One bug owning half of the history: the history JOIN base of the fused
-    aggregation runs as a skew-split sort-merge join (final adaptive plan)."""
+def test_bug_stats_reduce_before_the_shuffle(spark):
+    """One aggregation of the history, partial below its only exchange, no join: texts stay where they are."""
     from histlens.plans.master import bug_stats
-    from histlens.schema import ATTRS
-    from histlens.sources.tables import Tables
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k"}
-    old = {k: spark.conf.get(k, None) for k in conf}
-    try:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-        n = 300_000
-        hist = spark.range(n).select(
-            F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 3000).cast("long").alias("id"),
-            F.concat(F.lit("v"), (F.col("id") % 7).cast("string")).alias("what"),
-            (F.col("id") * 13 % 100000).alias("ts"), (F.col("id") % 300).alias("who"))
-        hist = hist.select(F.element_at(F.array(*[F.lit(a) for a in ATTRS]), (F.col("ts") % 11 + 1).cast("int"))
-                           .alias("attr"), "*")
-        reports = spark.range(3000).select("id", F.lit("FIXED").alias("current_resolution"),
-                                           F.lit("NEW").alias("current_status"),
-                                           F.lit(50000).cast("long").alias("opening"), (F.col("id") % 100).alias("reporter"))
-        t = Tables(reports, {a: hist.filter(F.col("attr") == a).drop("attr") for a in ATTRS}, hist)
-        st = bug_stats(t, reports, 4321)
-        out = st.collect()
-        assert len(out) == hist.select("id").distinct().count()
-        final = st._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin(skew=true)" in final
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    from histlens.plans.registry import setup
+    t, _ = setup(spark, "/root/testdata/sf0.001")
+    lines = bug_stats(t)._jdf.queryExecution().executedPlan().toString().split("\n")
+    assert not any("Join" in x for x in lines)
+    at = [i for i, x in enumerate(lines) if "Exchange" in x]
+    assert len(at) == 1 and any("Aggregate" in x and "partial_" in x for x in lines[at[0]:])
+
+
+def test_naive_bayes_with_many_text_values(spark):
+    """A text feature of 200,000 values is fitted and scored by joins."""
+    from histlens.plans.model import nb_fit, nb_predict
+    df = spark.range(400_000).select("id", (F.col("id") % 2).cast("int").alias("target"),
+                                     F.concat(F.lit("v"), (F.col("id") % 200_000).cast("string")).alias("who"))
+    model = nb_fit(df, ["who"])
+    assert model.filter("value IS NOT NULL").count() == 200_000
+    pred = nb_predict(df.filter("id < 1000"), model, ["who"])
+    # by the contract an unseen value counts 0.001, more than these rare shares of 0.00001: the other class wins
+    assert pred.filter("pred = target").count() == 0 and pred.columns == ["id", "target", "who", "pred"]
+    common = df.withColumn("who", F.concat(F.lit("v"), (F.col("id") % 100).cast("string")))
+    assert nb_predict(common.filter("id < 1000"), nb_fit(common, ["who"]), ["who"]).filter("pred <> target").count() == 0
+
+
+def test_test_rows_never_touch_the_outer_holdout(spark):
+    from histlens.plans.model import SPLIT_P, SPLIT_SEEDS, hash_unit, nested_split, train_test
+    df = spark.range(20_000)
+    train, test = train_test(df)
+    outside = hash_unit(F.col("id"), SPLIT_SEEDS[0]) >= SPLIT_P
+    assert train.filter(outside).count() == test.filter(outside).count() == 0
+    parts = {r.part: r["count"] for r in nested_split(df).groupBy("part").count().collect()}
+    assert parts["train"] == train.count() and parts["test"] == test.count()
+    for part, share in (("train", 0.49), ("test", 0.21), ("holdout", 0.3)):
+        assert abs(parts[part] / 20_000 - share) < 0.02
 
 
 def test_first_k_has_partial_group_limit_before_shuffle(spark):
@@ -151,6 +157,6 @@ def test_exact_split_equals_sorting_everything(spark):
     for p in (0.05, 0.5, 0.7, 0.999):
         k = math.ceil(p * len(ranked))
         want = set(ranked["id"].iloc[:k])
-        got = holdout_split_exact(df, p=p, seed=7, accuracy=100)
+        got = holdout_split_exact(df, p=p, seed=7, buckets=100)
         train = {r["id"] for r in got.filter("is_train").select("id").collect()}
         assert got.count() == 20_000 and train == want, p
