@@ -3,8 +3,12 @@
 Naive Bayes factorises by feature, so the 200-model search needs one fit,
 one scoring pass and one aggregation: every test row gets a per-feature
 log-likelihood difference, every subset's prediction is a sum over its
-features, and ``posexplode`` + a partial aggregation count the confusion
-matrix of all subsets at once (no loop over models, no join).
+features, the positive predictions are exploded and counted by subset and label, and
+the negatives follow from the totals (no loop over models).
+
+The fitted model is a DataFrame.  Its numeric part (one row per feature and
+class) is small by construction and comes to the driver as constants; the
+frequencies of text values grow with the data and are joined.
 
 Model contract (numeric -> Gaussian, text -> frequency table, laplace 0):
 prior = class count; sample standard deviation, sd <= 0 or undefined ->
@@ -38,7 +42,7 @@ THRESHOLD = 0.001          # replaces zero densities and zero standard deviation
 SPLIT_P = 0.7
 SPLIT_SEEDS = (162534, 162535)
 SEARCH_SEED = 162534
-MAX_MODEL_ROWS = 100_000   # size guard: the fitted statistics are brought to the driver
+SPLIT_BUCKETS = 1 << 16    # hash ranges of the exact split
 LOG_SQRT_2PI = 0.5 * math.log(2 * math.pi)
 
 
@@ -61,33 +65,42 @@ def holdout_split(df: DataFrame, key: str = "id", p: float = SPLIT_P, seed: int
 
 
 def holdout_split_exact(df: DataFrame, key: str = "id", p: float = SPLIT_P, seed: int = SPLIT_SEEDS[0],
-                        name: str = "is_train", accuracy: int = 1_000_000) -> DataFrame:
+                        name: str = "is_train", buckets: int = SPLIT_BUCKETS) -> DataFrame:
     """ML1, exact mode: exactly ``ceil(p * n)`` training rows, those with the
     smallest hash (ties by key), without a global sort.
 
-    Approximate quantiles at ``p -/+ 2/accuracy`` bracket the k-th smallest
-    hash (rank error <= n / accuracy), rows below the lower bound are training
-    rows, and only the band between the bounds (about 6 n / accuracy rows) is
-    ranked exactly in one window.  n, k and the bounds are scalar subqueries."""
-    x = df.withColumn("_u", hash_unit(F.col(key), seed))
-    eps = 2.0 / accuracy
-    k = F.ceil(F.lit(p) * x.agg(F.count(F.lit(1))).scalar())
-    lo = x.agg(F.percentile_approx("_u", max(p - eps, 0.0), accuracy)).scalar()
-    hi = x.agg(F.percentile_approx("_u", min(p + eps, 1.0), accuracy)).scalar()
-    below = x.filter(F.col("_u") < lo).agg(F.count(F.lit(1))).scalar()
-    if p - eps <= 0.0:
-        lo, below = F.lit(-1.0), F.lit(0)
-    outside = x.filter((F.col("_u") < lo) | (F.col("_u") > hi)).withColumn(name, F.col("_u") < lo)
-    band = x.filter((F.col("_u") >= lo) & (F.col("_u") <= hi))
-    band = band.withColumn(name, below + F.row_number().over(Window.orderBy("_u", key)) <= k)
-    return outside.unionByName(band).drop("_u")
-
-
-def train_test(df: DataFrame, key: str = "id", p: float = SPLIT_P, seeds=SPLIT_SEEDS) -> DataFrame:
-    """ML1+ML2: training rows = in the training part of two nested splits
-    (about p*p of the rows); every other row is a test row."""
-    tr = (hash_unit(F.col(key), seeds[0]) < p) & (hash_unit(F.col(key), seeds[1]) < p)
-    return df.withColumn("is_train", tr)
+    Rows are counted by hash range (``buckets`` of them, one partial
+    aggregation); the counts say in which range the last training row lies.
+    Ranges below are training rows, ranges above are not, and only that
+    one range (n / buckets rows) is ranked."""
+    x = df.withColumn("_u", hash_unit(F.col(key), seed)).withColumn("_b", F.floor(F.col("_u") * buckets).cast("int"))
+    counts = x.groupBy("_b").agg(F.count(F.lit(1)).alias("c"))
+    every = counts.agg(F.sort_array(F.collect_list(F.struct("_b", "c"))).alias("a"), F.ceil(F.lit(p) * F.sum("c")).alias("k"))
+    # the range that holds row k, and the rows before it
+    step = F.aggregate("a", F.struct(F.lit(-1).alias("b"), F.lit(0).cast("long").alias("before"), F.lit(0).cast("long").alias("seen")),
+                       lambda s, r: F.when(s["seen"] >= F.col("k"), s).otherwise(
+                           F.struct(r["_b"].alias("b"), s["seen"].alias("before"), (s["seen"] + r["c"]).alias("seen"))))
+    cut = every.select(step.alias("s"), "k").select(F.struct(F.col("s.b").alias("b"), F.col("s.before").alias("before"), "k").alias("cut"))
+    x = x.withColumn("_cut", F.coalesce(cut.scalar(), F.lit(None)))
+    outside = x.filter(F.col("_b") != F.col("_cut.b")).withColumn(name, F.col("_b") < F.col("_cut.b"))
+    band = x.filter(F.col("_b") == F.col("_cut.b"))
+    rank = F.row_number().over(Window.partitionBy("_b").orderBy("_u", key))
+    band = band.withColumn(name, F.col("_cut.before") + rank <= F.col("_cut.k"))
+    return outside.unionByName(band).drop("_u", "_b", "_cut")
+
+
+def nested_split(df: DataFrame, key: str = "id", p: float = SPLIT_P, seeds=SPLIT_SEEDS, name: str = "part") -> DataFrame:
+    """ML1+ML2: ``train`` = in the training part of both splits, ``test`` = in the
+    outer training part but not the inner one, ``holdout`` = not in the outer
+    training part (never used by the search or the final model)."""
+    outer, inner = hash_unit(F.col(key), seeds[0]) < p, hash_unit(F.col(key), seeds[1]) < p
+    return df.withColumn(name, F.when(~outer, "holdout").when(inner, "train").otherwise("test"))
+
+
+def train_test(df: DataFrame, key: str = "id", p: float = SPLIT_P, seeds=SPLIT_SEEDS) -> tuple[DataFrame, DataFrame]:
+    """The training and the test rows of the nested split; the holdout is left out."""
+    s = nested_split(df, key, p, seeds, "_part")
+    return s.filter(F.col("_part") == "train").drop("_part"), s.filter(F.col("_part") == "test").drop("_part")
 
 
 def random_subsets(features: Sequence[str] = SEARCH_FEATURES, tries: int = TRIES,
@@ -132,37 +145,41 @@ def nb_fit(train: DataFrame, features: Sequence[str], target: str = "target") ->
     if txt:
         stacked = ", ".join(f"'{f}', CAST(`{f}` AS STRING)" for f in txt)
         long = train.selectExpr(f"CAST({target} AS INT) AS class", f"stack({len(txt)}, {stacked}) AS (feature, value)")
-        cnt = long.filter(F.col("value").isNotNull()).groupBy("feature", "class", "value").agg(F.count(F.lit(1)).alias("n"))
-        w = Window.partitionBy("feature", "class")
-        parts.append(cnt.select("feature", "class", "value", "n", F.lit(None).cast("double").alias("mean"),
-                                F.lit(None).cast("double").alias("sd"),
-                                (F.col("n") / F.sum("n").over(w)).alias("p")))
+        long = long.filter(F.col("value").isNotNull())
+        cnt = long.groupBy("feature", "class", "value").agg(F.count(F.lit(1)).alias("n"))
+        tot = long.groupBy("feature", "class").agg(F.count(F.lit(1)).alias("_t"))     # a row per feature and class
+        parts.append(cnt.join(F.broadcast(tot), ["feature", "class"]).select(
+            "feature", "class", "value", "n", F.lit(None).cast("double").alias("mean"),
+            F.lit(None).cast("double").alias("sd"), (F.col("n") / F.col("_t")).alias("p")))
     return reduce(DataFrame.unionByName, parts)
 
 
 def model_params(model: DataFrame) -> dict:
-    """Bring the fitted statistics to the driver (bounded: features x classes
-    x text values; guarded by MAX_MODEL_ROWS)."""
-    rows = model.limit(MAX_MODEL_ROWS + 1).collect()
-    if len(rows) > MAX_MODEL_ROWS:
-        raise ValueError("model too large to plan as expressions")
-    prior, gauss, table = {}, {}, {}
-    for r in rows:
+    """Priors and Gaussian statistics as constants: at most (1 + features) x classes rows."""
+    prior, gauss = {}, {}
+    for r in model.filter(F.col("value").isNull()).collect():
         if r["feature"] == "":
             prior[r["class"]] = r["n"]
-        elif r["value"] is None:
-            gauss[(r["feature"], r["class"])] = (r["mean"], r["sd"])
         else:
-            table[(r["feature"], r["class"], r["value"])] = r["p"]
-    return {"prior": prior, "gauss": gauss, "table": table, "classes": sorted(prior)}
+            gauss[(r["feature"], r["class"])] = (r["mean"], r["sd"])
+    return {"prior": prior, "gauss": gauss, "classes": sorted(prior)}
+
+
+def _with_text_probs(df: DataFrame, model: DataFrame, features: Sequence[str], classes: Sequence[int]) -> DataFrame:
+    """Add ``_p_<feature>_<class>``, the share of the row's text value in each class
+    (NULL if it never occurs), by a join on the value."""
+    for f in features:
+        if _is_text(df, f):
+            of = (model.filter((F.col("feature") == f) & F.col("value").isNotNull()).groupBy(F.col("value").alias("_v"))
+                  .agg(*[F.max(F.when(F.col("class") == c, F.col("p"))).alias(f"_p_{f}_{c}") for c in classes]))
+            df = df.join(of, F.col(f) == F.col("_v"), "left").drop("_v")
+    return df
 
 
 def _log_lik(df: DataFrame, params: dict, f: str, c: int) -> Column:
     x = F.col(f)
     if _is_text(df, f):
-        probs = {v: p for (ff, cc, v), p in params["table"].items() if ff == f and cc == c}
-        m = F.create_map(*[e for v, p in sorted(probs.items()) for e in (F.lit(v), F.lit(float(p)))]) if probs else None
-        prob = F.coalesce(m[x] if m is not None else F.lit(None).cast("double"), F.lit(0.0))
+        prob = F.coalesce(F.col(f"_p_{f}_{c}"), F.lit(0.0))
     else:
         mean, sd = params["gauss"].get((f, c), (None, None))
         if mean is None:
@@ -175,54 +192,48 @@ def _log_lik(df: DataFrame, params: dict, f: str, c: int) -> Column:
 
 
 def nb_scores(df: DataFrame, params: dict, features: Sequence[str]) -> dict[str, dict[int, Column]]:
+    """Log likelihood columns per feature and class, of a frame with its text shares."""
     return {f: {c: _log_lik(df, params, f, c) for c in params["classes"]} for f in features}
 
 
-def nb_predict(df: DataFrame, params: dict, features: Sequence[str], name: str = "pred") -> DataFrame:
+def nb_predict(df: DataFrame, model: DataFrame, features: Sequence[str], name: str = "pred") -> DataFrame:
     """ML5: class with the largest log prior + sum of log likelihoods (first class on ties)."""
-    ll = nb_scores(df, params, features)
+    params = model_params(model)
     classes = params["classes"]
+    x = _with_text_probs(df, model, features, classes)
+    ll = nb_scores(x, params, features)
     tot = {c: F.lit(math.log(params["prior"][c])) + sum((ll[f][c] for f in features), F.lit(0.0)) for c in classes}
     best = F.lit(classes[0])
     best_v = tot[classes[0]]
     for c in classes[1:]:
         best = F.when(tot[c] > best_v, F.lit(c)).otherwise(best)
         best_v = F.greatest(best_v, tot[c])
-    return df.withColumn(name, best)
+    return x.withColumn(name, best).select(*df.columns, name)
 
 
-def roc_curve(df: DataFrame, score: str, label: str, range_partitions: int | None = None) -> DataFrame:
+def roc_curve(df: DataFrame, score: str, label: str, partitions: int | None = None, folder: str | None = None) -> DataFrame:
     """ML6: ``(threshold, fpr, tpr)`` for every distinct score (rows: score >= threshold
-    are positive).  Runs over the per-score counts, i.e. over the distinct scores;
-    ``range_partitions`` makes the running sums range-partitioned (no one-task window)."""
+    are positive), and the origin (NULL, 0, 0), above every score.  The per-score
+    counts are summed in ranges (no one-task window)."""
     per = df.groupBy(F.col(score).alias("threshold")).agg(
         F.sum(F.col(label).cast("long")).alias("_pos"), F.sum(1 - F.col(label).cast("long")).alias("_neg"))
-    tot_pos, tot_neg = per.agg(F.sum("_pos")).scalar(), per.agg(F.sum("_neg")).scalar()
-    if range_partitions:
-        c = ranged_running_sum(per, [F.desc("threshold")], ["_pos", "_neg"], range_partitions)
-        cum_pos, cum_neg = F.col("cum__pos"), F.col("cum__neg")
-    else:
-        w = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-        c = per
-        cum_pos, cum_neg = F.sum("_pos").over(w), F.sum("_neg").over(w)
-    return c.select(
+    c = ranged_running_sum(per, [F.desc("threshold")], ["_pos", "_neg"], partitions, folder=folder)
+    tot_pos, tot_neg = c.agg(F.sum("_pos")).scalar(), c.agg(F.sum("_neg")).scalar()
+    points = c.select(
         "threshold",
-        F.try_divide(cum_neg.cast("double"), tot_neg.cast("double")).alias("fpr"),
-        F.try_divide(cum_pos.cast("double"), tot_pos.cast("double")).alias("tpr"))
+        F.try_divide(F.col("cum__neg").cast("double"), tot_neg.cast("double")).alias("fpr"),
+        F.try_divide(F.col("cum__pos").cast("double"), tot_pos.cast("double")).alias("tpr"))
+    origin = df.sparkSession.range(1).select(F.lit(None).cast(dict(points.dtypes)["threshold"]).alias("threshold"),
+                                             F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return origin.unionByName(points)
 
 
-def auc(df: DataFrame, score: str, label: str, range_partitions: int | None = None) -> DataFrame:
+def auc(df: DataFrame, score: str, label: str, partitions: int | None = None, folder: str | None = None) -> DataFrame:
     """ML7: area under the ROC curve (trapezoids = rank sum with mid-ranks), one row."""
     per = df.groupBy(F.col(score).alias("_s")).agg(
         F.sum(F.col(label).cast("long")).alias("_pos"), F.sum(1 - F.col(label).cast("long")).alias("_neg"))
-    if range_partitions:
-        c = ranged_running_sum(per, ["_s"], ["_neg"], range_partitions, inclusive=False)
-        neg_below = F.col("cum__neg")
-    else:
-        c = per
-        neg_below = F.coalesce(F.sum("_neg").over(Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)),
-                               F.lit(0))
-    contrib = c.select((F.col("_pos") * (neg_below + F.col("_neg") / 2.0)).alias("_a"), "_pos", "_neg")
+    c = ranged_running_sum(per, ["_s"], ["_neg"], partitions, inclusive=False, folder=folder)
+    contrib = c.select((F.col("_pos") * (F.col("cum__neg") + F.col("_neg") / 2.0)).alias("_a"), "_pos", "_neg")
     return contrib.agg(F.try_divide(F.sum("_a"), (F.sum("_pos") * F.sum("_neg")).cast("double")).alias("auc"))
 
 
@@ -240,39 +251,37 @@ def hard_label_auc(tp: Column, fn: Column, tn: Column, fp: Column) -> Column:
 
 
 def nb_subset_search(train: DataFrame, test: DataFrame, subsets: list[list[str]], target: str = "target",
-                     params: dict | None = None) -> DataFrame:
+                     model: DataFrame | None = None) -> DataFrame:
     """ML8: ``(subset_id, n_features, features, auc)`` of a Naive Bayes model per
     subset (``features`` = the subset's names joined by '+', in draw order).
 
     Fit once over the union of the subsets' features, score each test row once
-    per feature, then one ``posexplode`` over the subsets' predictions and one
-    aggregation by subset (partial aggregation: a shuffle of at most
-    #subsets rows per task)."""
+    per feature, explode the subsets that predict the positive class and count
+    true and false positives by subset (partial aggregation: a shuffle of at most
+    #subsets rows per task); the negatives follow from the two class totals."""
     feats = sorted({f for s in subsets for f in s}, key=lambda f: SEARCH_FEATURES.index(f) if f in SEARCH_FEATURES else 99)
-    params = params or model_params(nb_fit(train, feats, target))
+    model = nb_fit(train, feats, target) if model is None else model
+    params = model_params(model)
     c0, c1 = params["classes"][0], params["classes"][-1]
-    ll = nb_scores(test, params, feats)
-    diffs = test.select(F.col(target).cast("int").alias("_y"),
-                        *[(ll[f][c1] - ll[f][c0]).alias(f"_d{i}") for i, f in enumerate(feats)])
+    x = _with_text_probs(test, model, feats, params["classes"])
+    ll = nb_scores(x, params, feats)
     base = math.log(params["prior"][c1]) - math.log(params["prior"][c0])
     idx = {f: i for i, f in enumerate(feats)}
-    # subsets as a literal array of feature positions; each row sums its
-    # per-feature differences per subset (higher-order functions: a small
-    # plan whatever the number of subsets)
-    lit_subsets = "array(" + ", ".join("array(" + ", ".join(str(idx[f]) for f in s) + ")" for s in subsets) + ")"
-    diffs = diffs.select("_y", F.array(*[F.col(f"_d{i}") for i in range(len(feats))]).alias("_d"))
-    preds = F.expr(f"transform({lit_subsets}, s -> IF(aggregate(s, CAST({base!r} AS DOUBLE), "
-                   f"(acc, i) -> acc + _d[i]) > 0, {c1}, {c0}))")
-    ex = diffs.select("_y", F.posexplode(preds).alias("_pos", "_p"))
-    y = F.col("_y")
-    pred = (F.col("_p") == c1).cast("int")
-    tp, fn, tn, fp = _confusion_auc(pred, y)
-    res = ex.groupBy("_pos").agg(tp.alias("tp"), fn.alias("fn"), tn.alias("tn"), fp.alias("fp"))
-    sizes = F.create_map(*[e for i, s in enumerate(subsets) for e in (F.lit(i), F.lit(len(s)))])
-    names = F.create_map(*[e for i, s in enumerate(subsets) for e in (F.lit(i), F.lit("+".join(s)))])
-    return res.select((F.col("_pos") + 1).alias("subset_id"), sizes[F.col("_pos")].alias("n_features"),
-                      names[F.col("_pos")].alias("features"),
-                      hard_label_auc(F.col("tp"), F.col("fn"), F.col("tn"), F.col("fp")).alias("auc"))
+    diffs = x.select(F.col(target).cast("int").alias("_y"), F.array(*[ll[f][c1] - ll[f][c0] for f in feats]).alias("_d"))
+    # the subsets as a literal array of (position, feature positions): a small
+    # plan whatever the number of subsets
+    lit_subsets = "array(" + ", ".join(f"struct({i} AS pos, array({', '.join(str(idx[f]) for f in s)}) AS fs)" for i, s in enumerate(subsets)) + ")"
+    hits = F.expr(f"transform(filter({lit_subsets}, s -> aggregate(s.fs, CAST({base!r} AS DOUBLE), (acc, i) -> acc + _d[i]) > 0), s -> s.pos)")
+    found = (diffs.select("_y", F.explode(hits).alias("_pos")).groupBy("_pos")
+             .agg(F.sum("_y").alias("tp"), F.sum(1 - F.col("_y")).alias("fp")))
+    y = F.col(target).cast("long")
+    total = test.agg(F.struct(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg")).alias("_t"))
+    names = [(i, len(s), "+".join(s)) for i, s in enumerate(subsets)]
+    trials = test.sparkSession.createDataFrame(names, "_pos INT, n_features INT, features STRING")
+    res = trials.join(F.broadcast(found), "_pos", "left").withColumn("_t", total.scalar())      # at most #subsets rows
+    tp, fp = F.coalesce("tp", F.lit(0)), F.coalesce("fp", F.lit(0))
+    return res.select((F.col("_pos") + 1).alias("subset_id"), "n_features", "features",
+                      hard_label_auc(tp, F.col("_t.pos") - tp, F.col("_t.neg") - fp, fp).alias("auc"))
 
 
 def top_models(search: DataFrame, k: int = 10) -> DataFrame:
@@ -283,7 +292,6 @@ def top_models(search: DataFrame, k: int = 10) -> DataFrame:
 def final_auc(train: DataFrame, test: DataFrame, features: Sequence[str] = FINAL_FEATURES,
               target: str = "target") -> DataFrame:
     """ML9: AUC of the fixed final model on the test rows (one row)."""
-    params = model_params(nb_fit(train, features, target))
-    p = nb_predict(test, params, features, "pred")
+    p = nb_predict(test, nb_fit(train, features, target), features, "pred")
     tp, fn, tn, fp = _confusion_auc(F.col("pred").cast("int"), F.col(target).cast("int"))
     return p.agg(hard_label_auc(tp, fn, tn, fp).alias("auc"))

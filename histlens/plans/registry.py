@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from histlens.plans.master import master_table
 from histlens.plans.population import base_sample, latest_status_cutoff
 from histlens.schema import TESTDATA_HI_MINUTES, TESTDATA_MAX_DAYS
 from histlens.session import app_id, configure
-from histlens.sources.store import ingest, materialise
+from histlens.sources.store import ingest, materialise, stage_root
 from histlens.sources.testdata import testdata_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,8 +26,30 @@ Query = Callable[[SparkSession, str], DataFrame]
 _STAGES: dict = {}
 
 
-def raw_tables(spark: SparkSession, sf_dir: str):
+def _prepare(spark: SparkSession) -> None:
+    """The session's settings; a local session without a checkpoint folder gets one here."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        if spark.sparkContext.master.split("[")[0] == "local":
+            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="histlens-ckpt-"))
     configure(spark)
+
+
+def _input_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Name, size and time of every input file: stored stages serve only these."""
+    jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+    path = jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs, out, todo = path.getFileSystem(jsc.hadoopConfiguration()), [], [path]
+    while todo:
+        for f in fs.listStatus(todo.pop()):
+            if f.isDirectory():
+                todo.append(f.getPath())
+            else:
+                out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
+
+
+def raw_tables(spark: SparkSession, sf_dir: str):
+    _prepare(spark)
     return testdata_tables(spark, sf_dir)
 
 
@@ -36,9 +59,10 @@ def compute_base(t):
 
 
 def setup(spark: SparkSession, sf_dir: str):
-    """Ingested tables + stored base sample, once per session and data folder
+    """Ingested tables + stored base sample, once per session and state of the input files
     (the pipeline's first two stages; later stages read the written files)."""
-    key = (app_id(spark), sf_dir)
+    _prepare(spark)
+    key = (app_id(spark), sf_dir, _input_state(spark, sf_dir))
     if key not in _STAGES:
         t = ingest(raw_tables(spark, sf_dir))
         b = materialise(compute_base(t), "base_sample")
@@ -103,10 +127,10 @@ def q_version_category(spark, sf_dir):
 
 
 def q_version_category_ranged(spark, sf_dir):
-    """D6 with the range-partitioned dense ids (no one-task step)."""
+    """D6 with another number of ranges: the same ids."""
     t, _ = setup(spark, sf_dir)
     pairs = C.version_pairs(C.latest_version_product(t.h("version"), t.h("product")))
-    return C.version_category_from_pairs(pairs, range_partitions=4)
+    return C.version_category_from_pairs(pairs, partitions=4)
 
 
 def q_version_category_rule(spark, sf_dir):
@@ -180,6 +204,8 @@ def queries() -> dict[str, Query]:
     q["master_table"] = q_master_table
     q.update(ML_QUERIES)
     q["repair_records"] = q_repair_records
+    q["csv_load"] = q_csv_load
+    q["repaired_load"] = q_repaired_load
     return q
 
 
@@ -190,7 +216,8 @@ ML_ROUND = 6  # doubles of the model queries are compared at 6 decimals
 def master_materialised(spark, sf_dir) -> DataFrame:
     """The wide table written once per session and data folder (the model
     stage reads it several times; the file cuts the lineage)."""
-    key = ("master", app_id(spark), sf_dir)
+    _prepare(spark)
+    key = ("master", app_id(spark), sf_dir, _input_state(spark, sf_dir))
     if key not in _STAGES:
         t, b = setup(spark, sf_dir)
         _STAGES[key] = materialise(master_table(t, b, hi_minutes=TESTDATA_HI_MINUTES), "master_table")
@@ -199,8 +226,21 @@ def master_materialised(spark, sf_dir) -> DataFrame:
 
 def _split(spark, sf_dir):
     from histlens.plans.model import train_test
-    m = train_test(master_materialised(spark, sf_dir))
-    return m.filter("is_train").drop("is_train"), m.filter("NOT is_train").drop("is_train")
+    return train_test(master_materialised(spark, sf_dir))
+
+
+def q_nested_split(spark, sf_dir):
+    """ML1+ML2: every row's part (train, test, holdout)."""
+    from histlens.plans.model import nested_split
+    return nested_split(master_materialised(spark, sf_dir).select("id", "target"))
+
+
+def q_random_subsets(spark, sf_dir):
+    """ML3 and PF13: the drawn subsets, restricted to the wide table's own features."""
+    from histlens.plans.model import all_features, random_subsets, subsets_frame
+    have = all_features(master_materialised(spark, sf_dir))
+    subs = subsets_frame(spark, random_subsets())
+    return subs.select("subset_id", F.array_join(F.filter("features", lambda f: f.isin(have)), "+").alias("features"))
 
 
 def q_holdout_split(spark, sf_dir):
@@ -224,10 +264,9 @@ def q_nb_fit(spark, sf_dir):
 
 
 def q_nb_predict(spark, sf_dir):
-    from histlens.plans.model import FINAL_FEATURES, model_params, nb_fit, nb_predict
+    from histlens.plans.model import FINAL_FEATURES, nb_fit, nb_predict
     train, test = _split(spark, sf_dir)
-    params = model_params(nb_fit(train, FINAL_FEATURES))
-    return nb_predict(test, params, FINAL_FEATURES).select("id", "target", "pred")
+    return nb_predict(test, nb_fit(train, FINAL_FEATURES), FINAL_FEATURES).select("id", "target", "pred")
 
 
 def q_nb_final_auc(spark, sf_dir):
@@ -243,15 +282,24 @@ def q_roc_curve(spark, sf_dir):
     return r.select("threshold", F.round("fpr", ML_ROUND).alias("fpr"), F.round("tpr", ML_ROUND).alias("tpr"))
 
 
+def q_roc_curve_rate(spark, sf_dir):
+    """ML6 over a continuous score: the reporter's success rate."""
+    from histlens.plans.model import roc_curve
+    _, test = _split(spark, sf_dir)
+    r = roc_curve(test, "rateReporter", "target")
+    return r.select(F.round("threshold", ML_ROUND).alias("threshold"), F.round("fpr", ML_ROUND).alias("fpr"), F.round("tpr", ML_ROUND).alias("tpr"))
+
+
 def q_auc(spark, sf_dir):
     from histlens.plans.model import auc
     return auc(q_nb_predict(spark, sf_dir), "pred", "target").select(F.round("auc", ML_ROUND).alias("auc"))
 
 
 def q_nb_subset_search(spark, sf_dir):
-    from histlens.plans.model import nb_subset_search, random_subsets
+    from histlens.plans.model import SEARCH_FEATURES, nb_fit, nb_subset_search, random_subsets
     train, test = _split(spark, sf_dir)
-    s = nb_subset_search(train, test, random_subsets())
+    model = materialise(nb_fit(train, SEARCH_FEATURES), "model")
+    s = nb_subset_search(train, test, random_subsets(), model=model)
     return s.select("subset_id", "n_features", "features", F.round("auc", ML_ROUND).alias("auc"))
 
 
@@ -263,11 +311,56 @@ def q_top_models(spark, sf_dir):
 def q_repair_records(spark, sf_dir):
     """D1 over whole documents turned into one broken CSV stream."""
     from histlens.sources.repair import repair_documents
-    configure(spark)
+    _prepare(spark)
     return repair_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def _csv_fixture(df: DataFrame, name: str) -> str:
+    """A log written as raw CSV text, its columns in another order, texts quoted by hand."""
+    spark = df.sparkSession
+    path = stage_root(spark, f"csv-{name}")
+    quoted = F.concat(F.lit('"'), F.replace("what", F.lit('"'), F.lit('""')), F.lit('"'))
+    lines = df.select("id", F.concat_ws(",", "who", quoted, "ts", "id").alias("value"))
+    head = spark.createDataFrame([("who,what,when,id",)], "value STRING")
+    n = 3
+    for i in range(n):          # several files, each with its header first
+        part = head.unionByName(lines.filter(F.pmod("id", F.lit(n)) == i).select("value"))
+        part.coalesce(1).write.mode("overwrite").text(f"{path}/{i}")
+    return path
+
+
+def _texts_with_breaks(t) -> DataFrame:
+    """The description log with quotes, commas and line breaks put into its texts."""
+    w = F.col("what")
+    odd = (F.when(F.col("id") % 4 == 0, F.concat(w, F.lit(' says "x, y" now')))
+           .when(F.col("id") % 4 == 1, F.concat(w, F.lit("\nsecond, line\n"), w))
+           .when(F.col("id") % 4 == 2, F.lit("")).otherwise(w))
+    return t.h("short_desc").withColumn("what", odd)
+
+
+def q_csv_load(spark, sf_dir):
+    """IO1/D2: quoted CSV with line breaks in its texts and its columns in another order, read back."""
+    from histlens.sources.csv import load_history
+    t, _ = setup(spark, sf_dir)
+    rows, _ = load_history(spark, f"{_csv_fixture(_texts_with_breaks(t), 'load')}/*")
+    return rows
+
+
+def q_repaired_load(spark, sf_dir):
+    """D1 to IO1: a broken file repaired, unquoted and typed."""
+    from histlens.sources.repair import load_repaired
+    t, _ = setup(spark, sf_dir)
+    path = stage_root(spark, "csv-broken")
+    text = (F.when(F.col("id") % 3 == 0, F.concat(F.lit('"fix a, b of ""'), F.col("what"), F.lit('"""')))
+            .when(F.col("id") % 3 == 1, F.concat(F.col("what"), F.lit("\nand more"))).otherwise(F.col("what")))
+    (t.h("short_desc").select(F.concat_ws(",", "id", text, "ts", "who").alias("value"))
+     .write.mode("overwrite").text(path))
+    rows, _ = load_repaired(spark, path)
+    return rows
+
+
 ML_QUERIES = {
+    "nested_split": q_nested_split, "random_subsets": q_random_subsets, "roc_curve_rate": q_roc_curve_rate,
     "holdout_split": q_holdout_split, "holdout_split_exact": q_holdout_split_exact, "nb_fit": q_nb_fit, "nb_predict": q_nb_predict,
     "nb_final_auc": q_nb_final_auc, "roc_curve": q_roc_curve, "auc": q_auc,
     "nb_subset_search": q_nb_subset_search, "top_models": q_top_models,
