@@ -17,14 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from histlens.plans import features as FT
 from histlens.plans.master import master_table
 from histlens.plans.model import (
-    SEARCH_FEATURES, final_auc, model_params, nb_fit, nb_subset_search, random_subsets, top_models,
+    SEARCH_FEATURES, final_auc, nb_fit, nb_subset_search, random_subsets, top_models,
     train_test,
 )
 from histlens.plans.population import base_sample, latest_status_cutoff
 from histlens.schema import DEFAULT_CUTOFF, DEFAULT_HI_MINUTES, DEFAULT_MAX_DAYS, DEFAULT_WEEK_MINUTES
 from histlens.session import configure
 from histlens.sources.csv import load_csv_tables
-from histlens.sources.store import ingest, materialise, write_feature
+from histlens.sources.store import drop_folder, ingest, materialise, write_feature
 from histlens.sources.tables import Tables
 
 
@@ -44,14 +44,14 @@ def run_tables(t: Tables, out: str, cutoff: int | None = DEFAULT_CUTOFF, max_day
             kw = {"hi_minutes": hi_minutes} if name == "is_mod_within_first_day" else (
                 {"week_minutes": week_minutes} if name == "is_open_for_one_week_or_more" else {})
             res[f"features/{name}"] = write_feature(fn(t, base, **kw), name, f"{out}/features")
-    master = materialise(master_table(t, base, hi_minutes=hi_minutes, week_minutes=week_minutes),
+    master = materialise(master_table(t, base, hi_minutes=hi_minutes, week_minutes=week_minutes, folder=f"{out}/_stages"),
                          "master", f"{out}/master_table")
+    drop_folder(master.sparkSession, f"{out}/_stages")
     res["master_table"] = master
     if search:
-        split = train_test(master)
-        train, test = split.filter("is_train").drop("is_train"), split.filter("NOT is_train").drop("is_train")
-        params = model_params(nb_fit(train, SEARCH_FEATURES))
-        trials = materialise(nb_subset_search(train, test, random_subsets(), params=params),
+        train, test = train_test(master)
+        model = materialise(nb_fit(train, SEARCH_FEATURES), "model", f"{out}/model")
+        trials = materialise(nb_subset_search(train, test, random_subsets(), model=model),
                              "trials", f"{out}/model_search")
         res["model_search"] = trials
         res["top_models"] = top_models(trials, 10)
@@ -65,9 +65,12 @@ def run(spark: SparkSession, csv_folder: str, out: str, repair: dict[str, str] |
     configure(spark)
     from histlens.sources.csv import REPAIR_FILES
 
-    raw = load_csv_tables(spark, csv_folder, files, repair=REPAIR_FILES if repair is None else repair)
+    raw, rejects = load_csv_tables(spark, csv_folder, files, repair=REPAIR_FILES if repair is None else repair,
+                                   stages=f"{out}/_repair")
+    rejects = materialise(rejects, "rejects", f"{out}/rejects")
     t = ingest(raw, f"{out}/tables")
-    return run_tables(t, out, **kw)
+    drop_folder(spark, f"{out}/_repair")
+    return {"rejects": rejects, **run_tables(t, out, **kw)}
 
 
 def main() -> None:

@@ -55,10 +55,9 @@ def app_id(spark: SparkSession) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as given; without it a cluster run stops here (a machine-local folder
-    would not survive the loss of that machine).  Only local runs (tests,
-    bench) fall back to a fresh temp dir.
+    ``spark.checkpoint.dir`` names a folder that all executors share and is used
+    as given; without it (and without a folder set on the context) the run stops here:
+    a machine-local folder would not survive the loss of that machine.
     """
     try:
         sc = spark.sparkContext
@@ -69,9 +68,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
-        d = tempfile.mkdtemp(prefix="histlens-ckpt-")
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...)")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
@@ -79,7 +76,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def get_spark(master: str | None = None, partitions: int | None = None,
               extra_conf: dict[str, str] | None = None) -> SparkSession:
-    """Local session for tests and bench; on a cluster use the given session."""
+    """Local session for tests and bench, with a checkpoint folder of its own; on a cluster use the given session."""
     master = master or os.environ.get("HISTLENS_MASTER", "local[8]")
     b = (
         SparkSession.builder.master(master)
@@ -93,5 +90,6 @@ def get_spark(master: str | None = None, partitions: int | None = None,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="histlens-ckpt-"))
     return spark

@@ -1,21 +1,32 @@
 """IO1/D2: load the raw CSV files (header line, all columns text) into typed frames.
 
-Explicit schemas, no inference.  Every column is read as text, then cast on
-purpose: ids and epoch seconds with ``try_cast`` (bad text -> NULL, never an
-error), empty text fields kept as ``''`` (an open bug's resolution is the
-empty string, not NULL, and must pass ``<> 'DUPLICATE'``).
+Fields may be quoted, hold doubled quotes, commas and line breaks.  A line break
+belongs to a field when the number of quotes before it is odd, so records are found
+by a prefix parity over the lines of a file: sums inside each file split, a carry
+over the splits, then one group per record.  A big file stays splittable (the
+reader's multi-line mode would read it in one task).
+
+Columns are taken by the names of the header line; a missing one is an error.  Ids and
+epoch seconds are cast on purpose (bad text -> NULL, never an error), empty text
+fields are kept as ``''`` (an open bug's resolution is the empty string, not NULL, and
+must pass ``<> 'DUPLICATE'``).  Rows without a numeric id, with a field count that
+differs from the header's or with an unclosed quote go to the rejects.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from histlens.schema import ATTRS
+from histlens.sources.repair import load_repaired, read_lines
 from histlens.sources.tables import Tables
 
-HISTORY_TEXT = "id STRING, what STRING, `when` STRING, who STRING"
-REPORTS_TEXT = "id STRING, current_resolution STRING, current_status STRING, opening STRING, reporter STRING"
+HISTORY_COLUMNS = ["id", "what", "when", "who"]
+REPORTS_COLUMNS = ["id", "current_resolution", "current_status", "opening", "reporter"]
+CORRUPT = "_corrupt_record"
 
 # --- fixed values: file name of each attribute log --------------------------
 DEFAULT_FILES = {
@@ -29,44 +40,97 @@ REPORTS_FILE = "reports.csv"
 REPAIR_FILES = {"cc": "cc.csv", "short_desc": "short_desc.csv"}
 
 
-def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-            .option("emptyValue", "").csv(path))
-
-
-def load_history(spark: SparkSession, path: str) -> DataFrame:
-    """One attribute log as ``(id, what, ts, who)``."""
-    h = _read(spark, path, HISTORY_TEXT)
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """CSV records of the files under ``path`` as (file, block, ln, record, first), each with the
+    position of its first line; ``first`` marks each file's first record."""
+    x = read_lines(spark, path).withColumn("_q", F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit(""))))
+    unb = Window.unboundedPreceding
+    inside = Window.partitionBy("file", "block").orderBy("ln").rowsBetween(unb, -1)
+    x = x.withColumn("_b", F.coalesce(F.sum("_q").over(inside), F.lit(0)))
+    splits = x.groupBy("file", "block").agg(F.sum("_q").alias("_s"))                  # a row a file split
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(unb, -1)
+    splits = splits.select("file", "block", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_a"))
+    x = x.join(splits, ["file", "block"]).withColumn("_pos", F.struct("block", "ln"))
+    x = x.withColumn("_start", F.when((F.col("_a") + F.col("_b")) % 2 == 0, F.col("_pos")))
+    # the record of a line: the last start up to it, inside its split or in an earlier one
+    last = x.groupBy("file", "block").agg(F.max("_start").alias("_m"))
+    last = last.select("file", "block", F.max("_m").over(before).alias("_carry"))
+    x = x.withColumn("_own", F.max("_start").over(Window.partitionBy("file", "block").orderBy("ln").rowsBetween(unb, 0)))
+    x = x.join(last, ["file", "block"]).withColumn("_key", F.coalesce("_own", "_carry"))
+    rec = x.groupBy("file", "_key").agg(F.array_sort(F.collect_list(F.struct("_pos", "line"))).alias("_ls"))
+    rec = rec.select("file", F.col("_key.block").alias("block"), F.col("_key.ln").alias("ln"),
+                     F.array_join(F.transform("_ls", lambda e: e["line"]), "\n").alias("record"))
+    heads = rec.groupBy("file").agg(F.min(F.struct("block", "ln")).alias("_h"))       # a row a file
+    rec = rec.join(heads, "file")
+    return rec.select("file", "block", "ln", "record", (F.struct("block", "ln") == F.col("_h")).alias("first"))
+
+
+def header_names(spark: SparkSession, path: str) -> list[str]:
+    """The column names in the header line of the first file under ``path``."""
+    line = spark.read.text(path).first()
+    return [] if line is None else [c.strip() for c in next(csv.reader([line[0].lstrip("\ufeff")]))]
+
+
+def _read(spark: SparkSession, path: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The named columns as text, and the rejects (file, position, text, reason)."""
+    names = header_names(spark, path)
+    missing = [c for c in columns if c not in names]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in the header {names}")
+    schema = ", ".join(f"`_c{i}` STRING" for i in range(len(names))) + f", `{CORRUPT}` STRING"
+    rec = read_records(spark, path).filter("NOT first AND trim(record) <> ''")
+    odd = (F.length("record") - F.length(F.replace("record", F.lit('"'), F.lit("")))) % 2 == 1
+    parsed = rec.withColumn("_r", F.from_csv("record", schema, {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+    reason = (F.when(odd, "unclosed quote").when(F.col(f"_r.{CORRUPT}").isNotNull(), "wrong number of fields")
+              .when(F.col(f"_r._c{names.index('id')}").try_cast("bigint").isNull(), "id is not a number"))
+    parsed = parsed.withColumn("reason", reason)
+    rows = parsed.filter("reason IS NULL").select(*[F.col(f"_r._c{names.index(c)}").alias(c) for c in columns])
+    return rows, parsed.filter("reason IS NOT NULL").select("file", F.col("ln").alias("position"), F.col("record").alias("text"), "reason")
+
+
+def load_history(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """One attribute log as ``(id, what, ts, who)``, and its rejects."""
+    h, bad = _read(spark, path, HISTORY_COLUMNS)
     return h.select(F.col("id").try_cast("bigint").alias("id"),
                     F.coalesce(F.col("what"), F.lit("")).alias("what"),
                     F.col("when").try_cast("bigint").alias("ts"),
-                    F.col("who").try_cast("bigint").alias("who")).filter(F.col("id").isNotNull())
+                    F.col("who").try_cast("bigint").alias("who")), bad
 
 
-def load_reports(spark: SparkSession, path: str) -> DataFrame:
-    r = _read(spark, path, REPORTS_TEXT)
+def load_reports(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    r, bad = _read(spark, path, REPORTS_COLUMNS)
     return r.select(F.col("id").try_cast("bigint").alias("id"),
                     F.coalesce(F.col("current_resolution"), F.lit("")).alias("current_resolution"),
                     F.coalesce(F.col("current_status"), F.lit("")).alias("current_status"),
                     F.col("opening").try_cast("bigint").alias("opening"),
-                    F.col("reporter").try_cast("bigint").alias("reporter")).filter(F.col("id").isNotNull())
+                    F.col("reporter").try_cast("bigint").alias("reporter")), bad
 
 
 def load_csv_tables(spark: SparkSession, folder: str, files: dict[str, str] | None = None,
-                    reports_file: str = REPORTS_FILE, repair: dict[str, str] | None = None) -> Tables:
-    """D2: the 12 raw files as Tables (then ``store.ingest`` writes Parquet).
+                    reports_file: str = REPORTS_FILE, repair: dict[str, str] | None = None,
+                    stages: str | None = None) -> tuple[Tables, DataFrame]:
+    """D2: the 12 raw files as Tables (then ``store.ingest`` writes Parquet), and all
+    rejects as (log, file, position, text, reason).
 
     ``repair`` maps attributes to raw files that go through the D1 repair job
     instead of the CSV reader (e.g. ``REPAIR_FILES``)."""
-    from histlens.sources.repair import load_repaired
-
     files = files or DEFAULT_FILES
     repair = repair or {}
-    logs = {a: (load_repaired(spark, f"{folder}/{repair[a]}") if a in repair
-                else load_history(spark, f"{folder}/{files[a]}")) for a in ATTRS}
-    return Tables(load_reports(spark, f"{folder}/{reports_file}"), logs)
+    logs, rejects = {}, None
+    for a in [*ATTRS, "reports"]:
+        if a == "reports":
+            got, bad = load_reports(spark, f"{folder}/{reports_file}")
+        elif a in repair:
+            got, bad = load_repaired(spark, f"{folder}/{repair[a]}", stages and f"{stages}/{a}")
+        else:
+            got, bad = load_history(spark, f"{folder}/{files[a]}")
+        logs[a] = got
+        bad = bad.select(F.lit(a).alias("log"), "file", "position", "text", "reason")
+        rejects = bad if rejects is None else rejects.unionByName(bad)
+    reports = logs.pop("reports")
+    return Tables(reports, logs), rejects
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Write a frame as one folder of CSV parts with a header (overwrite)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Write a frame as one folder of CSV parts with a header (overwrite); quotes are doubled."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)

@@ -11,10 +11,15 @@ Texts with fewer commas go to the rejects (reason ``no comma``,
 Parallel form.  The buffer is either empty or holds exactly one comma, so a
 line with >= 2 commas always closes a record, and the buffer state before a
 line is the parity of the one-comma lines since the last closing line.  That
-is a prefix computation: windows inside each block (a file split), a small
-window over per-block summaries for the carry, then one aggregation by
-record key (the position of the record's opening line).  No stream passes
-through one task.
+is a prefix computation: windows inside each block (a file split), a carry over
+per-block summaries in two levels (ranges of blocks, then the ranges), then an
+aggregation by record key (the position of the record's opening line), first the
+lines of one block, then the blocks.  No stream passes through one task.
+
+The cleaned lines are stored once and read by all steps.  A damaged file can
+open a record that takes all following lines: a record of more than
+``max_chars`` characters is not assembled but rejected (``too long``), with its
+position and number of lines.
 """
 
 from __future__ import annotations
@@ -24,7 +29,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from histlens.operators.prefix import stored_in_order
+from histlens.sources.store import materialise
+
 STREAM = "_stream"
+MAX_CHARS = 64 << 20            # longest record that is assembled
 
 # --- fixed values: white space removed by a right trim (the characters a
 # Python ``str.rstrip()`` strips), as one regex class valid in Java and RE2 --
@@ -53,7 +62,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def repair_records(lines: DataFrame, stream_cols: Sequence[str], block_col: str, order_cols: Sequence[str],
-                   line_col: str = "line") -> DataFrame:
+                   line_col: str = "line", max_chars: int = MAX_CHARS, folder: str | None = None) -> DataFrame:
     """All records and rejects: ``stream_cols..., start (position of the
     first line), n_lines, text, status ('ok' | 'reject'), reason, id, what,
     when, who``.  ``block_col`` orders blocks within a stream; ``order_cols``
@@ -61,6 +70,7 @@ def repair_records(lines: DataFrame, stream_cols: Sequence[str], block_col: str,
     s, o = list(stream_cols), list(order_cols)
     t = clean_line(F.col(line_col))
     x = lines.select(*s, block_col, *o, t.alias("_t")).withColumn("_k", count_commas(F.col("_t")))
+    x = materialise(x, "lines", folder and f"{folder}/lines")
     x = (x.withColumn("_c", F.least(F.col("_k"), F.lit(2)))
          .withColumn("_pos", F.struct(F.col(block_col).alias("b"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(o)])))
     unb = Window.unboundedPreceding
@@ -81,17 +91,19 @@ def repair_records(lines: DataFrame, stream_cols: Sequence[str], block_col: str,
         F.sum("nt").alias("_nt"), F.sum("n1").alias("_n1_all"),
         F.max(F.struct(F.col("_seg").alias("seg"), F.col("n1").alias("n1"))).alias("_tail"),
         F.max("l1").alias("_l1"))
-    has_t = (F.col("_nt") > 0).cast("int")
     tail_n1 = F.when(F.col("_tail.seg") == F.col("_nt"), F.col("_tail.n1")).otherwise(F.lit(0))
-    blocks = blocks.withColumn("_contrib", F.when(has_t == 1, tail_n1).otherwise(F.col("_n1_all")))
-    wo = Window.partitionBy(*s).orderBy(block_col)
-    blocks = blocks.withColumn("_g", F.sum(has_t).over(wo.rowsBetween(unb, 0)))
-    blocks = blocks.withColumn("_run", F.sum("_contrib").over(
-        Window.partitionBy(*s, "_g").orderBy(block_col).rowsBetween(unb, 0)))
-    carry = blocks.select(
+    blocks = blocks.select(*s, block_col, (F.col("_nt") > 0).cast("int").alias("_t"),
+                           F.when(F.col("_nt") > 0, tail_n1).otherwise(F.col("_n1_all")).alias("_n"), "_l1")
+    blocks = stored_in_order(blocks, [*s, block_col], "blocks", folder=folder)
+    inner = _carry(blocks, ["_pid", *s], "_loc", "_t", "_n", "_l1")
+    ends = blocks.groupBy("_pid", *s).agg(F.max(F.struct("_loc", "_pid")).alias("_e")).select("_e._loc", "_e._pid", *s)
+    last = inner.join(ends, ["_pid", "_loc", *s]).select("_pid", *s, "_t_after", "_n_after", "_l_after")
+    outer = _carry(last, s, "_pid", "_t_after", "_n_after", "_l_after").select(
+        F.col("_pid").alias("_pid"), *s, F.col("_n_before").alias("_n_in"), F.col("_l_before").alias("_l_in"))
+    carry = inner.join(outer, ["_pid", *s]).select(
         *s, block_col,
-        F.coalesce(F.lag("_run", 1).over(wo), F.lit(0)).alias("_cpar"),
-        F.max("_l1").over(wo.rowsBetween(unb, -1)).alias("_cop"))
+        F.when(F.col("_t_before") > 0, F.col("_n_before")).otherwise(F.col("_n_in") + F.col("_n_before")).alias("_cpar"),
+        F.coalesce("_l_before", "_l_in").alias("_cop"))
 
     # 3. state before each line -> record key
     x = x.join(carry, [*s, block_col], "left")
@@ -100,20 +112,27 @@ def repair_records(lines: DataFrame, stream_cols: Sequence[str], block_col: str,
     opener = F.when(first_seg, F.coalesce(F.col("_op"), F.col("_cop"))).otherwise(F.col("_op"))
     x = x.withColumn("_key", F.when(parity % 2 == 1, opener).otherwise(F.col("_pos")))
 
-    # 4. one group per record (its own lines only)
-    rec = x.groupBy(*s, "_key").agg(
+    # 4. the record's lines of one block, then its blocks
+    part = x.groupBy(*s, "_key", block_col).agg(
         F.array_sort(F.collect_list(F.struct(F.col("_pos").alias("p"), F.col("_t").alias("t")))).alias("_ls"),
-        F.sum("_k").alias("_commas"), F.count(F.lit(1)).alias("n_lines"))
-    text = F.array_join(F.transform(F.col("_ls"), lambda e: e["t"]), "")
-    rec = rec.select(*s, F.col("_key").alias("start"), "n_lines", text.alias("text"), "_commas")
-    ok = F.col("_commas") >= 3
+        F.sum("_k").alias("_pk"), F.count(F.lit(1)).alias("_pn"))
+    part = part.select(*s, "_key", "_pk", "_pn", F.col(block_col).alias("_pb"),
+                       F.array_join(F.transform(F.col("_ls"), lambda e: e["t"]), "").alias("_pt"))
+    size = F.sum(F.length("_pt")).over(Window.partitionBy(*s, "_key"))
+    part = part.withColumn("_long", size > max_chars)
+    rec = part.groupBy(*s, "_key").agg(
+        F.array_sort(F.collect_list(F.when(~F.col("_long"), F.struct("_pb", "_pt")))).alias("_ls"),
+        F.sum("_pk").alias("_commas"), F.sum("_pn").alias("n_lines"), F.max("_long").alias("_long"))
+    text = F.when(~F.col("_long"), F.array_join(F.transform(F.col("_ls"), lambda e: e["_pt"]), ""))
+    rec = rec.select(*s, F.col("_key").alias("start"), "n_lines", text.alias("text"), "_commas", "_long")
+    ok = (F.col("_commas") >= 3) & ~F.col("_long")
     rid = F.substring_index("text", ",", 1)
     who = F.substring_index("text", ",", -1)
     mid = F.expr("substring(text, length(substring_index(text, ',', 1)) + 2, "
                  "length(text) - length(substring_index(text, ',', 1)) - length(substring_index(text, ',', -1)) - 2)")
     when_ = F.substring_index(mid, ",", -1)
     rest = F.expr("substring(_mid, 1, length(_mid) - length(substring_index(_mid, ',', -1)) - 1)")
-    reason = (F.when(F.col("_commas") == 0, "no comma").when(F.col("_commas") == 1, "unfinished")
+    reason = (F.when(F.col("_long"), "too long").when(F.col("_commas") == 0, "no comma").when(F.col("_commas") == 1, "unfinished")
               .when(F.col("_commas") == 2, "two commas"))
     out = rec.withColumn("_mid", mid).select(
         *s, "start", "n_lines", "text",
@@ -126,9 +145,22 @@ def repair_records(lines: DataFrame, stream_cols: Sequence[str], block_col: str,
     return out
 
 
-def repair_files(spark: SparkSession, path: str) -> DataFrame:
+def _carry(df: DataFrame, keys: Sequence[str], order: str, ended: str, count: str, opener: str) -> DataFrame:
+    """State before and after each row of an ordered group: whether a closing line was
+    seen, one-comma lines since the last one (or the group's start), newest opening line."""
+    unb = Window.unboundedPreceding
+    wo = Window.partitionBy(*keys).orderBy(order)
+    x = df.withColumn("_t_after", F.sum(ended).over(wo.rowsBetween(unb, 0)))
+    x = x.withColumn("_n_after", F.sum(count).over(Window.partitionBy(*keys, "_t_after").orderBy(order).rowsBetween(unb, 0)))
+    x = x.withColumn("_l_after", F.max(opener).over(wo.rowsBetween(unb, 0)))
+    return (x.withColumn("_t_before", F.coalesce(F.lag("_t_after", 1).over(wo), F.lit(0)))
+            .withColumn("_n_before", F.coalesce(F.lag("_n_after", 1).over(wo), F.lit(0)))
+            .withColumn("_l_before", F.lag("_l_after", 1).over(wo)))
+
+
+def repair_files(spark: SparkSession, path: str, folder: str | None = None) -> DataFrame:
     """D1 over text files: every file is its own stream."""
-    return repair_records(read_lines(spark, path), ["file"], "block", ["ln"])
+    return repair_records(read_lines(spark, path), ["file"], "block", ["ln"], folder=folder)
 
 
 def records_as_csv(out: DataFrame) -> DataFrame:
@@ -137,19 +169,34 @@ def records_as_csv(out: DataFrame) -> DataFrame:
     return ok.select(F.concat_ws(",", "id", "what", "when", "who").alias("value"))
 
 
+def unquote(col: Column) -> Column:
+    """A CSV field as an import reads it: surrounding quotes go, doubled quotes become one."""
+    quoted = F.length(col).__ge__(2) & col.startswith('"') & col.endswith('"')
+    return F.when(quoted, F.replace(F.expr("substring(what, 2, length(what) - 2)"), F.lit('""'), F.lit('"'))).otherwise(col)
+
+
 def repaired_history(out: DataFrame) -> DataFrame:
-    """D1 -> IO1: repaired records as a typed log ``(id, what, ts, who)``.
-    The header line, which passes through the repair as a record, drops out
-    here because its id is not a number."""
+    """D1 -> IO1: repaired records as a typed log ``(id, what, ts, who)``, the text unquoted.
+    The header line, which passes through the repair as a record, is no row."""
     ok = out.filter(F.col("status") == "ok")
-    return ok.select(F.col("id").try_cast("bigint").alias("id"), F.coalesce("what", F.lit("")).alias("what"),
+    return ok.select(F.col("id").try_cast("bigint").alias("id"), F.coalesce(unquote(F.col("what")), F.lit("")).alias("what"),
                      F.col("when").try_cast("bigint").alias("ts"),
                      F.trim(F.col("who")).try_cast("bigint").alias("who")).filter(F.col("id").isNotNull())
 
 
-def load_repaired(spark: SparkSession, path: str) -> DataFrame:
-    """Repair the text files under ``path`` and load them as one attribute log."""
-    return repaired_history(repair_files(spark, path))
+def repaired_rejects(out: DataFrame) -> DataFrame:
+    """What the repair or the typing turned away: (file, position, text, reason); the header is none."""
+    header = (F.trim("id") == "id") & (F.col("status") == "ok")
+    bad = F.col("id").try_cast("bigint").isNull() & (F.col("status") == "ok") & ~header
+    return (out.withColumn("reason", F.when(bad, "id is not a number").otherwise(F.col("reason")))
+            .filter((F.col("status") == "reject") | bad)
+            .select("file", F.col("start.o0").alias("position"), "text", "reason"))
+
+
+def load_repaired(spark: SparkSession, path: str, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Repair the text files under ``path``: the attribute log and the rejects."""
+    out = repair_files(spark, path, folder)
+    return repaired_history(out), repaired_rejects(out)
 
 
 def document_lines(docs: DataFrame, block_docs: int = 64) -> DataFrame:

@@ -38,3 +38,9 @@ def materialise(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
 def write_feature(df: DataFrame, name: str, root: str) -> DataFrame:
     """IO4 by name: replace the table ``root/name`` (Parquet) and read it back."""
     return materialise(df, name, f"{root.rstrip('/')}/{name}")
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of stages that nothing reads any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -3,11 +3,13 @@
 import os
 import tempfile
 
+import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
 from histlens.plans.registry import raw_tables
-from histlens.sources.csv import load_csv_tables, load_reports, write_csv
+from histlens.sources.csv import load_csv_tables, load_history, load_reports, write_csv
+from histlens.sources.repair import load_repaired
 from histlens.sources.store import ingest
 
 SF = "/root/testdata/sf0.001"
@@ -21,7 +23,8 @@ def test_csv_roundtrip_and_ingest(spark):
         files[a] = f"{a}.csv"
         write_csv(h.select("id", "what", F.col("ts").alias("when"), "who"), os.path.join(d, files[a]))
     write_csv(raw.reports, os.path.join(d, "reports.csv"))
-    t = load_csv_tables(spark, d, files)
+    t, rejects = load_csv_tables(spark, d, files)
+    assert rejects.count() == 0
     assert rows(t.h("assigned_to")) == rows(raw.h("assigned_to"))
     assert rows(t.reports) == rows(raw.reports)
     assert t.reports.filter("current_resolution = ''").count() == raw.reports.filter("current_resolution = ''").count() > 0
@@ -36,7 +39,7 @@ def test_unquoted_empty_field_is_empty_text(spark):
     p = os.path.join(d, "r.csv")
     with open(p, "w") as f:
         f.write("id,current_resolution,current_status,opening,reporter\n1,,NEW,100,7\n2,FIXED,RESOLVED,x,8\n")
-    r = {x["id"]: x for x in load_reports(spark, p).collect()}
+    r = {x["id"]: x for x in load_reports(spark, p)[0].collect()}
     assert r[1]["current_resolution"] == "" and r[2]["opening"] is None
 
 
@@ -52,6 +55,59 @@ def test_load_with_repair_for_broken_files(spark, tmp_path):
     (tmp_path / "sd_raw").mkdir()
     (tmp_path / "sd_raw" / "short_desc.csv").write_text(
         "id,what,when,who\n1,fix a, b and c,100,7\n2,first line\nsecond line,200,8\n")
-    t = load_csv_tables(spark, str(tmp_path), files, repair={"short_desc": "sd_raw"})
+    t, rejects = load_csv_tables(spark, str(tmp_path), files, repair={"short_desc": "sd_raw"})
     assert rows(t.h("short_desc")) == [(1, "fix a; b and c", 100, 7), (2, "first linesecond line", 200, 8)]
+    assert rejects.count() == 0
     assert rows(t.h("cc")) == rows(raw.h("cc"))
+
+
+def test_quotes_line_breaks_and_header_names(spark, tmp_path):
+    (tmp_path / "h.csv").write_text(
+        'who,when,id,what\n7,100,1,"say ""x, y"" now"\n8,101,2,"a ""b"" c"\n9,102,3,"line\nbreak, ""q""\n"\n1,103,4,\n2,104,5,"",\n3,105,x,bad\n4,106,6\n')
+    got, bad = load_history(spark, str(tmp_path / "h.csv"))
+    assert rows(got) == [(1, 'say "x, y" now', 100, 7), (2, 'a "b" c', 101, 8), (3, 'line\nbreak, "q"\n', 102, 9), (4, "", 103, 1)]
+    assert sorted((r.text, r.reason) for r in bad.collect()) == [
+        ('2,104,5,"",', "wrong number of fields"), ("3,105,x,bad", "id is not a number"), ("4,106,6", "wrong number of fields")]
+    with pytest.raises(ValueError, match="no column current_resolution"):
+        load_reports(spark, str(tmp_path / "h.csv"))
+
+
+def test_reports_columns_by_name(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("id,opening,reporter,current_status,current_resolution\n1,5,100,NEW,FIXED\n")
+    got, _ = load_reports(spark, str(tmp_path / "r.csv"))
+    assert rows(got) == [(1, "FIXED", "NEW", 5, 100)]
+
+
+def test_record_over_many_splits(spark, tmp_path):
+    """A quoted text longer than a file split is one record; an unclosed quote is a reject."""
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
+        long = "\n".join(f"line {i}, more" for i in range(200))
+        (tmp_path / "h.csv").write_text("id,what,when,who\n" + "".join(f'{i},"{long} {i}",{i},1\n' for i in range(5)) + '9,"open,5,1\n10,x,5,1\n')
+        assert spark.read.text(str(tmp_path / "h.csv")).rdd.getNumPartitions() > 10
+        got, bad = load_history(spark, str(tmp_path / "h.csv"))
+        assert rows(got) == [(i, f"{long} {i}", i, 1) for i in range(5)]
+        assert [r.reason for r in bad.collect()] == ["unclosed quote"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_repaired_text_is_unquoted_and_rejects_are_kept(spark, tmp_path):
+    (tmp_path / "s.csv").write_text('id,what,when,who\n1,"fix a, b",100,7\nx,bad id,5,6\nno comma\n')
+    got, bad = load_repaired(spark, str(tmp_path / "s.csv"))
+    assert rows(got) == [(1, "fix a; b", 100, 7)]
+    assert sorted((r.text, r.reason) for r in bad.collect()) == [("no comma", "no comma"), ("x,bad id,5,6", "id is not a number")]
+    # F5 over it counts the text without its quotes
+    from helpers import make_tables
+    from histlens.plans.features import description_length
+    t = make_tables(spark, [(1, "", "NEW", 100, 7)], {"short_desc": [tuple(r) for r in got.collect()]})
+    assert rows(description_length(t, t.reports)) == [(1, len("fix a; b"))]
+
+
+def test_too_long_record_is_rejected(spark):
+    from histlens.sources.repair import repair_records
+    lines = ["1,open", *["x" * 50] * 40, "end,2,3", "5,a,b,c"]
+    df = spark.createDataFrame([(0, i // 4, i, x) for i, x in enumerate(lines)], "s INT, b INT, ln INT, line STRING")
+    got = {r.start.o0: (r.status, r.reason, r.n_lines, r.what) for r in repair_records(df, ["s"], "b", ["ln"], max_chars=1000).collect()}
+    assert got == {0: ("reject", "too long", 42, None), 42: ("ok", None, 1, "a")}

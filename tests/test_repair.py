@@ -107,5 +107,5 @@ def test_repair_then_load_typed_log(spark, tmp_path):
     from histlens.sources.repair import load_repaired
     p = tmp_path / "cc.csv"
     p.write_text("id,what,when,who\n7,a,b,c,100,9\n8,start\nmore,200,10\nabc\n9,x,300,11\n")
-    got = sorted(tuple(r) for r in load_repaired(spark, str(tmp_path)).collect())
+    got = sorted(tuple(r) for r in load_repaired(spark, str(tmp_path))[0].collect())
     assert got == [(7, "a;b;c", 100, 9), (8, "startmore", 200, 10), (9, "x", 300, 11)]
