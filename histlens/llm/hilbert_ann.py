@@ -38,7 +38,9 @@ def hilbert_key(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
         for i in range(d):
             up = (x[i] & q) != 0
             t = (x[0] ^ x[i]) & low
-            x[0], x[i] = np.where(up, x[0] ^ low, x[0] ^ t), np.where(up, x[i], x[i] ^ t)
+            x[0] = np.where(up, x[0] ^ low, x[0] ^ t)
+            if i:
+                x[i] = np.where(up, x[i], x[i] ^ t)
         q >>= one
     for i in range(1, d):
         x[i] ^= x[i - 1]

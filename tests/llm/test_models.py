@@ -129,7 +129,8 @@ def plain_rule(host, path, rules):
 
 def check_urls(rows, urls, rules):
     """Parts, rules and verdicts by plain Python; the model again from its sample."""
-    known = sorted({(*plain_parts(u), plain_rule(*plain_parts(u), rules)[1]) for u in urls if plain_rule(*plain_parts(u), rules)[0]}, key=lambda k: (k[2], k))
+    decided = {(*plain_parts(u), plain_rule(*plain_parts(u), rules)[1]) for u in urls.values()}
+    known = sorted((k for k in decided if k[2]), key=lambda k: (k[2], k))
     model = url_filter.fit(known)
     for r in rows:
         u = urls[r.page_id]
