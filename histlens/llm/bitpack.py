@@ -132,6 +132,9 @@ class Reader:
 
 
 def _filesystem(path: str):
+    """(file system, path in it) of a path, local if it names no file system."""
+    if path.startswith("s3a://"):
+        path = "s3://" + path[6:]
     return pafs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
 
 
@@ -200,5 +203,5 @@ def read_token_files(spark: SparkSession, manifest: DataFrame) -> DataFrame:
 def token_table(docs: DataFrame, tokenizer_path: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Write token files to the shared folder and read them back."""
     st = Stages(docs.sparkSession, "tokens")
-    manifest = st.write(write_token_files(docs, st.path("files"), tokenizer_path, text_col, id_col), "manifest")
+    manifest = st.write(write_token_files(docs, st.uri("files"), tokenizer_path, text_col, id_col), "manifest")
     return read_token_files(docs.sparkSession, manifest)

@@ -45,6 +45,11 @@ class Stages:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def uri(self, name: str) -> str:
+        """The path with its file system, as Spark resolves it (for tasks that write files themselves)."""
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
     def read(self, name: str, schema) -> DataFrame:
         return self.spark.read.schema(schema).parquet(self.path(name))
 
@@ -82,6 +87,14 @@ def kept_in_process(key: tuple, make: Callable[[], object]) -> object:
     return held[key]
 
 
+def hash_sample(rows: DataFrame, keys: list[str], hashed: str, n: int) -> DataFrame:
+    """Of each key about 2 n rows, those of the smallest hashes: counts per key (few keys: labels,
+    languages) set a bound on the hash, so that a big table is thinned before any shuffle."""
+    u = F.pmod(F.col(hashed), F.lit(1 << 31)) / float(1 << 31)
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return rows.join(F.broadcast(counts), keys).filter(u < 2.0 * n / F.col("_n")).drop("_n")
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
     """The batches cut into short ones, so that few texts are Python objects at a time."""
     for b in batches:

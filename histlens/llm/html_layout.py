@@ -189,9 +189,8 @@ class _Flow:
 
 class _Table:
     def __init__(self):
-        self.rows: list[list[tuple[int, list[str]]]] = []       # per row (column, lines)
+        self.rows: list[list[tuple[int, _Flow, int]]] = []      # per row (column, text, columns covered)
         self.spans: dict[int, int] = {}                         # column: rows still covered from above
-        self.cell: tuple[int, int, _Flow] | None = None
 
     def row(self) -> None:
         self.rows.append([])
@@ -201,18 +200,18 @@ class _Table:
         if not self.rows:
             self.row()
         row = self.rows[-1]
-        col = row[-1][0] + row[-1][2] if row else 0             # type: ignore[misc]
+        col = row[-1][0] + row[-1][2] if row else 0
         while col in self.spans:
             col += 1
         flow = _Flow()
-        row.append((col, flow, colspan))                        # type: ignore[arg-type]
+        row.append((col, flow, colspan))
         if rowspan > 1:
             for c in range(col, col + colspan):
                 self.spans[c] = rowspan
         return flow
 
     def render(self) -> list[str]:
-        rows = [[(c, f.take(), w) for c, f, w in row] for row in self.rows]     # type: ignore[misc]
+        rows = [[(c, f.take(), w) for c, f, w in row] for row in self.rows]
         width: dict[int, int] = {}
         for row in rows:
             for c, lines, w in row:

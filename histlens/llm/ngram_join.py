@@ -146,7 +146,7 @@ def _whole_sets(text_col: str, wanted) -> object:
         shingler, bits = Shingler(), wanted.value
         for b in slices(batches):
             ids = b.column(0).to_numpy() & ((1 << FILTER_BITS) - 1)
-            b = b.filter(pa.array((bits[ids >> 3] >> (ids & 7)) & 1 == 1))
+            b = b.filter(pa.array((bits[ids >> 6] >> (ids & 63)) & 1 == 1))
             sets = [s for s in map(shingler, byte_texts(b, text_col)) if len(s)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([set_id(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["cid", "tokens"])
@@ -173,10 +173,12 @@ def _verify(st: Stages, docs: DataFrame, sets: DataFrame, members: DataFrame, pa
                     .select("x", "y", "size_x", "size_y"), f"near_{tag}")
     ids = st.write(near.select(F.col("x").alias("cid")).union(near.select(F.col("y"))).distinct(), f"ids_{tag}")
     texts = sets.join(ids, "cid").groupBy("cid").agg(F.min("text_id").alias("text_id"))
-    low = (1 << FILTER_BITS) - 1
-    bits = np.zeros((low + 1) // 8, np.uint8)
-    at = texts.select(F.col("text_id").bitwiseAND(low).cast("int").alias("i")).distinct().toArrow().column(0).to_numpy()
-    np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+    # a bitmap of fixed size says which texts to read again; texts that pass it by chance are joined away
+    at = F.col("text_id").bitwiseAND((1 << FILTER_BITS) - 1)
+    words = (texts.groupBy(F.shiftright(at, 6).cast("int").alias("w"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, CAST(text_id & 63 AS INT))")).alias("m")).toArrow())
+    bits = np.zeros(1 << FILTER_BITS >> 6, np.int64)
+    bits[words.column("w").to_numpy()] = words.column("m").to_numpy()
     wanted = st.spark.sparkContext.broadcast(bits)
     whole = (docs.select(F.xxhash64(text_col).alias("text_id"), text_col)
              .mapInArrow(_whole_sets(text_col, wanted), "cid long, tokens array<long>"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from histlens.llm.common import slices
+from histlens.llm.common import hash_sample, slices
 
 ALLOW, BLOCK = "allow", "block"
 Rules = list[tuple[str, str]]       # (verdict, "host/path")
@@ -107,8 +107,9 @@ def decided_sample(urls: DataFrame, rules: Rules, per_verdict: int = SAMPLE) ->
     verdicts = {text: v for v, text in rules}
     known = (urls.filter(F.col("rule").isNotNull()).select("host", "path", "rule").distinct()
              .withColumn("verdict", F.element_at(F.create_map(*[F.lit(x) for kv in verdicts.items() for x in kv]), F.col("rule"))))
-    pick = Window.partitionBy("verdict").orderBy(F.xxhash64("host", "path"), "host", "path")
-    got = known.withColumn("k", F.row_number().over(pick)).filter(F.col("k") <= per_verdict)
+    known = known.withColumn("h", F.xxhash64("host", "path"))
+    pick = Window.partitionBy("verdict").orderBy(F.pmod("h", F.lit(1 << 31)), "host", "path")
+    got = hash_sample(known, ["verdict"], "h", per_verdict).withColumn("k", F.row_number().over(pick)).filter(F.col("k") <= per_verdict)
     return [(r.host, r.path, r.verdict) for r in got.orderBy("verdict", "k").collect()]
 
 

@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from histlens.llm.common import byte_texts, slices, train_rows
+from histlens.llm.common import byte_texts, hash_sample, slices, train_rows
 
 DOCS_PER_LANG = 100                 # training texts of one language
 DOC_CHARS = (300, 4000)             # their lengths
@@ -47,8 +47,8 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     rows = (docs.filter(train_rows(F.col(id_col)) & F.col(lang_col).isNotNull() & (n > 0))
             .select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
                     (~n.between(*DOC_CHARS)).cast("int").alias("odd"), F.xxhash64(id_col, text_col).alias("h")))
-    pick = Window.partitionBy("lang").orderBy("odd", "h")
-    got = rows.withColumn("k", F.row_number().over(pick)).filter(F.col("k") <= DOCS_PER_LANG)
+    pick = Window.partitionBy("lang").orderBy("odd", F.pmod("h", F.lit(1 << 31)), "h")
+    got = hash_sample(rows, ["lang", "odd"], "h", DOCS_PER_LANG).withColumn("k", F.row_number().over(pick)).filter(F.col("k") <= DOCS_PER_LANG)
     got = got.withColumn("text", F.when(F.col("odd") == 1, F.substring("text", 1, DOC_CHARS[1])).otherwise(F.col("text")))
     held: dict[str, list[bytes]] = {}
     for r in got.orderBy("lang", F.desc("k")).collect():        # the best matches stand at a dictionary's end
