@@ -79,14 +79,21 @@ def kept_in_process(key: tuple, make: Callable[[], object]) -> object:
     """The object that this Python worker keeps under key, made at its first use.
 
     A worker serves many tasks; what a coder has learned from one serves the next.  The memory of
-    each coder is bounded, and nothing that it remembers changes a result.
+    each coder is bounded, nothing that it remembers changes a result, and a worker keeps
+    one at a time.
     """
     held = sys.__dict__.setdefault("_histlens_llm_kept", {})
     if key not in held:
+        held.clear()
         held[key] = make()
     return held[key]
 
 
+def forget_kept() -> None:
+    """Free what this worker keeps, at the start of a task that needs its memory otherwise."""
+    sys.__dict__.pop("_histlens_llm_kept", None)
+
+
 def hash_sample(rows: DataFrame, keys: list[str], hashed: str, n: int) -> DataFrame:
     """Of each key about 2 n rows, those of the smallest hashes: counts per key (few keys: labels,
     languages) set a bound on the hash, so that a big table is thinned before any shuffle."""

@@ -30,14 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from histlens.llm.common import Stages, byte_texts, partitions, slices
+from histlens.llm.common import Stages, byte_texts, forget_kept, partitions, slices
 from histlens.llm.shingles import Shingler, set_id
 
 PERCENT = 80
 COMMON_FROM = 64                # a shingle with fewer occurrences is never common
 MAX_COMMON = 1 << 21            # bound of the broadcast list of common shingles
 COUNT_BITS = 36                 # shingles are counted by their first bits; raise it with the data (2^36: well beyond 10^9 shingles)
-FLUSH = 4_000_000               # shingles counted at a time in a task
+FLUSH = 2_000_000               # shingles counted at a time in a task
 SKETCH_BITS = 1024              # parity sketch of a set
 FILTER_BITS = 22                # bits (as a power of 2) of the filter of texts to read again
 
@@ -63,6 +63,7 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
 def _count_parts(text_col: str, ranges: int):
     """Count shingles by their first COUNT_BITS bits: (range, blob) rows of each task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         shingler, held, size = Shingler(), [], 0
         edges = (np.arange(1, ranges, dtype=np.float64) * (2.0**COUNT_BITS / ranges)).astype(np.uint64)
 
@@ -119,6 +120,7 @@ def _sketch(tokens: np.ndarray) -> bytes:
 
 def _sets(text_col: str, common) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         shingler, heavy = Shingler(), common.value
         for b in slices(batches):
             out = []
@@ -143,6 +145,7 @@ def _sets(text_col: str, common) -> object:
 def _whole_sets(text_col: str, wanted) -> object:
     """(cid, tokens) of the texts that pass the filter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         shingler, bits = Shingler(), wanted.value
         for b in slices(batches):
             ids = b.column(0).to_numpy() & ((1 << FILTER_BITS) - 1)

@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from histlens.llm.common import byte_texts, hash_sample, slices, train_rows
+from histlens.llm.common import byte_texts, forget_kept, hash_sample, slices, train_rows
 
 DOCS_PER_LANG = 100                 # training texts of one language
 DOC_CHARS = (300, 4000)             # their lengths
@@ -89,6 +89,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[
     shared = docs.sparkSession.sparkContext.broadcast(model)      # at most DICT_BYTES a language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         judge = Classifier(shared.value)
         for b in slices(batches):
             got = [judge(t) for t in byte_texts(b, "_text")]
