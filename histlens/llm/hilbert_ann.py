@@ -3,9 +3,14 @@
 Vectors are projected to a few dimensions, ``CURVES`` times by different rotations and
 shifts, and each projection is laid on a Hilbert curve.  Every curve is range-partitioned
 and sorted by Spark; the order is cut into blocks and a query is compared with its
-own block and the two beside it on every curve.  The findings of all curves merge and
+own block and those beside it on every curve.  The findings of all curves merge and
 are ranked by the exact inner product in double precision.
 
+How wide the windows must be depends on the table: ``TRIED`` queries are compared
+with every row, and the windows are the narrowest that find ``RECALL`` of those true
+neighbours.  Vectors in clusters keep narrow windows; on vectors without any structure
+the windows grow with the table, and so does the work of each query.
+
 Equal vectors are one point of the curves with the ids of its copies (the smallest
 ones that a result can hold), so that a very common vector fills no window.
 """
@@ -19,11 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from histlens.llm.common import Stages, partitions
+from histlens.llm.common import Stages, partitions, slices
 
 CURVES = 16
 DIMS, BITS = 8, 8               # a curve's key has DIMS * BITS = 64 bits
-BLOCK = 1536                    # vectors of one block
+BLOCK = 1536                    # vectors of the smallest block
+BLOCK_VALUES = 1 << 21          # components of the largest one; wider windows take more blocks
+TRIED, RECALL = 256, 0.95       # queries that set the windows, and the share of their neighbours to be found
 SAMPLE = 4096                   # vectors that set the range of each projection
 TOP = 20
 
@@ -105,8 +112,9 @@ def _search(top: int):
         q, c = np.flatnonzero(ask), np.flatnonzero(~ask)
         c = c[np.unique(ids[c], return_index=True)[1]]         # a block of a short curve's end holds some twice
         got: tuple[list, list, list] = ([], [], [])
-        for i in range(0, len(q) if len(c) else 0, 512):
-            part = q[i : i + 512]
+        step = max(1, min(512, (1 << 22) // max(len(c), 1)))
+        for i in range(0, len(q) if len(c) else 0, step):
+            part = q[i : i + step]
             s = x[part] @ x[c].T
             s[ids[part][:, None] == ids[c][None, :]] = -np.inf
             k = min(top, len(c))
@@ -125,10 +133,65 @@ def _search(top: int):
     return run
 
 
+def _scan(tried, top: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The nearest vectors of one partition for each tried query."""
+        qid, q = tried.value
+        ids, score = np.zeros((len(qid), 0), np.int64), np.zeros((len(qid), 0))
+        for b in slices(batches, 2048):
+            if b.num_rows:
+                vid = b.column(0).to_numpy()
+                s = q @ _matrix(b.column(1)).T
+                s[qid[:, None] == vid[None, :]] = -np.inf
+                score = np.concatenate([score, s], 1)
+                ids = np.concatenate([ids, np.broadcast_to(vid, s.shape)], 1)
+                best = np.lexsort((ids, -score), axis=1)[:, :top]
+                ids, score = np.take_along_axis(ids, best, 1), np.take_along_axis(score, best, 1)
+        r, k = np.nonzero(score > -np.inf)
+        yield pa.RecordBatch.from_arrays([pa.array(qid[r]), pa.array(ids[r, k]), pa.array(score[r, k])], ["q", "c", "score"])
+    return run
+
+
+def windows(block: int, largest: int, rows: int) -> Iterator[tuple[int, int]]:
+    """(block, reach) from narrow to all rows: blocks grow up to the largest, then more of them are looked into."""
+    while block < min(largest, rows):
+        yield block, 1
+        block = min(largest, block + max(1, block // 4))
+    reach = 1
+    while reach * block < rows:
+        yield block, reach
+        reach += max(1, reach // 4)
+    yield block, reach
+
+
+def _window(points: DataFrame, place: DataFrame, dim: int, top: int, block: int, rows: int) -> tuple[int, int]:
+    """The narrowest window that finds RECALL of the true neighbours of TRIED queries."""
+    spark = points.sparkSession
+    got = points.filter("ask").select("vid", "embedding", F.xxhash64("vid").alias("h")).orderBy("h").limit(TRIED).toArrow()
+    largest = max(block, BLOCK_VALUES // dim)
+    if rows <= block or not got.num_rows:
+        return block, 1
+    tried = spark.sparkContext.broadcast((got.column("vid").to_numpy(), _matrix(got.column("embedding").combine_chunks())))
+    best = Window.partitionBy("q").orderBy(F.desc("score"), "c")
+    true = (points.select("vid", "embedding").mapInArrow(_scan(tried, top), "q long, c long, score double")
+            .withColumn("k", F.row_number().over(best)).filter(F.col("k") <= top).select("q", "c").toArrow())
+    q, c = true.column("q").to_numpy(), true.column("c").to_numpy()
+    need = np.unique(np.concatenate([q, c]))
+    at = place.join(F.broadcast(spark.createDataFrame(pa.table({"vid": need}))), "vid").select("vid", "pos").toArrow()
+    vid, pos = at.column("vid").to_numpy(), at.column("pos").to_numpy()
+    pos = pos[np.lexsort((pos, vid))].reshape(len(need), -1)          # a column a curve
+    a, b = pos[np.searchsorted(need, q)], pos[np.searchsorted(need, c)]
+    for size, reach in windows(block, largest, rows):
+        if (np.abs(a // size - b // size) <= reach).any(1).mean() >= RECALL:
+            break
+    return size, reach
+
+
 def nearest(vectors: DataFrame, is_query, top: int = TOP, id_col: str = "vec_id", vec_col: str = "embedding",
             curves: int = CURVES, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row that fits ``is_query`` (a Column) its
     nearest other rows by inner product, at most ``top``, ties to the smaller id.
+    ``block`` is the smallest size of a block.
 
     Rows with a null id, and vectors that are null, empty, zero or hold null or non-finite components take no part;
     nor do vectors of another length than most.  Directions place a vector on the
@@ -162,11 +225,13 @@ def nearest(vectors: DataFrame, is_query, top: int = TOP, id_col: str = "vec_id"
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)       # a row a partition
     base = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     place = (ordered.withColumn("part", F.shiftright("at", 33)).join(F.broadcast(base), "part")
-             .select("vid", F.floor((F.col("base") + F.col("at").bitwiseAND(low)) / block).alias("block")))
+             .select("vid", (F.col("base") + F.col("at").bitwiseAND(low)).alias("pos")))
+    size, reach = _window(points, place, dim, top, block, points.count())
+    place = place.select("vid", F.floor(F.col("pos") / size).alias("block"))
     homes = place.groupBy("vid").agg(F.collect_list("block").alias("blocks"))        # one entry a curve
     rows = st.write(points.select("vid", "embedding", "ask").join(homes, "vid"), "rows")
     here = rows.select(F.explode("blocks").alias("block"), "vid", "embedding", F.lit(False).alias("ask"))
-    near = (rows.filter("ask").select(F.explode(F.array_distinct(F.flatten(F.transform("blocks", lambda b: F.array(b - 1, b, b + 1))))).alias("block"),
+    near = (rows.filter("ask").select(F.explode(F.array_distinct(F.flatten(F.transform("blocks", lambda b: F.sequence(b - reach, b + reach))))).alias("block"),
                                       "vid", "embedding", "ask"))
     hits = here.unionByName(near).groupBy("block").applyInArrow(_search(top), "q long, c long, score double")
     hits = hits.groupBy("q", "c").agg(F.max("score").alias("score"))

@@ -73,3 +73,24 @@ def test_recall_with_many_blocks(spark):
     s = x.astype(np.float64) @ x.T
     hits = sum(s[r.query_id, r.vec_id] >= np.sort(np.delete(s[r.query_id], r.query_id))[-20] - 1e-12 for r in got)
     assert len(got) == 200 * 20 and hits >= 0.9 * len(got)
+
+
+@pytest.mark.parametrize("values", [1 << 21, 16_000])
+def test_windows_grow_until_recall_holds(spark, monkeypatch, values):
+    """The smallest block is far too narrow for this table: wider blocks, or more of them, are looked into."""
+    monkeypatch.setattr(hilbert_ann, "BLOCK_VALUES", values)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(6000, 32))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], SCHEMA)
+    got = hilbert_ann.nearest(df, F.col("vec_id") % 20 == 0, block=16).collect()
+    s = x.astype(np.float64) @ x.T
+    hits = sum(s[r.query_id, r.vec_id] >= np.sort(np.delete(s[r.query_id], r.query_id))[-20] - 1e-12 for r in got)
+    assert len(got) == 300 * 20 and hits >= 0.9 * len(got)
+
+
+def test_windows_from_narrow_to_all_rows():
+    tried = list(hilbert_ann.windows(16, 64, 1000))
+    assert tried[0] == (16, 1) and tried[-1][0] * tried[-1][1] >= 1000
+    assert all(a[0] * a[1] < b[0] * b[1] for a, b in zip(tried, tried[1:])) and max(b for b, _ in tried) == 64
+    assert list(hilbert_ann.windows(1536, 32768, 500)) == [(1536, 1)]
