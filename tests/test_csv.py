@@ -111,3 +111,32 @@ def test_too_long_record_is_rejected(spark):
     df = spark.createDataFrame([(0, i // 4, i, x) for i, x in enumerate(lines)], "s INT, b INT, ln INT, line STRING")
     got = {r.start.o0: (r.status, r.reason, r.n_lines, r.what) for r in repair_records(df, ["s"], "b", ["ln"], max_chars=1000).collect()}
     assert got == {0: ("reject", "too long", 42, None), 42: ("ok", None, 1, "a")}
+
+
+def test_rows_after_a_stray_quote_are_kept(spark, tmp_path):
+    """Stray quotes spoil their own lines only; quoted line breaks between and after them stay whole."""
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+        plain = lambda a, b: "".join(f"{i},t{i},{i},1\n" for i in range(a, b))
+        pair = '900,"two\nlines",1,1\n'
+        (tmp_path / "a.csv").write_text("id,what,when,who\n" + plain(0, 50) + pair + '901,"open,5,1\n' + plain(100, 300) + pair
+                                        + plain(300, 310) + '902,op"en,5,1\n' + plain(400, 600) + pair + "903,last,1,1\n")
+        (tmp_path / "b.csv").write_text("id,what,when,who\n" + plain(700, 710) + '904,"open,5,1\n' + plain(710, 890))
+        got, bad = load_history(spark, str(tmp_path), max_chars=1000)
+        ids = [*range(50), *range(100, 310), *range(400, 600), *range(700, 890)]
+        want = [(i, f"t{i}", i, 1) for i in ids] + [(900, "two\nlines", 1, 1)] * 3 + [(903, "last", 1, 1)]
+        assert sorted(rows(got)) == sorted(want)
+        assert sorted((r.text, r.reason) for r in bad.collect()) == [
+            ('901,"open,5,1', "unclosed quote"), ('902,op"en,5,1', "unclosed quote"), ('904,"open,5,1', "unclosed quote")]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_long_text_is_not_assembled(spark, tmp_path):
+    """A closed text over the limit without rows in it is one reject, by its first line."""
+    long = "\n".join(f"line {i}" for i in range(300))
+    (tmp_path / "h.csv").write_text(f'id,what,when,who\n1,"a\nb",5,6\n2,"{long}",5,6\n3,"c\nd",7,8\n4,e,7,8\n')
+    got, bad = load_history(spark, str(tmp_path / "h.csv"), max_chars=1000)
+    assert sorted(rows(got)) == [(1, "a\nb", 5, 6), (3, "c\nd", 7, 8), (4, "e", 7, 8)]
+    assert [(r.text, r.reason) for r in bad.collect()] == [('2,"line 0', "too long")]
