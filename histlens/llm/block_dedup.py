@@ -22,19 +22,22 @@ from histlens.llm.common import Stages, ascii_lower, partitions
 BLOCK_CHARS = 4096
 
 
-def _blocks(rows: DataFrame, text_col: str, block_chars: int) -> DataFrame:
-    """(rid, n, pos, block, sha, bid): sha on the first block only, bid numbers the blocks."""
-    norm = rows.select("rid", ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).alias("norm"))
+def _blocks(rows: DataFrame, text_col: str, id_col: str, block_chars: int) -> DataFrame:
+    """(rid, n, pos, block, sha, id, bid): sha and id on the first block only, bid numbers the blocks."""
+    norm = rows.select("rid", F.col(id_col).alias("id"), ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).alias("norm"))
     cut = F.when(F.length("norm") <= block_chars, F.array("norm")).otherwise(
         F.regexp_extract_all("norm", F.lit("(?s).{1,%d}" % block_chars), F.lit(0)))
-    parts = norm.select("rid", F.unhex(F.sha2("norm", 256)).alias("sha"), cut.alias("cut"))
-    parts = parts.select("rid", "sha", F.size("cut").alias("n"), F.posexplode("cut").alias("pos", "block"))
-    return parts.select("rid", "n", "pos", "block", F.when(F.col("pos") == 0, F.col("sha")).alias("sha"),
+    parts = norm.select("rid", "id", F.unhex(F.sha2("norm", 256)).alias("sha"), cut.alias("cut"))
+    parts = parts.select("rid", "id", "sha", F.size("cut").alias("n"), F.posexplode("cut").alias("pos", "block"))
+    return parts.select("rid", "n", "pos", "block", *[F.when(F.col("pos") == 0, F.col(c)).alias(c) for c in ("sha", "id")],
                         F.monotonically_increasing_id().alias("bid"))
 
 
 def _name_blocks(st: Stages, blocks: DataFrame, parts: int) -> DataFrame:
-    """(rid, n, pos, sha, name), written: one integer name per distinct block content."""
+    """(rid, n, pos, sha, id, name), written: one integer name per distinct block content.
+
+    Row and block numbers come from the one scan whose result is written; the scan that counts uses neither.
+    """
     total = Observation()
     counts = (blocks.select(F.xxhash64("block").alias("fp")).groupBy("fp").count()
               .observe(total, F.sum("count").alias("rows")).filter("count > 1"))
@@ -46,7 +49,7 @@ def _name_blocks(st: Stages, blocks: DataFrame, parts: int) -> DataFrame:
     run = Window.partitionBy("block", "salt")
     named = salted.withColumn("name", F.min("bid").over(run))
     named = st.write(named.select(
-        "rid", "n", "pos", "sha", "name",
+        "rid", "n", "pos", "sha", "id", "name",
         F.when(F.col("salts").isNotNull() & (F.col("name") == F.col("bid")), F.col("block")).alias("rep")), "names0")
     # the representatives of one hot block (one per salt, fewer than 2P in all) get their smallest name
     reps = named.filter(F.col("rep").isNotNull()).select("rep", F.col("name").alias("old"))
@@ -75,16 +78,17 @@ def _name_pairs(st: Stages, cur: DataFrame, level: int, parts: int) -> DataFrame
     return st.write(out, f"names{level}")
 
 
-def name_documents(rows: DataFrame, st: Stages, text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """(rid, sha, n, name): rows with equal normalised text, and only they, share (n, name).
+def name_documents(rows: DataFrame, st: Stages, text_col: str = "text", id_col: str = "doc_id",
+                   block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """(rid, id, sha, n, name): rows with equal normalised text, and only they, share (n, name).
 
-    ``rows`` has a unique ``rid``.  Null text is empty; an empty text is one empty block.
+    ``rows`` has a unique ``rid``, evaluated once.  Null text is empty; an empty text is one empty block.
     """
     parts = partitions(st.spark)
-    first = _name_blocks(st, _blocks(rows, text_col, block_chars), parts)
+    first = _name_blocks(st, _blocks(rows, text_col, id_col, block_chars), parts)
     longest = first.agg(F.max("n")).first()[0] or 1
     if longest == 1:
-        return first.select("rid", "sha", "n", "name")
+        return first.select("rid", "id", "sha", "n", "name")
     heads = first.filter("pos = 0")
     done = []
     cur = first.filter("n > 1").select("rid", F.col("n").alias("m"), "pos", "name")
@@ -95,8 +99,8 @@ def name_documents(rows: DataFrame, st: Stages, text_col: str = "text", block_ch
     ends = done[0]
     for d in done[1:]:
         ends = ends.unionByName(d)
-    return heads.filter("n = 1").select("rid", "sha", "n", "name").unionByName(
-        heads.filter("n > 1").drop("name").join(ends, "rid").select("rid", "sha", "n", F.col("last").alias("name")))
+    return heads.filter("n = 1").select("rid", "id", "sha", "n", "name").unionByName(
+        heads.filter("n > 1").drop("name").join(ends, "rid").select("rid", "id", "sha", "n", F.col("last").alias("name")))
 
 
 def exact_groups(rows: DataFrame, text_col: str = "text", id_col: str = "doc_id",
@@ -104,7 +108,7 @@ def exact_groups(rows: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     """Groups of rows with identical text after lower-casing A-Z: one row per input row,
     (rid, <id_col>, keep_id, group_size, kept, text_sha256).
 
-    ``rows`` has a unique ``rid`` (long).  The row with the largest id stays; of
+    ``rows`` has a unique ``rid`` (long), which only needs to hold within one scan.  The row with the largest id stays; of
     repeated rows with one id the largest rid, and null ids count as the smallest.  Null
     text counts as empty, and empty texts form a group.  An empty table gives an
     empty result; columns beside rid, id and text are ignored.
@@ -112,8 +116,7 @@ def exact_groups(rows: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     st = Stages(rows.sparkSession, "dedup")
     parts = partitions(st.spark)
     total = Observation()
-    ids = rows.select("rid", F.col(id_col).alias("id"))
-    named = name_documents(rows, st, text_col, block_chars).join(ids, "rid")
+    named = name_documents(rows, st, text_col, id_col, block_chars)
     named = st.write(named.observe(total, F.count(F.lit(1)).alias("rows")), "identity")
     share = max(1.0, total.get["rows"] / parts)
     top, size = F.max(F.struct("id", "rid")), F.count(F.lit(1))
@@ -128,5 +131,6 @@ def exact_groups(rows: DataFrame, text_col: str = "text", id_col: str = "doc_id"
 
 
 def with_rid(docs: DataFrame, *cols: str) -> DataFrame:
-    """``cols`` of a table read from files, with a row number that repeated scans agree on."""
+    """``cols`` of a table with a row number.  Scans of files may be split anew when the number of cores
+    changes, so it holds within one scan only: never join two scans on it."""
     return docs.select(*[F.col(c) for c in cols]).withColumn("rid", F.monotonically_increasing_id())

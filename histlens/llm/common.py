@@ -6,6 +6,7 @@ import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +42,8 @@ class Stages:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex[:12]}"
+        for held in _open:
+            held.append(self)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -58,12 +61,30 @@ class Stages:
         return self.read(name, df.schema)
 
     def drop(self, *names: str) -> None:
+        """Delete the named tables; without a name, the whole folder."""
         jvm, jsc = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc
-        for n in names:
-            p = jvm.org.apache.hadoop.fs.Path(self.path(n))
+        for at in [self.path(n) for n in names] or [self.root]:
+            p = jvm.org.apache.hadoop.fs.Path(at)
             p.getFileSystem(jsc.hadoopConfiguration()).delete(p, True)
 
 
+_open: list[list[Stages]] = []
+
+
+@contextmanager
+def dropping_stages():
+    """Store an operator's result inside this block: at its end the stage tables that operators
+    called in it have written are deleted."""
+    held: list[Stages] = []
+    _open.append(held)
+    try:
+        yield
+    finally:
+        _open.remove(held)
+        for st in held:
+            st.drop()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

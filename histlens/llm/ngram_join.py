@@ -229,9 +229,9 @@ def components(st: Stages, edges: DataFrame, tag: str) -> DataFrame:
 def near_duplicates(rows: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Connected components of documents whose 5-word shingle sets have Jaccard similarity 0.8 or more.
 
-    ``rows``: a table with a unique ``rid`` (long) that repeated scans agree on, an
-    integer id and a text.  One row per input row: (<id_col>, rid, n_shingles,
-    component_id, kept).  component_id is the smallest id in the row's component;
+    ``rows``: a table with a unique ``rid`` (long, which only needs to hold within one scan), an
+    integer id and a text.  One row per input row: (<id_col>, rid, text_id, n_shingles,
+    component_id, kept); text_id is the 64-bit hash of its text.  component_id is the smallest id in the row's component;
     of each component the row with the smallest (id, rid) is ``kept``.  A null, empty or
     blank text has the empty set, links with nothing and is kept.  Repeated rows
     are rows of one set and so linked.  Null ids count as the largest; a component of
@@ -295,9 +295,9 @@ def near_duplicates(rows: DataFrame, text_col: str = "text", id_col: str = "doc_
     of_set = st.write(of_set, "of_set")
     least = st.write(of_set.groupBy("root").agg(F.min("first").alias("least")), "least")
     by_set = st.write(of_set.join(least, "root").select("cid", "least"), "by_set")
-    linked = (full.select("doc", "rid", "size", "cid").join(by_set, "cid")
-              .select(F.col("doc").alias(id_col), "rid", F.col("size").cast("long").alias("n_shingles"),
+    linked = (full.select("doc", "rid", "text_id", "size", "cid").join(by_set, "cid")
+              .select(F.col("doc").alias(id_col), "rid", "text_id", F.col("size").cast("long").alias("n_shingles"),
                       F.col("least.doc").alias("component_id"), (F.col("rid") == F.col("least.rid")).alias("kept")))
-    alone = sets.filter("size = 0").select(F.col("doc").alias(id_col), "rid", F.lit(0).cast("long").alias("n_shingles"),
+    alone = sets.filter("size = 0").select(F.col("doc").alias(id_col), "rid", "text_id", F.lit(0).cast("long").alias("n_shingles"),
                                            F.col("doc").alias("component_id"), F.lit(True).alias("kept"))
     return linked.unionByName(alone)

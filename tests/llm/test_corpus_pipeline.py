@@ -55,8 +55,10 @@ def lang_schema(spark):
     return spark.read.parquet(f"{SF}/documents.parquet").schema
 
 
-def test_run_is_the_stages_in_order(spark):
+def test_run_is_the_stages_in_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("histlens.llm.common.shared_folder", lambda spark: str(tmp_path))
     got = P.run(spark, SF).collect()
+    assert [x.name for d in tmp_path.iterdir() for x in d.iterdir() if not x.name.endswith(".crc")] == ["4_packing"]
     assert len({r.doc_id for r in got}) < spark.read.parquet(f"{SF}/documents.parquet").count()
     assert {"doc_id", "start", "length", "sequence_id", "offset"} <= set(got[0].asDict()) and P.ORACLE_SQL is None
 

@@ -135,3 +135,39 @@ def test_dedup_is_native(spark):
     df = block_dedup.exact_groups(numbered(spark, TEXTS[:5]))
     plan = df._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+@pytest.fixture
+def shifting_cores(spark, monkeypatch, tmp_path):
+    """A table in many files, and splits that differ from one scan to the next."""
+    from histlens.llm.common import Stages
+
+    rows = [(i, f"text {i % 700} of a document with more words in it {i % 700}") for i in range(2000)] + [(5, "again"), (5, "again"), (None, "again")]
+    spark.createDataFrame(rows, SCHEMA).repartition(24).write.parquet(str(tmp_path / "docs"))
+    write, turn = Stages.write, iter(range(10**6))
+
+    def shifted(self, df, name):
+        out = write(self, df, name)
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", [2, 7, 1, 13][next(turn) % 4])
+        return out
+    monkeypatch.setattr(Stages, "write", shifted)
+    yield spark.read.parquet(str(tmp_path / "docs")), rows
+    spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+
+
+def test_results_do_not_depend_on_file_splits(spark, shifting_cores):
+    import corpus_pipeline as P
+
+    docs, rows = shifting_cores
+    got = block_dedup.exact_groups(block_dedup.with_rid(docs, "doc_id", "text"), block_chars=16).collect()
+    want = groups(rows)
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.group_size, r.text_sha256) for r in got) == sorted(
+        (-1 if d is None else d, *want[i][1:2], want[i][3]) for i, (d, _) in enumerate(rows))
+    spark.conf.set("spark.sql.leafNodeDefaultParallelism", 8)
+    kept = P.exact_dedup(spark, docs, "")
+    spark.conf.set("spark.sql.leafNodeDefaultParallelism", 3)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({k for k, *_ in want.values()})
+    near = P.near_dedup(spark, docs, "")
+    spark.conf.set("spark.sql.leafNodeDefaultParallelism", 5)
+    comp = brute.near_components([(i, t) for i, (_, t) in enumerate(rows[:700])])
+    assert len(near.collect()) == len({c for _, c in comp.values()}) + 1
