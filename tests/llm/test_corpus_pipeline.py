@@ -88,5 +88,5 @@ def test_registered_queries():
     import __spark_entry__ as E
 
     names = set(E.queries())
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
     assert "op9_exact_dedup" in E.oracle_sql() and "pipeline" not in E.oracle_sql()

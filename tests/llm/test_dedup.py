@@ -120,7 +120,7 @@ def test_op1_on_given_table(spark):
     assert got == brute.near_components(rows)
 
 
-@pytest.mark.parametrize("name", ["op1_ngram_join", "op9_exact_dedup"])
+@pytest.mark.parametrize("name", ["op1_ngram_join", "op9_exact_dedup", "op11_collocations", "op13_quality_rules"])
 def test_queries_equal_their_sql(spark, name):
     from compare import compare, duck
 
