@@ -5,7 +5,8 @@ Per language, over words within pieces (no phrase crosses a punctuation mark or
 1. Words are counted exactly; a phrase can be frequent only if its words are.
 2. Every shard (the words of one language that a task holds at a time) is mined completely, level by
    level, at the local support ceil(min_count * words of the shard / words of the language): a phrase
-   below it in every shard is below min_count in all.  Only hashes of locally frequent phrases leave the shard.
+   below it in every shard is below min_count in all.  Pairs of words are first counted in hashed buckets, and only
+   those in buckets that reach the support one by one.  Only hashes of locally frequent phrases leave the shard.
 3. Their union is a bitmap of fixed size that every task gets.  A second pass counts all phrases whose
    hashes it holds, by their words and in all shards, so that their counts are exact; those that the
    bitmap lets through by chance are counted as well and fall to min_count like any other.
@@ -16,9 +17,7 @@ frequent words and by level alone; results do not change.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +30,10 @@ from histlens.llm.common import Stages, byte_texts, slices
 MIN_COUNT = 100
 MAX_WORDS = 5
 TOP = 2000
-SHARD_WORDS = 4_000_000         # words of a shard: bounds the memory of a task
+SHARD_WORDS = 32_000_000        # words that a task holds at a time, four bytes each: the larger the shards, the fewer candidates
+COUNTED_WORDS = 1_000_000       # different words that a task counts at a time
+BLOCK = 1 << 20                 # words looked at in one step
+BUCKETS = 1 << 22               # counters of hashed pairs of a shard
 FILTER_BITS = 26                # bits (as a power of 2) of the broadcast filters
 
 _END = 0xFF                     # stands for the marks between pieces; no UTF-8 text holds it
@@ -47,29 +49,72 @@ def words_of(texts: list[bytes]) -> list[bytes]:
     return b"\xff".join(texts).lower().translate(_TABLE).replace(b"\xff", b" \xff ").split()
 
 
-class Shard:
-    """Words of one language as numbers, 0 between pieces."""
+class Numbers(dict):
+    """Words to numbers from 1, in order of appearance; b'\\xff' and words that ``known`` refuses are 0."""
+
+    ROOM = 500_000                  # refused words that are remembered
+
+    def __init__(self, lang: str, known=None):
+        super().__init__({b"\xff": 0})
+        self.lang, self.known, self.refused = lang.encode() + b"\0", known, 0
+        self.words: list[bytes] = [b""]
+        self.hashes: list[int] = [0]
+
+    def __missing__(self, w: bytes) -> int:
+        h = xxhash.xxh64_intdigest(self.lang + w)
+        if self.known is not None:
+            at = h & ((1 << FILTER_BITS) - 1)
+            if not int(self.known[at >> 6]) >> (at & 63) & 1:
+                if self.refused < self.ROOM:
+                    self[w] = 0
+                    self.refused += 1
+                return 0
+        self[w] = n = len(self.words)
+        self.words.append(w)
+        self.hashes.append(h)
+        return n
+
+    def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, int]:
+        """The numbers of all words with 0 between pieces and at the end, and how many words there are."""
+        ws = words_of(texts)
+        ids = np.zeros(len(ws) + 1, np.int32)
+        ids[:-1] = np.fromiter(map(self.__getitem__, ws), np.int32, len(ws))
+        return ids, len(ws) - ws.count(b"\xff")
+
 
-    def __init__(self):
-        self.number: dict[bytes, int] = defaultdict(count().__next__)
-        self.number[b"\xff"]
-        self.parts: list[np.ndarray] = []
-        self.size = 0
+class Counts:
+    """Counts of the words of one language."""
+
+    def __init__(self, lang: str, _filter=None):
+        self.number, self.n, self.words = Numbers(lang), np.zeros(1, np.int64), 0
 
     def add(self, texts: list[bytes]) -> None:
-        ws = words_of(texts)
-        self.parts += [np.fromiter(map(self.number.__getitem__, ws), np.int64, len(ws)), np.zeros(1, np.int64)]
-        self.size += len(ws)
+        ids, words = self.number(texts)
+        more = np.bincount(ids, minlength=len(self.number.words))
+        more[: len(self.n)] += self.n
+        self.n, self.words = more, self.words + words
+
+    def size(self) -> int:
+        return len(self.n)
+
+
+class Shard:
+    """The words of one language as numbers, 0 between pieces and for words that are not frequent."""
 
-    def words(self) -> list[bytes]:
-        return list(self.number)
+    def __init__(self, lang: str, frequent):
+        self.number, self.parts, self.words = Numbers(lang, frequent.value), [], 0
 
-    def hashes(self, lang: bytes) -> np.ndarray:
-        h = np.fromiter((xxhash.xxh64_intdigest(lang + b"\0" + w) for w in self.number), np.uint64, len(self.number))
-        return h
+    def add(self, texts: list[bytes]) -> None:
+        ids, words = self.number(texts)
+        self.parts.append(ids)
+        self.words += words
+
+    def size(self) -> int:
+        return self.words
 
     def text(self) -> np.ndarray:
-        return np.concatenate(self.parts) if self.parts else np.zeros(0, np.int64)
+        ids, self.parts = np.concatenate(self.parts), []
+        return ids
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -83,92 +128,107 @@ def _in_filter(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bits[at >> 6] >> (at & 63)) & 1 == 1
 
 
+def _neighbours(ids: np.ndarray, word_hash: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places, hashes) of all pairs of neighbouring words, block by block."""
+    for i in range(0, len(ids) - 1, BLOCK):
+        x, y = ids[i : i + BLOCK], ids[i + 1 : i + BLOCK + 1]
+        at = np.flatnonzero((x[: len(y)] > 0) & (y > 0))
+        if len(at):
+            yield at + i, _mix(word_hash[x[at]] + np.uint64(2) + _mix(word_hash[y[at]]))
+
+
+def _often(ids: np.ndarray, word_hash: np.ndarray, support: int):
+    """Which hashes of neighbours may belong to pairs with ``support`` occurrences: those in buckets with so many."""
+    if support < 2:
+        return lambda hk: np.ones(len(hk), bool)
+    buckets, last = np.zeros(BUCKETS, np.int32), np.uint64(BUCKETS - 1)
+    for _, hk in _neighbours(ids, word_hash):
+        buckets += np.bincount((hk & last).astype(np.int64), minlength=BUCKETS).astype(np.int32)
+    return lambda hk: buckets[(hk & last).astype(np.int64)] >= support
+
+
 def levels(ids: np.ndarray, word_hash: np.ndarray, max_words: int, admit, keep) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(k, first places, counts, hashes) of the phrases of k = 2 .. max_words words that are kept.
 
-    A phrase of k words is looked at where both its parts of k - 1 words were kept.  admit(hashes) says which
+    A phrase of k words is looked at where both its parts of k - 1 words were kept.  admit(k, hashes) says which
     occurrences to count, keep(counts) which counted phrases to keep.  Phrases are told apart by their parts' numbers, never by hashes.
     """
-    name = ids                                  # number of the phrase that starts at a place, 0 for none
-    h = np.where(ids > 0, word_hash[ids], np.uint64(0))
-    first_word = h
+    found = [(at[ok], hk[ok]) for at, hk in _neighbours(ids, word_hash) for ok in (admit(2, hk),)]
+    if not found:
+        return
+    at, hk = (np.concatenate(x) for x in zip(*found))
+    left, right = ids[at].astype(np.int64), ids[at + 1].astype(np.int64)
     for k in range(2, max_words + 1):
-        at = np.flatnonzero((name[:-1] > 0) & (name[1:] > 0))
         if not len(at):
             return
-        hk = _mix(first_word[at] + np.uint64(k) + _mix(h[at + 1]))      # first word, then the rest
-        ok = admit(hk)
-        at, hk = at[ok], hk[ok]
-        _, first, which, n = np.unique(name[at] * (name.max() + 1) + name[at + 1], return_index=True, return_inverse=True, return_counts=True)
+        _, first, which, n = np.unique(left * (right.max() + 1) + right, return_index=True, return_inverse=True, return_counts=True)
         good = keep(n)
-        number = np.cumsum(good) * good
-        name = np.zeros(len(ids), np.int64)
-        name[at] = number[which.ravel()]
-        h = np.zeros(len(ids), np.uint64)
-        h[at] = hk
         if good.any():
             yield k, at[first[good]], n[good], hk[first[good]]
-
-
-def _shards(batches: Iterator[pa.RecordBatch], emit, shard_words: int) -> Iterator[pa.RecordBatch]:
-    """Gather (lang, text) rows into shards and emit each: as soon as it is full, the rest at the end."""
-    held: dict[str, Shard] = {}
+        number = (np.cumsum(good) * good)[which.ravel()]
+        there = number > 0
+        at, hk, number = at[there], hk[there], number[there]
+        follows = np.flatnonzero(np.diff(at) == 1)
+        at, left, right = at[follows], number[follows], number[follows + 1]
+        hk = _mix(word_hash[ids[at]] + np.uint64(k + 1) + _mix(hk[follows + 1]))
+        ok = admit(k + 1, hk)
+        at, hk, left, right = at[ok], hk[ok], left[ok], right[ok]
+
+
+def _shards(batches: Iterator[pa.RecordBatch], make, emit, limit: int) -> Iterator[pa.RecordBatch]:
+    """Gather (lang, text) rows by language and emit what is gathered: as soon as it reaches the limit, the rest at the end."""
+    held: dict = {}
     for b in slices(batches):
         langs = np.array(b.column(0).to_pylist(), object)
         texts = byte_texts(b, "_text")
         for lang in dict.fromkeys(langs):
-            s = held.setdefault(lang, Shard())
-            s.add([texts[i] for i in np.flatnonzero(langs == lang)])
-            if s.size >= shard_words:
-                yield from emit(lang, held.pop(lang))
-        while sum(s.size for s in held.values()) >= 2 * shard_words:      # many languages: the largest goes
-            lang = max(held, key=lambda x: held[x].size)
+            if lang not in held:
+                held[lang] = make(lang)
+            held[lang].add([texts[i] for i in np.flatnonzero(langs == lang)])
+        while sum(s.size() for s in held.values()) >= limit:
+            lang = max(held, key=lambda x: held[x].size())
             yield from emit(lang, held.pop(lang))
-    for lang, s in held.items():
-        yield from emit(lang, s)
+    for lang in list(held):
+        yield from emit(lang, held.pop(lang))
 
 
-def _word_counts(shard_words: int):
-    def emit(lang: str, s: Shard) -> Iterator[pa.RecordBatch]:
-        words, n = s.words()[1:], np.bincount(s.text(), minlength=len(s.number))[1:]
-        if len(words):
-            key = s.hashes(lang.encode())[1:].view(np.int64)
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def emit(lang: str, s: Counts) -> Iterator[pa.RecordBatch]:
+        words = s.number.words
+        for i in range(1, len(words), 100_000):
+            j = min(len(words), i + 100_000)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(words)), pa.array(words, pa.binary()).cast(pa.string()), pa.array(key), pa.array(n, pa.int64())], ["lang", "phrase", "h", "f"])
-    return lambda batches: _shards(batches, emit, shard_words)
+                [pa.array([lang] * (j - i)), pa.array(words[i:j], pa.binary()).cast(pa.string()), pa.array(np.array(s.number.hashes[i:j], np.uint64).view(np.int64)),
+                 pa.array(s.n[i:j], pa.int64())], ["lang", "phrase", "h", "f"])
+    return _shards(batches, Counts, emit, COUNTED_WORDS)
 
 
 def _mine(frequent, totals, min_count: int, max_words: int, shard_words: int):
     """Hashes of the locally frequent phrases of each shard."""
     def emit(lang: str, s: Shard) -> Iterator[pa.RecordBatch]:
-        ids, h = s.text(), s.hashes(lang.encode())
-        here = int((ids > 0).sum())
-        support = max(1, -(-min_count * here // max(1, totals.value.get(lang, 1))))
-        n = np.bincount(ids, minlength=len(s.number))
-        good = _in_filter(frequent.value, h) & (n >= support)
-        good[0] = False
-        ids = np.where(good[ids], ids, 0)
-        every = lambda hk: np.ones(len(hk), bool)
-        for _, _, _, hk in levels(ids, h, max_words, every, lambda c: c >= support):
+        support = max(1, -(-min_count * s.words // max(1, totals.value.get(lang, 1))))
+        ids, h = s.text(), np.array(s.number.hashes, np.uint64)
+        rare = np.bincount(ids, minlength=len(h)) < support
+        ids[rare[ids]] = 0
+        often = _often(ids, h, support)
+        admit = lambda k, hk: often(hk) if k == 2 else np.ones(len(hk), bool)
+        for _, _, _, hk in levels(ids, h, max_words, admit, lambda c: c >= support):
             yield pa.RecordBatch.from_arrays([pa.array(hk.view(np.int64))], ["h"])
-    return lambda batches: _shards(batches, emit, shard_words)
+    return lambda batches: _shards(batches, lambda lang: Shard(lang, frequent), emit, shard_words)
 
 
 def _count(frequent, candidates, max_words: int, shard_words: int):
     """(lang, phrase, words, f): local counts of all phrases whose hashes the candidates hold."""
     def emit(lang: str, s: Shard) -> Iterator[pa.RecordBatch]:
-        ids, h, words = s.text(), s.hashes(lang.encode()), s.words()
-        good = _in_filter(frequent.value, h)
-        good[0] = False
-        ids = np.where(good[ids], ids, 0)
-        for k, at, n, _ in levels(ids, h, max_words, lambda hk: _in_filter(candidates.value, hk), lambda c: c > 0):
+        ids, h, words = s.text(), np.array(s.number.hashes, np.uint64), s.number.words
+        for k, at, n, _ in levels(ids, h, max_words, lambda _, hk: _in_filter(candidates.value, hk), lambda c: c > 0):
             for i in range(0, len(at), 100_000):
                 part = at[i : i + 100_000]
                 phrases = [b" ".join(map(words.__getitem__, row)) for row in ids[part[:, None] + np.arange(k)].tolist()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * len(part)), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(np.full(len(part), k), pa.int32()), pa.array(n[i : i + 100_000], pa.int64())],
                     ["lang", "phrase", "words", "f"])
-    return lambda batches: _shards(batches, emit, shard_words)
+    return lambda batches: _shards(batches, lambda lang: Shard(lang, frequent), emit, shard_words)
 
 
 def _bitmap(hashes: DataFrame) -> np.ndarray:
@@ -185,12 +245,14 @@ def phrase_counts(docs: DataFrame, st: Stages, text_col: str = "text", lang_col:
     """((lang, phrase, words, f): all phrases of 1 .. max_words words with f >= min_count; (lang, n): all words), both written."""
     spark = docs.sparkSession
     src = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("_lang"), F.col(text_col).alias("_text"))
-    src = src.coalesce(max(1, spark.sparkContext.defaultParallelism * 4))       # few small files do not make small shards
-    words = st.write(src.mapInArrow(_word_counts(shard_words), "lang string, phrase string, h long, f long")
+    cores = max(1, spark.sparkContext.defaultParallelism)
+    words = st.write(src.coalesce(4 * cores).mapInArrow(_word_counts, "lang string, phrase string, h long, f long")
                      .groupBy("lang", "phrase").agg(F.first("h").alias("h"), F.sum("f").alias("f")), "words")
     totals = st.write(words.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
     often = words.filter(F.col("f") >= min_count)
     n_of = spark.sparkContext.broadcast(dict(totals.toArrow().to_pandas().itertuples(index=False)))
+    # as few shards as memory allows: many small files do not make small shards with low supports
+    src = src.coalesce(max(cores, -(-sum(n_of.value.values()) // shard_words)))
     frequent = spark.sparkContext.broadcast(_bitmap(often))
     mined = st.write(src.mapInArrow(_mine(frequent, n_of, min_count, max_words, shard_words), "h long").distinct(), "mined")
     candidates = spark.sparkContext.broadcast(_bitmap(mined))

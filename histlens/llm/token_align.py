@@ -33,7 +33,12 @@ from histlens.llm.common import Stages, byte_texts, kept_in_process, slices
 MARK = "▁"
 # white space of byte-level pre-tokenizers (inside a character class)
 _WS = "\t-\r \x85\xa0" + "".join(map(chr, (0x1680, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + f"{chr(0x2000)}-{chr(0x200A)}"
-_UNITS = re.compile(f"\n(?=[^{_WS}])|[^{_WS}]+|[{_WS}]+[^{_WS}]*").findall
+
+
+def _unit_cutter(glued: str):
+    """Cuts texts before white space that follows another character, unless it starts with one of ``glued``, and after a lone line break."""
+    more = f"[{re.escape(glued)}][{_WS}]*" if glued else "(?!)"
+    return re.compile(f"\n(?=[^{_WS}])|[{_WS}]*[^{_WS}]+(?:{more}[^{_WS}]+)*(?:{more})?|[{_WS}]+").findall
 
 
 def _byte_of_letter() -> dict[str, int]:
@@ -72,13 +77,15 @@ class Tokens:
                    and spec.get("model", {}).get("type") == "BPE")
         space = re.compile(f"[{_WS}{MARK}]").fullmatch
         normal = [p for i, p in enumerate(pieces) if self.bytes_b[i] and not sp.is_byte(i)]
-        plain_b = (all(not space(y) or space(x) for p in normal for x, y in zip(p, p[1:])) and not any("\n" in p for p in normal)
-                   and sp.encode("a\n") == [*sp.encode("a"), *sp.encode("\n")[1:]])
-        self.units = _UNITS if plain_a and plain_b else lambda text: [text] if text else []
+        glued = {y for p in normal for x, y in zip(p, p[1:]) if space(y) and not space(x)}       # white space that pieces have after another character
+        plain_b = not glued & {MARK, " "} and not any("\n" in p for p in normal) and sp.encode("a\n") == [*sp.encode("a"), *sp.encode("\n")[1:]]
+        self.cuts = plain_a and plain_b
+        self.units = _unit_cutter("".join(sorted(glued))) if self.cuts else lambda text: [text]
+        self.space = re.compile(f"[{_WS}]").fullmatch
 
     def encode_b(self, unit: str) -> list[int]:
         """B's ids of a unit.  B itself puts a space before what it encodes; a unit without one follows a line break, and so it does here."""
-        if unit[:1] == " ":
+        if unit[:1] == " " != unit:
             return self.b.encode(unit[1:])
         return self.b.encode("\n" + unit)[self.lead :]
 
@@ -131,6 +138,7 @@ class Aligner:
         self.pairs = Pairs(self.t.bytes_a, self.t.bytes_b)
         self.size_a = np.array([len(x or b"") for x in self.t.bytes_a])
         self.size_b = np.array([len(x or b"") for x in self.t.bytes_b])
+        self.written = [b"%d%s" % (i, mark) for i in range(max(self.pairs.n_a, self.pairs.n_b)) for mark in (b",", b"|", b";", b"")]
         self.now: dict[str, tuple] = {}
         self.old: dict[str, tuple] = {}
 
@@ -148,12 +156,60 @@ class Aligner:
             i, j = x + 1, y + 1
         return len(a), len(b), links, ";".join(out).encode()
 
+    def _one(self, unit: str) -> tuple | None:
+        return self._align(self.t.a.encode(unit, add_special_tokens=False).ids, self.t.encode_b(unit), unit.encode())
+
     def _learn(self, units: list[str]) -> dict[str, tuple | None]:
-        got = {}
-        for u, enc in zip(units, self.t.a.encode_batch(units, add_special_tokens=False)):
-            got[u] = self._align(enc.ids, self.t.encode_b(u), u.encode())
+        """Alignments of units.  Those that may follow each other in a text (a space first, or nothing before a line break is put there; no white
+        space last) are encoded as one text: both tokenizers cut between them, so that each token is in one unit."""
+        got, chain = {}, []
+        for u in units:
+            if self.t.cuts and not self.t.space(u[-1]) and (u[0] == " " or not self.t.space(u[0])):
+                chain.append(u)
+            else:
+                got[u] = self._one(u)
+        for i in range(0, len(chain), 20_000):
+            part = [" a"]
+            for u in chain[i : i + 20_000]:
+                part += [u] if u[0] == " " else ["\n", u]
+            found = self._aligned_chain(part)
+            got.update(zip(part, found) if found is not None else ((u, self._one(u)) for u in part))
         return got
 
+    def _aligned_chain(self, units: list[str]) -> list[tuple] | None:
+        """The units' alignments from one encoding of them on end; None if the tokens do not spell it unit by unit."""
+        text = "".join(units)
+        ia = np.array(self.t.a.encode(text, add_special_tokens=False).ids, np.int64)
+        ib = np.array(self.t.b.encode(text[1:]), np.int64)
+        raw = text.encode()
+        for ids, tokens in ((ia, self.t.bytes_a), (ib, self.t.bytes_b)):
+            spelt = [tokens[i] for i in ids.tolist()]
+            if None in spelt or b"".join(spelt) != raw:
+                return None
+        ea, eb = np.cumsum(self.size_a[ia]), np.cumsum(self.size_b[ib])
+        ends, ka, kb = np.intersect1d(ea, eb, assume_unique=True, return_indices=True)
+        stop = np.cumsum(np.fromiter((len(u.encode()) for u in units), np.int64, len(units)))
+        last = np.searchsorted(ends, stop)
+        if not np.array_equal(ends[np.minimum(last, len(ends) - 1)], stop):
+            return None
+        links = self.pairs.number(ia[ka], ib[kb]).astype("<i4").tobytes()
+        # the ids as written: A's of a group, then B's; a mark after each
+        g_a = np.searchsorted(ka, np.arange(len(ia)))
+        g_b = np.searchsorted(kb, np.arange(len(ib)))
+        at_a = np.arange(len(ia)) + np.concatenate([[0], kb[:-1] + 1])[g_a]
+        at_b = np.arange(len(ib)) + (ka + 1)[g_b]
+        end_a, end_b = np.zeros(len(ia), np.int64), np.zeros(len(ib), np.int64)
+        end_a[ka] = end_b[kb] = 1
+        codes = np.empty(len(ia) + len(ib), np.int64)
+        codes[at_a], codes[at_b] = 4 * ia + end_a, 4 * ib + 2 * end_b
+        written = list(map(self.written.__getitem__, codes.tolist()))
+        n_a, n_b = np.diff(ka[last] + 1, prepend=0).tolist(), np.diff(kb[last] + 1, prepend=0).tolist()
+        out, i, j = [], 0, 0
+        for x, y, k in zip(n_a, n_b, (last + 1).tolist()):
+            out.append((x, y, links[4 * j : 4 * k], b"".join(written[i : i + x + y])[:-1]))
+            i, j = i + x + y, k
+        return out
+
     def __call__(self, texts: list[str]) -> list[tuple | None]:
         b, cut = self.t.b, []
         for t in texts:

@@ -10,7 +10,7 @@ import pytest
 from histlens.llm import token_align
 
 A, B = "byte_bpe_50k.json", brute.PIECES
-ODD = [None, "", " ", "  ", "a", " a", "a ", "a  b", "a\nb", "a \n b", "a\n\nb", "\n", "\n\n", "\na", "a\n", "a\tb\t\tc", "a\r\nb", "\x0b\x0c", "x\x00y", "\x1c \x1d!\x1e a",
+ODD = [None, "", " ", "  ", "a", " a", "a ", "a  b", "a\nb", "a \n b", "a\n\nb", "\n", "\n\n", "\na", "a\n", "a\tb\t\tc", "a\r\nb", "x;\r\n}\r\r y\r", "a\r", "a \rb\n\rc","\x0b\x0c", "x\x00y", "\x1c \x1d!\x1e a",
        "it's we'll 'tis", "don't\nstop's", "<|endoftext|> <s> </s> <unk> <0x41>", "▁a", "a▁b", "100,000.50 $#!", "Straße ÄÖÜ", "日本語　テキスト", "مرحبا بالعالم", "😀 😀😀\n😀",
        "é é ﬁ Ａ", "a b c   d　e", "word " * 50, "\u0085next", "tab\t\nline \t x", "a" * 700, "ab " * 300 + "\n" * 5, "​zero﻿", "end.\nStart", "end.\n Start", "  two\n  lines  "]
 
@@ -109,11 +109,12 @@ def test_a_unit_is_forgotten_and_whole_texts_are_units(monkeypatch):
     """Small memories, and tokenizers that promise no cuts, give the same."""
     texts = [t for t in ODD if t] + random_texts(150, 9)
     first = token_align.Aligner(brute.path(A), brute.path(B))
+    assert first.t.cuts and first.t.units(" a b\nc\r\nd  e\n f ") == [" a", " b", "\n", "c\r\nd", "  e", "\n f", " "]
     want = first(texts)
     monkeypatch.setattr(token_align.Aligner, "LIMIT", 10)
     small = token_align.Aligner(brute.path(A), brute.path(B))
     assert [small([t])[0] for t in texts] == want
-    small.t.units = lambda text: [text]
+    small.t.units, small.t.cuts = lambda text: [text], False
     small.now, small.old = {}, {}
     assert small(texts) == want
 

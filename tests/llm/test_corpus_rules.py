@@ -49,7 +49,7 @@ def prose(seed, docs=300):
     return rows + [(9, "en", None), (9, None, ""), (None, "en", "ab cd ef " * 200), (None, "en", "ab cd ef " * 200), (1, "xx", "?!.,"), (2, "yy", "only")]
 
 
-@pytest.mark.parametrize("shard_words", [4_000_000, 150])
+@pytest.mark.parametrize("shard_words", [32_000_000, 150])
 def test_collocations_equal_plain_counts(spark, monkeypatch, shard_words):
     rows = prose(3)
     docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(6)
@@ -60,6 +60,10 @@ def test_collocations_equal_plain_counts(spark, monkeypatch, shard_words):
 def test_a_full_filter_changes_nothing(spark, monkeypatch):
     """With a filter so small that every phrase passes it, counts are still exact."""
     monkeypatch.setattr(collocations, "FILTER_BITS", 6)
+    monkeypatch.setattr(collocations, "BLOCK", 17)
+    monkeypatch.setattr(collocations, "BUCKETS", 8)
+    monkeypatch.setattr(collocations, "COUNTED_WORDS", 10)
+    monkeypatch.setattr(collocations.Numbers, "ROOM", 3)
     rows = prose(8, 120)
     docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
     assert sorted(tuple(r) for r in collocations.collocations(docs, min_count=12).collect()) == plain_collocations(rows, 12, 2000)
