@@ -32,7 +32,7 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 HEADLINE = [
     "base_sample", "version_category", "feat_team_work", "feat_age_software",
     "feat_success_rate_first_assigner", "feat_success_rate_reporter", "feat_is_mod_within_first_day",
-    "master_table", "nb_fit", "nb_final_auc", "nb_subset_search", "repair_records",
+    "master_table", "nb_fit", "nb_final_auc", "nb_subset_search", "repair_records", "csv_load",
 ]
 WARM_PASSES = 3
 

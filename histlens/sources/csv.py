@@ -1,16 +1,10 @@
 """IO1/D2: load the raw CSV files (header line, all columns text) into typed frames.
 
-Fields may be quoted, hold doubled quotes, commas and line breaks.  A line break
-belongs to a field when the number of quotes before it is odd, so records are found
-by a prefix parity over the lines of a file: sums inside each file split, a carry
-over the splits, then one group per record.  A big file stays splittable (the
-reader's multi-line mode would read it in one task).
-
-A stray quote would take all lines up to the next odd one into its record.  Sizes are
-summed before any record is assembled: if more than ``max_chars`` characters follow an
-opening quote and lines that are rows by themselves are among them, the quote is a
-stray one, its line is a record of its own (a reject) and the parity starts again after
-it.  A longer text without such lines is rejected as ``too long``, by its first line.
+Fields may be quoted, hold doubled quotes, commas and line breaks; a quote inside an
+unquoted field is a character.  ``quotes.records`` finds the records: a quote automaton is composed over
+the splits of a file, so that a big file stays splittable (the reader's multi-line mode would
+read it in one task) and records of one line never leave their split.  A field that nothing closes makes
+its own line a reject; the lines after it are read as rows again, at any distance.
 
 Columns are taken by the names of the header line; a missing one is an error.  Ids and
 epoch seconds are cast on purpose (bad text -> NULL, never an error), empty text
@@ -23,12 +17,12 @@ from __future__ import annotations
 
 import csv
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from histlens.schema import ATTRS
-from histlens.sources.repair import MAX_CHARS, _carry, load_repaired, read_lines
-from histlens.sources.store import materialise
+from histlens.sources.quotes import records
+from histlens.sources.repair import load_repaired
 from histlens.sources.tables import Tables
 
 HISTORY_COLUMNS = ["id", "what", "when", "who"]
@@ -47,96 +41,40 @@ REPORTS_FILE = "reports.csv"
 REPAIR_FILES = {"cc": "cc.csv", "short_desc": "short_desc.csv"}
 
 
-def read_records(spark: SparkSession, path: str, is_row: Column, max_chars: int = MAX_CHARS) -> DataFrame:
-    """CSV records of the files under ``path`` as (file, block, ln, record, first, too_long), each with the
-    position of its first line; ``first`` marks each file's first record.  ``is_row`` tells whether
-    a ``line`` is a row by itself; of a record that is ``too_long`` only the first line is given."""
-    quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
-    x = read_lines(spark, path).withColumn("_pos", F.struct("block", "ln")).withColumn("_odd", quotes % 2 == 1)
-    unb = Window.unboundedPreceding
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(unb, -1)         # a row a file split
-    # the run of a line: the last odd line up to it, inside its split or in an earlier one
-    x = x.withColumn("_in", F.max(F.when(F.col("_odd"), F.col("_pos"))).over(Window.partitionBy("file", "block").orderBy("ln").rowsBetween(unb, 0)))
-    last = x.groupBy("file", "block").agg(F.max("_in").alias("_m")).select("file", "block", F.max("_m").over(before).alias("_carry"))
-    x = x.join(last, ["file", "block"]).withColumn("_run", F.coalesce("_in", "_carry")).drop("_in", "_carry")
-
-    # per run its size, and for the long ones whether rows are in it
-    runs = x.filter("_run IS NOT NULL").groupBy("file", "_run").agg((F.sum(F.length("line").cast("long") + 1) > max_chars).alias("_big"))
-    runs = materialise(runs, "csv_runs")
-    big = runs.filter("_big").select("file", "_run")
-    if big.isEmpty():
-        runs = runs.withColumn("_stray", F.lit(0))
-    else:
-        stray = x.filter("NOT _odd").join(big, ["file", "_run"]).groupBy("file", "_run").agg(F.max(is_row.cast("int")).alias("_stray"))
-        runs = materialise(runs.join(stray, ["file", "_run"], "left").fillna(0, ["_stray"]), "csv_stray")
-    runs = runs.withColumn("block", F.col("_run.block")).withColumn("_this", F.struct("_run", "_big"))
-    # whether an odd line opens: the parity of the odd lines since the last stray one, in its split and before
-    wb = Window.partitionBy("file", "block").orderBy("_run")
-    runs = runs.withColumn("_seg", F.coalesce(F.sum("_stray").over(wb.rowsBetween(unb, -1)), F.lit(0))).withColumn("_prev", F.lag("_this").over(wb))
-    ws = Window.partitionBy("file", "block", "_seg").orderBy("_run").rowsBetween(unb, -1)
-    runs = runs.withColumn("_n", F.count("_run").over(ws))
-    splits = runs.groupBy("file", "block").agg(
-        F.max("_stray").alias("_t"), F.max("_this").alias("_l"),
-        F.max(F.struct((F.col("_seg") + F.col("_stray")).alias("seg"), F.when(F.col("_stray") == 1, 0).otherwise(F.col("_n") + 1).alias("n"))).alias("_e"))
-    splits = splits.select("file", "block", "_t", F.col("_e.n").alias("_c"), "_l")
-    splits = _carry(splits, ["file"], "block", "_t", "_c", "_l").select("file", "block", "_n_before", "_l_before")
-    odd_before = F.when(F.col("_seg") == 0, F.col("_n_before") + F.col("_n")).otherwise(F.col("_n"))
-    runs = runs.join(splits, ["file", "block"]).withColumn("_prev", F.coalesce("_prev", "_l_before"))
-    runs = runs.select("file", "_run", "_big", (F.col("_stray") == 1).alias("_stray"), (odd_before % 2 == 0).alias("_opens"),
-                       F.col("_prev._run").alias("_prev"), F.col("_prev._big").alias("_prev_big"))
-
-    x = x.join(runs, ["file", "_run"], "left")
-    inside = F.col("_opens") & ~F.col("_stray")
-    closing = ~F.col("_opens") & F.col("_odd")
-    x = x.withColumn("_key", F.when(inside, F.col("_run")).when(closing, F.col("_prev")).otherwise(F.col("_pos")))
-    x = x.withColumn("_cut", F.coalesce(F.when(inside, F.col("_big")).when(closing, F.col("_prev_big")), F.lit(False)))
-    start = F.struct("_pos", "line")
-    rec = x.groupBy("file", "_key").agg(F.array_sort(F.collect_list(F.when(~F.col("_cut") | (F.col("_pos") == F.col("_key")), start))).alias("_ls"),
-                                        F.max("_cut").alias("too_long"))
-    rec = rec.select("file", F.col("_key.block").alias("block"), F.col("_key.ln").alias("ln"),
-                     F.array_join(F.transform("_ls", lambda e: e["line"]), "\n").alias("record"), "too_long")
-    heads = rec.groupBy("file").agg(F.min(F.struct("block", "ln")).alias("_h"))       # a row a file
-    rec = rec.join(heads, "file")
-    return rec.select("file", "block", "ln", "record", (F.struct("block", "ln") == F.col("_h")).alias("first"), "too_long")
-
-
 def header_names(spark: SparkSession, path: str) -> list[str]:
     """The column names in the header line of the first file under ``path``."""
     line = spark.read.text(path).first()
     return [] if line is None else [c.strip() for c in next(csv.reader([line[0].lstrip("\ufeff")]))]
 
 
-def _read(spark: SparkSession, path: str, columns: list[str], max_chars: int) -> tuple[DataFrame, DataFrame]:
+def _read(spark: SparkSession, path: str, columns: list[str], folder: str | None) -> tuple[DataFrame, DataFrame]:
     """The named columns as text, and the rejects (file, position, text, reason)."""
     names = header_names(spark, path)
     missing = [c for c in columns if c not in names]
     if missing:
         raise ValueError(f"{path}: no column {', '.join(missing)} in the header {names}")
     schema = ", ".join(f"`_c{i}` STRING" for i in range(len(names))) + f", `{CORRUPT}` STRING"
-    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    alone = F.from_csv("line", schema, options)
-    is_row = alone[CORRUPT].isNull() & alone[f"_c{names.index('id')}"].try_cast("bigint").isNotNull()
-    rec = read_records(spark, path, is_row, max_chars).filter("NOT first AND trim(record) <> ''")
-    odd = (F.length("record") - F.length(F.replace("record", F.lit('"'), F.lit("")))) % 2 == 1
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "unescapedQuoteHandling": "STOP_AT_CLOSING_QUOTE"}
+    rec = records(spark, path, folder).filter("NOT first AND trim(record) <> ''")
     parsed = rec.withColumn("_r", F.from_csv("record", schema, options))
-    reason = (F.when(F.col("too_long"), "too long").when(odd, "unclosed quote").when(F.col(f"_r.{CORRUPT}").isNotNull(), "wrong number of fields")
+    reason = (F.when(F.col("unclosed"), "unclosed quote").when(F.col(f"_r.{CORRUPT}").isNotNull(), "wrong number of fields")
               .when(F.col(f"_r._c{names.index('id')}").try_cast("bigint").isNull(), "id is not a number"))
     parsed = parsed.withColumn("reason", reason)
     rows = parsed.filter("reason IS NULL").select(*[F.col(f"_r._c{names.index(c)}").alias(c) for c in columns])
-    return rows, parsed.filter("reason IS NOT NULL").select("file", F.col("ln").alias("position"), F.col("record").alias("text"), "reason")
+    return rows, parsed.filter("reason IS NOT NULL").select("file", "position", F.col("record").alias("text"), "reason")
 
 
-def load_history(spark: SparkSession, path: str, max_chars: int = MAX_CHARS) -> tuple[DataFrame, DataFrame]:
-    """One attribute log as ``(id, what, ts, who)``, and its rejects."""
-    h, bad = _read(spark, path, HISTORY_COLUMNS, max_chars)
+def load_history(spark: SparkSession, path: str, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """One attribute log as ``(id, what, ts, who)``, and its rejects; both read the lines stored under ``folder``."""
+    h, bad = _read(spark, path, HISTORY_COLUMNS, folder)
     return h.select(F.col("id").try_cast("bigint").alias("id"),
                     F.coalesce(F.col("what"), F.lit("")).alias("what"),
                     F.col("when").try_cast("bigint").alias("ts"),
                     F.col("who").try_cast("bigint").alias("who")), bad
 
 
-def load_reports(spark: SparkSession, path: str, max_chars: int = MAX_CHARS) -> tuple[DataFrame, DataFrame]:
-    r, bad = _read(spark, path, REPORTS_COLUMNS, max_chars)
+def load_reports(spark: SparkSession, path: str, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
+    r, bad = _read(spark, path, REPORTS_COLUMNS, folder)
     return r.select(F.col("id").try_cast("bigint").alias("id"),
                     F.coalesce(F.col("current_resolution"), F.lit("")).alias("current_resolution"),
                     F.coalesce(F.col("current_status"), F.lit("")).alias("current_status"),
@@ -148,7 +86,8 @@ def load_csv_tables(spark: SparkSession, folder: str, files: dict[str, str] | No
                     reports_file: str = REPORTS_FILE, repair: dict[str, str] | None = None,
                     stages: str | None = None) -> tuple[Tables, DataFrame]:
     """D2: the 12 raw files as Tables (then ``store.ingest`` writes Parquet), and all
-    rejects as (log, file, position, text, reason).
+    rejects as (log, file, position, text, reason).  Every file is read once, into lines
+    stored under ``stages`` (the session's shared folder if None).
 
     ``repair`` maps attributes to raw files that go through the D1 repair job
     instead of the CSV reader (e.g. ``REPAIR_FILES``)."""
@@ -157,11 +96,11 @@ def load_csv_tables(spark: SparkSession, folder: str, files: dict[str, str] | No
     logs, rejects = {}, None
     for a in [*ATTRS, "reports"]:
         if a == "reports":
-            got, bad = load_reports(spark, f"{folder}/{reports_file}")
+            got, bad = load_reports(spark, f"{folder}/{reports_file}", stages and f"{stages}/reports")
         elif a in repair:
             got, bad = load_repaired(spark, f"{folder}/{repair[a]}", stages and f"{stages}/{a}")
         else:
-            got, bad = load_history(spark, f"{folder}/{files[a]}")
+            got, bad = load_history(spark, f"{folder}/{files[a]}", stages and f"{stages}/{a}")
         logs[a] = got
         bad = bad.select(F.lit(a).alias("log"), "file", "position", "text", "reason")
         rejects = bad if rejects is None else rejects.unionByName(bad)

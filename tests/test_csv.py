@@ -87,7 +87,7 @@ def test_record_over_many_splits(spark, tmp_path):
         (tmp_path / "h.csv").write_text("id,what,when,who\n" + "".join(f'{i},"{long} {i}",{i},1\n' for i in range(5)) + '9,"open,5,1\n10,x,5,1\n')
         assert spark.read.text(str(tmp_path / "h.csv")).rdd.getNumPartitions() > 10
         got, bad = load_history(spark, str(tmp_path / "h.csv"))
-        assert rows(got) == [(i, f"{long} {i}", i, 1) for i in range(5)]
+        assert rows(got) == [(i, f"{long} {i}", i, 1) for i in range(5)] + [(10, "x", 5, 1)]
         assert [r.reason for r in bad.collect()] == ["unclosed quote"]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
@@ -113,30 +113,101 @@ def test_too_long_record_is_rejected(spark):
     assert got == {0: ("reject", "too long", 42, None), 42: ("ok", None, 1, "a")}
 
 
-def test_rows_after_a_stray_quote_are_kept(spark, tmp_path):
-    """Stray quotes spoil their own lines only; quoted line breaks between and after them stay whole."""
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    try:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
-        plain = lambda a, b: "".join(f"{i},t{i},{i},1\n" for i in range(a, b))
-        pair = '900,"two\nlines",1,1\n'
-        (tmp_path / "a.csv").write_text("id,what,when,who\n" + plain(0, 50) + pair + '901,"open,5,1\n' + plain(100, 300) + pair
-                                        + plain(300, 310) + '902,op"en,5,1\n' + plain(400, 600) + pair + "903,last,1,1\n")
-        (tmp_path / "b.csv").write_text("id,what,when,who\n" + plain(700, 710) + '904,"open,5,1\n' + plain(710, 890))
-        got, bad = load_history(spark, str(tmp_path), max_chars=1000)
+def small_splits(spark, size):
+    import contextlib
+
+    @contextlib.contextmanager
+    def held():
+        old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        try:
+            yield
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    return held()
+
+
+@pytest.mark.parametrize("size", [512, 64 << 20])
+def test_unclosed_quotes_spoil_their_own_lines(spark, tmp_path, size):
+    """At any distance and split size; quoted line breaks between and after them stay whole, and a quote inside a field is a character."""
+    plain = lambda a, b: "".join(f"{i},t{i},{i},1\n" for i in range(a, b))
+    pair = '900,"two\nlines",1,1\n'
+    (tmp_path / "a.csv").write_text("id,what,when,who\n" + plain(0, 50) + pair + '901,"open,5,1\n' + plain(100, 300) + pair
+                                    + plain(300, 310) + '902,op"en,5,1\n' + plain(400, 600) + pair + "903,last,1,1\n")
+    (tmp_path / "b.csv").write_text("id,what,when,who\n" + plain(700, 710) + '904,"open,5,1\n' + plain(710, 890))
+    with small_splits(spark, size):
+        got, bad = load_history(spark, str(tmp_path))
         ids = [*range(50), *range(100, 310), *range(400, 600), *range(700, 890)]
-        want = [(i, f"t{i}", i, 1) for i in ids] + [(900, "two\nlines", 1, 1)] * 3 + [(903, "last", 1, 1)]
+        want = [(i, f"t{i}", i, 1) for i in ids] + [(900, "two\nlines", 1, 1)] * 3 + [(902, 'op"en', 5, 1), (903, "last", 1, 1)]
         assert sorted(rows(got)) == sorted(want)
-        assert sorted((r.text, r.reason) for r in bad.collect()) == [
-            ('901,"open,5,1', "unclosed quote"), ('902,op"en,5,1', "unclosed quote"), ('904,"open,5,1', "unclosed quote")]
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        assert sorted((r.text, r.reason, r.position) for r in bad.collect()) == [('901,"open,5,1', "unclosed quote", 54), ('904,"open,5,1', "unclosed quote", 12)]
 
 
-def test_long_text_is_not_assembled(spark, tmp_path):
-    """A closed text over the limit without rows in it is one reject, by its first line."""
-    long = "\n".join(f"line {i}" for i in range(300))
-    (tmp_path / "h.csv").write_text(f'id,what,when,who\n1,"a\nb",5,6\n2,"{long}",5,6\n3,"c\nd",7,8\n4,e,7,8\n')
-    got, bad = load_history(spark, str(tmp_path / "h.csv"), max_chars=1000)
-    assert sorted(rows(got)) == [(1, "a\nb", 5, 6), (3, "c\nd", 7, 8), (4, "e", 7, 8)]
-    assert [(r.text, r.reason) for r in bad.collect()] == [('2,"line 0', "too long")]
+def test_one_literal_quote_loses_nothing(spark, tmp_path):
+    text = 'id,what,when,who\n1,bad 5" disk,100,7\n' + "".join(f'{i},"text\nof two lines {i}",{i},1\n' if i % 50 == 0 else f"{i},t{i},{i},1\n" for i in range(2, 1002))
+    (tmp_path / "h.csv").write_text(text)
+    with small_splits(spark, 4096):
+        got, bad = load_history(spark, str(tmp_path / "h.csv"))
+        assert bad.count() == 0
+        assert sorted(r.id for r in got.collect()) == list(range(1, 1002))
+        assert got.filter("id = 1").first().what == 'bad 5" disk' and got.filter("id = 100").first().what == "text\nof two lines 100"
+
+
+def test_splits_may_change_between_actions(spark, tmp_path):
+    text = "id,what,when,who\n" + "".join(f'{i},"a\nb {i}",{i},1\n' if i % 7 == 0 else f'{i},"t ""{i}""",{i},1\n' for i in range(5000))
+    (tmp_path / "h.csv").write_text(text)
+    with small_splits(spark, 16384):
+        got, bad = load_history(spark, str(tmp_path / "h.csv"))
+        try:
+            for n in (2, 9, 1):
+                spark.conf.set("spark.sql.leafNodeDefaultParallelism", str(n))
+                spark.conf.set("spark.sql.files.maxPartitionBytes", str(3000 * n))
+                assert bad.count() == 0 and rows(got) == [(i, f"a\nb {i}" if i % 7 == 0 else f't "{i}"', i, 1) for i in range(5000)]
+        finally:
+            spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+
+
+def plain_records(lines):
+    """Records of a file's lines, one after the other: (lines of the record, unclosed)."""
+    from histlens.sources.quotes import BROKEN, CLOSED, OPEN, line_end
+
+    out, i = [], 0
+    while i < len(lines):
+        j = i + 1
+        if line_end(lines[i].split('"'), False) == OPEN:
+            while j < len(lines) and line_end(lines[j].split('"'), True) == OPEN:
+                j += 1
+            if j < len(lines) and line_end(lines[j].split('"'), True) == CLOSED:
+                out.append(("\n".join(lines[i : j + 1]), False))
+                i = j + 1
+                continue
+            out.append((lines[i], True))
+        else:
+            out.append((lines[i], False))
+        i += 1
+    return out
+
+
+@pytest.mark.parametrize("size", [100, 5000])
+def test_records_equal_a_plain_reader(spark, tmp_path, size):
+    import random
+
+    from histlens.sources.quotes import records
+    rnd = random.Random(size)
+    pieces = ["a", ",", '"', '""', ',"', '",', "b c", "1,2", '"x', 'y"']
+    want = []
+    for k in range(3):
+        lines = ["id,what"] + ["".join(rnd.choice(pieces) for _ in range(rnd.randint(1, 5))) for _ in range(150)]
+        (tmp_path / f"f{k}.csv").write_text("\n".join(lines) + "\n")
+        want += plain_records(lines)
+    with small_splits(spark, size):
+        got = [(r.record, r.unclosed) for r in records(spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(want)
+
+
+@pytest.mark.parametrize("line,closed,opened", [
+    ("a,b", 0, 1), ('1,"a",2', 0, 2), ('1,"a', 1, 2), ('b",2', 0, 0), ('b"",2', 0, 1), ('b""",2', 0, 0), ('1,5" x,2', 0, 1), ('"', 1, 0), ('""', 0, 1), ('",', 1, 0),
+    ('1,"",2', 0, 1), ('end",5,"next', 1, 1), ('1,"a "b" c",2', 0, 2), ("", 0, 1)])
+def test_line_ends(line, closed, opened):
+    from histlens.sources.quotes import line_end
+    assert (line_end(line.split('"'), False), line_end(line.split('"'), True)) == (closed, opened)
