@@ -130,7 +130,7 @@ class Pairs:
 class Aligner:
     """Callable: texts to (n_a, n_b, links as int32 pair numbers, groups) each; None where the tokens do not spell the text."""
 
-    LIMIT = 200_000                 # units remembered before the older half goes
+    LIMIT = 150_000                 # units remembered before the older half goes
     LONG = 256                      # longer units are not remembered
 
     def __init__(self, path_a: str, path_b: str):
