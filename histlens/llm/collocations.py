@@ -31,6 +31,7 @@ MIN_COUNT = 100
 MAX_WORDS = 5
 TOP = 2000
 SHARD_WORDS = 32_000_000        # words that a task holds at a time, four bytes each: the larger the shards, the fewer candidates
+CHUNK_WORDS = 4_000_000         # words in which a task counts candidates at a time
 COUNTED_WORDS = 1_000_000       # different words that a task counts at a time
 BLOCK = 1 << 20                 # words looked at in one step
 BUCKETS = 1 << 22               # counters of hashed pairs of a shard
@@ -101,8 +102,8 @@ class Counts:
 class Shard:
     """The words of one language as numbers, 0 between pieces and for words that are not frequent."""
 
-    def __init__(self, lang: str, frequent):
-        self.number, self.parts, self.words = Numbers(lang, frequent.value), [], 0
+    def __init__(self, number: Numbers):
+        self.number, self.parts, self.words = number, [], 0
 
     def add(self, texts: list[bytes]) -> None:
         ids, words = self.number(texts)
@@ -214,11 +215,12 @@ def _mine(frequent, totals, min_count: int, max_words: int, shard_words: int):
         admit = lambda k, hk: often(hk) if k == 2 else np.ones(len(hk), bool)
         for _, _, _, hk in levels(ids, h, max_words, admit, lambda c: c >= support):
             yield pa.RecordBatch.from_arrays([pa.array(hk.view(np.int64))], ["h"])
-    return lambda batches: _shards(batches, lambda lang: Shard(lang, frequent), emit, shard_words)
+    return lambda batches: _shards(batches, lambda lang: Shard(Numbers(lang, frequent.value)), emit, shard_words)
 
 
 def _count(frequent, candidates, max_words: int, shard_words: int):
-    """(lang, phrase, words, f): local counts of all phrases whose hashes the candidates hold."""
+    """(lang, phrase, words, f): local counts of all phrases whose hashes the candidates hold.  Counts add up, so that
+    less than a shard is held at a time."""
     def emit(lang: str, s: Shard) -> Iterator[pa.RecordBatch]:
         ids, h, words = s.text(), np.array(s.number.hashes, np.uint64), s.number.words
         for k, at, n, _ in levels(ids, h, max_words, lambda _, hk: _in_filter(candidates.value, hk), lambda c: c > 0):
@@ -228,7 +230,10 @@ def _count(frequent, candidates, max_words: int, shard_words: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * len(part)), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(np.full(len(part), k), pa.int32()), pa.array(n[i : i + 100_000], pa.int64())],
                     ["lang", "phrase", "words", "f"])
-    return lambda batches: _shards(batches, lambda lang: Shard(lang, frequent), emit, shard_words)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers: dict[str, Numbers] = {}
+        return _shards(batches, lambda lang: Shard(numbers.setdefault(lang, Numbers(lang, frequent.value))), emit, min(shard_words, CHUNK_WORDS))
+    return run
 
 
 def _bitmap(hashes: DataFrame) -> np.ndarray:
