@@ -232,7 +232,14 @@ def _count(frequent, candidates, max_words: int, shard_words: int):
                     ["lang", "phrase", "words", "f"])
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers: dict[str, Numbers] = {}
-        return _shards(batches, lambda lang: Shard(numbers.setdefault(lang, Numbers(lang, frequent.value))), emit, min(shard_words, CHUNK_WORDS))
+
+        def make(lang: str) -> Shard:
+            if lang not in numbers:
+                if len(numbers) >= 8:
+                    numbers.clear()
+                numbers[lang] = Numbers(lang, frequent.value)
+            return Shard(numbers[lang])
+        return _shards(batches, make, emit, min(shard_words, CHUNK_WORDS))
     return run
 
 

@@ -24,7 +24,8 @@ from histlens.llm.common import slices
 # Fixed values of the HTML language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript plaintext".split())
-UNSEEN = frozenset("head script style template noscript title iframe noembed noframes object datalist audio video canvas svg math area param".split())
+UNSEEN = frozenset("head script style template noscript title iframe noembed noframes object datalist audio video canvas area param "
+                   "desc defs metadata annotation annotation-xml".split())       # the last five: parts of drawings and formulas
 BLOCKS = frozenset(
     "html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol optgroup option p pre search section summary ul xmp "
@@ -52,7 +53,7 @@ IMPLIED_END = {
 }
 
 WIDE = 40                       # a column is padded to its widest cell up to this width
-SPAN = 100                      # largest colspan that is laid out
+SPAN = 1000                     # largest colspan, as in browsers
 DEPTH = 512                     # elements nested deeper are siblings, as in browsers
 
 _NAME = re.compile(r"/?[a-zA-Z][^\s/>\x00]*")

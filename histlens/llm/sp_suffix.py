@@ -34,6 +34,11 @@ INDEX_CHARS = 400_000           # characters of one suffix array
 SLICE_BYTES = 8 << 20
 
 
+def merges_by_rank(scores: np.ndarray) -> bool:
+    """Whether scores are those of a BPE model: the negated ranks of its merges, not logarithms of probabilities."""
+    return bool(len(scores)) and bool((scores <= 0).all()) and bool((scores == np.round(scores)).all())
+
+
 class Vocabulary:
     """What the model file says: pieces, scores, kinds."""
 
@@ -44,6 +49,8 @@ class Vocabulary:
         n = self.sp.get_piece_size()
         self.pieces = [self.sp.id_to_piece(i) for i in range(n)]
         self.scores = np.array([self.sp.get_score(i) for i in range(n)])
+        if not merges_by_rank(self.scores[[i for i in range(n) if not (self.sp.is_byte(i) or self.sp.is_control(i) or self.sp.is_unknown(i) or self.sp.is_unused(i))]]):
+            raise ValueError(f"{path}: not a BPE model; pieces of a unigram model are chosen by their probabilities, which this operator does not do")
         self.byte = {int(self.pieces[i][1:-1], 16): i for i in range(n) if self.sp.is_byte(i)}
         self.unknown = self.sp.unk_id()
         self.normal = [i for i in range(n) if not (self.sp.is_byte(i) or self.sp.is_control(i) or self.sp.is_unknown(i) or self.sp.is_unused(i))]

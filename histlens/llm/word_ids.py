@@ -4,11 +4,13 @@ The text is cut at ASCII white space, and between a letter a-z and the comma or
 word; the tokenizer itself always cuts there, so that the ids of the parts joined are the
 ids of the text.  That holds for tokenizers whose pre-tokenizer drops white space, lower-cases and splits
 letters from punctuation, with byte-level letters (word_bpe_49k.json).  A word of letters alone is one
-pre-token and goes to the tokenizer's model directly, in the model's letters for bytes.
+pre-token and goes to the tokenizer's model directly, in the model's letters for bytes.  A file whose normaliser,
+pre-tokenizer or model is another one is recognised, and its texts are encoded whole by the library.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from unicodedata import is_normalized
@@ -16,6 +18,21 @@ from unicodedata import is_normalized
 import numpy as np
 
 END_ID = 1
+# what a file must say for its texts to be cut into words
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def cuts_into_words(spec: dict) -> bool:
+    """Whether a tokenizer file lower-cases, drops white space and splits letters from punctuation as this module does."""
+    pre, model = spec.get("pre_tokenizer") or {}, spec.get("model") or {}
+    steps = pre.get("pretokenizers") or [{}]
+    return (spec.get("normalizer") == _NORMALIZER and pre.get("type") == "Sequence" and [s.get("type") for s in steps] == ["Split", "ByteLevel"]
+            and steps[0].get("pattern") == {"Regex": _SPLIT} and steps[0].get("behavior") == "Removed" and steps[0].get("invert") is True
+            and not steps[1].get("add_prefix_space") and not steps[1].get("use_regex") and model.get("type") == "BPE" and not model.get("dropout")
+            and all(t["content"].startswith("<|") for t in spec.get("added_tokens") or []))
+
+
 _PLAIN = re.compile(rb"[a-z]+").fullmatch
 
 
@@ -37,6 +54,8 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            self.by_words = cuts_into_words(json.load(f))
         self.model = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
         self.old: dict[bytes, bytes] = {}
@@ -62,6 +81,8 @@ class WordIds(dict):
         return np.array(ids, "<u4").tobytes()
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
+        if not self.by_words:
+            return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)]
         if len(self) > self.LIMIT:
             self.old = dict(self)
             self.clear()

@@ -9,6 +9,9 @@ from histlens.llm.html_layout import DEPTH, extract, render, tokens
 from histlens.llm.queries import op8_html_layout
 
 LAYOUTS = [
+    ("Let <math>x=2</math> and <svg><text>axis label</text></svg> end", "Let x=2 and axis label end"),
+    ('a <svg><title>t</title><desc>d</desc><defs><text>no</text></defs><path d="M0"/><text>b</text></svg> c', "a b c"),
+    ("<math><semantics><mi>y</mi><annotation>tex</annotation></semantics></math>", "y"),
     (None, ""), ("", ""), ("plain  text\n here", "plain text here"), ("a<b>b</b> c", "ab c"),
     ("<p>one<p>two", "one\n\ntwo"), ("<div>one</div><div>two</div>", "one\ntwo"), ("a<br>b<br/><br>c", "a\nb\n\nc"),
     ("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>", "- a\n- b\n  - c\n- d"),

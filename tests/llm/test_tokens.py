@@ -184,3 +184,22 @@ def test_sentencepiece_table(spark):
     assert sorted((-1 if r.doc_id is None else r.doc_id, list(r.ids)) for r in got) == want
     assert all(r.round_trip for r in got)
     assert sp_suffix.encode_table(spark.createDataFrame([], "doc_id long, text string"), brute.path(brute.PIECES)).collect() == []
+
+
+def test_other_tokenizer_files_are_encoded_whole():
+    """A file that promises no words gives the library's ids; the word file is recognised."""
+    from tokenizers import Tokenizer
+
+    from histlens.llm.word_ids import WordIds
+
+    path = brute.path("byte_bpe_50k.json")
+    plain, ours = Tokenizer.from_file(path), WordIds(path)
+    assert not ours.by_words and WordIds(brute.path(brute.TOKENIZER)).by_words
+    texts = ["", "Two  Words, and\nlines.", "Ärger <|endoftext|> 12", *[t or "" for t in TEXTS]]
+    assert [np.frombuffer(x, "<u4").tolist() for x in ours([t.encode() for t in texts])] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_unigram_scores_are_refused():
+    from histlens.llm.sp_suffix import merges_by_rank
+
+    assert merges_by_rank(np.array([0.0, -1.0, -31000.0])) and not merges_by_rank(np.array([0.0, -2.71, -9.13])) and not merges_by_rank(np.array([]))
