@@ -16,6 +16,7 @@ the session's number of shuffle partitions, so ranges stay small as data grows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -69,24 +70,32 @@ def ranged_running_sum(df: DataFrame, order_cols, sum_cols: Sequence[str], parti
     x = stored_in_order(df, order_cols, "ranged", partitions, folder)
     frame = (Window.unboundedPreceding, 0) if inclusive else (Window.unboundedPreceding, -1)
     w = Window.partitionBy("_pid").orderBy("_loc").rowsBetween(*frame)
-    off = range_offsets(x, sum_cols)
+    off = range_offsets(x, sum_cols, partitions)
     y = x.join(F.broadcast(off), "_pid")
     for c in sum_cols:
         y = y.withColumn(f"{prefix}{c}", F.coalesce(F.sum(c).over(w), F.lit(0)) + F.col(f"_o_{c}"))
     return y.drop("_pid", "_loc", *[f"_o_{c}" for c in sum_cols])
 
 
-def range_offsets(x: DataFrame, sum_cols: Sequence[str]) -> DataFrame:
+def range_offsets(x: DataFrame, sum_cols: Sequence[str], ranges: int | None = None) -> DataFrame:
     """(_pid, _o_<col> ...): totals of all ranges before, one row per range.
 
-    A global aggregate gathers the ranges' totals (as many as there are
-    ranges) into one array; each range adds up those before it."""
-    tot = x.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
-    every = tot.agg(F.collect_list(F.struct("_pid", *[f"_t_{c}" for c in sum_cols])).alias("_all"))
+    A scan in two levels, so that its work is linear in the number of ranges R: windows over groups of about sqrt(R)
+    ranges, and the groups' totals, about sqrt(R) of them, in one array in which each group adds up
+    those before it."""
+    size = max(1, math.isqrt(ranges or shuffle_partitions(x)))
+    tot = (x.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
+           .withColumn("_g", F.floor(F.col("_pid") / size)))
+    w = Window.partitionBy("_g").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    inner = tot.select("_pid", "_g", *[F.sum(f"_t_{c}").over(w).alias(f"_i_{c}") for c in sum_cols])
+    groups = tot.groupBy("_g").agg(*[F.sum(f"_t_{c}").alias(f"_t_{c}") for c in sum_cols])
+    every = groups.agg(F.collect_list(F.struct("_g", *[f"_t_{c}" for c in sum_cols])).alias("_all"))
     one = every.select("_all", F.explode("_all").alias("_one"))
 
     def before(c: str):
         zero = F.col(f"_one._t_{c}") * 0
-        return F.aggregate(F.filter("_all", lambda r: r["_pid"] < F.col("_one._pid")), F.coalesce(zero, F.lit(0).cast("long")),
+        return F.aggregate(F.filter("_all", lambda r: r["_g"] < F.col("_one._g")), F.coalesce(zero, F.lit(0).cast("long")),
                            lambda a, r: a + F.coalesce(r[f"_t_{c}"], a * 0))
-    return one.select("_one._pid", *[before(c).alias(f"_o_{c}") for c in sum_cols])
+    outer = one.select("_one._g", *[before(c).alias(f"_b_{c}") for c in sum_cols])
+    return inner.join(F.broadcast(outer), "_g").select(
+        "_pid", *[(F.col(f"_b_{c}") + F.coalesce(f"_i_{c}", F.col(f"_b_{c}") * 0)).alias(f"_o_{c}") for c in sum_cols])

@@ -16,10 +16,11 @@ per-block summaries in two levels (ranges of blocks, then the ranges), then an
 aggregation by record key (the position of the record's opening line), first the
 lines of one block, then the blocks.  No stream passes through one task.
 
-The cleaned lines are stored once and read by all steps.  A damaged file can
-open a record that takes all following lines: a record of more than
-``max_chars`` characters is not assembled but rejected (``too long``), with its
-position and number of lines.
+The cleaned lines are stored once and read by all steps.  A record's lines of one block are a
+piece.  Its first line holds its first comma and, of a record with three commas, its last line the last two: id comes from
+the first piece, when and who from the last, whatever lies between.  text and what are the pieces on
+end; a damaged file can open a record that takes all following lines, and where they are more than a column's value
+can hold (``MAX_VALUE`` bytes), text and what are NULL and ``record_pieces`` has them piece by piece.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from histlens.operators.prefix import stored_in_order
 from histlens.sources.store import materialise
 
 STREAM = "_stream"
-MAX_CHARS = 64 << 20            # longest record that is assembled
+MAX_VALUE = (1 << 31) - (1 << 24)       # bytes that one value of a column can hold, with room for its neighbours
 
 # --- fixed values: white space removed by a right trim (the characters a
 # Python ``str.rstrip()`` strips), as one regex class valid in Java and RE2 --
@@ -61,13 +62,8 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
         F.col("value").alias("line"))
 
 
-def repair_records(lines: DataFrame, stream_cols: Sequence[str], block_col: str, order_cols: Sequence[str],
-                   line_col: str = "line", max_chars: int = MAX_CHARS, folder: str | None = None) -> DataFrame:
-    """All records and rejects: ``stream_cols..., start (position of the
-    first line), n_lines, text, status ('ok' | 'reject'), reason, id, what,
-    when, who``.  ``block_col`` orders blocks within a stream; ``order_cols``
-    order lines within a block."""
-    s, o = list(stream_cols), list(order_cols)
+def _keyed(lines: DataFrame, s: list[str], block_col: str, o: list[str], line_col: str, folder: str | None) -> DataFrame:
+    """The cleaned lines (_t, commas _k) with their position and _key, the position of their record's first line."""
     t = clean_line(F.col(line_col))
     x = lines.select(*s, block_col, *o, t.alias("_t")).withColumn("_k", count_commas(F.col("_t")))
     x = materialise(x, "lines", folder and f"{folder}/lines")
@@ -111,38 +107,61 @@ def repair_records(lines: DataFrame, stream_cols: Sequence[str], block_col: str,
     parity = F.when(first_seg, F.col("_cpar") + F.col("_n1")).otherwise(F.col("_n1"))
     opener = F.when(first_seg, F.coalesce(F.col("_op"), F.col("_cop"))).otherwise(F.col("_op"))
     x = x.withColumn("_key", F.when(parity % 2 == 1, opener).otherwise(F.col("_pos")))
+    return x
 
-    # 4. the record's lines of one block, then its blocks
-    part = x.groupBy(*s, "_key", block_col).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("_pos").alias("p"), F.col("_t").alias("t")))).alias("_ls"),
-        F.sum("_k").alias("_pk"), F.count(F.lit(1)).alias("_pn"))
-    part = part.select(*s, "_key", "_pk", "_pn", F.col(block_col).alias("_pb"),
-                       F.array_join(F.transform(F.col("_ls"), lambda e: e["t"]), "").alias("_pt"))
-    size = F.sum(F.length("_pt")).over(Window.partitionBy(*s, "_key"))
-    part = part.withColumn("_long", size > max_chars)
+
+def repair_records(lines: DataFrame, stream_cols: Sequence[str], block_col: str, order_cols: Sequence[str],
+                   line_col: str = "line", max_value: int = MAX_VALUE, folder: str | None = None) -> DataFrame:
+    """All records and rejects: ``stream_cols..., start (position of the
+    first line), n_lines, text, status ('ok' | 'reject'), reason, id, what,
+    when, who``.  ``block_col`` orders blocks within a stream; ``order_cols``
+    order lines within a block."""
+    s = list(stream_cols)
+    x = _keyed(lines, s, block_col, list(order_cols), line_col, folder)
+
+    # 4. the record's lines of one block (a piece), then its pieces
+    part = _pieces(x, s, block_col)
+    tail = F.when(F.col("_pk") > 1, F.substring_index("_pt", ",", -2))
+    part = part.withColumn("_id", F.substring_index("_pt", ",", 1)).withColumn("_tail", tail)
+    part = part.withColumn("_whole", F.sum(F.octet_length("_pt").cast("long")).over(Window.partitionBy(*s, "_key")) <= max_value)
     rec = part.groupBy(*s, "_key").agg(
-        F.array_sort(F.collect_list(F.when(~F.col("_long"), F.struct("_pb", "_pt")))).alias("_ls"),
-        F.sum("_pk").alias("_commas"), F.sum("_pn").alias("n_lines"), F.max("_long").alias("_long"))
-    text = F.when(~F.col("_long"), F.array_join(F.transform(F.col("_ls"), lambda e: e["_pt"]), ""))
-    rec = rec.select(*s, F.col("_key").alias("start"), "n_lines", text.alias("text"), "_commas", "_long")
-    ok = (F.col("_commas") >= 3) & ~F.col("_long")
-    rid = F.substring_index("text", ",", 1)
-    who = F.substring_index("text", ",", -1)
-    mid = F.expr("substring(text, length(substring_index(text, ',', 1)) + 2, "
-                 "length(text) - length(substring_index(text, ',', 1)) - length(substring_index(text, ',', -1)) - 2)")
-    when_ = F.substring_index(mid, ",", -1)
-    rest = F.expr("substring(_mid, 1, length(_mid) - length(substring_index(_mid, ',', -1)) - 1)")
-    reason = (F.when(F.col("_long"), "too long").when(F.col("_commas") == 0, "no comma").when(F.col("_commas") == 1, "unfinished")
+        F.array_sort(F.collect_list(F.when(F.col("_whole"), F.struct("_pb", "_pt")))).alias("_ls"),
+        F.min(F.struct("_pb", "_id")).alias("_head"), F.max(F.struct("_pb", "_tail")).alias("_last"),
+        F.sum("_pk").alias("_commas"), F.sum("_pn").alias("n_lines"), F.min("_whole").alias("_whole"))
+    text = F.when(F.col("_whole"), F.array_join(F.transform(F.col("_ls"), lambda e: e["_pt"]), ""))
+    rec = rec.select(*s, F.col("_key").alias("start"), "n_lines", text.alias("text"), "_commas",
+                     F.col("_head._id").alias("_id"), F.col("_last._tail").alias("_tail"))
+    ok = F.col("_commas") >= 3
+    # between the id with its comma, and the last two fields with theirs
+    what = F.expr("substring(text, length(_id) + 2, length(text) - length(_id) - length(_tail) - 2)")
+    reason = (F.when(F.col("_commas") == 0, "no comma").when(F.col("_commas") == 1, "unfinished")
               .when(F.col("_commas") == 2, "two commas"))
-    out = rec.withColumn("_mid", mid).select(
+    return rec.select(
         *s, "start", "n_lines", "text",
         F.when(ok, "ok").otherwise("reject").alias("status"),
         F.when(~ok, reason).alias("reason"),
-        F.when(ok, rid).alias("id"),
-        F.when(ok, F.replace(rest, F.lit(","), F.lit(";"))).alias("what"),
-        F.when(ok, when_).alias("when"),
-        F.when(ok, who).alias("who"))
-    return out
+        F.when(ok, F.col("_id")).alias("id"),
+        F.when(ok, F.replace(what, F.lit(","), F.lit(";"))).alias("what"),
+        F.when(ok, F.substring_index("_tail", ",", 1)).alias("when"),
+        F.when(ok, F.substring_index("_tail", ",", -1)).alias("who"))
+
+
+def _pieces(x: DataFrame, s: list[str], block_col: str) -> DataFrame:
+    """The lines of each record in each block on end: (stream, _key, _pb, _pt, commas _pk, lines _pn)."""
+    part = x.groupBy(*s, "_key", block_col).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("_pos").alias("p"), F.col("_t").alias("t")))).alias("_ls"),
+        F.sum("_k").alias("_pk"), F.count(F.lit(1)).alias("_pn"))
+    return part.select(*s, "_key", "_pk", "_pn", F.col(block_col).alias("_pb"),
+                       F.array_join(F.transform(F.col("_ls"), lambda e: e["t"]), "").alias("_pt"))
+
+
+def record_pieces(lines: DataFrame, stream_cols: Sequence[str], block_col: str, order_cols: Sequence[str],
+                  line_col: str = "line", folder: str | None = None) -> DataFrame:
+    """The records of ``repair_records`` in pieces, one for each block that a record has lines in:
+    (stream_cols..., start, piece (its block), text), in the order of piece; of any length."""
+    s = list(stream_cols)
+    part = _pieces(_keyed(lines, s, block_col, list(order_cols), line_col, folder), s, block_col)
+    return part.select(*s, F.col("_key").alias("start"), F.col("_pb").alias("piece"), F.col("_pt").alias("text"))
 
 
 def _carry(df: DataFrame, keys: Sequence[str], order: str, ended: str, count: str, opener: str) -> DataFrame:

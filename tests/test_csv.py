@@ -105,14 +105,6 @@ def test_repaired_text_is_unquoted_and_rejects_are_kept(spark, tmp_path):
     assert rows(description_length(t, t.reports)) == [(1, len("fix a; b"))]
 
 
-def test_too_long_record_is_rejected(spark):
-    from histlens.sources.repair import repair_records
-    lines = ["1,open", *["x" * 50] * 40, "end,2,3", "5,a,b,c"]
-    df = spark.createDataFrame([(0, i // 4, i, x) for i, x in enumerate(lines)], "s INT, b INT, ln INT, line STRING")
-    got = {r.start.o0: (r.status, r.reason, r.n_lines, r.what) for r in repair_records(df, ["s"], "b", ["ln"], max_chars=1000).collect()}
-    assert got == {0: ("reject", "too long", 42, None), 42: ("ok", None, 1, "a")}
-
-
 def small_splits(spark, size):
     import contextlib
 

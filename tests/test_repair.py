@@ -109,3 +109,20 @@ def test_repair_then_load_typed_log(spark, tmp_path):
     p.write_text("id,what,when,who\n7,a,b,c,100,9\n8,start\nmore,200,10\nabc\n9,x,300,11\n")
     got = sorted(tuple(r) for r in load_repaired(spark, str(tmp_path))[0].collect())
     assert got == [(7, "a;b;c", 100, 9), (8, "startmore", 200, 10), (9, "x", 300, 11)]
+
+
+def test_records_of_any_length(spark):
+    """A record over many blocks has its line-by-line result; one beyond a value's room keeps id, when and who, and its pieces."""
+    from histlens.sources.repair import record_pieces
+
+    lines = ["0,x,1,2", "1,open " + "y" * 400, *["z, " + "x" * 500 + ";"] * 4, "no commas here" * 90, "end, with more,2,3", "5,a,b,c", "8,tail"]
+    df = spark.createDataFrame([(0, i // 2, i, t) for i, t in enumerate(lines)], "s INT, b INT, ln INT, line STRING")
+    key = lambda r: (r["start"]["o0"], r["text"], r["status"], r["reason"], r["id"], r["what"], r["when"], r["who"])
+    assert sorted(map(key, repair_records(df, ["s"], "b", ["ln"]).collect())) == sorted(brute(lines))
+    short = {r.start.o0: r for r in repair_records(df, ["s"], "b", ["ln"], max_value=1000).collect()}
+    want = {w[0]: w for w in brute(lines)}
+    long = short[1]
+    assert (long.status, long.id, long.when, long.who, long.text, long.what, long.n_lines) == ("ok", "1", "2", "3", None, None, 7)
+    assert all(key(short[k]) == want[k] for k in want if k != 1)
+    pieces = record_pieces(df, ["s"], "b", ["ln"]).filter("start.o0 = 1").orderBy("piece").collect()
+    assert len(pieces) == 4 and "".join(r.text for r in pieces) == want[1][1]

@@ -159,3 +159,18 @@ def test_exact_split_equals_sorting_everything(spark):
         got = holdout_split_exact(df, p=p, seed=7, buckets=100)
         train = {r["id"] for r in got.filter("is_train").select("id").collect()}
         assert got.count() == 20_000 and train == want, p
+
+
+def test_offsets_of_many_ranges(spark):
+    """The two-level scan over 5,000 ranges, with gaps, NULL totals and doubles."""
+    from histlens.operators.prefix import range_offsets
+
+    rows = [(p, None if p % 11 == 0 else p % 13, 0.5 * (p % 3)) for p in range(5000) if p % 7]
+    x = spark.createDataFrame(rows, "_pid long, a long, b double")
+    a = b = 0
+    want = {}
+    for p, u, v in rows:
+        want[p] = (a, b)
+        a, b = a + (u or 0), b + v
+    for ranges in (5000, 3, None):
+        assert {r._pid: (r._o_a, r._o_b) for r in range_offsets(x, ["a", "b"], ranges).collect()} == want
