@@ -32,6 +32,7 @@ MAX_WORDS = 5
 TOP = 2000
 SHARD_WORDS = 32_000_000        # words that a task holds at a time, four bytes each: the larger the shards, the fewer candidates
 CHUNK_WORDS = 4_000_000         # words in which a task counts candidates at a time
+HELD_PHRASES = 1_000_000        # phrases whose counts a task sums
 COUNTED_WORDS = 1_000_000       # different words that a task counts at a time
 BLOCK = 1 << 20                 # words looked at in one step
 BUCKETS = 1 << 22               # counters of hashed pairs of a shard
@@ -219,19 +220,13 @@ def _mine(frequent, totals, min_count: int, max_words: int, shard_words: int):
 
 
 def _count(frequent, candidates, max_words: int, shard_words: int):
-    """(lang, phrase, words, f): local counts of all phrases whose hashes the candidates hold.  Counts add up, so that
-    less than a shard is held at a time."""
-    def emit(lang: str, s: Shard) -> Iterator[pa.RecordBatch]:
-        ids, h, words = s.text(), np.array(s.number.hashes, np.uint64), s.number.words
-        for k, at, n, _ in levels(ids, h, max_words, lambda _, hk: _in_filter(candidates.value, hk), lambda c: c > 0):
-            for i in range(0, len(at), 100_000):
-                part = at[i : i + 100_000]
-                phrases = [b" ".join(map(words.__getitem__, row)) for row in ids[part[:, None] + np.arange(k)].tolist()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(part)), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(np.full(len(part), k), pa.int32()), pa.array(n[i : i + 100_000], pa.int64())],
-                    ["lang", "phrase", "words", "f"])
+    """(lang, phrase, words, f): a task's counts of all phrases whose hashes the candidates hold.
+
+    Words are held in chunks, smaller than shards as counts add up, and the chunks' counts are summed in
+    the task until it holds HELD_PHRASES of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers: dict[str, Numbers] = {}
+        sums: dict[str, dict[bytes, int]] = {}
 
         def make(lang: str) -> Shard:
             if lang not in numbers:
@@ -239,7 +234,29 @@ def _count(frequent, candidates, max_words: int, shard_words: int):
                     numbers.clear()
                 numbers[lang] = Numbers(lang, frequent.value)
             return Shard(numbers[lang])
-        return _shards(batches, make, emit, min(shard_words, CHUNK_WORDS))
+
+        def emit(lang: str, s: Shard) -> Iterator[pa.RecordBatch]:
+            ids, h, words, held = s.text(), np.array(s.number.hashes, np.uint64), s.number.words, sums.setdefault(lang, {})
+            for k, at, n, _ in levels(ids, h, max_words, lambda _, hk: _in_filter(candidates.value, hk), lambda c: c > 0):
+                for i in range(0, len(at), 100_000):
+                    for row, c in zip(ids[at[i : i + 100_000, None] + np.arange(k)].tolist(), n[i : i + 100_000].tolist()):
+                        phrase = b" ".join(map(words.__getitem__, row))
+                        held[phrase] = held.get(phrase, 0) + c
+            if sum(map(len, sums.values())) >= HELD_PHRASES:
+                yield from flush()
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for lang, held in sums.items():
+                phrases = list(held)
+                for i in range(0, len(phrases), 100_000):
+                    part = phrases[i : i + 100_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(part)), pa.array(part, pa.binary()).cast(pa.string()), pa.array([p.count(b" ") + 1 for p in part], pa.int32()),
+                         pa.array([held[p] for p in part], pa.int64())], ["lang", "phrase", "words", "f"])
+            sums.clear()
+
+        yield from _shards(batches, make, emit, min(shard_words, CHUNK_WORDS))
+        yield from flush()
     return run
 
 

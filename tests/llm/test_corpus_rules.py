@@ -64,6 +64,8 @@ def test_a_full_filter_changes_nothing(spark, monkeypatch):
     monkeypatch.setattr(collocations, "BUCKETS", 8)
     monkeypatch.setattr(collocations, "COUNTED_WORDS", 10)
     monkeypatch.setattr(collocations.Numbers, "ROOM", 3)
+    monkeypatch.setattr(collocations, "CHUNK_WORDS", 200)
+    monkeypatch.setattr(collocations, "HELD_PHRASES", 50)
     rows = prose(8, 120)
     docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
     assert sorted(tuple(r) for r in collocations.collocations(docs, min_count=12).collect()) == plain_collocations(rows, 12, 2000)
