@@ -236,11 +236,13 @@ def q_nested_split(spark, sf_dir):
 
 
 def q_random_subsets(spark, sf_dir):
-    """ML3 and PF13: the drawn subsets, restricted to the wide table's own features."""
-    from histlens.plans.model import all_features, random_subsets, subsets_frame
-    have = all_features(master_materialised(spark, sf_dir))
-    subs = subsets_frame(spark, random_subsets())
-    return subs.select("subset_id", F.array_join(F.filter("features", lambda f: f.isin(have)), "+").alias("features"))
+    """ML3 and PF13: the drawn subsets, restricted to the wide table's own features, and the
+    rows of the wide table that hold all features of each."""
+    from histlens.plans.model import all_features, random_subsets, subset_support
+    m = master_materialised(spark, sf_dir)
+    have = set(all_features(m))
+    subs = subset_support(m, [[f for f in s if f in have] for s in random_subsets()])
+    return subs.select("subset_id", F.array_join("features", "+").alias("features"), "n_rows")
 
 
 def q_holdout_split(spark, sf_dir):

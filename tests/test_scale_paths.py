@@ -156,9 +156,66 @@ def test_exact_split_equals_sorting_everything(spark):
     for p in (0.05, 0.5, 0.7, 0.999):
         k = math.ceil(p * len(ranked))
         want = set(ranked["id"].iloc[:k])
-        got = holdout_split_exact(df, p=p, seed=7, buckets=100)
-        train = {r["id"] for r in got.filter("is_train").select("id").collect()}
-        assert got.count() == 20_000 and train == want, p
+        for bits, band in ((16, 100_000), (2, 5)):       # one pass, and 4 buckets a pass until 5 rows are left
+            got = holdout_split_exact(df, p=p, seed=7, bits=bits, max_band=band)
+            train = {r["id"] for r in got.filter("is_train").select("id").collect()}
+            assert got.count() == 20_000 and train == want, (p, bits)
+
+
+def test_exact_split_band_is_bounded_at_any_size(spark):
+    from histlens.plans.model import _hash_int, _split_band
+    for n in (2_000, 50_000):
+        h = spark.range(n).select(_hash_int(F.col("id"), 7).alias("_h"))
+        low, high, rest = _split_band(h, 0.7, 4, 20)
+        inside = h.filter(F.col("_h").between(low, high - 1)).count()
+        below = h.filter(F.col("_h") < low).count()
+        assert inside <= 20 and 0 < rest <= inside and below + rest == -(-n * 7 // 10)
+
+
+def test_exact_split_of_few_rows_and_of_one_key(spark):
+    from histlens.plans.model import holdout_split_exact
+    assert holdout_split_exact(spark.range(0)).count() == 0
+    assert [r.is_train for r in holdout_split_exact(spark.range(1)).collect()] == [True]
+    assert holdout_split_exact(spark.range(30), p=0.0).filter("is_train").count() == 0
+    assert holdout_split_exact(spark.range(30), p=1.0).filter("is_train").count() == 30
+    same = spark.range(50).select(F.lit(4).alias("id"))
+    assert holdout_split_exact(same, p=0.3, bits=3, max_band=5).filter("is_train").count() == 15
+
+
+def test_subset_search_equals_plain_sums(spark):
+    """Subsets that share prefixes, one feature, all features and none, with NULL features and a NULL label."""
+    import math
+
+    from histlens.plans.model import model_params, nb_fit, nb_subset_search
+    data = [(i, i % 2 if i != 5 else None, None if i % 7 == 0 else float(i % 2) + (i * 37 % 11) / 4, float(i * 13 % 9),
+             None if i % 5 == 0 else float(i % 2) * 2 + i * 7 % 5) for i in range(120)]
+    df = spark.createDataFrame(data, "id long, target int, a double, b double, c double")
+    train, test = df.filter("id % 3 > 0 AND target IS NOT NULL"), df.filter("id % 3 = 0 OR target IS NULL")
+    subsets = [["a"], ["b", "a"], ["c", "b", "a"], ["c"], ["a", "c"], ["b"], []]
+    par = model_params(nb_fit(train, ["a", "b", "c"]))
+
+    def ll(v, f, c):
+        if v is None:
+            return 0.0
+        m, sd = par["gauss"][(f, c)]
+        d = math.exp(-0.5 * ((v - m) / sd) ** 2) / (sd * math.sqrt(2 * math.pi))
+        return math.log(d if d > 0 else 0.001)
+    base = math.log(par["prior"][1]) - math.log(par["prior"][0])
+    rows = [r for r in test.collect() if r.target is not None]
+    for got in nb_subset_search(train, test, subsets).collect():
+        s = subsets[got.subset_id - 1]
+        pred = [base + sum(ll(r[f], f, 1) - ll(r[f], f, 0) for f in s) > 0 for r in rows]
+        tpr = sum(p for p, r in zip(pred, rows) if r.target) / sum(r.target for r in rows)
+        tnr = sum(not p for p, r in zip(pred, rows) if not r.target) / sum(1 - r.target for r in rows)
+        assert got.n_features == len(s) and abs(got.auc - (tpr + tnr) / 2) < 1e-9, s
+
+
+def test_subset_support_counts_whole_rows(spark):
+    from histlens.plans.model import subset_support
+    df = spark.createDataFrame([(1, None, "x"), (2, 3.0, None), (None, 4.0, "y"), (5, 6.0, "z")], "a int, b double, c string")
+    subs = [["a"], ["b", "c"], ["a", "b", "c"], []]
+    assert [r.n_rows for r in subset_support(df, subs).orderBy("subset_id").collect()] == [3, 2, 1, 4]
+    assert [r.n_rows for r in subset_support(df.limit(0), subs).collect()] == [0, 0, 0, 0]
 
 
 def test_offsets_of_many_ranges(spark):
