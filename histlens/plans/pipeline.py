@@ -1,9 +1,10 @@
 """The whole job, raw CSV files to feature table and model search.
 
 ``run(spark, csv_folder, out)``: repair the broken logs and load the others
-(D1, IO1), ingest to Parquet (D2), base sample (D3), wide table (F1-F31),
-then the Naive Bayes stage (ML1-ML9).  Every result is written under ``out``
-(Parquet, overwrite) and returned as read-back DataFrames.
+(D1, IO1), ingest to Parquet (D2), base sample (D3), category tables (D4-D8), wide
+table (F1-F31), then the Naive Bayes stage (ML1-ML9).  Every result is written under
+``out`` (Parquet, replacing the table of an earlier run once complete) and returned as
+read-back DataFrames.
 
     python -m histlens.plans.pipeline CSV_FOLDER OUT_FOLDER [--cutoff N] [--max-days N]
 """
@@ -14,6 +15,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
+from histlens.plans import categories as C
 from histlens.plans import features as FT
 from histlens.plans.master import master_table
 from histlens.plans.model import (
@@ -28,10 +30,18 @@ from histlens.sources.store import drop_folder, ingest, materialise, write_featu
 from histlens.sources.tables import Tables
 
 
+def category_tables(t: Tables) -> dict[str, DataFrame]:
+    """D4-D8: the five tables from raw values to categories."""
+    return {"os": C.os_category(t.h("op_sys")), "component": C.component_category(t.h("component")),
+            "version": C.version_category(t.h("version"), t.h("product")),
+            "priority": C.priority_category(t.h("priority")), "severity": C.severity_category(t.h("severity"))}
+
+
 def run_tables(t: Tables, out: str, cutoff: int | None = DEFAULT_CUTOFF, max_days: int = DEFAULT_MAX_DAYS,
                hi_minutes: int = DEFAULT_HI_MINUTES, week_minutes: int = DEFAULT_WEEK_MINUTES,
                search: bool = True, feature_tables: bool = False) -> dict[str, DataFrame]:
-    """Base sample, wide table and model stage over already ingested tables.
+    """Base sample, category tables (``out/categories/<name>``), wide table and model
+    stage over already ingested tables.
     ``cutoff=None`` takes the newest status time; ``feature_tables`` also
     stores each of the 30 feature tables under ``out/features/<name>``."""
     cut = latest_status_cutoff(t.h("status")) if cutoff is None else cutoff
@@ -39,6 +49,8 @@ def run_tables(t: Tables, out: str, cutoff: int | None = DEFAULT_CUTOFF, max_day
     base = materialise(base_sample(t.reports, t.h("status"), t.h("severity"), cutoff=cut, max_days=max_days),
                        "base", f"{out}/base_sample")
     res["base_sample"] = base
+    for name, df in category_tables(t).items():
+        res[f"categories/{name}"] = write_feature(df, name, f"{out}/categories")
     if feature_tables:
         for name, fn in FT.FEATURES.items():
             kw = {"hi_minutes": hi_minutes} if name == "is_mod_within_first_day" else (

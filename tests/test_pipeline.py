@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
@@ -29,3 +30,20 @@ def test_pipeline_from_csv_files(spark, tmp_path):
     assert len([k for k in res if k.startswith("features/")]) == 30
     from histlens.plans.registry import queries
     assert rows(res["features/team_work"]) == rows(queries()["feat_team_work"](spark, SF))
+    for name in ("os", "component", "version", "priority", "severity"):
+        assert rows(res[f"categories/{name}"]) == rows(queries()[f"{name}_category"](spark, SF)), name
+        assert os.path.isdir(tmp_path / "out" / "categories" / name)
+    left = [d for d, _, _ in os.walk(tmp_path / "out") if ".new-" in d or ".old-" in d]
+    assert not left
+
+
+def test_a_table_is_replaced_whole_or_not_at_all(spark, tmp_path):
+    from histlens.sources.store import materialise
+    path = str(tmp_path / "t")
+    first = materialise(spark.range(5), "t", path)
+    assert sorted(r.id for r in materialise(first.selectExpr("id + 10 AS id"), "t", path).collect()) == [10, 11, 12, 13, 14]
+    bad = spark.range(5).select(F.raise_error(F.lit("broken row")).alias("id"))
+    with pytest.raises(Exception, match="broken row"):
+        materialise(bad, "t", path)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [10, 11, 12, 13, 14]
+    assert os.listdir(tmp_path) == ["t"]
