@@ -176,15 +176,27 @@ def top_n_by(df: DataFrame, group_cols: Sequence[str], order_col: str, n: int =
     return df.withColumn("_rk", F.rank().over(w)).filter(F.col("_rk") <= n).drop("_rk")
 
 
+def actors_per_entity(involvement: DataFrame, key: str = "id", actor: str = "who",
+                      name: str = "numPeopleInvolved") -> DataFrame:
+    """AG7 of distinct ``(key, actor)`` rows: their number per entity, and the ``only`` actor of
+    those that have one (fixed-width buffers for numeric actors)."""
+    n = F.count(F.lit(1))
+    return involvement.groupBy(key).agg(n.alias(name), F.when(n == 1, F.min(actor)).alias("only"))
+
+
 def team_rate(involvement: DataFrame, key: str = "id", actor: str = "who",
-              name: str = "teamWorkRate") -> DataFrame:
+              name: str = "teamWorkRate", actors: DataFrame | None = None) -> DataFrame:
     """AG6/F10: per actor, share of its entities that have more than one actor.
 
-    ``involvement`` must be distinct ``(key, actor)``.  The actors of an entity are
-    counted by an aggregation joined back (a hot entity's join partition can be
-    split, a window over it could not), then one aggregation by actor.
+    ``involvement`` must be distinct ``(key, actor)``; ``actors`` is its ``actors_per_entity``
+    where that is stored already.  An entity with one actor is a row of that actor alone, so the
+    share is 1 - (entities the actor has alone) / (its entities): two counts by actor, and the
+    pairs are never joined back to their entities.
     """
-    n = involvement.groupBy(key).agg(F.count(F.lit(1)).alias("_actors"))
-    team = involvement.join(n, key).select(actor, (F.col("_actors") > 1).cast("int").alias("_team"))
-    return team.groupBy(actor).agg(
-        (F.sum("_team").cast("double") / F.count(F.lit(1)).cast("double")).alias(name))
+    if actors is None:
+        actors = actors_per_entity(involvement, key, actor, "_n")
+    size = next(c for c in actors.columns if c not in (key, "only"))
+    alone = actors.filter(F.col(size) == 1).select(F.col("only").alias(actor), F.lit(0).alias("_rows"), F.lit(1).alias("_alone"))
+    rows = involvement.select(actor, F.lit(1).alias("_rows"), F.lit(0).alias("_alone")).unionByName(alone)
+    n = F.sum("_rows")
+    return rows.groupBy(actor).agg(((n - F.sum("_alone")).cast("double") / n.cast("double")).alias(name))

@@ -148,8 +148,10 @@ def num_people_involved(t: Tables, base: DataFrame) -> DataFrame:
 def team_work(t: Tables, base: DataFrame) -> DataFrame:
     """Team rate of each bug's reporter: over the involvement of *all* bugs."""
     rates = team_rate(involvement(t, base, all_ids=True))
-    j = base.select("id", "reporter").join(rates, F.col("reporter") == F.col("who"), "left")
-    return j.select("id", "teamWorkRate")
+    # null-safe, so that no filter on the actor comes down to one of the two reads of the pairs
+    # and both share one exchange; a bug without a reporter has no rate
+    j = base.select("id", "reporter").join(rates, F.col("reporter").eqNullSafe(F.col("who")), "left")
+    return j.select("id", F.when(F.col("reporter").isNotNull(), F.col("teamWorkRate")).alias("teamWorkRate"))
 
 
 def _event_minutes(t: Tables, base: DataFrame, attrs) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from histlens.functions import epoch_month, epoch_year, minutes_since
-from histlens.operators import latest_by, prior_rate
+from histlens.operators import actors_per_entity, latest_by, prior_rate, team_rate
 from histlens.plans import features as FT
 from histlens.plans.categories import (
     broad_os, component_category, compressed_priority, compressed_severity, detailed_os,
@@ -186,12 +186,11 @@ def master_table(t: Tables, base: DataFrame, hi_minutes: int = DEFAULT_HI_MINUTE
     # so a bug with a huge history is spread); actors over all bugs serve both
     # the people count and the reporters' team rate
     # the distinct pairs and the actor count of each bug are stored once; the count
-    # is the people count of a base bug and the team flag behind the team rate
+    # is the people count of a base bug and tells the bugs of one actor behind the team rate
     pairs = stage(FT.involvement(t, base, all_ids=True), "involvement")
-    actors = stage(pairs.groupBy("id").agg(F.count(F.lit(1)).alias("numPeopleInvolved")), "actors")
-    people = actors.join(base.select("id"), "id", "left_semi")
-    rates = pairs.join(actors, "id").groupBy("who").agg(
-        (F.sum((F.col("numPeopleInvolved") > 1).cast("int")).cast("double") / F.count(F.lit(1)).cast("double")).alias("teamWorkRate"))
+    actors = stage(actors_per_entity(pairs), "actors")
+    people = actors.drop("only").join(base.select("id"), "id", "left_semi")
+    rates = team_rate(pairs, actors=actors)
     team = (base.select("id", "reporter")
             .join(rates, F.col("reporter") == F.col("who"), "left")
             .select("id", "teamWorkRate"))

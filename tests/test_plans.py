@@ -52,6 +52,29 @@ def test_team_rate_has_no_window(spark):
     assert "Window" not in _plan(queries()["feat_team_work"](spark, SF))
 
 
+def test_team_rate_reads_the_pairs_through_one_exchange(spark):
+    """The pairs are never joined back to their bugs, and both counts share their exchange."""
+    df = queries()["feat_team_work"](spark, SF)
+    df.collect()
+    p = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in p
+    assert p.count("Join") == 1                                  # base and its reporter's rate
+
+
+def test_team_rate_equals_the_definition(spark):
+    """Shared and lone entities, an unknown actor, an actor of nothing but lone entities."""
+    from histlens.operators import actors_per_entity, team_rate
+    pairs = [(1, 10), (1, 11), (2, 10), (3, 10), (3, None), (4, None), (5, 12), (6, 13), (6, 10), (None, 10), (None, 14), (7, 14)]
+    df = spark.createDataFrame(pairs, "id long, who long")
+    size = {}
+    for i, _ in pairs:
+        size[i] = size.get(i, 0) + 1
+    want = {w: sum(size[i] > 1 for i, x in pairs if x == w) / sum(x == w for _, x in pairs) for _, w in pairs}
+    assert {r.who: r.teamWorkRate for r in team_rate(df).collect()} == want
+    assert {r.who: r.teamWorkRate for r in team_rate(df, actors=actors_per_entity(df)).collect()} == want
+    assert team_rate(df.limit(0)).collect() == []
+
+
 def test_master_invariant_under_repartitioned_inputs(spark):
     """Metamorphic: shuffled input partitioning gives the same wide table."""
     from helpers import rows
