@@ -10,7 +10,9 @@ their member sets and verified exactly.
 Large families of near copies would make all pairs of a shingle's list.  So
 every list is first joined to one pivot (a star, linear in its length) and the
 verified links are contracted to components; only pairs of lists that still
-hold several components are then enumerated, and only across components.
+hold several components are then enumerated, and only across components.  These
+lists are joined by token and size band: the smaller set of a pair looks only into the
+sizes that its place in the list admits, and sets for which no size is left send nothing.
 No link between components is lost: every pair that the prefix bound leaves is
 either verified or already inside one component.
 
@@ -22,6 +24,7 @@ hot keys have a plain exchange on both sides, so that AQE can split them.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -39,6 +42,7 @@ MAX_COMMON = 1 << 21            # bound of the broadcast list of common shingles
 COUNT_BITS = 36                 # shingles are counted by their first bits; raise it with the data (2^36: well beyond 10^9 shingles)
 FLUSH = 2_000_000               # shingles counted at a time in a task
 SKETCH_BITS = 1024              # parity sketch of a set
+BANDS = 4                       # size bands up to the largest admissible partner (a size ratio of 100 / PERCENT)
 FILTER_BITS = 22                # bits (as a power of 2) of the filter of texts to read again
 
 
@@ -165,6 +169,33 @@ def _bounds(a: str, b: str):
     return (100 * F.least(na, nb) >= PERCENT * F.greatest(na, nb)) & (left >= need)
 
 
+def open_pairs(posts: DataFrame) -> DataFrame:
+    """Distinct pairs (g, h), g < h, of groups that share a token within the bounds and are not inside
+    one component.  ``posts``: (token, gid, size, pos, lo, hi, main), lo and hi being the smallest and
+    largest component of the group and main one component of the token's list (or null).
+
+    Of sizes s <= t a shared shingle at position p of the smaller set admits
+    t <= (100 + PERCENT) (s - p) / PERCENT - s, so a set whose shingle stands too far back looks
+    for no partner at all: sets of a family just under the threshold are dropped here, before any pairing.
+    Two groups of the main component never meet: groups of it look only for others.
+    """
+    s = F.col("size")
+    inside = F.coalesce((F.col("lo") == F.col("hi")) & (F.col("lo") == F.col("main")), F.lit(False))
+    most = F.floor(F.least(100 * s, (100 + PERCENT) * (s - F.col("pos")) - PERCENT * s) / PERCENT)
+
+    def band(size):
+        return F.floor(F.log(size.cast("double")) * (BANDS / math.log(100 / PERCENT))).cast("int")
+    posts = posts.select("token", "gid", "size", "pos", "lo", "hi", inside.alias("inside"), most.alias("most"))
+    small = (posts.filter(F.col("most") >= s)
+             .withColumn("side", F.col("inside").cast("int")).withColumn("band", F.explode(F.sequence(band(s), band(F.col("most"))))))
+    large = posts.withColumn("band", band(s)).withColumn("side", F.explode(F.when(F.col("inside"), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))))
+    a, b = small.alias("a"), large.alias("b")
+    same = (F.col("a.lo") == F.col("a.hi")) & (F.col("a.lo") == F.col("b.lo")) & (F.col("b.lo") == F.col("b.hi"))
+    first = (F.col("a.size") < F.col("b.size")) | ((F.col("a.size") == F.col("b.size")) & (F.col("a.gid") < F.col("b.gid")))
+    return (a.join(b, ["token", "side", "band"]).filter(first & _bounds("a", "b") & ~same)
+            .select(F.least("a.gid", "b.gid").alias("g"), F.greatest("a.gid", "b.gid").alias("h")).distinct())
+
+
 def _verify(st: Stages, docs: DataFrame, sets: DataFrame, members: DataFrame, pairs: DataFrame, text_col: str, tag: str) -> DataFrame:
     """The pairs (x, y) of set ids whose Jaccard similarity reaches the bound."""
     m = members.select("cid", "size", "sketch")
@@ -273,12 +304,11 @@ def near_duplicates(rows: DataFrame, text_col: str = "text", id_col: str = "doc_
     spread = st.write(spread, "spread")
     many = spread.filter("lo <> hi").select("gid")
     lists = st.write(shared.join(spread, "gid"), "lists")
-    open_lists = st.write(lists.groupBy("token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo <> hi").select("token"), "open")
-    open_posts = st.write(lists.join(open_lists, "token"), "posts")
-    group_pairs = (open_posts.alias("a").join(open_posts.alias("b"), "token")
-                   .filter((F.col("a.gid") < F.col("b.gid")) & _bounds("a", "b")
-                           & ~((F.col("a.lo") == F.col("a.hi")) & (F.col("a.lo") == F.col("b.lo")) & (F.col("b.lo") == F.col("b.hi"))))
-                   .select(F.col("a.gid").alias("g"), F.col("b.gid").alias("h")).distinct())
+    # a component drawn by hash from the list: the more groups of a list are in one, the likelier it is the one
+    one = F.when(F.col("lo") == F.col("hi"), F.xxhash64("token", "gid"))
+    open_lists = lists.groupBy("token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min_by("lo", one).alias("main"))
+    open_lists = st.write(open_lists.filter("lo <> hi").select("token", "main"), "open")
+    group_pairs = open_pairs(st.write(lists.join(open_lists, "token"), "posts"))
     group_pairs = group_pairs.unionByName(many.select(F.col("gid").alias("g"), F.col("gid").alias("h")))
     group_pairs = st.write(group_pairs, "group_pairs")
     left, right = units.toDF("x", "g", "rx"), units.toDF("y", "h", "ry")

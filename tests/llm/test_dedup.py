@@ -95,6 +95,38 @@ def test_chain_of_links_is_one_component(spark):
     assert got == brute.near_components(rows) and {c for _, c in got.values()} == {21}
 
 
+def brute_open_pairs(posts):
+    out = set()
+    for t, g, n, p, lo, hi, _ in posts:
+        for u, h, m, q, lo2, hi2, _ in posts:
+            if t == u and g < h and not lo == hi == lo2 == hi2 and 100 * min(n, m) >= 80 * max(n, m) and 180 * min(n - p, m - q) >= 80 * (n + m):
+                out.add((g, h))
+    return out
+
+
+POSTS = "token long, gid long, size int, pos int, lo long, hi long, main long"
+
+
+def test_open_pairs_equal_all_pairs(spark):
+    rng = random.Random(4)
+    posts = []
+    for g in range(400):
+        n, lo = rng.choice([1, 2, 5, 9, 10, 40, 50, 77, 100, 101, 124, 125, 5000]), rng.choice([1, 1, 1, 2, 3, g])
+        hi = max(lo, rng.choice([lo, lo, lo, 9]))
+        posts += [(t, g, n, rng.randrange(n - -(-80 * n // 100) + 1), lo, hi, [1, 2, None][t]) for t in range(3) if rng.random() < 0.7]
+    got = [(r.g, r.h) for r in ngram_join.open_pairs(spark.createDataFrame(posts, POSTS)).collect()]
+    assert len(got) == len(set(got)) and set(got) == brute_open_pairs(posts)
+
+
+def test_family_just_under_the_threshold_is_not_paired(spark):
+    """20,000 sets of similarity 0.7 share a shingle behind their own ones: none looks for a partner.  As many
+    copies in one component beside one other group: only pairs with that group."""
+    far = spark.range(20_000).selectExpr("0L AS token", "id AS gid", "1000 AS size", "176 AS pos", "id AS lo", "id AS hi", "7L AS main")
+    assert ngram_join.open_pairs(far).count() == 0
+    near = spark.range(20_000).selectExpr("0L AS token", "id AS gid", "1000 AS size", "0 AS pos", "IF(id = 5, 5L, 0L) AS lo", "IF(id = 5, 5L, 0L) AS hi", "0L AS main")
+    assert ngram_join.open_pairs(near).count() == 19_999
+
+
 def test_near_duplicates_edge_rows(spark):
     rows = [(5, "a b c d e f"), (5, "a b c d e f"), (None, "A B C D E F"), (None, None), (7, "")]
     got = ngram_join.near_duplicates(numbered(spark, rows)).collect()
