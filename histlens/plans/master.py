@@ -11,11 +11,11 @@ tables.  Those arrive as narrow ``(id, value)`` frames joined on ``id``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from histlens.functions import epoch_month, epoch_year, minutes_since
-from histlens.operators import actors_per_entity, latest_by, prior_rate, team_rate
+from histlens.operators import actors_per_entity, prior_rate, team_rate
 from histlens.plans import features as FT
 from histlens.plans.categories import (
     broad_os, component_category, compressed_priority, compressed_severity, detailed_os,
@@ -69,6 +69,8 @@ def bug_stats(t: Tables) -> DataFrame:
     ]
     aggs += [F.min(F.when(attr == a, _row(-ts))).alias(f"_last_{a}") for a in LATEST_ATTRS]
     aggs += [F.min(F.when(attr == a, _row(ts))).alias(f"_first_{a}") for a in FIRST_ATTRS]
+    # as latest_by has them (a row without a time never wins), for the tables keyed by version and product
+    aggs += [F.min(F.when((attr == a) & ts.isNotNull(), _row(-ts))).alias(f"_newest_{a}") for a in ("version", "product")]
     return t.history.groupBy("id").agg(*aggs)
 
 
@@ -111,7 +113,6 @@ def master_table(t: Tables, base: DataFrame, hi_minutes: int = DEFAULT_HI_MINUTE
     def stage(df: DataFrame, name: str) -> DataFrame:
         return materialise(df, name, folder and f"{folder}/{name}")
 
-    st = stage(bug_stats(t), "bug_stats")
     # assignments at the opening second: the inbox flags and two running rates
     at_open = stage(FT.assignments_at_opening(t, base), "at_open")
     at0 = at_open.groupBy("id").agg(F.min(F.struct("what", "who")).alias("_at0"))
@@ -119,7 +120,11 @@ def master_table(t: Tables, base: DataFrame, hi_minutes: int = DEFAULT_HI_MINUTE
     fixed = FT.is_fixed()
     # all base bugs with history; the target set (>= 1 product row) is cut
     # after the success rates, which run over every base bug
-    m = base.join(st, "id").join(at0, "id", "left").join(early, "id", "left")
+    # every bug once, base bugs with their report: all joined where the aggregation left its rows, and
+    # stored once for the version, age and rate branches and the result
+    copies = base.withColumn("_copy", F.row_number().over(Window.partitionBy("id").orderBy("id")))
+    bugs = stage(bug_stats(t).join(copies, "id", "left").join(at0, "id", "left").join(early, "id", "left"), "bug_stats")
+    m = bugs.filter("_copy IS NOT NULL")
     lw = lambda a, f: F.col(f"_last_{a}.{f}")
     fw = lambda a, f: F.col(f"_first_{a}.{f}")
     op = F.col("opening")
@@ -168,9 +173,9 @@ def master_table(t: Tables, base: DataFrame, hi_minutes: int = DEFAULT_HI_MINUTE
         F.col("what").alias("component"), F.col("BigComponent").alias("bigComponent"))
     # version dimension and software birthdays need every bug's latest
     # version and product; the base bugs' own values come from the stats
-    lv = latest_by(t.h("version"), cols=["what", "ts"]).withColumnRenamed("what", "Version")
-    lp = latest_by(t.h("product"), cols=["what"]).withColumnRenamed("what", "Product")
-    lvp_all = lv.join(lp, "id")
+    newest = bugs.filter("id IS NOT NULL AND coalesce(_copy, 1) = 1 AND _newest_version IS NOT NULL AND _newest_product IS NOT NULL")
+    lvp_all = newest.select("id", F.col("_newest_version.what").alias("Version"), (-F.col("_newest_version._o")).alias("ts"),
+                            F.col("_newest_product.what").alias("Product"))
     vcat = version_category_from_pairs(lvp_all.select("Version", "Product").distinct(), segment_mode, folder=folder)
     bd = FT.software_birthdays(lvp_all, k)
     vp = m.filter(F.col("_version").isNotNull()).select(

@@ -57,8 +57,21 @@ def load_tables(spark: SparkSession, root: str) -> Tables:
     return from_long(spark.read.parquet(f"{root}/reports"), spark.read.parquet(f"{root}/history"))
 
 
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+ROW_GROUP = 16 << 20        # bytes of a stored log's row groups: what one scan task has to sort stays small
+
+
 def write_tables(t: Tables, root: str, mode: str = "overwrite") -> None:
     """IO4 for the inputs: replace both tables; history partitioned by attr so
-    that a feature reading one attribute lists one folder."""
+    that a feature reading one attribute lists one folder.
+
+    A task keeps one file open per log, so the history is not sorted by attr before it is
+    written (a sort of every log row, spilled as data grows)."""
+    conf = t.spark.conf
     t.reports.write.mode(mode).parquet(f"{root}/reports")
-    t.history.write.mode(mode).partitionBy("attr").parquet(f"{root}/history")
+    before = conf.get(WRITERS, None)
+    conf.set(WRITERS, str(len(ATTRS) + 1))          # and one for rows without a log
+    try:
+        t.history.write.mode(mode).option("parquet.block.size", ROW_GROUP).partitionBy("attr").parquet(f"{root}/history")
+    finally:
+        conf.unset(WRITERS) if before is None else conf.set(WRITERS, before)
