@@ -170,3 +170,15 @@ def test_url_model_learns():
     m = url_filter.fit(rows[:400])
     assert np.mean([(m.probability(h, p) >= 0.5) == (v == "block") for h, p, v in rows[400:]]) > 0.97
     assert url_filter.fit([]).probability("x", "/") < 0.5 and url_filter.fit([("a", "/", "block")]).probability("x", "/") > 0.5
+
+
+def test_quality_learns_from_every_pair():
+    """The weights are the optimum over all pairs of a better and a worse document: the slope of their whole loss is nothing there."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(900, quality_bt._SIZE))
+    good = x[:, 1] - x[:, 2] + rng.normal(size=900) > 0
+    m = quality_bt.fit_pairs(x[good], x[~good], (~good).mean())
+    z = np.clip((x - m.mean) / m.scale, -6, 6)
+    lost = 1 / (1 + np.exp((z[good] @ m.weights)[:, None] - z[~good] @ m.weights))
+    slope = lost.sum(0) @ z[~good] - lost.sum(1) @ z[good]
+    assert np.abs(slope / lost.size + quality_bt.L2 * m.weights).max() < 2e-4
