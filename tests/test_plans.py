@@ -113,3 +113,29 @@ def test_recommended_conf_scales_with_input():
     assert int(small["spark.sql.shuffle.partitions"]) == 80          # never fewer than 2x cores
     assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 * 2**20) + 1   # ~256 MB each
     assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "256m"
+
+
+def test_history_is_written_without_a_sort(spark, tmp_path):
+    """A file is open per log while the history is written, and the session's setting is as before."""
+    from types import SimpleNamespace
+
+    from histlens.schema import ATTRS
+    from histlens.sources.tables import WRITERS, write_tables
+    seen = []
+
+    class Writer:
+        def __getattr__(self, name):
+            return lambda *a: self
+
+        def parquet(self, path):
+            seen.append(int(spark.conf.get(WRITERS)))
+    before, frame = spark.conf.get(WRITERS, None), SimpleNamespace(write=Writer())
+    write_tables(SimpleNamespace(spark=spark, reports=frame, history=frame), str(tmp_path))
+    assert seen[-1] > len(ATTRS) and spark.conf.get(WRITERS, None) == before
+
+
+def test_stored_frames_are_not_underestimated(spark, tmp_path):
+    """A narrow stored frame counts at least its rows' size in memory, so that it is not broadcast by its file's."""
+    spark.range(200_000).coalesce(1).write.parquet(f"{tmp_path}/ids")
+    plan = spark.read.parquet(f"{tmp_path}/ids")._jdf.queryExecution().optimizedPlan()
+    assert int(str(plan.stats().sizeInBytes())) >= 200_000 * 16
