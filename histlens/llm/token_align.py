@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histlens.llm.common import Stages, byte_texts, kept_in_process, slices
+from histlens.llm.common import Stages, byte_texts, forget_kept, kept_in_process, slices
 
 MARK = "▁"
 # white space of byte-level pre-tokenizers (inside a character class)
@@ -269,6 +269,7 @@ def pair_counts(links: DataFrame, pairs) -> DataFrame:
 
     One-to-one groups are counted in a vector as long as A's vocabulary, one a task; irregular pairs are counted beside it and summed by a shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()                   # the aligner, which the stage before has needed
         p = pairs.value
         regular, irregular = np.zeros(p.n_a, np.int64), np.zeros(len(p.other), np.int64)
         for b in batches:
@@ -315,6 +316,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, text_col: str = "text", kee
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out.schema.fields[:-1]) + ", n_links long, n_best long, count_sum long"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         count, best = known.value
         for b in batches:
             x = b.column(b.num_columns - 1)

@@ -136,3 +136,24 @@ def test_nothing_extra_columns_and_groups(spark):
     assert (out[2].n_a, out[2].groups, out[2].groups_sha256) == (0, "", "")
     with pytest.raises(ValueError, match="n_a"):
         aligned(docs.withColumnRenamed("a", "n_a"), keep=("n_a",))
+
+
+def test_later_stages_free_the_aligner():
+    """A worker that counts links no longer holds what it has learned to align."""
+    import sys
+    from types import SimpleNamespace
+
+    from histlens.llm import token_align
+
+    class Links:
+        def __getattr__(self, name):
+            return lambda *a: self
+
+        def mapInArrow(self, run, schema):
+            self.run = run
+            return self
+    links = Links()
+    token_align.pair_counts(links, SimpleNamespace(value=token_align.Pairs([b"a"], [b"a"])))
+    sys._histlens_llm_kept = {"align": 1}
+    assert all(b.num_rows == 0 for b in links.run([]))
+    assert not hasattr(sys, "_histlens_llm_kept")
