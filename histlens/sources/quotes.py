@@ -65,25 +65,21 @@ def split_states(ends: np.ndarray, opened_ends: np.ndarray) -> tuple[np.ndarray,
     later (e); bit 4 + 2 s + e: one is open after it.  split_ends: those last four bits after the last line, from bit 0.  outcome: CLOSED,
     BROKEN or OPEN (not settled here) for a field open at the start."""
     n = len(ends)
-    settled = np.flatnonzero(opened_ends != OPEN)
+    settled = np.flatnonzero(opened_ends != OPEN).astype(np.int32)
     outcome = int(opened_ends[settled[0]]) if len(settled) else OPEN
-    upcoming = np.searchsorted(settled, np.arange(1, n + 1))         # the first settling line after each line
-    states = np.zeros(n, np.int64)
+    upcoming = np.searchsorted(settled, np.arange(1, n + 1, dtype=np.int32)).astype(np.int32)        # the first settling line after each line
+    stays = opened_ends == OPEN                                     # from an open field
+    states = np.zeros(n, np.uint8)
     split_ends = 0
-    for s in (0, 1):
-        for e in (0, 1):
-            closes = np.append(opened_ends[settled] == CLOSED, e == 1)[upcoming]
-            after = (ends == OPEN) & closes                         # from no open field
-            stays = opened_ends == OPEN                             # from an open field
-            moving = np.flatnonzero(after | ~stays)
-            state, at, values = s, [0], [s]
-            for i, a, b in zip(moving.tolist(), after[moving].tolist(), stays[moving].tolist()):
-                state = int(b if state else a)
-                at.append(i + 1)
-                values.append(state)
-            # the state before each line, and after the last
-            lengths = np.diff(np.append(at, n + 1))
-            before = np.repeat(np.array(values), lengths)
+    for e in (0, 1):
+        after = (ends == OPEN) & np.append(opened_ends[settled] == CLOSED, e == 1)[upcoming]        # from no open field
+        # a line sets the state, keeps it, or turns it: the last line that set it, and the turns since
+        last = np.maximum.accumulate(np.where(after == stays, np.arange(n, dtype=np.int32), np.int32(-1)))
+        turns = np.cumsum(after & ~stays, dtype=np.int32)
+        base = np.where(last < 0, 0, turns[last]) if n else turns
+        for s in (0, 1):
+            state = (np.where(last < 0, s, after[last]) if n else turns) ^ ((turns - base) & 1)
+            before = np.concatenate([[s], state]).astype(np.uint8)
             states |= (before[:-1] << (2 * s + e)) | (before[1:] << (4 + 2 * s + e))
             split_ends |= int(before[-1]) << (2 * s + e)
     return states, split_ends, outcome
@@ -95,17 +91,19 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     base, splits, held, key = TaskContext.get().partitionId() << 24, 0, [], None
 
-    def emit() -> Iterator[pa.RecordBatch]:
-        lines = pa.chunked_array(held) if held else pa.chunked_array([], pa.string())
-        n = len(lines)
-        ends, opened = np.zeros(n, np.int8), np.full(n, OPEN, np.int8)
+    def ends_of(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        ends, opened = np.zeros(len(lines), np.int8), np.full(len(lines), OPEN, np.int8)
         quoted = np.flatnonzero(pc.match_substring(lines, '"').to_numpy(zero_copy_only=False))
         for i, line in zip(quoted.tolist(), lines.take(pa.array(quoted)).to_pylist()):
             parts = line.split('"')
             ends[i], opened[i] = line_end(parts, False), line_end(parts, True)
+        return ends, opened
+
+    def emit() -> Iterator[pa.RecordBatch]:
+        ends, opened = (np.concatenate([h[k] for h in held]) for k in (1, 2))
         states, split_ends, outcome = split_states(ends, opened)
         at = 0
-        for chunk in lines.chunks:
+        for chunk, _, _ in held:
             m = len(chunk)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([key[0]] * m, pa.string()), pa.array(np.full(m, key[1], np.int64)), pa.array(np.full(m, base + splits, np.int64)), pa.array(np.arange(at, at + m)), chunk,
@@ -127,7 +125,9 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield from emit()
                 splits, held = splits + 1, []
             key = k
-            held.append(b.column(2).slice(i, j - i).cast(pa.string()))
+            part = b.column(2).slice(i, j - i).cast(pa.string())
+            # a copy: a slice keeps its whole batch, with the file's name in every row
+            held.append((pa.concat_arrays([part, part[:0]]), *ends_of(part)))
             i = j
     if key is not None:
         yield from emit()

@@ -203,3 +203,27 @@ def test_records_equal_a_plain_reader(spark, tmp_path, size):
 def test_line_ends(line, closed, opened):
     from histlens.sources.quotes import line_end
     assert (line_end(line.split('"'), False), line_end(line.split('"'), True)) == (closed, opened)
+
+
+def test_split_states_take_a_byte_a_line():
+    """Against a plain walk over the lines; a byte of state a line, whatever turns."""
+    import random
+
+    import numpy as np
+
+    from histlens.sources.quotes import CLOSED, OPEN, split_states
+    rnd = random.Random(5)
+    for n in (0, 1, 7, 60):
+        ends, opened = (np.array([rnd.choice([0, 1, 2]) for _ in range(n)], np.int8) for _ in range(2))
+        states, split_ends, _ = split_states(ends, opened)
+        assert states.dtype == np.uint8
+        for s in (0, 1):
+            for e in (0, 1):
+                state = s
+                for i in range(n):
+                    assert states[i] >> (2 * s + e) & 1 == state
+                    later = next((opened[j] for j in range(i + 1, n) if opened[j] != OPEN), None)
+                    closes = e == 1 if later is None else later == CLOSED
+                    state = int(opened[i] == OPEN) if state else int(ends[i] == OPEN and closes)
+                    assert states[i] >> (4 + 2 * s + e) & 1 == state
+                assert split_ends >> (2 * s + e) & 1 == state
