@@ -34,6 +34,7 @@ from histlens.operators.prefix import stored_in_order
 from histlens.sources.store import materialise
 
 STREAM = "_stream"
+BLOCK_LINES = 1 << 14                   # lines of a file that one window sees
 MAX_VALUE = (1 << 31) - (1 << 24)       # bytes that one value of a column can hold, with room for its neighbours
 
 # --- fixed values: white space removed by a right trim (the characters a
@@ -73,23 +74,21 @@ def _keyed(lines: DataFrame, s: list[str], block_col: str, o: list[str], line_co
     one = (F.col("_c") == 1).cast("int")
     term = (F.col("_c") == 2).cast("int")
 
-    # 1. inside each block: closing lines before, one-comma lines since the last one
+    # 1. inside each block, in one sorted pass: closing lines before, one-comma lines since the last one
+    # (those before a line less those before the last closing line, both of which only grow)
     wb = Window.partitionBy(*s, block_col).orderBy(*o).rowsBetween(unb, -1)
-    x = x.withColumn("_seg", F.coalesce(F.sum(term).over(wb), F.lit(0)))
-    ws = Window.partitionBy(*s, block_col, "_seg").orderBy(*o).rowsBetween(unb, -1)
-    x = (x.withColumn("_n1", F.coalesce(F.sum(one).over(ws), F.lit(0)))
-         .withColumn("_op", F.max(F.when(F.col("_c") == 1, F.col("_pos"))).over(ws)))
+    x = (x.withColumn("_seg", F.coalesce(F.sum(term).over(wb), F.lit(0)))
+         .withColumn("_ones", F.coalesce(F.sum(one).over(wb), F.lit(0)))
+         .withColumn("_op", F.max(F.when(F.col("_c") == 1, F.col("_pos"))).over(wb)))
+    at_term = F.max(F.when(F.col("_c") == 2, F.col("_ones")))
+    x = x.withColumn("_n1", F.col("_ones") - F.coalesce(at_term.over(wb), F.lit(0)))
 
     # 2. carry between blocks, from per-block summaries (one row per block)
-    per_seg = x.groupBy(*s, block_col, "_seg").agg(
-        F.sum(one).alias("n1"), F.sum(term).alias("nt"), F.max(F.when(F.col("_c") == 1, F.col("_pos"))).alias("l1"))
-    blocks = per_seg.groupBy(*s, block_col).agg(
-        F.sum("nt").alias("_nt"), F.sum("n1").alias("_n1_all"),
-        F.max(F.struct(F.col("_seg").alias("seg"), F.col("n1").alias("n1"))).alias("_tail"),
-        F.max("l1").alias("_l1"))
-    tail_n1 = F.when(F.col("_tail.seg") == F.col("_nt"), F.col("_tail.n1")).otherwise(F.lit(0))
+    blocks = x.groupBy(*s, block_col).agg(
+        F.sum(term).alias("_nt"), F.sum(one).alias("_n1_all"), at_term.alias("_done"),
+        F.max(F.when(F.col("_c") == 1, F.col("_pos"))).alias("_l1"))
     blocks = blocks.select(*s, block_col, (F.col("_nt") > 0).cast("int").alias("_t"),
-                           F.when(F.col("_nt") > 0, tail_n1).otherwise(F.col("_n1_all")).alias("_n"), "_l1")
+                           (F.col("_n1_all") - F.coalesce("_done", F.lit(0))).alias("_n"), "_l1")
     blocks = stored_in_order(blocks, [*s, block_col], "blocks", folder=folder)
     inner = _carry(blocks, ["_pid", *s], "_loc", "_t", "_n", "_l1")
     ends = blocks.groupBy("_pid", *s).agg(F.max(F.struct("_loc", "_pid")).alias("_e")).select("_e._loc", "_e._pid", *s)
@@ -178,8 +177,10 @@ def _carry(df: DataFrame, keys: Sequence[str], order: str, ended: str, count: st
 
 
 def repair_files(spark: SparkSession, path: str, folder: str | None = None) -> DataFrame:
-    """D1 over text files: every file is its own stream."""
-    return repair_records(read_lines(spark, path), ["file"], "block", ["ln"], folder=folder)
+    """D1 over text files: every file is its own stream.  A block is a run of at most
+    ``BLOCK_LINES`` lines of a split, so that no window holds a whole split."""
+    run = F.struct("block", F.floor(F.col("ln") / BLOCK_LINES).alias("run"))
+    return repair_records(read_lines(spark, path).withColumn("block", run), ["file"], "block", ["ln"], folder=folder)
 
 
 def records_as_csv(out: DataFrame) -> DataFrame:

@@ -126,3 +126,18 @@ def test_records_of_any_length(spark):
     assert all(key(short[k]) == want[k] for k in want if k != 1)
     pieces = record_pieces(df, ["s"], "b", ["ln"]).filter("start.o0 = 1").orderBy("piece").collect()
     assert len(pieces) == 4 and "".join(r.text for r in pieces) == want[1][1]
+
+
+def test_blocks_of_a_split_are_short(spark, tmp_path, monkeypatch):
+    """One file in one split is many blocks, and its records are those of the whole file."""
+    import random
+
+    from histlens.sources import repair
+    monkeypatch.setattr(repair, "BLOCK_LINES", 64)
+    rnd = random.Random(8)
+    lines = [rnd.choice(["a", "b,c", ",", "x;", "1,2,3,4", "q,"]) + rnd.choice(["", "z,", "w"]) for _ in range(1500)]
+    (tmp_path / "one.csv").write_text("\n".join(lines) + "\n")
+    out = repair.repair_files(spark, str(tmp_path))
+    got = out.collect()
+    assert sorted((r["text"], r["status"], r["id"], r["what"], r["when"], r["who"]) for r in got) == sorted((w[1], w[2], w[4], w[5], w[6], w[7]) for w in brute(lines))
+    assert out.select("start.b").distinct().count() > 10
