@@ -33,14 +33,14 @@ def _rows(docs: DataFrame, key: Column, kept: DataFrame) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter and those whose two best languages compress alike."""
-    found = zstd_lang.identify(docs, zstd_lang.fit(docs), keep=(_whole(),))
+    found = zstd_lang.identify(docs.select(_whole()), zstd_lang.fit(docs), "doc.text", keep=("doc",))
     return found.filter("NOT rejected").select("doc.*")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose quality score is below the decision value."""
     model = quality_bt.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality_bt.score(docs, model, keep=(_whole(),)).filter("predicted = 1").select("doc.*")
+    return quality_bt.score(docs.select(_whole()), model, "doc.text", keep=("doc",)).filter("predicted = 1").select("doc.*")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

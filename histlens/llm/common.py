@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import tempfile
 import uuid
@@ -9,7 +10,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH_ROWS = 256
@@ -111,8 +112,14 @@ def kept_in_process(key: tuple, make: Callable[[], object]) -> object:
 
 
 def forget_kept() -> None:
-    """Free what this worker keeps, at the start of a task that needs its memory otherwise."""
+    """Free what this worker keeps, at the start of a task that needs its memory otherwise, and
+    give back what the tasks before have freed: a worker serves all stages of a job, and its allocators hold
+    on to the memory of the largest."""
     sys.__dict__.pop("_histlens_llm_kept", None)
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # of glibc alone
+    if trim is not None:
+        trim(0)
 
 
 def hash_sample(rows: DataFrame, keys: list[str], hashed: str, n: int) -> DataFrame:
@@ -130,9 +137,23 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterato
             yield b.slice(i, rows)
 
 
+def with_text(docs: DataFrame, keep: tuple[str | Column, ...], text_col: str) -> tuple[DataFrame, str]:
+    """The ``keep`` columns and after them the text, and the text's name.  A text that is a field of a
+    kept struct (``doc.text``) is read there: rows that are kept whole go to the workers once."""
+    cols = [F.col(c) if isinstance(c, str) else c for c in keep]
+    if "." in text_col and text_col.split(".")[0] in keep:
+        return docs.select(*cols), text_col
+    return docs.select(*cols, F.col(text_col).alias("_text")), "_text"
+
+
 def byte_texts(batch: pa.RecordBatch, name: str) -> list[bytes]:
-    """A text column as UTF-8 bytes; null is empty."""
-    col = batch.column(batch.schema.get_field_index(name))
+    """A text column, or a field of a struct column that has no nulls, as UTF-8 bytes; null is empty."""
+    at = batch.schema.get_field_index(name)
+    if at >= 0:
+        col = batch.column(at)
+    else:
+        outer, field = name.split(".")
+        col = batch.column(batch.schema.get_field_index(outer)).field(field)
     return [x or b"" for x in col.cast(pa.large_binary() if pa.types.is_large_string(col.type) else pa.binary()).to_pylist()]
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from histlens.llm.common import Stages, byte_texts, forget_kept, slices, train_rows
+from histlens.llm.common import Stages, byte_texts, forget_kept, slices, train_rows, with_text
 
 DECISION = 0.3
 L2 = 1e-3
@@ -266,6 +266,7 @@ def score_features(rows: DataFrame, text_col: str) -> DataFrame:
     out = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1]) + "x array<double>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         for b in slices(batches):
             x = pa.array([features(t) for t in byte_texts(b, text_col)], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], x], [*b.schema.names[:-1], "x"])
@@ -275,14 +276,15 @@ def score_features(rows: DataFrame, text_col: str) -> DataFrame:
 def score(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str | Column, ...] = ()) -> DataFrame:
     """``keep`` columns, score, predicted: one row per document, null and empty texts included
     (a null text is an empty one).  Equal texts have equal scores."""
-    src = docs.select(*[F.col(c) if isinstance(c, str) else c for c in keep], F.col(text_col).alias("_text"))
-    out = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in src.schema.fields[:-1]) + "score double, predicted int"
+    src, text = with_text(docs, keep, text_col)
+    n = len(keep)
+    out = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in src.schema.fields[:n]) + "score double, predicted int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_kept()
         for b in slices(batches):
-            ts = byte_texts(b, "_text")
+            ts = byte_texts(b, text)
             s = to_score(model, strength(model, np.array([features(t) for t in ts]))) if ts else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(s), pa.array((s >= DECISION).astype(np.int32))],
-                                             [*b.schema.names[:-1], "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(s), pa.array((s >= DECISION).astype(np.int32))],
+                                             [*b.schema.names[:n], "score", "predicted"])
     return src.mapInArrow(run, out)

@@ -90,3 +90,15 @@ def test_registered_queries():
     names = set(E.queries())
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
     assert "op9_exact_dedup" in E.oracle_sql() and "pipeline" not in E.oracle_sql()
+
+
+def test_rows_kept_whole_go_to_the_workers_once(spark, tmp_path):
+    """The learned stages read a row's text inside the row: no second copy of it in their batches."""
+    docs = spark.createDataFrame([(i, "en", t) for i, t in enumerate(["Some words.", "", None, "More words here."])], "doc_id long, lang string, text string")
+    spark.createDataFrame([(1, 0), (3, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    for stage in (P.language, P.quality):
+        assert "_text" not in stage(spark, docs, str(tmp_path))._jdf.queryExecution().analyzed().toString()
+    whole = docs.select(F.struct("*").alias("doc"))
+    model = quality_bt.Model(*(np.ones(quality_bt._SIZE) for _ in range(3)), 0.0)
+    once = quality_bt.score(whole, model, "doc.text", keep=("doc",)).select("doc.doc_id", "score", "predicted").collect()
+    assert once == quality_bt.score(docs, model, keep=("doc_id",)).collect()
