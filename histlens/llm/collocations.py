@@ -30,10 +30,10 @@ from histlens.llm.common import Stages, byte_texts, slices
 MIN_COUNT = 100
 MAX_WORDS = 5
 TOP = 2000
-SHARD_WORDS = 32_000_000        # words that a task holds at a time, four bytes each: the larger the shards, the fewer candidates
-CHUNK_WORDS = 4_000_000         # words in which a task counts candidates at a time
+SHARD_WORDS = 32_000_000        # words that a task holds at a time, four bytes each and 24 more while mined: the larger the shards, the fewer candidates
+CHUNK_WORDS = 2_000_000         # words in which a task counts candidates at a time
 HELD_PHRASES = 1_000_000        # phrases whose counts a task sums
-COUNTED_WORDS = 1_000_000       # different words that a task counts at a time
+COUNTED_WORDS = 400_000         # different words that a task counts at a time
 BLOCK = 1 << 20                 # words looked at in one step
 BUCKETS = 1 << 22               # counters of hashed pairs of a shard
 FILTER_BITS = 26                # bits (as a power of 2) of the broadcast filters
@@ -54,7 +54,7 @@ def words_of(texts: list[bytes]) -> list[bytes]:
 class Numbers(dict):
     """Words to numbers from 1, in order of appearance; b'\\xff' and words that ``known`` refuses are 0."""
 
-    ROOM = 500_000                  # refused words that are remembered
+    ROOM = 100_000                  # refused words that are remembered
 
     def __init__(self, lang: str, known=None):
         super().__init__({b"\xff": 0})
@@ -149,32 +149,58 @@ def _often(ids: np.ndarray, word_hash: np.ndarray, support: int):
     return lambda hk: buckets[(hk & last).astype(np.int64)] >= support
 
 
-def levels(ids: np.ndarray, word_hash: np.ndarray, max_words: int, admit, keep) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(k, first places, counts, hashes) of the phrases of k = 2 .. max_words words that are kept.
+def _hashes(ids: np.ndarray, word_hash: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of the phrases of k words at these places."""
+    h = word_hash[ids[at + (k - 1)]]
+    for j in range(k - 2, -1, -1):
+        h = _mix(word_hash[ids[at + j]] + np.uint64(k - j) + _mix(h))
+    return h
 
-    A phrase of k words is looked at where both its parts of k - 1 words were kept.  admit(k, hashes) says which
-    occurrences to count, keep(counts) which counted phrases to keep.  Phrases are told apart by their parts' numbers, never by hashes.
+
+def _blocks(n: int) -> Iterator[slice]:
+    return (slice(i, i + BLOCK) for i in range(0, n, BLOCK))
+
+
+def levels(ids: np.ndarray, word_hash: np.ndarray, max_words: int, pairs, longer, keep) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(k, places, counts, hashes) of the phrases of k = 2 .. max_words words that are kept, each with a place where it stands.
+
+    A phrase of k words is looked at where both its parts of k - 1 words were kept.  pairs(hashes) and longer(hashes) say which
+    occurrences to count (longer None: all), keep(counts) which counted phrases to keep.  Phrases are told apart by their parts' numbers,
+    never by hashes.  Places and numbers are held in four bytes, keys are sorted in place, and all else is made block by block.
     """
-    found = [(at[ok], hk[ok]) for at, hk in _neighbours(ids, word_hash) for ok in (admit(2, hk),)]
+    found = [at[pairs(hk)].astype(np.int32) for at, hk in _neighbours(ids, word_hash)]
     if not found:
         return
-    at, hk = (np.concatenate(x) for x in zip(*found))
-    left, right = ids[at].astype(np.int64), ids[at + 1].astype(np.int64)
+    at = np.concatenate(found)
+    del found
+    left, right = ids[at], ids[at + 1]
     for k in range(2, max_words + 1):
         if not len(at):
             return
-        _, first, which, n = np.unique(left * (right.max() + 1) + right, return_index=True, return_inverse=True, return_counts=True)
+        keys = left.astype(np.int64)
+        keys <<= 32
+        keys |= right
+        keys.sort()
+        starts = np.append(0, np.flatnonzero(keys[1:] != keys[:-1]) + 1)
+        n, keys = np.diff(np.append(starts, len(keys))), keys[starts]
         good = keep(n)
-        if good.any():
-            yield k, at[first[good]], n[good], hk[first[good]]
-        number = (np.cumsum(good) * good)[which.ravel()]
+        numbers = (np.cumsum(good) * good).astype(np.int32)
+        place, number = np.zeros(len(keys), np.int32), np.zeros(len(at), np.int32)
+        for b in _blocks(len(at)):
+            which = np.searchsorted(keys, left[b].astype(np.int64) << 32 | right[b])
+            place[which], number[b] = at[b], numbers[which]
+        place, n = place[good], n[good]
+        del left, right, keys, starts, numbers, good
+        for b in _blocks(len(place)):
+            yield k, place[b], n[b], _hashes(ids, word_hash, place[b], k)
+        del place, n
         there = number > 0
-        at, hk, number = at[there], hk[there], number[there]
+        at, number = at[there], number[there]
         follows = np.flatnonzero(np.diff(at) == 1)
+        if k < max_words and longer is not None and len(follows):
+            follows = np.concatenate([x[longer(_hashes(ids, word_hash, at[x], k + 1))] for b in _blocks(len(follows)) for x in (follows[b],)])
         at, left, right = at[follows], number[follows], number[follows + 1]
-        hk = _mix(word_hash[ids[at]] + np.uint64(k + 1) + _mix(hk[follows + 1]))
-        ok = admit(k + 1, hk)
-        at, hk, left, right = at[ok], hk[ok], left[ok], right[ok]
+        del there, follows, number
 
 
 def _shards(batches: Iterator[pa.RecordBatch], make, emit, limit: int) -> Iterator[pa.RecordBatch]:
@@ -210,11 +236,10 @@ def _mine(frequent, totals, min_count: int, max_words: int, shard_words: int):
     def emit(lang: str, s: Shard) -> Iterator[pa.RecordBatch]:
         support = max(1, -(-min_count * s.words // max(1, totals.value.get(lang, 1))))
         ids, h = s.text(), np.array(s.number.hashes, np.uint64)
-        rare = np.bincount(ids, minlength=len(h)) < support
-        ids[rare[ids]] = 0
-        often = _often(ids, h, support)
-        admit = lambda k, hk: often(hk) if k == 2 else np.ones(len(hk), bool)
-        for _, _, _, hk in levels(ids, h, max_words, admit, lambda c: c >= support):
+        rare = sum(np.bincount(ids[b], minlength=len(h)) for b in _blocks(len(ids))) < support
+        for b in _blocks(len(ids)):
+            ids[b][rare[ids[b]]] = 0
+        for _, _, _, hk in levels(ids, h, max_words, _often(ids, h, support), None, lambda c: c >= support):
             yield pa.RecordBatch.from_arrays([pa.array(hk.view(np.int64))], ["h"])
     return lambda batches: _shards(batches, lambda lang: Shard(Numbers(lang, frequent.value)), emit, shard_words)
 
@@ -237,9 +262,10 @@ def _count(frequent, candidates, max_words: int, shard_words: int):
 
         def emit(lang: str, s: Shard) -> Iterator[pa.RecordBatch]:
             ids, h, words, held = s.text(), np.array(s.number.hashes, np.uint64), s.number.words, sums.setdefault(lang, {})
-            for k, at, n, _ in levels(ids, h, max_words, lambda _, hk: _in_filter(candidates.value, hk), lambda c: c > 0):
-                for i in range(0, len(at), 100_000):
-                    for row, c in zip(ids[at[i : i + 100_000, None] + np.arange(k)].tolist(), n[i : i + 100_000].tolist()):
+            known = lambda hk: _in_filter(candidates.value, hk)
+            for k, at, n, _ in levels(ids, h, max_words, known, known, lambda c: c > 0):
+                for i in range(0, len(at), 20_000):
+                    for row, c in zip(ids[at[i : i + 20_000, None] + np.arange(k)].tolist(), n[i : i + 20_000].tolist()):
                         phrase = b" ".join(map(words.__getitem__, row))
                         held[phrase] = held.get(phrase, 0) + c
             if sum(map(len, sums.values())) >= HELD_PHRASES:

@@ -190,3 +190,22 @@ def test_repeated_words_by_windows():
             w = ids[doc == d].tolist()
             c = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
             assert got[d] == len({i + j for i in range(len(w) - 4) if c[tuple(w[i : i + 5])] > 1 for j in range(5)})
+
+
+def test_mining_holds_few_bytes_a_word(monkeypatch):
+    """The phrases of a shard are found with about 28 bytes a word, not with the index arrays of a whole-shard np.unique."""
+    import tracemalloc
+
+    import numpy as np
+    monkeypatch.setattr(collocations, "BLOCK", 1 << 14)
+    rng = np.random.default_rng(2)
+    ids = np.minimum(rng.zipf(1.4, 400_000), 3000).astype(np.int32)
+    hashes = rng.integers(0, 2**63, 3001).astype(np.uint64)
+    every = lambda hk: np.ones(len(hk), bool)
+    tracemalloc.start()
+    try:
+        n = sum(int(c.sum()) for k, _, c, _ in collocations.levels(ids, hashes, 3, every, None, lambda c: c > 0) if k == 2)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == len(ids) - 1 and peak < 50 * len(ids)
