@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from histlens.session import freeing_shuffles
+
 BATCH_ROWS = 256
 
 
@@ -58,7 +60,8 @@ class Stages:
         return self.spark.read.schema(schema).parquet(self.path(name))
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
+        with freeing_shuffles(self.spark):
+            df.write.mode("overwrite").parquet(self.path(name))
         return self.read(name, df.schema)
 
     def drop(self, *names: str) -> None:

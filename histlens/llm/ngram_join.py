@@ -13,13 +13,16 @@ verified links are contracted to components; only pairs of lists that still
 hold several components are then enumerated, and only across components.  These
 lists are joined by token and size band: the smaller set of a pair looks only into the
 sizes that its place in the list admits, and sets for which no size is left send nothing.
+The pairs of short lists are named with their stars, where the list is put together.
 No link between components is lost: every pair that the prefix bound leaves is
 either verified or already inside one component.
 
-Scale: shingle counts travel as sorted, packed number ranges; the list of
+Scale: shingle counts and prefix postings travel as sorted, packed number ranges, and of
+the postings only those of shared shingles leave the task that puts a range together; the list of
 common shingles that is broadcast has at most ``MAX_COMMON`` entries, because a
 shingle counts as common from (all shingles / MAX_COMMON) occurrences; joins on
-hot keys have a plain exchange on both sides, so that AQE can split them.
+hot keys have a plain exchange on both sides, so that AQE can split them.  Whole sets
+travel only for pairs that a parity sketch in proportion to their size leaves.
 """
 
 from __future__ import annotations
@@ -39,11 +42,15 @@ from histlens.llm.shingles import Shingler, set_id
 PERCENT = 80
 COMMON_FROM = 64                # a shingle with fewer occurrences is never common
 MAX_COMMON = 1 << 21            # bound of the broadcast list of common shingles
-COUNT_BITS = 36                 # shingles are counted by their first bits; raise it with the data (2^36: well beyond 10^9 shingles)
+COUNT_BITS = 28                 # shingles are counted by their first bits: 128 slots for each of MAX_COMMON, at any size of the data
 FLUSH = 2_000_000               # shingles counted at a time in a task
+TOKEN_BITS = 44                 # first bits of a shingle in a posting; shingles that agree in them only make more candidates
+POST_FLUSH = 1_000_000          # postings packed at a time in a task
+SHORT = 8                       # lists of up to so many groups name their pairs at once
 SKETCH_BITS = 1024              # parity sketch of a set
+WIDE_FROM = SKETCH_BITS // 2    # larger sets have a second sketch of 2 to 4 bits a shingle
 BANDS = 4                       # size bands up to the largest admissible partner (a size ratio of 100 / PERCENT)
-FILTER_BITS = 22                # bits (as a power of 2) of the filter of texts to read again
+FILTER_BITS = 25                # bits (as a power of 2) of the filter of texts to read again
 
 
 # --- shingle counts -----------------------------------------------------------
@@ -114,40 +121,170 @@ def common_shingles(docs: DataFrame, st: Stages, text_col: str) -> np.ndarray:
 
 
 # --- sets, prefixes, groups ----------------------------------------------------
-_SETS = "doc long, rid long, text_id long, size int, light int, cid long, gid long, prefix array<long>, sketch binary"
+_SETS = ("doc long, rid long, text_id long, size int, light int, cid long, gid long, heavy array<long>, sketch binary, wide binary, "
+         "range int, blob binary")
 
 
-def _sketch(tokens: np.ndarray) -> bytes:
-    odd = np.bincount((tokens & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+def _sketch(tokens: np.ndarray, bits: int = SKETCH_BITS) -> bytes:
+    odd = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-def _sets(text_col: str, common) -> object:
+def _wide_bits(size: int) -> int:
+    """Bits of the second sketch: the power of 2 in [2 size, 4 size)."""
+    return 1 << (2 * size - 1).bit_length()
+
+
+def _planes(numbers: np.ndarray, kind) -> bytes:
+    return numbers.astype(kind).view(np.uint8).reshape(len(numbers), -1).T.tobytes()
+
+
+def _read_planes(body: np.ndarray, at: int, n: int, kind) -> tuple[np.ndarray, int]:
+    end = at + n * np.dtype(kind).itemsize
+    return np.ascontiguousarray(body[at:end].reshape(-1, n).T).view(kind).ravel(), end
+
+
+def _pack_posts(tokens, gids, sizes, pos, counts) -> bytes:
+    """Postings of sets one after another: of each its group, size, first position and number of
+    tokens; the tokens, which rise within a set, as differences by byte planes."""
+    gaps = np.diff(tokens, prepend=np.uint64(0))
+    starts = np.cumsum(counts) - counts
+    gaps[starts] = tokens[starts]
+    body = b"".join([_planes(gids, np.int64), _planes(sizes, np.uint32), _planes(pos, np.uint32), _planes(counts, np.uint32), _planes(gaps, np.uint64)])
+    return len(gids).to_bytes(4, "little") + len(tokens).to_bytes(4, "little") + zlib.compress(body, 1)
+
+
+def _unpack_posts(blob: bytes) -> tuple[np.ndarray, ...]:
+    """(token, group, size, position) of every posting."""
+    k, n = int.from_bytes(blob[:4], "little"), int.from_bytes(blob[4:8], "little")
+    body = np.frombuffer(zlib.decompress(blob[8:]), np.uint8)
+    gids, at = _read_planes(body, 0, k, np.int64)
+    sizes, at = _read_planes(body, at, k, np.uint32)
+    pos, at = _read_planes(body, at, k, np.uint32)
+    counts, at = _read_planes(body, at, k, np.uint32)
+    gaps, _ = _read_planes(body, at, n, np.uint64)
+    counts = counts.astype(np.int64)
+    starts = np.cumsum(counts) - counts
+    run = np.cumsum(gaps, dtype=np.uint64)
+    tokens = run - np.repeat(run[starts] - gaps[starts], counts)
+    place = np.arange(n) - np.repeat(starts, counts)
+    return tokens, np.repeat(gids, counts), np.repeat(sizes.astype(np.int64), counts), np.repeat(pos.astype(np.int64), counts) + place
+
+
+def _sets(text_col: str, common, ranges: int) -> object:
+    """A row a document; the postings of its prefix without common shingles are packed by ranges of
+    shingles, several documents at a time (rows that have only a range and a blob)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_kept()
         shingler, heavy = Shingler(), common.value
+        edges = (np.arange(1, ranges, dtype=np.float64) * (2.0**TOKEN_BITS / ranges)).astype(np.uint64)
+        held, seen, size = [], set(), 0
+
+        def batch(cols: dict, n: int) -> pa.RecordBatch:
+            arrays = [pa.array(cols[f.name], f.type) if f.name in cols else pa.nulls(n, f.type) for f in _SETS_ARROW]
+            return pa.RecordBatch.from_arrays(arrays, schema=_SETS_ARROW)
+
+        def flush() -> pa.RecordBatch:
+            tokens = np.concatenate([t for t, _, _ in held])
+            lens = np.array([len(t) for t, _, _ in held])
+            at = np.searchsorted(edges, tokens, "right")
+            order = np.argsort(at, kind="stable")
+            of = np.repeat(np.arange(len(held)), lens)[order]
+            pos = (np.arange(len(tokens)) - np.repeat(np.cumsum(lens) - lens, lens))[order]
+            tokens, at = tokens[order], at[order]
+            gids, sizes = np.array([g for _, g, _ in held], np.int64), np.array([n for _, _, n in held], np.int64)
+            cuts = np.searchsorted(at, np.arange(ranges + 1))
+            rows = []
+            for r in range(ranges):
+                a, b = cuts[r], cuts[r + 1]
+                if b > a:
+                    first = np.flatnonzero(np.diff(of[a:b], prepend=-1))
+                    own = of[a:b][first]
+                    rows.append((r, _pack_posts(tokens[a:b], gids[own], sizes[own], pos[a:b][first], np.diff(first, append=b - a))))
+            return batch({"range": [r for r, _ in rows], "blob": [x for _, x in rows]}, len(rows))
+
         for b in slices(batches):
             out = []
             for t in byte_texts(b, text_col):
                 s = shingler(t)
                 if not len(s):
-                    out.append((0, 0, None, None, None, None))
+                    out.append((0, 0, *[None] * 5))
                     continue
                 at = np.searchsorted(heavy, s >> np.uint64(64 - COUNT_BITS))
                 is_common = (heavy[np.minimum(at, len(heavy) - 1)] == s >> np.uint64(64 - COUNT_BITS)) if len(heavy) else np.zeros(len(s), bool)
                 keep = len(s) - -(-PERCENT * len(s) // 100) + 1
-                first = np.concatenate([s[~is_common][:keep], s[is_common][:keep]])[:keep]
-                out.append((len(s), int((~is_common).sum()), set_id(s), set_id(np.append(first, np.uint64(len(s)))), first.view(np.int64), _sketch(s)))
-            cols = list(zip(*out))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), b.column(2), pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64()),
-                 pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.list_(pa.int64())), pa.array(cols[5], pa.binary())],
-                ["doc", "rid", "text_id", "size", "light", "cid", "gid", "prefix", "sketch"])
+                light = s[~is_common][:keep]
+                last = s[is_common][: keep - len(light)]
+                gid = set_id(np.concatenate([light, last, np.array([len(s)], np.uint64)]))
+                if len(light) and gid not in seen:
+                    seen.add(gid)
+                    held.append((light >> np.uint64(64 - TOKEN_BITS), gid, len(s)))
+                    size += len(light)
+                wide = _sketch(s, _wide_bits(len(s))) if len(s) > WIDE_FROM else None
+                out.append((len(s), len(light), set_id(s), gid, last.view(np.int64), _sketch(s), wide))
+            cols = dict(zip(("size", "light", "cid", "gid", "heavy", "sketch", "wide"), zip(*out)))
+            yield batch({"doc": b.column(0).to_pylist(), "rid": b.column(1).to_pylist(), "text_id": b.column(2).to_pylist(), **cols}, b.num_rows)
+            if size >= POST_FLUSH:
+                yield flush()
+                held, seen, size = [], set(), 0
+        if held:
+            yield flush()
     return run
 
 
+_SETS_ARROW = pa.schema([("doc", pa.int64()), ("rid", pa.int64()), ("text_id", pa.int64()), ("size", pa.int32()), ("light", pa.int32()),
+                         ("cid", pa.int64()), ("gid", pa.int64()), ("heavy", pa.list_(pa.int64())), ("sketch", pa.binary()), ("wide", pa.binary()),
+                         ("range", pa.int32()), ("blob", pa.binary())])
+
+
+def _admits(n, p, m, q) -> np.ndarray:
+    """``_bounds`` over arrays: sizes n, m and positions p, q of a shared shingle."""
+    need = (PERCENT * (n + m) + 99 + PERCENT) // (100 + PERCENT)
+    return (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)) & (np.minimum(n - p, m - q) >= need)
+
+
+def _merge_posts(table):
+    """The lists of one range of shingles: stars (g, h, star) to a list's pivot, the other pairs (g, h) of
+    short lists, and the postings (token, gid, size, pos) of longer ones but for their pivots.
+
+    The pivot of a list is its smallest group; a pair with it needs no second look, so it stands in no posting."""
+    tokens, gids, sizes, pos = (np.concatenate(x) for x in zip(*[_unpack_posts(blob.as_py()) for blob in table.column("blob")]))
+    order = np.lexsort((pos, gids, tokens))
+    tokens, gids, sizes, pos = tokens[order], gids[order], sizes[order], pos[order]
+    new = np.ones(len(tokens), bool)                        # one row of a group in a list, the earliest
+    new[1:] = (tokens[1:] != tokens[:-1]) | (gids[1:] != gids[:-1])
+    tokens, gids, sizes, pos = tokens[new], gids[new], sizes[new], pos[new]
+    first = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
+    lens = np.diff(first, append=len(tokens))
+    place = np.arange(len(tokens)) - np.repeat(first, lens)
+    k = np.repeat(lens, lens)
+
+    def pairs(at, by) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct pairs of groups at two rows of one list that pass the bounds, smaller group first."""
+        ok = _admits(sizes[by], pos[by], sizes[at], pos[at])
+        g, h = gids[by[ok]], gids[at[ok]]
+        order = np.lexsort((h, g))
+        g, h = g[order], h[order]
+        new = np.ones(len(g), bool)
+        new[1:] = (g[1:] != g[:-1]) | (h[1:] != h[:-1])
+        return g[new], h[new]
+    at = np.flatnonzero(place > 0)
+    star = pairs(at, at - place[at])
+    short = [np.flatnonzero((k <= SHORT) & (place > back)) for back in range(1, SHORT - 1)]     # the row so many places before, but for the pivot
+    more = pairs(np.concatenate(short), np.concatenate([at - back for back, at in enumerate(short, 1)]))
+    long = (k > SHORT) & (place > 0)
+    parts = [{"kind": np.full(len(star[0]), 0), "g": star[0], "h": star[1]}, {"kind": np.full(len(more[0]), 1), "g": more[0], "h": more[1]},
+             {"kind": np.full(int(long.sum()), 2), "g": gids[long], "token": tokens[long], "size": sizes[long], "pos": pos[long]}]
+    return pa.concat_tables([pa.table([pa.array(p[f.name]).cast(f.type) if f.name in p else pa.nulls(len(p["g"]), f.type) for f in _LISTS_ARROW],
+                                      schema=_LISTS_ARROW) for p in parts])
+
+
+_LISTS = "kind int, g long, h long, token long, size int, pos int"
+_LISTS_ARROW = pa.schema([("kind", pa.int32()), ("g", pa.int64()), ("h", pa.int64()), ("token", pa.int64()), ("size", pa.int32()), ("pos", pa.int32())])
+
+
 def _whole_sets(text_col: str, wanted) -> object:
-    """(cid, tokens) of the texts that pass the filter."""
+    """(cid, tokens) of the rows that pass the filter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_kept()
         shingler, bits = Shingler(), wanted.value
@@ -196,7 +333,23 @@ def open_pairs(posts: DataFrame) -> DataFrame:
             .select(F.least("a.gid", "b.gid").alias("g"), F.greatest("a.gid", "b.gid").alias("h")).distinct())
 
 
-def _verify(st: Stages, docs: DataFrame, sets: DataFrame, members: DataFrame, pairs: DataFrame, text_col: str, tag: str) -> DataFrame:
+def _near_wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose second sketches do not stand too far apart (the longer one folded to the other's length)."""
+    for b in batches:
+        n = b.column("size_x").to_numpy().astype(np.int64) + b.column("size_y").to_numpy()
+        most = n - 2 * ((PERCENT * n + 99 + PERCENT) // (100 + PERCENT))
+        keep = np.zeros(b.num_rows, bool)
+        for i, (x, y) in enumerate(zip(b.column("wide_x"), b.column("wide_y"))):
+            x, y = (np.frombuffer(v.as_buffer(), np.uint8) for v in (x, y))
+            while len(x) != len(y):
+                if len(x) < len(y):
+                    x, y = y, x
+                x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+            keep[i] = np.bitwise_count(x ^ y).sum() <= most[i]
+        yield b.select(["x", "y", "size_x", "size_y"]).filter(pa.array(keep))
+
+
+def _verify(st: Stages, docs: DataFrame, sets: DataFrame, members: DataFrame, pairs: DataFrame, text_col: str, id_col: str, tag: str) -> DataFrame:
     """The pairs (x, y) of set ids whose Jaccard similarity reaches the bound."""
     m = members.select("cid", "size", "sketch")
     near = (pairs.join(m.toDF("x", "size_x", "sketch_x"), "x").join(m.toDF("y", "size_y", "sketch_y"), "y"))
@@ -204,25 +357,32 @@ def _verify(st: Stages, docs: DataFrame, sets: DataFrame, members: DataFrame, pa
     apart = _parity_distance(F.col("sketch_x"), F.col("sketch_y"))
     near = st.write(near.filter((100 * F.least("size_x", "size_y") >= PERCENT * F.greatest("size_x", "size_y"))
                                 & (apart <= F.col("size_x") + F.col("size_y") - 2 * need))
-                    .select("x", "y", "size_x", "size_y"), f"near_{tag}")
+                    .select("x", "y", "size_x", "size_y"), f"first_{tag}")
+    # 1024 bits say nothing of large sets: of those the second sketches are compared
+    large = near.filter(F.least("size_x", "size_y") > WIDE_FROM)
+    ids = st.write(large.select(F.col("x").alias("cid")).union(large.select("y")).distinct(), f"large_{tag}")
+    wide = (sets.filter("wide IS NOT NULL").select("cid", "wide").join(ids, "cid", "left_semi").groupBy("cid").agg(F.first("wide").alias("wide")))
+    large = (large.join(wide.toDF("x", "wide_x"), "x").join(wide.toDF("y", "wide_y"), "y")
+             .mapInArrow(_near_wide, "x long, y long, size_x int, size_y int"))
+    near = st.write(near.filter(F.least("size_x", "size_y") <= WIDE_FROM).unionByName(large), f"near_{tag}")
     ids = st.write(near.select(F.col("x").alias("cid")).union(near.select(F.col("y"))).distinct(), f"ids_{tag}")
-    texts = sets.join(ids, "cid").groupBy("cid").agg(F.min("text_id").alias("text_id"))
-    # a bitmap of fixed size says which texts to read again; texts that pass it by chance are joined away
-    at = F.col("text_id").bitwiseAND((1 << FILTER_BITS) - 1)
-    words = (texts.groupBy(F.shiftright(at, 6).cast("int").alias("w"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, CAST(text_id & 63 AS INT))")).alias("m")).toArrow())
+    # of the rows of a set one is read again; a bitmap of fixed size says which, rows that pass it by chance are joined away
+    picks = sets.select("cid", F.xxhash64("text_id", "doc").alias("pick")).join(ids, "cid").groupBy("cid").agg(F.min("pick").alias("pick"))
+    at = F.col("pick").bitwiseAND((1 << FILTER_BITS) - 1)
+    words = (picks.groupBy(F.shiftright(at, 6).cast("int").alias("w"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, CAST(pick & 63 AS INT))")).alias("m")).toArrow())
     bits = np.zeros(1 << FILTER_BITS >> 6, np.int64)
     bits[words.column("w").to_numpy()] = words.column("m").to_numpy()
     wanted = st.spark.sparkContext.broadcast(bits)
-    whole = (docs.select(F.xxhash64(text_col).alias("text_id"), text_col)
+    whole = (docs.select(F.xxhash64(F.xxhash64(text_col), F.col(id_col).cast("long")).alias("pick"), text_col)
              .mapInArrow(_whole_sets(text_col, wanted), "cid long, tokens array<long>"))
-    whole = st.write(whole.join(ids, "cid", "left_semi").groupBy("cid").agg(F.first("tokens").alias("tokens")), f"whole_{tag}")
+    whole = st.write(whole, f"whole_{tag}").join(ids, "cid", "left_semi").groupBy("cid").agg(F.first("tokens").alias("tokens"))
     both = near.join(whole.toDF("x", "tokens_x"), "x").join(whole.toDF("y", "tokens_y"), "y")
     common = F.size(F.array_intersect("tokens_x", "tokens_y"))
     links = st.write(both.withColumn("common", common)
                      .filter(100 * F.col("common") >= PERCENT * (F.col("size_x") + F.col("size_y") - F.col("common")))
                      .select("x", "y"), f"links_{tag}")
-    st.drop(f"near_{tag}", f"ids_{tag}", f"whole_{tag}")
+    st.drop(f"first_{tag}", f"large_{tag}", f"near_{tag}", f"ids_{tag}", f"whole_{tag}")
     return links
 
 
@@ -272,29 +432,31 @@ def near_duplicates(rows: DataFrame, text_col: str = "text", id_col: str = "doc_
     spark = rows.sparkSession
     st = Stages(spark, "join")
     common = spark.sparkContext.broadcast(common_shingles(rows, st, text_col))
-    sets = (rows.select(F.col(id_col).cast("long").alias("doc"), "rid", F.xxhash64(text_col).alias("text_id"), text_col)
-            .mapInArrow(_sets(text_col, common), _SETS))
-    sets = st.write(sets, "sets")
+    written = (rows.select(F.col(id_col).cast("long").alias("doc"), "rid", F.xxhash64(text_col).alias("text_id"), text_col)
+               .mapInArrow(_sets(text_col, common, 2 * partitions(spark)), _SETS))
+    written = st.write(written, "sets")
+    sets = written.filter("range IS NULL").drop("range", "blob")
     full = sets.filter("size > 0")
-    members = st.write(full.groupBy("cid").agg(F.first("gid").alias("gid"), F.first("size").alias("size"), F.first("light").alias("light"),
-                                               F.first("sketch").alias("sketch"), F.min(F.struct(F.col("doc").isNull(), "doc", "rid")).alias("first")), "members")
-    groups = members.groupBy("gid").agg(F.min(F.struct("light", "cid")).alias("rep"), F.first("size").alias("size"))
-    groups = st.write(groups.select("gid", "size", "rep.light", F.col("rep.cid").alias("rep")), "groups")
-    postings = full.select("gid", "light", F.posexplode("prefix").alias("pos", "token"))
-    # shingles below COMMON_FROM have short lists: one window finds those of several groups
-    each = Window.partitionBy("token")
-    light = (postings.filter("pos < light").drop("light").withColumn("lo", F.min("gid").over(each)).withColumn("hi", F.max("gid").over(each))
-             .filter("lo <> hi").drop("lo", "hi"))
-    shared = light.unionByName(postings.filter("pos >= light").drop("light")).distinct()
-    shared = st.write(shared.join(groups, "gid"), "shared")
-    pivots = st.write(shared.groupBy("token").agg(F.min(F.struct("light", "gid", "rep", "size", "pos")).alias("p"), F.count(F.lit(1)).alias("k"))
+    members = st.write(full.groupBy("cid").agg(F.first("gid").alias("gid"), F.first("size").alias("size"), F.first("sketch").alias("sketch"),
+                                               F.min(F.struct(F.col("doc").isNull(), "doc", "rid")).alias("first")), "members")
+    groups = st.write(members.groupBy("gid").agg(F.min("cid").alias("rep"), F.count(F.lit(1)).alias("n")), "groups")
+    # shingles below COMMON_FROM have short lists, put together by ranges; those of common ones are joined
+    light = (written.filter("range IS NOT NULL").select("range", "blob").groupBy("range")
+             .applyInArrow(_merge_posts, _LISTS))
+    light = st.write(light, "light")
+    postings = full.filter("size(heavy) > 0").select("gid", "size", "light", F.posexplode("heavy").alias("at", "token"))
+    shared = st.write(postings.select("token", "gid", "size", (F.col("light") + F.col("at")).alias("pos")).distinct(), "shared")
+    pivots = st.write(shared.groupBy("token").agg(F.min(F.struct("gid", "size", "pos")).alias("p"), F.count(F.lit(1)).alias("k"))
                       .filter("k > 1").select("token", "p.*"), "pivots")
-    star = (shared.alias("s").join(pivots.alias("p"), "token")
-            .filter((F.col("s.gid") != F.col("p.gid")) & _bounds("s", "p"))
-            .select(F.col("p.rep").alias("x"), F.col("s.rep").alias("y")).distinct())
-    inside = (members.select("gid", "cid").join(groups.select("gid", "rep"), "gid").filter("cid <> rep")
+    stars = (shared.alias("s").join(pivots.alias("p"), "token")
+             .filter((F.col("s.gid") != F.col("p.gid")) & _bounds("s", "p"))
+             .select(F.col("p.gid").alias("g"), F.col("s.gid").alias("h")))
+    stars = st.write(stars.unionByName(light.filter("kind = 0").select("g", "h")).distinct(), "stars")
+    rep = groups.select("gid", "rep", "n")
+    star = (stars.join(rep.toDF("g", "x", "n"), "g").join(rep.toDF("h", "y", "m"), "h"))
+    inside = (members.select("gid", "cid").join(groups.filter("n > 1").select("gid", "rep"), "gid").filter("cid <> rep")
               .select(F.col("rep").alias("x"), F.col("cid").alias("y")))
-    links = _verify(st, rows, full, members, st.write(star.unionByName(inside).distinct(), "star"), text_col, "star")
+    links = _verify(st, rows, full, members, st.write(star.select("x", "y").unionByName(inside).distinct(), "star"), text_col, id_col, "star")
     found = components(st, links, "star")
 
     # lists that still hold several components: all pairs across components, expanded to members
@@ -303,22 +465,26 @@ def near_duplicates(rows: DataFrame, text_col: str = "text", id_col: str = "doc_
     spread = (units.groupBy("gid").agg(F.min("root").alias("lo"), F.max("root").alias("hi")))
     spread = st.write(spread, "spread")
     many = spread.filter("lo <> hi").select("gid")
-    lists = st.write(shared.join(spread, "gid"), "lists")
+    lists = shared.unionByName(light.filter("kind = 2").select("token", F.col("g").alias("gid"), "size", "pos"))
+    lists = st.write(lists.join(spread, "gid"), "lists")
     # a component drawn by hash from the list: the more groups of a list are in one, the likelier it is the one
     one = F.when(F.col("lo") == F.col("hi"), F.xxhash64("token", "gid"))
     open_lists = lists.groupBy("token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min_by("lo", one).alias("main"))
     open_lists = st.write(open_lists.filter("lo <> hi").select("token", "main"), "open")
     group_pairs = open_pairs(st.write(lists.join(open_lists, "token"), "posts"))
-    group_pairs = group_pairs.unionByName(many.select(F.col("gid").alias("g"), F.col("gid").alias("h")))
-    group_pairs = st.write(group_pairs, "group_pairs")
+    # the pairs of short lists, and of a pivot those in which a group has several sets: only the smallest two have met
+    named = light.filter("kind = 1").select("g", "h").unionByName(star.filter("n > 1 OR m > 1").select("g", "h"))
+    group_pairs = group_pairs.unionByName(named).unionByName(many.select(F.col("gid").alias("g"), F.col("gid").alias("h")))
+    group_pairs = st.write(group_pairs.distinct(), "group_pairs")
     left, right = units.toDF("x", "g", "rx"), units.toDF("y", "h", "ry")
     pairs = (group_pairs.join(left, "g").join(right, "h").filter("rx <> ry AND (g <> h OR x < y)")
              .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
-    pairs = st.write(pairs.join(st.read("star", "x long, y long"), ["x", "y"], "left_anti"), "pairs")
+    met = st.read("star", "x long, y long").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    pairs = st.write(pairs.join(met, ["x", "y"], "left_anti"), "pairs")
     if not pairs.isEmpty():
-        more = _verify(st, rows, full, members, pairs, text_col, "rest")
+        more = _verify(st, rows, full, members, pairs, text_col, id_col, "rest")
         found = components(st, links.unionByName(more), "all")
-    st.drop("shared", "pivots", "lists", "open", "posts", "group_pairs", "spread")
+    st.drop("light", "shared", "pivots", "stars", "lists", "open", "posts", "group_pairs", "spread")
 
     # the smallest id of every component, then of every set, then of every row
     of_set = members.select("cid", "first").join(found.toDF("cid", "root"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))

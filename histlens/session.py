@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -51,6 +53,21 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freeing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Inside this block a query's shuffle files go when it ends, not when the driver happens to collect its
+    garbage: disk then holds those of one stage.  For results that are stored and read back."""
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
+
+
 def app_id(spark: SparkSession) -> str:
     try:
         return spark.sparkContext.applicationId

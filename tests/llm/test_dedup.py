@@ -2,9 +2,13 @@
 
 import hashlib
 import random
+import time
 
 import brute
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from histlens.llm import block_dedup, ngram_join
 from histlens.llm.queries import op1_ngram_join
@@ -203,3 +207,71 @@ def test_results_do_not_depend_on_file_splits(spark, shifting_cores):
     spark.conf.set("spark.sql.leafNodeDefaultParallelism", 5)
     comp = brute.near_components([(i, t) for i, (_, t) in enumerate(rows[:700])])
     assert len(near.collect()) == len({c for _, c in comp.values()}) + 1
+
+
+def test_lists_of_a_range_equal_all_pairs():
+    """Stars, pairs of short lists and postings of long ones name every pair within the bounds, packed and unpacked again."""
+    rng = random.Random(8)
+    sets = {}
+    for g in range(300):
+        tokens = sorted(rng.sample(range(60), rng.randint(1, 3)) + rng.sample(range(100, 600), 5))
+        sets[rng.getrandbits(60)] = (rng.choice([50, 52, 60, 100, 120]), rng.randint(0, 3), tokens)
+    blobs, ids = [], list(sets)
+    for a in range(0, len(ids), 70):
+        own = ids[max(0, a - 5) : a + 70]                   # some groups are in two blobs
+        blobs.append(ngram_join._pack_posts(np.array([t for g in own for t in sets[g][2]], np.uint64), np.array(own), np.array([sets[g][0] for g in own]),
+                                            np.array([sets[g][1] for g in own]), np.array([len(sets[g][2]) for g in own])))
+    got = ngram_join._merge_posts(pa.table({"blob": blobs})).to_pylist()
+    lists = {}
+    for g in ids:
+        for i, t in enumerate(sets[g][2]):
+            lists.setdefault(t, []).append((g, sets[g][0], sets[g][1] + i))
+    star, more, posts = set(), set(), set()
+    for t, rows in lists.items():
+        rows.sort()
+        for j, (h, m, q) in enumerate(rows):
+            for i, (g, n, p) in enumerate(rows[:j]):
+                if 100 * min(n, m) >= 80 * max(n, m) and 180 * min(n - p, m - q) >= 80 * (n + m) and (i == 0 or len(rows) <= ngram_join.SHORT):
+                    (more if i else star).add((g, h))
+        if len(rows) > ngram_join.SHORT:
+            posts |= {(t, g, n, p) for g, n, p in rows[1:]}
+    assert posts and star and more
+    assert sorted((r["g"], r["h"]) for r in got if r["kind"] == 0) == sorted(star)
+    assert sorted((r["g"], r["h"]) for r in got if r["kind"] == 1) == sorted(more)
+    assert sorted((r["token"], r["g"], r["size"], r["pos"]) for r in got if r["kind"] == 2) == sorted(posts)
+
+
+def test_whole_sets_travel_only_for_likely_pairs(spark, monkeypatch):
+    """Of large sets that share a shingle but little more nothing is read again; a large near copy is found."""
+    rng = random.Random(9)
+    texts = [" ".join(["same opening of five words", *("w%d" % rng.randrange(10**6) for _ in range(3000))]) for _ in range(12)]
+    words = texts[0].split()
+    texts.append(" ".join(words[:2900] + ["other"] * 20))
+    seen, write = {}, ngram_join.Stages.write
+
+    def counted(self, df, name):
+        out = write(self, df, name)
+        seen[name] = out.count()
+        return out
+    monkeypatch.setattr(ngram_join.Stages, "write", counted)
+    rows = list(enumerate(texts, 1))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(numbered(spark, rows)).collect()}
+    assert got == brute.near_components(rows) and got[13][1] == 1
+    assert max(seen.get("near_star", 0), seen.get("near_rest", 0)) <= 1
+
+
+def test_stage_tables_leave_no_shuffle_files(spark):
+    """What a stored stage has shuffled is deleted when it is written, and the setting is as before."""
+    from histlens.llm.common import Stages
+    from histlens.session import FREE_SHUFFLES
+
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = [files.apply(i).getName() for i in range(files.size())]
+        return {n.split("_")[1] for n in names if n.startswith("shuffle_")}
+    before, had = spark.conf.get(FREE_SHUFFLES, None), shuffles()
+    Stages(spark, "test").write(spark.range(1000).groupBy((F.col("id") % 5).alias("k")).count(), "kept")
+    until = time.time() + 10
+    while shuffles() - had and time.time() < until:         # they are deleted in the background
+        time.sleep(0.1)
+    assert not shuffles() - had and spark.conf.get(FREE_SHUFFLES, None) == before
