@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from histlens.session import ensure_checkpoint_dir
+from histlens.session import ensure_checkpoint_dir, freeing_shuffles
 from histlens.sources.tables import Tables, load_tables, write_tables
 
 
@@ -25,22 +25,24 @@ def stage_root(spark: SparkSession, name: str) -> str:
 def ingest(t: Tables, root: str | None = None) -> Tables:
     """D2: write reports + long history (partitioned by attr) and read them back.  With a
     ``root`` of the caller's, the tables that are there are replaced as one."""
-    if root is None:
-        root = stage_root(t.spark, "tables")
-        write_tables(t, root)
-    else:
-        replace_table(t.spark, root, lambda new: write_tables(t, new))
+    with freeing_shuffles(t.spark):
+        if root is None:
+            root = stage_root(t.spark, "tables")
+            write_tables(t, root)
+        else:
+            replace_table(t.spark, root, lambda new: write_tables(t, new))
     return load_tables(t.spark, root)
 
 
 def materialise(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
     """IO4: store a result as Parquet and return the read-back frame.  A table that is
     already at ``root`` is replaced by ``replace_table``."""
-    if root is None:
-        root = stage_root(df.sparkSession, name)
-        df.write.parquet(root)
-    else:
-        replace_table(df.sparkSession, root, df.write.parquet)
+    with freeing_shuffles(df.sparkSession):
+        if root is None:
+            root = stage_root(df.sparkSession, name)
+            df.write.parquet(root)
+        else:
+            replace_table(df.sparkSession, root, df.write.parquet)
     return df.sparkSession.read.parquet(root)
 
 

@@ -139,3 +139,18 @@ def test_stored_frames_are_not_underestimated(spark, tmp_path):
     spark.range(200_000).coalesce(1).write.parquet(f"{tmp_path}/ids")
     plan = spark.read.parquet(f"{tmp_path}/ids")._jdf.queryExecution().optimizedPlan()
     assert int(str(plan.stats().sizeInBytes())) >= 200_000 * 16
+
+
+def test_many_logs_are_read_from_the_mixed_table(spark):
+    """The same rows as the logs' own folders, and what the logs say of one bug meets before the shuffle:
+    far fewer partial rows than a bug has logs."""
+    from pyspark.sql import functions as F
+
+    from histlens.schema import ATTRS
+    t, _ = setup(spark, SF)
+    own = t.long.select("attr", "id", "what", "ts", "who")
+    assert t.history.exceptAll(own).isEmpty() and own.exceptAll(t.history).isEmpty()
+    assert "PartitionFilters: []" in _plan(t.history) and "mixed" in t.history.inputFiles()[0]
+    assert all("history" in f for f in t.hs(ATTRS[:2]).inputFiles())
+    met = t.history.withColumn("file", F.input_file_name()).groupBy("id").agg(F.countDistinct("file").alias("n"))
+    assert met.agg(F.avg("n")).first()[0] < 2
